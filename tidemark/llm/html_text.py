@@ -41,12 +41,18 @@ _TABLE = np.array([
     (1, 0, 0, 0, 45, 0.1, 2, 0.0, 70, 0.0, 1), (1, 0, 0, 1, 7, 0.0, 30, 0.0, 6, 0.0, 1), (1, 0, 0, 1, 6, 0.4, 7, 0.0, 9, 0.0, 1), (1, 0, 0, 0, 12, 0.5, 40, 0.0, 30, 0.0, 1),
     (1, 0, 0, 0, 5, 1.0, 40, 0.0, 35, 0.0, 1), (1, 0, 0, 1, 3, 1.0, 3, 1.0, 3, 1.0, 0), (1, 0, 0, 1, 4, 1.0, 30, 0.0, 4, 1.0, 0), (1, 0, 0, 1, 4, 1.0, 4, 1.0, 0, 0.0, 0),
     (1, 0, 0, 0, 150, 0.0, 60, 0.0, 0, 0.0, 1), (1, 0, 1, 0, 3, 0.0, 80, 0.0, 40, 0.0, 1), (1, 0, 0, 0, 9, 0.0, 0, 0.0, 0, 0.0, 1), (1, 0, 0, 0, 25, 0.2, 9, 1.0, 12, 0.0, 1),
+    (1, 0, 1, 0, 4, 0.0, 0, 0.0, 4, 0.0, 1), (1, 0, 0, 0, 4, 0.0, 4, 0.0, 3, 0.0, 1), (1, 0, 0, 0, 3, 0.0, 3, 0.0, 0, 0.0, 1), (1, 0, 1, 0, 3, 0.0, 0, 0.0, 3, 0.0, 1),
+    (1, 0, 0, 0, 6, 0.0, 5, 0.0, 2, 0.0, 1), (1, 0, 1, 0, 7, 0.0, 3, 0.0, 3, 0.0, 1), (1, 0, 0, 0, 4, 0.0, 50, 0.0, 5, 1.0, 1), (1, 0, 0, 0, 20, 0.0, 3, 0.0, 3, 1.0, 1),
+    (1, 0, 0, 0, 1, 0.0, 1, 0.0, 1, 0.0, 1), (1, 0, 1, 0, 2, 0.0, 40, 0.0, 2, 0.0, 1), (1, 0, 0, 0, 2, 0.0, 9, 0.0, 4, 1.0, 1), (1, 0, 0, 0, 8, 0.6, 3, 0.0, 2, 0.9, 1),
+    (1, 0, 0, 0, 5, 0.0, 8, 0.0, 8, 0.0, 1), (1, 0, 1, 0, 14, 0.0, 7, 0.0, 9, 0.0, 1), (1, 0, 0, 0, 11, 0.0, 2, 1.0, 2, 1.0, 1), (1, 0, 0, 1, 5, 0.9, 6, 0.0, 7, 0.2, 1),
     (1, 1, 0, 0, 20, 0.0, 60, 0.0, 50, 0.0, 0), (1, 1, 0, 1, 3, 1.0, 3, 1.0, 3, 1.0, 0), (1, 1, 0, 0, 45, 0.0, 30, 0.0, 25, 0.0, 0), (1, 1, 1, 0, 2, 0.0, 60, 0.0, 30, 0.0, 0),
     (-1, 1, 0, 1, 1, 1.0, 0, 0.0, 1, 1.0, 0), (-1, 1, 0, 0, 12, 0.0, 1, 1.0, 8, 0.0, 0), (-1, 1, 0, 0, 30, 0.0, 60, 0.0, 0, 0.0, 0), (-1, 0, 0, 0, 10, 0.0, 1, 1.0, 8, 0.0, 0),
     (-1, 0, 0, 0, 40, 0.0, 60, 0.0, 10, 0.0, 0), (-1, 0, 1, 0, 4, 0.0, 1, 1.0, 9, 0.0, 0), (-1, 0, 0, 1, 5, 0.0, 40, 0.0, 5, 0.0, 0), (-1, 0, 0, 0, 90, 0.0, 0, 0.0, 8, 0.0, 0),
     (0, 1, 0, 0, 15, 0.0, 0, 0.0, 40, 0.0, 0), (0, 1, 0, 0, 60, 0.0, 40, 0.0, 40, 0.0, 0), (0, 1, 0, 1, 2, 1.0, 2, 1.0, 2, 1.0, 0), (0, 1, 1, 0, 3, 0.0, 5, 0.0, 40, 0.0, 0),
     (0, 0, 0, 0, 60, 0.0, 50, 0.0, 40, 0.0, 1), (0, 0, 0, 0, 30, 0.1, 3, 1.0, 40, 0.0, 1), (0, 0, 0, 0, 18, 0.0, 40, 0.0, 3, 1.0, 1), (0, 0, 0, 0, 22, 0.2, 0, 0.0, 0, 0.0, 1),
     (0, 0, 0, 0, 4, 0.0, 50, 0.0, 45, 0.0, 1), (0, 0, 0, 0, 8, 0.0, 30, 0.0, 28, 0.0, 1), (0, 0, 1, 0, 5, 0.0, 2, 1.0, 40, 0.0, 1), (0, 0, 1, 0, 4, 0.0, 60, 0.0, 50, 0.0, 1),
+    (0, 0, 1, 0, 3, 0.0, 11, 0.0, 19, 0.0, 1), (0, 0, 0, 0, 1, 0.0, 19, 0.0, 16, 0.0, 1), (0, 0, 1, 0, 6, 0.0, 5, 0.5, 30, 0.0, 1), (0, 0, 1, 0, 9, 0.0, 0, 0.0, 25, 0.0, 1),
+    (0, 0, 0, 0, 2, 0.0, 30, 0.0, 60, 0.0, 1), (0, 0, 0, 0, 6, 0.0, 25, 0.0, 20, 0.0, 1), (0, 0, 0, 0, 3, 0.0, 45, 0.1, 18, 0.0, 1), (0, 0, 1, 0, 2, 0.0, 2, 1.0, 17, 0.0, 1),
     (0, 0, 1, 0, 3, 0.0, 50, 0.0, 3, 1.0, 0), (0, 0, 0, 1, 3, 1.0, 3, 1.0, 3, 1.0, 0), (0, 0, 0, 1, 2, 1.0, 0, 0.0, 2, 1.0, 0), (0, 0, 0, 1, 9, 0.0, 30, 0.0, 8, 0.0, 1),
     (0, 0, 0, 0, 5, 1.0, 2, 1.0, 4, 1.0, 0), (0, 0, 0, 0, 6, 0.0, 2, 1.0, 2, 1.0, 0), (0, 0, 0, 0, 7, 0.0, 60, 0.0, 0, 0.0, 0), (0, 0, 0, 0, 30, 0.8, 40, 0.0, 3, 1.0, 0),
     (0, 0, 0, 0, 12, 0.0, 2, 1.0, 50, 0.0, 1), (0, 0, 0, 0, 3, 0.0, 0, 0.0, 2, 1.0, 0), (0, 0, 0, 0, 45, 0.6, 20, 0.9, 20, 0.9, 0), (0, 0, 0, 0, 25, 0.0, 7, 0.0, 7, 0.0, 1),

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -112,3 +112,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     alone = signed.where("print is null or doc_id is null").withColumn("component_id", F.col("doc_id"))
     out = some.join(class_of, "print").select(*signed.columns, "component_id").unionByName(alone)
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+def keep_one_of_each(docs: DataFrame, **how) -> DataFrame:
+    """The rows of docs, with their own columns, whose document stands for its class; a repeated row stays once.
+
+    Texts are shuffled once, by doc_id.  Rows without a doc_id are linked with nothing and stay.
+    """
+    gone = near_duplicates(docs, **how).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
+    known = docs.where("doc_id is not null")
+    left = known.join(gone, known["doc_id"].cast("long") == F.col("__gone"), "left_anti")
+    again = F.lag(F.struct("text")).over(Window.partitionBy("doc_id").orderBy("text"))
+    once = left.withColumn("__again", again.eqNullSafe(F.struct("text"))).where("not __again").drop("__again")
+    return once.unionByName(docs.where("doc_id is null"))

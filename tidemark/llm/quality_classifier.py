@@ -144,6 +144,17 @@ def score_quality(docs: DataFrame, model: QuadraticDiscriminant) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(score, "doc_id long, score double")
 
 
+def keep_by_score(docs: DataFrame, model: QuadraticDiscriminant, least: float = 0.7) -> DataFrame:
+    """The rows of docs, with their own columns, that score at least so much."""
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(model.score(document_statistics(batch.column(at))) >= least))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(modulus: int, remainder: int):
     """True where crc32 of doc_id as text leaves that remainder: rows no model learns from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == remainder, F.lit(False))

@@ -61,7 +61,9 @@ def text_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     p = F.col("__q_places")
     covered = F.aggregate(F.sequence(F.lit(1), F.size(p) - 1), F.lit(3), lambda acc, k: acc + F.least(F.lit(3), F.get(p, k) - F.get(p, k - 1)))
     repeats = F.when(p.isNull(), 0).when(F.size(p) == 1, 3).otherwise(covered)
-    return out.withColumn("n_repeat_words", repeats.cast("long")).drop("__q_text", "__q_words", "__q_lines", "__q_windows", "__q_sorted", "__q_places")
+    # The id is what a filter on the statistics can name so that Spark leaves it above them: pushed
+    # below, it would hold copies of every expression here.
+    return out.withColumns({"n_repeat_words": repeats.cast("long"), "__q_id": F.monotonically_increasing_id()}).drop("__q_text", "__q_words", "__q_lines", "__q_windows", "__q_sorted", "__q_places")
 
 
 def base_failed() -> Column:
@@ -191,5 +193,16 @@ def judge(stats: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> DataFrame:
-    """docs with statistics, base_failed, rule and kept; every row stays, in one pass without a shuffle."""
-    return judge(text_statistics(docs), fit_rules(docs, labels, most))
+    """doc_id with statistics, base_failed, rule and kept for every row, in one pass without a shuffle.
+
+    Other columns of docs are not read, so their names cannot clash.  Null and
+    empty texts have no words and fail the base test; repeated rows and null ids stay; an
+    empty table gives no rows.
+    """
+    return judge(text_statistics(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")), fit_rules(docs, labels, most)).drop("text", "__q_id")
+
+
+def keep_by_rules(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The rows of docs, with their own columns, that pass the base test and the rules."""
+    rows = docs.select(F.struct(*docs.columns).alias("__q_row"), F.col("text"))
+    return judge(text_statistics(rows), rules).where((F.col("__q_id") >= 0) & F.col("kept")).select("__q_row.*")

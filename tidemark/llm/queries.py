@@ -18,6 +18,13 @@ def _word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_rules import quality_rules
+
+    out = quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .shared import shared_root
     from .token_files import read_token_files, write_token_files
@@ -27,6 +34,29 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, out, digest=True)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_classifier import held_out
+    from .toxicity import fit_toxicity, score_toxicity
+
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = score_toxicity(docs, fit_toxicity(docs, labels.where(~held_out(3, 1))))
+    return scored.select("doc_id", held_out(3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality_classifier import fit_quality, held_out, score_quality
+
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    scored = score_quality(docs, fit_quality(docs, labels.where(~held_out(4, 2))))
+    return scored.select("doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find_benchmark
+
+    return find_benchmark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .sharding import shard_documents
 
@@ -47,5 +77,31 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op6_sharding, op7_best_fit_packing, op8_minhash_near_dedup)}
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .html_text import extract_main_text
+
+    return extract_main_text(_table(spark, sf_dir, "pages"))
+
+
+def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .licenses import scan_licenses
+
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+_ALL = (
+    op1_quality_rules,
+    op2_token_files,
+    op3_toxicity,
+    op4_quality_classifier,
+    op5_benchmark_decontamination,
+    op6_sharding,
+    op7_best_fit_packing,
+    op8_minhash_near_dedup,
+    op9_html_extraction,
+    op10_license_scans,
+)
+QUERIES = {f.__name__: f for f in _ALL}
+#: None: each result follows from a fitted model, a tokenizer, a packing or a closure that SQL has no words for;
+#: tests/llm compares them with brute force.
 ORACLES: dict[str, str] = {}
