@@ -23,23 +23,23 @@ BASE = ((("mit", "license"), "mit"), (("apache", "license"), "apache"), (("gener
 
 #: label, keyword that any mention holds (in lower case), the name as a pattern.
 LICENSES = (
-    ("agpl-3.0", "affero", r"gnu affero general public licen[cs]e,? (?:version|v\.?) ?3(?:\.0)?"),
+    ("agpl-3.0", "affero", r"gnu affero general public licen[cs]e,? (?:version|v\.?)? ?3(?:\.0)?"),
     ("agpl-3.0", "agpl", r"agpl[- ]?v?3(?:\.0)?"),
     ("agpl", "affero", r"(?:gnu )?affero general public licen[cs]e"),
-    ("lgpl-2.1", "lesser", r"gnu lesser general public licen[cs]e,? (?:version|v\.?) ?2\.1"),
-    ("lgpl-3.0", "lesser", r"gnu lesser general public licen[cs]e,? (?:version|v\.?) ?3(?:\.0)?"),
+    ("lgpl-2.1", "lesser", r"gnu lesser general public licen[cs]e,? (?:version|v\.?)? ?2\.1"),
+    ("lgpl-3.0", "lesser", r"gnu lesser general public licen[cs]e,? (?:version|v\.?)? ?3(?:\.0)?"),
     ("lgpl-2.1", "lgpl", r"lgpl[- ]?v?2\.1"),
     ("lgpl-3.0", "lgpl", r"lgpl[- ]?v?3(?:\.0)?"),
     ("lgpl", "lesser", r"(?:gnu )?lesser general public licen[cs]e"),
     ("lgpl-2.0", "library", r"gnu library general public licen[cs]e"),
-    ("gpl-2.0", "general public", r"gnu general public licen[cs]e,? (?:version|v\.?) ?2(?:\.0)?"),
-    ("gpl-3.0", "general public", r"gnu general public licen[cs]e,? (?:version|v\.?) ?3(?:\.0)?"),
+    ("gpl-2.0", "general public", r"gnu general public licen[cs]e,? (?:version|v\.?)? ?2(?:\.0)?"),
+    ("gpl-3.0", "general public", r"gnu general public licen[cs]e,? (?:version|v\.?)? ?3(?:\.0)?"),
     ("gpl-2.0", "gpl", r"gpl[- ]?v?2(?:\.0)?"),
     ("gpl-3.0", "gpl", r"gpl[- ]?v?3(?:\.0)?"),
     ("gpl", "general public", r"gnu general public licen[cs]e"),
-    ("apache-2.0", "apache", r"apache(?: software)? licen[cs]e,? ?\(?(?:version|v\.?) ?2(?:\.0)?\)?"),
+    ("apache-2.0", "apache", r"apache(?: software)? licen[cs]e,? ?\(?(?:version|v\.?)? ?2(?:\.0)?\)?"),
     ("apache-2.0", "apache", r"apache[- ]2(?:\.0)?(?: licen[cs]e)?"),
-    ("apache-1.1", "apache", r"apache(?: software)? licen[cs]e,? (?:version|v\.?) ?1\.1"),
+    ("apache-1.1", "apache", r"apache(?: software)? licen[cs]e,? (?:version|v\.?)? ?1\.1"),
     ("apache", "apache", r"apache(?: software)? licen[cs]e"),
     ("mit", "mit", r"(?:the )?mit licen[cs]e"),
     ("mit", "mit", r"(?:the )?expat licen[cs]e|mit[-/ ]expat"),
@@ -47,23 +47,23 @@ LICENSES = (
     ("bsd-3-clause", "bsd", r"(?:3[- ]clause|new|modified|revised)[- ]bsd(?: licen[cs]e)?|bsd[- ]3[- ]clause"),
     ("bsd-4-clause", "bsd", r"(?:4[- ]clause|original)[- ]bsd(?: licen[cs]e)?|bsd[- ]4[- ]clause"),
     ("bsd", "bsd", r"bsd licen[cs]e|berkeley software distribution"),
-    ("mpl-2.0", "mozilla", r"mozilla public licen[cs]e,? (?:version|v\.?) ?2(?:\.0)?"),
-    ("mpl-1.1", "mozilla", r"mozilla public licen[cs]e,? (?:version|v\.?) ?1\.1"),
+    ("mpl-2.0", "mozilla", r"mozilla public licen[cs]e,? (?:version|v\.?)? ?2(?:\.0)?"),
+    ("mpl-1.1", "mozilla", r"mozilla public licen[cs]e,? (?:version|v\.?)? ?1\.1"),
     ("mpl-2.0", "mpl", r"mpl[- ]?v?2(?:\.0)?"),
     ("mpl", "mozilla", r"mozilla public licen[cs]e"),
-    ("epl-2.0", "eclipse", r"eclipse public licen[cs]e,? (?:version|v\.?|-) ?2(?:\.0)?"),
-    ("epl-1.0", "eclipse", r"eclipse public licen[cs]e,? (?:version|v\.?|-) ?1(?:\.0)?"),
+    ("epl-2.0", "eclipse", r"eclipse public licen[cs]e,? (?:version|v\.?|-)? ?2(?:\.0)?"),
+    ("epl-1.0", "eclipse", r"eclipse public licen[cs]e,? (?:version|v\.?|-)? ?1(?:\.0)?"),
     ("epl", "eclipse", r"eclipse public licen[cs]e"),
     ("cddl", "common development", r"common development and distribution licen[cs]e"),
     ("isc", "isc", r"(?:the )?isc licen[cs]e"),
     ("zlib", "zlib", r"(?:the )?zlib(?:/libpng)? licen[cs]e"),
     ("unlicense", "unlicense", r"(?:the )?unlicense"),
     ("wtfpl", "wtfpl", r"wtfpl"),
-    ("bsl-1.0", "boost", r"boost software licen[cs]e(?:,? (?:version|v\.?) ?1(?:\.0)?)?"),
-    ("artistic-2.0", "artistic", r"artistic licen[cs]e(?:,? (?:version|v\.?) ?2(?:\.0)?)?"),
+    ("bsl-1.0", "boost", r"boost software licen[cs]e(?:,? (?:version|v\.?)? ?1(?:\.0)?)?"),
+    ("artistic-2.0", "artistic", r"artistic licen[cs]e(?:,? (?:version|v\.?)? ?2(?:\.0)?)?"),
     ("python-2.0", "python", r"python software foundation licen[cs]e|psf licen[cs]e"),
-    ("ofl-1.1", "open font", r"(?:sil )?open font licen[cs]e(?:,? (?:version|v\.?) ?1\.1)?"),
-    ("eupl-1.2", "european union public", r"european union public licen[cs]e(?:,? (?:version|v\.?) ?1\.2)?"),
+    ("ofl-1.1", "open font", r"(?:sil )?open font licen[cs]e(?:,? (?:version|v\.?)? ?1\.1)?"),
+    ("eupl-1.2", "european union public", r"european union public licen[cs]e(?:,? (?:version|v\.?)? ?1\.2)?"),
     ("odbl-1.0", "open database", r"open database licen[cs]e"),
     ("openrail-m", "openrail", r"(?:creativeml )?open ?rail(?:\+\+)?-m"),
     ("proprietary", "proprietary", r"proprietary (?:and confidential )?licen[cs]e"),
@@ -113,7 +113,7 @@ def rules() -> tuple[Rule, ...]:
     out = []
     for weight, form in FORMS:
         for label, keyword, name in names:
-            body = form.format(name="(?:" + name.replace(" ", r"\s+") + ")")
+            body = form.format(name="(?:" + name.replace(" ?", r"\s*").replace(" ", r"\s+") + ")")
             out.append(Rule(len(out), label, weight, keyword, re.compile(rf"(?<![a-z0-9]){body}(?![a-z0-9])")))
     return tuple(out)
 
