@@ -13,22 +13,27 @@ from pyspark.sql import functions as F
 from .components import connected_components
 from .shared import Scratch
 from .shingles import FastSketch, band_hashes, shingle_rows
+from .words import mix
 
-_SIGNED = "doc_id long, n_shingles long, print binary, bands array<long>"
+_SIGNED = "doc_id long, n_shingles long, print binary, bands array<long>, marks array<tinyint>"
+#: Rows that are checked against one copy of a text; more of them are dealt to several tasks.
+_RUN = 512
 
 
 def sketch_documents(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, print (of the whole shingle set; null if empty) and band hashes of every text."""
+    """doc_id, n_shingles, print (of the whole shingle set; null if empty), band hashes and a byte of every coordinate."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = FastSketch(bands * rows)
         for batch in batches:
-            size, prints, marks = [], [], []
+            size, prints, keys, marks = [], [], [], []
             for s in shingle_rows(batch.column(1), width):
                 size.append(len(s))
+                full = sketch(s)
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                marks.append(band_hashes(sketch(s), bands).view(np.int64) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(prints, pa.binary()), pa.array(marks, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "print", "bands"])
+                keys.append(band_hashes(full, bands).view(np.int64) if len(s) else None)
+                marks.append(mix(full).astype(np.uint8).view(np.int8) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int8()))], ["doc_id", "n_shingles", "print", "bands", "marks"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, _SIGNED)
 
@@ -36,29 +41,39 @@ def sketch_documents(docs: DataFrame, width: int, bands: int, rows: int) -> Data
 def verify_pairs(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Of pairs (a, b), those whose whole shingle sets have 100 * intersection >= percent * union.
 
-    texts: id and text.  Every pair carries its member's text to where its other
-    text is; sets are built once for each text of a batch.
+    texts: id and text.  The members of one b meet its text in runs of about
+    _RUN rows; a b with more members has its text copied to several runs, so
+    that no task gets a hot one whole.  A task holds one set of b and one of a at a time.
     """
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, hubs = None, []
         for batch in batches:
-            texts = [batch.column(k).dictionary_encode() for k in (2, 3)]
-            sets = [list(shingle_rows(t.dictionary, width)) for t in texts]
-            keep = []
-            for a, b in zip(*(t.indices.to_pylist() for t in texts), strict=True):
-                x, y = sets[0][a], sets[1][b]
-                if 100 * min(len(x), len(y)) < percent * max(len(x), len(y)):
-                    keep.append(False)
+            found = []
+            for b, part, a, s in zip(*(batch.column(k).to_pylist() for k in range(3)), shingle_rows(batch.column(3), width), strict=True):
+                if (b, part) != key:
+                    key, hubs = (b, part), []
+                if a is None:
+                    hubs.append(s)
                     continue
-                both = np.sort(np.concatenate((x, y)))
-                inter = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * inter >= percent * (len(x) + len(y) - inter))
-            keep = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
-
-    one = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
-    two = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(check, "a long, b long")
+                for hub in hubs:
+                    if 100 * min(len(s), len(hub)) < percent * max(len(s), len(hub)):
+                        continue
+                    both = np.sort(np.concatenate((s, hub)))
+                    inter = int((both[1:] == both[:-1]).sum())
+                    if 100 * inter >= percent * (len(s) + len(hub) - inter):
+                        found.append((a, b))
+                        break
+            columns = list(zip(*found, strict=True)) if found else [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+
+    runs = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / _RUN).cast("int").alias("runs"))
+    dealt = pairs.join(runs, "b").select("b", F.pmod(F.xxhash64("a"), "runs").cast("int").alias("part"), "a")
+    # Sort-merge at every size, so that the plan is the same on small and large tables.
+    members = dealt.join(texts.hint("merge"), F.col("a") == F.col("id")).select("b", "part", "a", "text")
+    hubs = runs.join(texts.hint("merge"), F.col("b") == F.col("id")).select("b", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("part"), F.lit(None).cast("long").alias("a"), "text")
+    met = members.unionByName(hubs).repartition("b", "part").sortWithinPartitions("b", "part", "a")
+    return met.mapInArrow(check, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: int = 32, rows: int = 4) -> DataFrame:
@@ -84,24 +99,30 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     work = Scratch(docs.sparkSession, "near")
     signed = work.keep(sketch_documents(docs, width, bands, rows), "signed")
     some = signed.where("print is not null and doc_id is not null")
-    nodes = work.keep(some.groupBy("print").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands"), F.min("n_shingles").alias("n")), "nodes")
-    keyed = nodes.select("id", "n", F.posexplode("bands").alias("band", "hash")).select("id", "n", F.xxhash64("band", "hash").alias("key"))
+    nodes = work.keep(some.groupBy("print").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands"), F.min("marks").alias("marks"), F.min("n_shingles").alias("n")), "nodes")
+    keyed = nodes.select("id", F.posexplode("bands").alias("band", "hash")).select("id", "band", F.xxhash64("band", "hash").alias("key"))
     centers = work.keep(keyed.groupBy("key").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("many")).where("many > 1").select("key", "center"), "centers")
     members = work.keep(keyed.join(centers, "key"), "members")
     pairs = work.keep(members.where("id <> center").select(F.col("id").alias("a"), F.col("center").alias("b")).distinct(), "pairs")
 
     wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("text is not null")
-    texts = work.keep(texts.join(wanted, "id"), "texts")
+    texts = work.keep(texts.join(wanted.hint("merge"), "id"), "texts")
     links = work.keep(verify_pairs(pairs, texts, width, percent), "links")
     first = connected_components(links, work, "first")
 
-    placed = members.join(first.withColumnRenamed("node", "id"), "id", "left").select("key", "id", "n", F.coalesce("component", "id").alias("component"))
+    placed = members.join(first.withColumnRenamed("node", "id"), "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    placed = work.keep(placed.join(mixed, "key"), "mixed")
-    left, right = placed.select("key", F.col("id").alias("b"), F.col("n").alias("m"), F.col("component").alias("other")), placed.withColumnRenamed("id", "a")
-    across = right.join(left, "key").where((F.col("b") < F.col("a")) & (F.col("component") != F.col("other")) & (F.least("n", "m") * 100 >= F.greatest("n", "m") * percent))
-    more = work.keep(across.select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti"), "across")
+    placed = work.keep(placed.join(mixed, "key").join(nodes.drop("print"), "id"), "mixed")
+    left = placed.select("key", *(F.col(c).alias(f"x_{c}") for c in ("id", "n", "component", "bands", "marks")))
+    # A pair counts in the first band that it shares, and only if its sketches do not rule it out:
+    # five standard deviations below the threshold, which a linked pair misses once in three million.
+    shared = F.array_position(F.zip_with("bands", "x_bands", lambda x, y: x == y), True) - 1
+    same = F.size(F.filter(F.zip_with("marks", "x_marks", lambda x, y: x == y), lambda x: x))
+    t, p = bands * rows, percent / 100
+    floor = t * p - 5 * (t * p * (1 - p)) ** 0.5
+    across = placed.join(left, (placed["key"] == left["key"]) & (F.col("x_id") < F.col("id")) & (F.col("component") != F.col("x_component")) & (F.least("n", "x_n") * 100 >= F.greatest("n", "x_n") * percent) & (F.col("band") == shared) & (same >= floor))
+    more = work.keep(across.select(F.col("id").alias("a"), F.col("x_id").alias("b")).join(pairs, ["a", "b"], "left_anti").distinct(), "across")
     found = first
     if not more.isEmpty():
         late = work.keep(verify_pairs(more, texts, width, percent), "late-links")
