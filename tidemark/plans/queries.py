@@ -393,13 +393,13 @@ def upsample(spark, d):
     return splits.upsample(rows, "target", 0.45).select("o_orderkey")
 
 
-@query("WITH c AS (SELECT count(*) FILTER (o_orderpriority = '1-URGENT') AS p, count(*) AS n FROM orders) SELECT p AS positives, least(n - p, CAST(floor(p * 0.7 / (1 - 0.7)) AS BIGINT)) AS negatives FROM c")
+@query("WITH c AS (SELECT count(*) FILTER (o_orderpriority = '1-URGENT') AS p, count(*) AS n FROM orders) SELECT p AS positives, least(n - p, CAST(floor(p * 0.7::DOUBLE / (1 - 0.7::DOUBLE)) AS BIGINT)) AS negatives FROM c")
 def downsample_counts(spark, d):
     rows = _read(spark, d, "orders").withColumn("target", (F.col("o_orderpriority") == "1-URGENT").cast("int"))
     return splits.downsample(rows, "target", ["o_orderkey"], 0.7).agg(F.count_if(F.col("target") == 1).alias("positives"), F.count_if(F.col("target") == 0).alias("negatives"))
 
 
-@query("WITH p AS (SELECT o_custkey, max(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS t FROM orders GROUP BY 1) SELECT count(*) FILTER (t = 0) AS negatives, CAST(floor(0.2 * count(*) FILTER (t = 0) / (1 - 0.2)) AS BIGINT) AS positives FROM p")
+@query("WITH p AS (SELECT o_custkey, max(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS t FROM orders GROUP BY 1) SELECT count(*) FILTER (t = 0) AS negatives, CAST(floor(0.2::DOUBLE * count(*) FILTER (t = 0) / (1 - 0.2::DOUBLE)) AS BIGINT) AS positives FROM p")
 def base_rate_counts(spark, d):
     rows = _read(spark, d, "orders").groupBy("o_custkey").agg(F.max((F.col("o_orderpriority") == "1-URGENT").cast("int")).alias("target"))
     return splits.restore_base_rate(rows, "o_custkey", "target", 0.2).agg(F.count_if(F.col("target") == 0).alias("negatives"), F.count_if(F.col("target") == 1).alias("positives"))
