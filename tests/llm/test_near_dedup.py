@@ -61,7 +61,7 @@ def test_near_copies_in_chains_and_edge_cases(spark):
 
 
 def test_sketch_fills_every_coordinate_and_estimates_similarity():
-    sketch, rng = FastSketch(128), np.random.default_rng(1)
+    sketch, rng = FastSketch(256), np.random.default_rng(1)
     for n in (1, 3, 60, 5000):
         a = rng.integers(0, 2**63, n).astype(np.uint64)
         assert (sketch(a) < 2**63).all()

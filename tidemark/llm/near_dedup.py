@@ -15,25 +15,30 @@ from .shared import Scratch
 from .shingles import FastSketch, band_hashes, shingle_rows
 from .words import mix
 
-_SIGNED = "doc_id long, n_shingles long, print binary, bands array<long>, marks array<tinyint>"
+_SIGNED = "doc_id long, n_shingles long, print binary, bands array<long>, marks array<long>"
+#: Coordinates of a sketch; bands use the first of them, and four bits of each one estimate similarity.
+_COORDINATES = 512
 #: Rows that are checked against one copy of a text; more of them are dealt to several tasks.
 _RUN = 512
 
 
 def sketch_documents(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, print (of the whole shingle set; null if empty), band hashes and a byte of every coordinate."""
+    """doc_id, n_shingles, print (of the whole shingle set; null if empty), band hashes and marks, four bits of every coordinate."""
+    if bands * rows > _COORDINATES:
+        raise ValueError(f"bands * rows is above {_COORDINATES}")
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = FastSketch(bands * rows)
+        sketch = FastSketch(_COORDINATES)
         for batch in batches:
             size, prints, keys, marks = [], [], [], []
             for s in shingle_rows(batch.column(1), width):
                 size.append(len(s))
                 full = sketch(s)
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                keys.append(band_hashes(full, bands).view(np.int64) if len(s) else None)
-                marks.append(mix(full).astype(np.uint8).view(np.int8) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int8()))], ["doc_id", "n_shingles", "print", "bands", "marks"])
+                keys.append(band_hashes(full[: bands * rows], bands).view(np.int64) if len(s) else None)
+                low = (mix(full) & np.uint64(15)).astype(np.uint8)
+                marks.append((low[::2] | low[1::2] << 4).view(np.int64) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "print", "bands", "marks"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, _SIGNED)
 
@@ -82,13 +87,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     Returns doc_id, n_shingles, component_id (smallest doc_id reachable) and
     kept (doc_id = component_id), one row for each row of docs.
 
-    1. A sketch of bands * rows coordinates and a print of the whole set for each
+    1. A fast similarity sketch, whose first bands * rows coordinates make the bands, and a print of the whole set for each
        document; documents with one print are one node, their smallest doc_id.
     2. Nodes that share a band are a bucket; each node of a bucket is verified
        against the bucket's smallest node, on whole sets.  A bucket of n nodes costs n
        checks, and most large buckets are then one component.
-    3. Where a bucket still spans several components, the pairs across them
-       are verified as well, so that no link between candidates is lost.
+    3. Where a bucket still spans several components, the pairs across them whose
+       sketches leave a link possible are verified as well, each once, so that no link between candidates is lost.
 
     At the threshold a pair shares no band with probability
     (1 - 0.75**4)**32 = 5e-6.  Null, empty and blank texts have no shingles and
@@ -115,13 +120,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
     placed = work.keep(placed.join(mixed, "key").join(nodes.drop("print"), "id"), "mixed")
     left = placed.select("key", *(F.col(c).alias(f"x_{c}") for c in ("id", "n", "component", "bands", "marks")))
-    # A pair counts in the first band that it shares, and only if its sketches do not rule it out:
-    # five standard deviations below the threshold, which a linked pair misses once in three million.
+    # A pair counts in the first band that it shares, and only if the marks do not rule it out: coordinates
+    # agree in all four bits where the sketches agree and in half of them elsewhere; a linked pair falls
+    # 4.5 standard deviations below its mean about as rarely as it shares no band.
     shared = F.array_position(F.zip_with("bands", "x_bands", lambda x, y: x == y), True) - 1
-    same = F.size(F.filter(F.zip_with("marks", "x_marks", lambda x, y: x == y), lambda x: x))
-    t, p = bands * rows, percent / 100
-    floor = t * p - 5 * (t * p * (1 - p)) ** 0.5
-    across = placed.join(left, (placed["key"] == left["key"]) & (F.col("x_id") < F.col("id")) & (F.col("component") != F.col("x_component")) & (F.least("n", "x_n") * 100 >= F.greatest("n", "x_n") * percent) & (F.col("band") == shared) & (same >= floor))
+    unlike = sum((F.bit_count(F.get("marks", k).bitwiseXOR(F.get("x_marks", k))) for k in range(_COORDINATES // 16)), F.lit(0))
+    t, p = _COORDINATES, percent / 100
+    most = int(t * 2 * (1 - p) + 4.5 * (t * ((1 - p) + 4 * p * (1 - p))) ** 0.5)
+    across = placed.join(left, (placed["key"] == left["key"]) & (F.col("x_id") < F.col("id")) & (F.col("component") != F.col("x_component")) & (F.least("n", "x_n") * 100 >= F.greatest("n", "x_n") * percent) & (F.col("band") == shared) & (unlike <= most))
     more = work.keep(across.select(F.col("id").alias("a"), F.col("x_id").alias("b")).join(pairs, ["a", "b"], "left_anti").distinct(), "across")
     found = first
     if not more.isEmpty():
