@@ -45,7 +45,8 @@ _HINT = re.compile(
 )
 _SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
 _TOKEN = re.compile(r"\S+")
-_TRIM = re.compile(r"^([\"'(\[{<]*)(.*?)([!?.,;:\"')\]}>|]*|([#$%&*@+])\4{2,}[!?.,;:]*)$", re.S)
+#: What opens and closes a token without belonging to it, and symbols that junk hangs onto words in runs.
+_HEAD, _TAIL, _RUNS = "\"'([{<", "!?.,;:\"')]}>|", "#$%&*@+"
 
 
 @dataclass(frozen=True)
@@ -71,7 +72,7 @@ def trigram_counts(column: pa.Array) -> np.ndarray:
     _, offsets = text_buffer(column)
     for i, j in row_blocks(offsets):
         line = "\n\n".join(t or "" for t in column.slice(i, j - i).to_pylist())
-        code = np.frombuffer(f"\n\n{line}\n".encode("utf-32-le"), np.uint32)
+        code = np.frombuffer(f"\n\n{line}\n\n".encode("utf-32-le"), np.uint32)
         s = np.where(code < len(_LUT), _LUT[np.minimum(code, len(_LUT) - 1)], np.uint8(63)).astype(np.int64)
         total += np.bincount((s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:], minlength=SYMBOLS**3)
     total[0] = 0  # runs of what is not a letter say nothing
@@ -94,8 +95,8 @@ def corpus_model(docs: DataFrame) -> CharModel:
     return CharModel.of(counts)
 
 
-def _lattice(token: str, spaced: bool) -> list[list[tuple[str, float]]]:
-    """For each run of one character what it may be, with the channel's cost."""
+def _lattice(token: str) -> list[list[tuple[str, float]]]:
+    """For each run of one character what it may be, with the channel's cost; a blank may also be a word's end."""
     out: list[list[tuple[str, float]]] = []
     k = 0
     while k < len(token):
@@ -106,8 +107,7 @@ def _lattice(token: str, spaced: bool) -> list[list[tuple[str, float]]]:
         if c == " ":
             out.append([("", 0.0), (" ", 3.0)])
         elif c.isalpha():
-            own = [(c * n, 0.0)] if n < 3 else [(c, 0.5), (c * 2, 0.7)]
-            out.append(own)
+            out.append([(c * n, 0.0)] if n < 3 else [(c, 0.5), (c * 2, 0.7)])
         else:
             options = [(x, 1.0 + 0.2 * (n - 1)) for x in LEET.get(c, "")]
             options += [(x * 2, 1.4) for x in LEET.get(c, "") if n == 2]
@@ -118,17 +118,17 @@ def _lattice(token: str, spaced: bool) -> list[list[tuple[str, float]]]:
     return out
 
 
-def restore(token: str, model: CharModel, spaced: bool = False) -> str:
+def restore(token: str, model: CharModel) -> str:
     """The likeliest plain form of an obfuscated token: Viterbi over its lattice.
 
-    A state is the last two symbols; its best path's text is kept beside the
-    cost.  spaced: blanks of the token may also be word ends.
+    A state is the last two symbols; its best path is a chain of back links, so
+    the work is linear in the token.
     """
     logp = model.logp
-    best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for options in _lattice(token, spaced):
-        then: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (cost, text) in best.items():
+    best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
+    for options in _lattice(token):
+        then: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+        for (a, b), (cost, path) in best.items():
             for letters, extra in options:
                 x, y, total = a, b, cost + extra
                 for ch in letters:
@@ -136,9 +136,14 @@ def restore(token: str, model: CharModel, spaced: bool = False) -> str:
                     total -= logp[x, y, s]
                     x, y = y, s
                 if (x, y) not in then or total < then[x, y][0]:
-                    then[x, y] = (total, text + letters)
+                    then[x, y] = (total, (path, letters))
         best = then
-    return min(((cost - logp[a, b, 0], text) for (a, b), (cost, text) in best.items()), default=(0.0, ""))[1]
+    path = min(((cost - logp[a, b, 0], k, path) for k, ((a, b), (cost, path)) in enumerate(best.items())))[2]
+    out = []
+    while path:
+        path, letters = path
+        out.append(letters)
+    return "".join(reversed(out))
 
 
 class Restorer:
@@ -147,15 +152,20 @@ class Restorer:
     def __init__(self, model: CharModel, most: int = 200_000):
         self.model, self.most, self.known = model, most, {}
 
-    def _token(self, token: str, spaced: bool = False) -> str:
-        if (token, spaced) not in self.known:
+    def _token(self, token: str) -> str:
+        if token not in self.known:
             if len(self.known) >= self.most:
                 self.known.clear()
-            self.known[token, spaced] = restore(token, self.model, spaced)
-        return self.known[token, spaced]
+            self.known[token] = restore(token, self.model)
+        return self.known[token]
 
     def _word(self, word: str) -> str:
-        head, core, tail = _TRIM.match(word).group(1, 2, 3)
+        core = word.lstrip(_HEAD)
+        head = word[: len(word) - len(core)]
+        core = core.rstrip(_TAIL)
+        if len(core) > 3 and core[-1] in _RUNS and core[-3:] == core[-1] * 3:
+            core = core.rstrip(core[-1])
+        tail = word[len(head) + len(core) :]
         low = unicodedata.normalize("NFKC", core).lower().translate(LOOKALIKE)
         letters = sum(c.isalpha() for c in low)
         if not letters or letters * 3 < len(low):
@@ -172,7 +182,7 @@ class Restorer:
                 continue
             if _SPACED.match(text, m.start()):
                 a, b = _SPACED.match(text, m.start()).span()
-                plain = self._token(unicodedata.normalize("NFKC", text[a:b]).lower().replace("\t", " ").translate(LOOKALIKE), True)
+                plain = self._token(unicodedata.normalize("NFKC", text[a:b]).lower().replace("\t", " ").translate(LOOKALIKE))
             else:
                 a = m.start()
                 while a > at and not text[a - 1].isspace():
