@@ -37,7 +37,7 @@ def test_surroundings_go_and_the_text_stays(shell):
     assert main_text(SITE % (shell % BODY)) == TEXT
 
 
-@pytest.mark.parametrize("page", ["", "plain words only", "<p>unclosed <b>tags <i>here", "<", "<!-- never ends", "<script>x", "<article>", "</p></div></article>", "<p>a<p>b" * 2000, "&#x110000; &bogus; &lt;", "<div " * 500])
+@pytest.mark.parametrize("page", ["", "plain words only", "<p>unclosed <b>tags <i>here", "<", "<!-- never ends", "<script>x", "<article>", "</p></div></article>", "<p>a<p>b" * 2000, "&#x110000; &bogus; &lt;", "<div " * 60000, "<a b='" * 60000, "<" * 90000, "<a " * 60000 + ">"])
 def test_broken_pages_do_not_crash(page):
     main_text(page)
 
