@@ -17,7 +17,7 @@ def connected_components(links: DataFrame, work: Scratch, name: str = "cc", most
     map-side) and of a join of two stored tables (split by Spark's skew handling).
     """
     edges = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
-    edges = work.keep(edges, f"{name}-0")
+    edges = work.keep(edges, f"{name}/0")
 
     def star(e: DataFrame, both: bool, at: str) -> DataFrame:
         """Link every neighbour of a node to the least of them; both: neighbours above the node, else those below."""
@@ -37,9 +37,11 @@ def connected_components(links: DataFrame, work: Scratch, name: str = "cc", most
     for k in range(1, most_rounds + 1):
         if not before[0]:
             break
-        large = work.keep(star(edges, True, f"{name}-{k}-large"), f"{name}-{k}-large")
-        edges = work.keep(star(large, False, f"{name}-{k}-small"), f"{name}-{k}")
+        large = work.keep(star(edges, True, f"{name}/{k}-large"), f"{name}/{k}-large")
+        edges = work.keep(star(large, False, f"{name}/{k}-small"), f"{name}/{k}")
         after = mark(edges)
+        for old in (f"{k - 1}", f"{k}-large", f"{k}-large-least", f"{k}-small-least"):
+            work.drop(f"{name}/{old}")
         if after == before:
             break
         before = after

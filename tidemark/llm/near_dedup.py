@@ -136,6 +136,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
             stars = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
             found = connected_components(stars.unionByName(late), work, "second")
     class_of = work.keep(nodes.select("print", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("print", F.coalesce("component", "id").alias("component_id")), "classes")
+    for done in ("nodes", "centers", "members", "pairs", "texts", "links", "mixed", "across", "late-links", "first", "second"):
+        work.drop(done)
     alone = signed.where("print is null or doc_id is null").withColumn("component_id", F.col("doc_id"))
     out = some.join(class_of, "print").select(*signed.columns, "component_id").unionByName(alone)
     return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
