@@ -62,8 +62,8 @@ def drop_first_day_references(df: DataFrame, roles: Roles, ref: str, days_since_
 def drop_sparse_past(df: DataFrame, date: str, today: Column, years: int, back_months: int) -> DataFrame:
     """Rows not older than the first date within the last years before today, less a number of months."""
     recent = F.col(date) >= F.add_months(today, -12 * years)
-    first = df.agg(F.min(F.when(recent, F.col(date))).alias("__first"))
-    return df.crossJoin(F.broadcast(first)).where(F.col(date) >= F.add_months("__first", -back_months)).drop("__first")  # one row: a scalar
+    first = df.agg(F.min(F.when(recent, F.col(date)))).first()[0]
+    return df.where(F.col(date) >= F.add_months(F.lit(first), -back_months))
 
 
 def truncate_after_last(df: DataFrame, roles: Roles, ref: str) -> DataFrame:

@@ -16,21 +16,26 @@ def collapse(df: DataFrame, roles: Roles, period: str, columns: list[str], sums:
     return df.groupBy(roles.id, period).agg(*last, *(F.sum(c).alias(c) for c in sums))
 
 
-def densify(panel: DataFrame, roles: PanelRoles, imputed: str = "imputed_ctu") -> DataFrame:
+def densify(panel: DataFrame, roles: PanelRoles, imputed: str = "imputed_ctu", periods: list[int] | None = None) -> DataFrame:
     """Add the periods in which an id has no row, from its first period on, marked 1 (others 0).
 
-    Periods are those that any id has.  An id's gaps are a sequence of numbers
-    made beside it: no ids x periods product is built, and periods before the
-    id's first are never made.
+    periods: those to be filled, by default the ones that any id has (found by a
+    pass of its own; as many as the calendar has).  Each row brings forth the gaps up to the id's
+    next row: one window by id, no join, no ids x periods product, and nothing before an id's first period.
     """
-    known = panel.where(F.col(roles.period) >= 0)
-    bounds = known.agg(F.min(roles.period).alias("__low"))
-    seen = known.select(roles.period).distinct()
-    own = panel.groupBy(roles.id).agg(F.max(roles.period).alias("__first"))
-    spine = own.where("__first >= 0").crossJoin(F.broadcast(bounds)).select(roles.id, F.explode(F.sequence("__first", "__low")).alias(roles.period))
-    spine = spine.join(F.broadcast(seen), roles.period, "left_semi")  # a calendar: as many rows as there are periods
-    gaps = spine.join(panel.select(roles.id, roles.period), [roles.id, roles.period], "left_anti")
-    return panel.withColumn(imputed, F.lit(0)).unionByName(gaps.withColumn(imputed, F.lit(1)), allowMissingColumns=True)
+    if periods is None:
+        periods = sorted(r[0] for r in panel.where(F.col(roles.period) >= 0).select(roles.period).distinct().collect())
+    low = periods[0] if periods else 0
+    newer = F.lead(roles.period).over(roles.ordered())
+    run = F.when(F.col(roles.period) < 0, F.array(roles.period)).otherwise(F.sequence(roles.period, F.greatest(F.coalesce(newer + 1, F.lit(low)), F.lit(0))))
+    rest = [c for c in panel.columns if c not in (roles.id, roles.period)]
+    out = panel.withColumn("__run", run).select(roles.id, *rest, F.posexplode("__run").alias("__at", roles.period))
+    if periods and periods != list(range(periods[0], periods[-1] + 1)):
+        out = out.where((F.col("__at") == 0) | F.col(roles.period).isin(periods))
+    else:
+        out = out.where((F.col("__at") == 0) | (F.col(roles.period) >= low))
+    own = {c: F.when(F.col("__at") == 0, F.col(c)) for c in rest}
+    return out.select(*(own.get(c, F.col(c)).alias(c) for c in panel.columns), F.when(F.col("__at") == 0, 0).otherwise(1).alias(imputed))
 
 
 def fill_gaps(panel: DataFrame, roles: PanelRoles, imputed: str, zeros: list[str] = (), carried: list[str] = (), since: list[str] = (), dates: list[str] = (), period_days: int = 30) -> DataFrame:

@@ -17,7 +17,11 @@ from .metrics import auc
 def fit_gbt(train: DataFrame, columns: list[str], target: str, trees: int = 20, depth: int = 4, step: float = 0.1, seed: int = 7) -> PipelineModel:
     """Null features count as 0."""
     stages = [VectorAssembler(inputCols=columns, outputCol="features"), GBTClassifier(labelCol="label", maxIter=trees, maxDepth=depth, stepSize=step, seed=seed)]
-    return Pipeline(stages=stages).fit(train.na.fill(0.0, columns).withColumn("label", F.col(target).cast("double")))
+    rows = train.na.fill(0.0, columns).select(*columns, F.col(target).cast("double").alias("label")).persist()  # a fit passes over it many times
+    try:
+        return Pipeline(stages=stages).fit(rows)
+    finally:
+        rows.unpersist()
 
 
 def score(model: PipelineModel, df: DataFrame, columns: list[str], keep: list[str], threshold: float = 0.5) -> DataFrame:

@@ -40,5 +40,5 @@ def clamp(df: DataFrame, columns: list[str], stats: DataFrame) -> DataFrame:
 
     stats: outlier_stats() of these rows, or of the training rows alone to keep the others out of it.
     """
-    wide = stats.groupBy().pivot("column", columns).agg(F.first("low").alias("low"), F.first("high").alias("high"))
-    return df.crossJoin(F.broadcast(wide)).select(*(clip(F.col(c), F.col(f"{c}_low"), F.col(f"{c}_high")).alias(c) if c in columns else F.col(c) for c in df.columns))  # one row
+    bounds = {r["column"]: (F.lit(r["low"]), F.lit(r["high"])) for r in stats.collect()}  # a row for each column
+    return df.withColumns({c: clip(F.col(c), *bounds[c]) for c in columns if c in bounds})

@@ -35,14 +35,13 @@ def year_unit(date: Column, unit: str) -> Column:
 def assign_period(df: DataFrame, date: str, unit: str, length: int = 1, end: Column | None = None, name: str = "ctu") -> DataFrame:
     """Add the period of each row: units back from the end date's unit, in groups of length.
 
-    end: the last date that counts; by default the latest in df (one small aggregation, a single row joined back).
+    end: the last date that counts; by default the latest in df, found by a pass over that column alone.
     """
     own = unit_number(F.col(date), unit)
     if end is None:
-        top = df.agg(F.max(date).alias("__end"))
-        df, end = df.crossJoin(F.broadcast(top)), F.col("__end")  # one row
+        end = F.lit(df.agg(F.max(date)).first()[0])
     back = unit_number(end, unit) - own
-    return df.withColumn(name, F.when(back < 0, -1).otherwise(F.floor(back / length)).cast("int")).drop("__end")
+    return df.withColumn(name, F.when(back < 0, -1).otherwise(F.floor(back / length)).cast("int"))
 
 
 def calendar(spark: SparkSession, start: str, end: str, unit: str) -> DataFrame:

@@ -74,8 +74,11 @@ def correlation_filter(df: DataFrame, columns: list[str], quantile: float = 1.0,
 
 def importances(df: DataFrame, columns: list[str], target: str, classifier) -> list[float]:
     rows = VectorAssembler(inputCols=columns, outputCol="__x", handleInvalid="keep").transform(df.na.fill(0.0, columns))
-    model = classifier.setFeaturesCol("__x").setLabelCol(target).fit(rows.select("__x", F.col(target).cast("double").alias(target)))
-    return model.featureImportances.toArray().tolist()
+    rows = rows.select("__x", F.col(target).cast("double").alias(target)).persist()  # a fit passes over it many times
+    try:
+        return classifier.setFeaturesCol("__x").setLabelCol(target).fit(rows).featureImportances.toArray().tolist()
+    finally:
+        rows.unpersist()
 
 
 def with_shadows(df: DataFrame, columns: list[str], seed: int) -> tuple[DataFrame, list[str]]:
