@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import floor_days, hash_share, ratio, to_int
-from tidemark.functions.prefix import cumulative, row_numbers
+from tidemark.functions.prefix import cumulative, grouped_quantile, row_numbers
 from tidemark.operators import cleaning, densify, features, metrics, model, outliers, periods, reports, select, splits, timeline
 from tidemark.roles import Duration, PanelRoles, Roles
 
@@ -170,6 +170,13 @@ def test_cumulative_equals_one_window(spark):
     assert total == sum(range(500)) and cumulative(df.where("false"), ["x"], {"s": F.col("k")}).count() == 0
 
 
+def test_grouped_quantile_equals_percentile(spark):
+    df = spark.createDataFrame([(i % 3, float(i * i % 17) if i % 5 else None) for i in range(200)] + [(9, 4.0)], "g int, x double")
+    for q in (0.0, 0.1, 0.5, 0.9, 1.0):
+        got = {r["g"]: r["v"] for r in grouped_quantile(df, ["g"], "x", q, "v", 7).collect()}
+        assert got == pytest.approx({r["g"]: r["v"] for r in df.groupBy("g").agg(F.percentile("x", F.lit(q)).alias("v")).collect()})
+
+
 def test_small_expressions(spark):
     row = spark.sql("select 1.0 a, 0.0 b, cast(null as double) c").select(ratio(F.col("a"), F.col("b")), ratio(F.col("b"), F.col("a")), ratio(F.col("c"), F.col("a"))).first()
     assert tuple(row) == (0.0, 0.0, 0.0)

@@ -42,3 +42,25 @@ def cumulative(df: DataFrame, order: list[str], sums: dict[str, Column], descend
 def row_numbers(df: DataFrame, order: list[str], name: str = "row_number", descending: bool = False, buckets: int = 64) -> DataFrame:
     """Add 1, 2, 3, ... over the whole table in the given total order."""
     return cumulative(df, order, {name: F.lit(1).cast("long")}, descending, buckets)
+
+
+def grouped_quantile(rows: DataFrame, keys: list[str], value: str, q: float, name: str, buckets: int = 64) -> DataFrame:
+    """keys and the exact q-quantile of value in each group, interpolated between neighbours; nulls do not count.
+
+    Spark's percentile() keeps every distinct value of a group in one task's
+    memory.  Here equal values are counted map-side, ranked in buckets of the
+    value's range, and the two values around the wanted rank are the least with
+    enough rows up to them.  A bucket's base is a prefix sum over at most ``buckets`` rows of its group.
+    """
+    known = rows.where(F.col(value).isNotNull())
+    ties = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")).withColumn("__bucket", bucket_of(known, value, buckets))
+    before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = ties.groupBy(*keys, "__bucket").agg(F.sum("__n").alias("__t"))
+    totals = totals.select(*keys, "__bucket", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__base"), F.sum("__t").over(Window.partitionBy(*keys)).alias("__all"))
+    inside = Window.partitionBy(*keys, "__bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    run = ties.withColumn("__c", F.sum("__n").over(inside)).join(totals, [*keys, "__bucket"]).withColumn("__c", F.col("__c") + F.col("__base"))
+    at = F.lit(q) * (F.col("__all") - 1)
+    low = F.min(F.when(F.col("__c") >= F.floor(at) + 1, F.col(value)))
+    high = F.min(F.when(F.col("__c") >= F.ceil(at) + 1, F.col(value)))
+    part = F.first(at - F.floor(at))
+    return run.groupBy(*keys).agg((low + (high - low) * part).alias(name))

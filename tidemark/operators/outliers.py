@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.prefix import grouped_quantile
 from .features import clip
 
 
@@ -19,9 +20,9 @@ def outlier_stats(df: DataFrame, columns: list[str], threshold: float = 10.0) ->
     column and combine map-side; their results, a row for each column, are broadcast.
     """
     long = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns))).alias("r")).select("r.*").where("x is not null")
-    first = long.groupBy("column").agg(F.percentile("x", F.lit(0.5)).alias("median"), F.avg("x").alias("mean"))
-    near = long.join(F.broadcast(first), "column")
-    second = near.groupBy("column", "median").agg(F.percentile(F.abs(F.col("x") - F.col("median")), F.lit(0.5)).alias("mad"), F.avg(F.abs(F.col("x") - F.col("mean"))).alias("mean_dev"))
+    first = long.groupBy("column").agg(F.avg("x").alias("mean")).join(grouped_quantile(long, ["column"], "x", 0.5, "median"), "column")
+    near = long.join(F.broadcast(first), "column").withColumn("off", F.abs(F.col("x") - F.col("median")))
+    second = near.groupBy("column", "median").agg(F.avg(F.abs(F.col("x") - F.col("mean"))).alias("mean_dev")).join(grouped_quantile(near, ["column"], "off", 0.5, "mad"), "column")
     x, m = F.col("x"), F.col("median")
     z = F.when(F.col("mad") > 0, F.abs(0.6745 * (x - m) / F.when(F.col("mad") > 0, F.col("mad")))).when(F.col("mean_dev") > 0, F.abs(0.7979 * (x - m) / F.when(F.col("mean_dev") > 0, F.col("mean_dev")))).otherwise(0.0)
     scored = long.join(F.broadcast(second), "column").withColumn("__in", z <= threshold)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.prefix import grouped_quantile
 from .metrics import ks_two_sample
 
 
@@ -14,12 +15,17 @@ def long_form(df: DataFrame, columns: list[str], keep: list[str] = ()) -> DataFr
 
 
 def _stats() -> list[Column]:
-    return [F.count("x").alias("n"), F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("stddev"), F.percentile("x", F.lit(0.5)).alias("median")]
+    return [F.count("x").alias("n"), F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("stddev")]
+
+
+def _with_median(long: DataFrame, keys: list[str]) -> DataFrame:
+    """Statistics of x in each group of a long table; the medians are exact, and no task holds a group's values."""
+    return long.groupBy(*keys).agg(*_stats()).join(grouped_quantile(long, keys, "x", 0.5, "median"), keys, "left")
 
 
 def column_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """column with n, min, max, mean, stddev and median; values are numbers here, whatever the file said."""
-    return long_form(df, columns).groupBy("column").agg(*_stats())
+    return _with_median(long_form(df, columns), ["column"])
 
 
 def stats_delta(before: DataFrame, after: DataFrame, columns: list[str]) -> DataFrame:
@@ -41,7 +47,7 @@ def treatments(df: DataFrame, columns: list[str], groups: dict[str, list[str]])
 
 def per_period_stats(panel: DataFrame, period: str, columns: list[str]) -> DataFrame:
     """period and column with their statistics."""
-    return long_form(panel, columns, [period]).groupBy(period, "column").agg(*_stats())
+    return _with_median(long_form(panel, columns, [period]), [period, "column"])
 
 
 def per_period_wide(panel: DataFrame, period: str, column: str, newest: int) -> DataFrame:
@@ -72,8 +78,8 @@ def missing_buckets(panel: DataFrame, id: str, period: str, imputed: str, edges:
 
 def positives_per_id(panel: DataFrame, id: str, target: str) -> DataFrame:
     """One row: statistics of how many positives ids have, over ids with at least one."""
-    per = panel.where(F.col(target) == 1).groupBy(id).agg(F.count(F.lit(1)).cast("double").alias("x"))
-    return per.agg(*_stats())
+    per = panel.where(F.col(target) == 1).groupBy(id).agg(F.count(F.lit(1)).cast("double").alias("x")).withColumn("of", F.lit("positives"))
+    return _with_median(per, ["of"]).drop("of")
 
 
 def positive_share_by_period(panel: DataFrame, id: str, period: str, target: str) -> DataFrame:

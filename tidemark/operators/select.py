@@ -10,12 +10,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.prefix import grouped_quantile
 from .reports import long_form
 
 
 def sparse_columns(df: DataFrame, columns: list[str], quantile: float) -> DataFrame:
     """column, its quantile and kept: the quantile is above zero."""
-    q = long_form(df, columns).groupBy("column").agg(F.percentile("x", F.lit(quantile)).alias("value"))
+    q = grouped_quantile(long_form(df, columns), ["column"], "x", quantile, "value")
     return q.withColumn("kept", (F.col("value") > 0).cast("int"))
 
 
