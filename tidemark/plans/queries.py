@@ -331,8 +331,26 @@ def column_groups(spark, d):
     return features.column_groups(_read(spark, d, "orders"), ["o_orderpriority", "o_orderstatus"])
 
 
+#: Digits to which each enriched feature is compared, by its ending.
+_ENRICHED = {f"{c}_{s}": n for c, wide in (("n_orders", 0), ("o_totalprice", 2)) for s, n in (("mean_6", 6 - wide), ("std_6", 6 - wide), ("skew_6", 6 - wide), ("trend_6", 6 - wide), ("lag_1", 4), ("lag_2", 4), ("diff", 4))}
+
+
+def _enriched_sql(c):
+    return f"""round(avg({c}) OVER {_R6}, {_ENRICHED[f'{c}_mean_6']}) AS {c}_mean_6, round(coalesce(stddev_samp({c}) OVER {_R6}, 0), {_ENRICHED[f'{c}_std_6']}) AS {c}_std_6,
+ round(CASE WHEN count({c}) OVER {_R6} < 3 OR max({c}) OVER {_R6} = min({c}) OVER {_R6} THEN 0 ELSE skewness({c}) OVER {_R6} END, {_ENRICHED[f'{c}_skew_6']}) AS {c}_skew_6,
+ round(CASE WHEN count({c}) OVER {_R6} < 2 THEN 0 ELSE coalesce(regr_slope({c}, pos) OVER {_R6}, 0) END, {_ENRICHED[f'{c}_trend_6']}) AS {c}_trend_6,
+ round(coalesce(lag({c}, 1) OVER {_P}, 0), 4) AS {c}_lag_1, round(coalesce(lag({c}, 2) OVER {_P}, 0), 4) AS {c}_lag_2, round(coalesce({c} - lag({c}) OVER {_P}, 0), 4) AS {c}_diff"""
+
+
+def _enriched(spark, d):
+    rows = _dense(spark, d).withColumn("n_orders", F.col("n_orders").cast("double"))
+    return features.enrich(rows, PANEL, ["n_orders", "o_totalprice"], 6, 2)
+
+
+@query(f"{_FULL}, num AS (SELECT * REPLACE (CAST(n_orders AS DOUBLE) AS n_orders), CAST(row_number() OVER {_P} AS DOUBLE) AS pos FROM full_) SELECT o_custkey, ctu, target, n_orders, o_totalprice, CAST(td AS BIGINT) AS td, {_enriched_sql('n_orders')}, {_enriched_sql('o_totalprice')} FROM num")
 def enrich_panel(spark, d):
-    return features.enrich(_dense(spark, d), PANEL, ["n_orders", "o_totalprice"], 6, 2)
+    rounded = [F.round(c, n).alias(c) for c, n in _ENRICHED.items()]
+    return _enriched(spark, d).select("o_custkey", "ctu", "target", "n_orders", "o_totalprice", F.col("td").cast("long").alias("td"), *rounded)
 
 
 # ---- outliers ----
@@ -597,8 +615,9 @@ def score_histogram(spark, d):
 
 # ---- fitted selection and models: rows only ----
 def _modelling(spark, d):
-    rows = enrich_panel(spark, d).where("ctu between 2 and 8")
-    names = ["n_orders", "o_totalprice", "td", "n_orders_mean_6", "n_orders_trend_6", "o_totalprice_mean_6", "n_orders_lag_1", "n_orders_diff"]
+    """Every quarter with every feature; the target is known within its own quarter, so no quarter lacks a label."""
+    rows = _enriched(spark, d)
+    names = ["n_orders", "o_totalprice", "td", *_ENRICHED]
     return rows.withColumn("y", F.col("target")).select("o_custkey", "ctu", "y", *(F.col(c).cast("double").alias(c) for c in names)), names
 
 
@@ -637,7 +656,7 @@ def coordinate_search(spark, d):
     rows = splits.fold_assign(rows, ["o_custkey", "ctu"], 2)
 
     def evaluate(p):
-        got = [x for x in model.cross_validate(rows, names[:3], "y", ["o_custkey"], 2, **p) if x is not None]
+        got = [x for x in model.cross_validate(rows, names, "y", ["o_custkey"], 2, **p) if x is not None]
         return sum(got) / max(1, len(got))
 
     best, value = model.coordinate_search(evaluate, {"trees": (2, 3), "depth": (2, 3)}, {"trees": 2, "depth": 2})
