@@ -17,8 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Elements whose content is no text of the page; the first few hold raw text, which only an end tag or the page's end closes.
+_RAW = "script style textarea iframe"
+_SKIPPED = f"{_RAW} noscript template svg object select canvas annotation annotation-xml"
+_END = {t: re.compile(rf"</{t}(?=[\s/>])[^<>]*>", re.I) for t in _SKIPPED.split()}
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|math|iframe|object|textarea|select|canvas)\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*+\"|'[^']*+'|[^'\"<>])*+)>|<[!?][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(" + "|".join(_END) + r")(?=[\s/>])((?:\"[^\"]*+\"|'[^']*+'|[^'\"<>])*+|[^<>]*)>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*+\"|'[^']*+'|[^'\"<>])*+)>|<[!?][^>]*>",
     re.S | re.I,
 )
 _BLOCKS = set("address article aside blockquote body button center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -26,8 +30,8 @@ _VOID = set("area base br col embed hr img input link meta source track wbr".spl
 _HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 _PARTS = set("nav header footer aside form head menu dialog button label fieldset legend title".split())
 _MAIN = {"article", "main"}
-_NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|["']""")
+_UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b")
 #: Words in a class, id or role that mark surroundings.
 _MARKS = set(
     "ad ads advert advertisement adverts advertising sponsor sponsored sponsors promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer bottom sidebar side aside widget widgets related recommended recommendations teaser share sharing social cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search pagination pager toolbar comment comments disqus reply replies respond discussion copyright legal form contentinfo complementary banner dialog".split()
@@ -93,15 +97,27 @@ TREE = DecisionTree(_TABLE[:, :-1], _TABLE[:, -1])
 
 
 def _marked(tag: str, attrs: str) -> bool:
+    """Whether a tag's name or its attributes say that it is a surrounding or unseen; never for a whole page."""
     if tag in _PARTS:
         return True
-    if not attrs.strip():
+    if tag in ("html", "body") or not attrs.strip():
         return False
-    if _HIDDEN.search(attrs):
-        return True
-    if tag in ("html", "body"):
-        return False
-    return any(w in _MARKS for m in _NAMED.finditer(attrs) for w in _SPLIT.split(html.unescape(m[1] or m[2] or m[3] or "").lower()))
+    for m in _ATTRIBUTE.finditer(attrs):
+        name = (m[1] or "").lower()
+        if name not in ("hidden", "aria-hidden", "style", "class", "id", "role"):
+            continue
+        value = html.unescape(m[2] or m[3] or m[4] or "").lower()
+        if name == "hidden":
+            found = value.strip() != "false"
+        elif name == "aria-hidden":
+            found = value.strip() == "true"
+        elif name == "style":
+            found = _UNSEEN.search(value) is not None
+        else:
+            found = any(w in _MARKS for w in _SPLIT.split(value))
+        if found:
+            return True
+    return False
 
 
 def text_blocks(page: str) -> list[tuple[str, int, bool, bool, bool, float]]:
@@ -139,14 +155,27 @@ def text_blocks(page: str) -> list[tuple[str, int, bool, bool, bool, float]]:
                 return  # a stray end tag does not end the article
 
     at = 0
-    for m in _TOKEN.finditer(page):
+    unclosed: set[str] = set()  # skipped elements that have no end tag in the rest of the page
+    while m := _TOKEN.search(page, at):
         if m.start() > at:
             parts.append((page[at : m.start()], links > 0))
         at = m.end()
-        tag = m[3]
+        if m[1] is not None:
+            tag = m[1].lower()
+            if m[2].endswith("/"):
+                continue
+            end = None if tag in unclosed else _END[tag].search(page, at)
+            if end is not None:
+                at = end.end()
+            elif tag in _RAW.split():
+                at = len(page)
+            else:
+                unclosed.add(tag)
+            continue
+        tag = m[4]
         if tag is None:
             continue
-        tag, ending = tag.lower(), bool(m[2])
+        tag, ending, attrs = tag.lower(), bool(m[3]), m[5]
         if tag == "a":
             links = 0 if ending else 1
         elif tag == "br":
@@ -166,11 +195,11 @@ def text_blocks(page: str) -> list[tuple[str, int, bool, bool, bool, float]]:
                 while stack and stack[-1][0] != "html":
                     stack.pop()
             if tag not in _VOID:
-                open_(tag, m[4])
+                open_(tag, attrs)
                 if tag in _HEADINGS and len(stack) > 1 and stack[-2][0] == "header" and stack[-2][2]:
                     stack[-1] = (tag, False, True)  # the headline of an article's own header
             heading, item = tag in _HEADINGS, tag == "li"
-        elif not ending and tag not in _VOID and m[4].strip() and _marked(tag, m[4]):
+        elif not ending and tag not in _VOID and attrs.strip() and not attrs.endswith("/") and _marked(tag, attrs):
             flush()
             stack.append((tag, True, stack[-1][2] if stack else False))
         elif ending and stack and stack[-1][0] == tag:
