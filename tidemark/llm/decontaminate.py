@@ -8,7 +8,8 @@ places of the embedding; repeated walks and samples reach the target recall.
 
 Symbols are words.  Every word of a document may start an item-sized window.
 Windows that share too few word triples with any item to be within the allowed distance are left
-out beforehand (the q-gram lemma: no match is lost by that).
+out beforehand (the q-gram lemma: no match is lost by that).  Items too short for walks
+are looked up whole, at every word, and checked word by word.
 """
 
 from __future__ import annotations
@@ -98,6 +99,16 @@ class BenchmarkIndex:
         self.classes: list[_Class] = []
         self.walk_seeds = seeds(self.tables // tables_per_walk, 41)
         use = np.flatnonzero(lengths >= least_words)
+        #: words of a short item -> its items' places, by how many words it has
+        self.short: dict[int, tuple[Table64, np.ndarray, list[list[int]]]] = {}
+        for n in sorted({int(x) for x in lengths if 0 < x < least_words}):
+            held: dict[bytes, list[int]] = {}
+            for i in np.flatnonzero(lengths == n):
+                held.setdefault(items[i].tobytes(), []).append(int(i))
+            lines = np.array([items[own[0]] for own in held.values()], np.uint64)
+            table = Table64(12, 26)
+            table.put(self._grams(lines.ravel(), n)[::n], np.arange(len(lines)))
+            self.short[n] = table, lines, list(held.values())
         grams = [self._grams(items[i]) for i in use]
         self.gram_table = Table64(12, 26)
         every = np.unique(np.concatenate(grams)) if grams else np.zeros(0, np.uint64)
@@ -129,11 +140,11 @@ class BenchmarkIndex:
         self.key_table.put(distinct, np.arange(len(distinct)))
 
     @staticmethod
-    def _grams(words: np.ndarray) -> np.ndarray:
-        f = seeds(_Q, 42) | np.uint64(1)
-        n = max(0, len(words) - _Q + 1)
+    def _grams(words: np.ndarray, q: int = _Q) -> np.ndarray:
+        f = seeds(q, 42) | np.uint64(1)
+        n = max(0, len(words) - q + 1)
         out = np.zeros(n, np.uint64)
-        for k in range(_Q):
+        for k in range(q):
             out += words[k : k + n] * f[k]
         return mix(out)
 
@@ -166,6 +177,26 @@ class BenchmarkIndex:
 
         words: hashes of all rows one after the other; rows: n + 1 offsets.
         """
+        return sorted(self._search_short(words, rows) + self._search_long(words, rows))
+
+    def _search_short(self, words: np.ndarray, rows: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """The first place of each short item in each row, word for word."""
+        out = []
+        owner = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
+        for n, (table, lines, held) in self.short.items():
+            slots = table.get(self._grams(words, n))
+            at = np.flatnonzero(slots >= 0)
+            at = at[owner[at] == owner[at + n - 1]]
+            slot = slots[at]
+            same = np.ones(len(at), bool)
+            for k in range(n):
+                same &= words[at + k] == lines[slot, k]
+            at, slot = at[same], slot[same]
+            _, first = np.unique(owner[at] * len(lines) + slot, return_index=True)
+            out += [(int(owner[a]), item, int(a - rows[owner[a]]), n, 0) for a, x in zip(at[first], slot[first], strict=True) for item in held[x]]
+        return out
+
+    def _search_long(self, words: np.ndarray, rows: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         if not self.classes or len(words) < _Q:
             return []
         owner = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
@@ -245,8 +276,8 @@ def find_benchmark(docs: DataFrame, benchmark: DataFrame, rate: float = 0.2, rec
     An item is held if the stretch is within rate * (words of the item) word
     edits.  Documents are read whole and never shuffled.  Items go to the
     executors in blocks of at most ITEM_BLOCK, one pass over the documents for
-    each block.  Items of fewer than least_words words (and null ones) are too short to tell
-    a copy from common speech and are not searched.  Null and empty documents hold nothing;
+    each block.  Items of fewer than least_words words are held only word for word, in any
+    place; null ones and ones without words are not held.  Null and empty documents hold nothing;
     repeated rows are reported each; an empty table on either side gives no rows.
     """
     out = None
