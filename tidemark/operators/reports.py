@@ -50,10 +50,17 @@ def per_period_stats(panel: DataFrame, period: str, columns: list[str]) -> DataF
     return _with_median(long_form(panel, columns, [period]), [period, "column"])
 
 
-def per_period_wide(panel: DataFrame, period: str, column: str, newest: int) -> DataFrame:
-    """A row for each statistic of a column, with a column for each of the newest periods."""
-    stats = per_period_stats(panel.where(F.col(period) < newest), period, [column]).drop("column")
-    tall = stats.unpivot([period], [c for c in stats.columns if c != period and c != "n"], "statistic", "value")
+def per_period_tall(panel: DataFrame, period: str, column: str) -> DataFrame:
+    """period, statistic and value of a column, for every period."""
+    stats = per_period_stats(panel, period, [column]).drop("column")
+    return stats.unpivot([period], [c for c in stats.columns if c != period and c != "n"], "statistic", "value")
+
+
+def per_period_wide(panel: DataFrame, period: str, column: str, newest: int | None = None) -> DataFrame:
+    """A row for each statistic of a column, with a column for each of the newest periods; all periods of the data without a number."""
+    if newest is None:
+        newest = int(panel.agg(F.max(period)).first()[0] or 0) + 1
+    tall = per_period_tall(panel.where(F.col(period) < newest), period, column)
     return tall.groupBy("statistic").pivot(period, list(range(newest))).agg(F.first("value"))
 
 

@@ -522,6 +522,11 @@ def per_period_wide(spark, d):
     return reports.per_period_wide(_orders(spark, d), "ctu", "o_totalprice", 3).select("statistic", *(F.round(F.col(str(k)), 4).alias(f"p{k}") for k in range(3)))
 
 
+@query(f"WITH {_ord()}, s AS (SELECT ctu, min(o_totalprice) AS \"min\", max(o_totalprice) AS \"max\", avg(o_totalprice) AS mean, stddev_samp(o_totalprice) AS stddev, median(o_totalprice) AS median FROM ord GROUP BY 1), t AS (SELECT * FROM s UNPIVOT INCLUDE NULLS (v FOR statistic IN (\"min\", \"max\", mean, stddev, median))) SELECT ctu, statistic, round(v, 4) AS value FROM t")
+def per_period_tall(spark, d):
+    return reports.per_period_tall(_orders(spark, d), "ctu", "o_totalprice").withColumns(_r("value", digits=4))
+
+
 @query(f"{_FULL} SELECT ctu, count(*) AS n, CAST(sum(target) AS BIGINT) AS positives, round(count(*) / nullif(sum(target), 0), 6) AS rows_per_positive FROM full_ GROUP BY 1")
 def target_by_period(spark, d):
     return reports.target_by_period(_dense(spark, d), "ctu", "target").withColumns(_r("rows_per_positive"))
