@@ -2,7 +2,7 @@ import random
 
 import numpy as np
 
-from tidemark.llm import queries
+from tidemark.llm import near_dedup, queries
 from tidemark.llm.components import connected_components
 from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.shared import Scratch
@@ -86,3 +86,59 @@ def test_components_match_union_find(spark):
         root[y] = x
     got = connected_components(spark.createDataFrame(links, "a long, b long"), Scratch(spark, "test"))
     assert {r.node: r.component for r in got.collect()} == {x: find(x) for x in root if any(x in p and p[0] != p[1] for p in links)}
+
+
+def near_group(n, seed, most=5, length=120):
+    """n copies of a text of its own, each with 1 to most words replaced: pairs lie on both sides of the threshold."""
+    rng = random.Random(seed)
+    vocab = [f"w{i}" for i in range(5000)]
+    base = [rng.choice(vocab) for _ in range(length)]
+    texts = []
+    for _ in range(n):
+        w = list(base)
+        for _ in range(rng.randint(1, most)):
+            w[rng.randrange(length)] = rng.choice(vocab)
+        texts.append(" ".join(w))
+    return texts
+
+
+def components_by_matrix(texts):
+    sets = [shingles(t) for t in texts]
+    columns = {s: k for k, s in enumerate(sorted(set().union(*sets)))}
+    m = np.zeros((len(sets), len(columns)), np.float32)
+    for i, s in enumerate(sets):
+        m[i, [columns[x] for x in s]] = 1
+    inter, size = m @ m.T, m.sum(1)
+    linked = 100 * inter >= 75 * (size[:, None] + size[None, :] - inter)
+    label = np.arange(len(sets))
+    while True:
+        new = np.where(linked, label[None, :], len(sets)).min(1)
+        if (new == label).all():
+            return [3 * int(x) for x in label]
+        label = new
+
+
+def test_large_groups_around_the_threshold_stay_linear_and_whole(spark, monkeypatch):
+    met, real = [], near_dedup.meet
+
+    def counting(members, *rest):
+        met.append(members.count())
+        return real(members, *rest)
+
+    monkeypatch.setattr(near_dedup, "meet", counting)
+    work = []
+    for n in (250, 500):
+        texts = near_group(n, n)
+        met.clear()
+        got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(documents(spark, texts)).collect()}
+        assert [got[3 * k] for k in range(n)] == components_by_matrix(texts)
+        work.append(sum(met))
+    assert work[1] < 2.2 * work[0] and work[1] < 30 * 500
+
+
+def test_two_versions_with_many_copies_each(spark):
+    """Two large components whose members share bands but are not alike enough."""
+    texts = near_group(240, 7)
+    texts[120:] = [t.rsplit(" ", 24)[0] + " " + " ".join(f"v{k}" for k in range(24)) for t in texts[120:]]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(documents(spark, texts)).collect()}
+    assert [got[3 * k] for k in range(240)] == components_by_matrix(texts)

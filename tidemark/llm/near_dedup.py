@@ -3,82 +3,211 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
+from .joins import spread_join
 from .shared import Scratch
 from .shingles import FastSketch, band_hashes, shingle_rows
-from .words import mix
 
-_SIGNED = "doc_id long, n_shingles long, print binary, bands array<long>, marks array<long>"
-#: Coordinates of a sketch; bands use the first of them, and four bits of each one estimate similarity.
-_COORDINATES = 512
-#: Rows that are checked against one copy of a text; more of them are dealt to several tasks.
-_RUN = 512
+_SIGNED = "doc_id long, n_shingles long, print binary, bands array<long>"
+#: Rows that are checked against one copy of a text, and the most copies: beyond them runs grow longer, as they stream.
+_RUN, _COPIES = 64, 4096
+#: Groups of at most so many members compare the members that their centre leaves open directly.
+_SMALL = 16
+#: Members nearest to a centre that the open members of a larger group meet as further centres, round by round.
+_ROUNDS = ((0, 8), (8, 64))
+#: Classes of a member's weight in a group, and the last of them.
+_CLASSES, _LAST = 16, 127
+_SEEN = [("a", pa.int64()), ("j", pa.int32()), ("b", pa.int64()), ("k", pa.int32()), ("r", pa.int64()), ("s", pa.int64()), ("size", pa.int64())]
+_LINK = [("a", pa.int64()), ("b", pa.int64())]
+_UNLIKE = [("a", pa.int64()), ("j", pa.int32()), ("b", pa.int64()), ("k", pa.int32()), ("es", pa.list_(pa.int64()))]
 
 
 def sketch_documents(docs: DataFrame, width: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, print (of the whole shingle set; null if empty), band hashes and marks, four bits of every coordinate."""
-    if bands * rows > _COORDINATES:
-        raise ValueError(f"bands * rows is above {_COORDINATES}")
+    """doc_id, n_shingles, print (of the whole shingle set; null if empty) and band hashes."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sketch = FastSketch(_COORDINATES)
+        sketch = FastSketch(bands * rows)
         for batch in batches:
-            size, prints, keys, marks = [], [], [], []
+            size, prints, keys = [], [], []
             for s in shingle_rows(batch.column(1), width):
                 size.append(len(s))
-                full = sketch(s)
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                keys.append(band_hashes(full[: bands * rows], bands).view(np.int64) if len(s) else None)
-                low = (mix(full) & np.uint64(15)).astype(np.uint8)
-                marks.append((low[::2] | low[1::2] << 4).view(np.int64) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "print", "bands", "marks"])
+                keys.append(band_hashes(sketch(s), bands).view(np.int64) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(prints, pa.binary()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "print", "bands"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, _SIGNED)
 
 
-def verify_pairs(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Of pairs (a, b), those whose whole shingle sets have 100 * intersection >= percent * union.
+def _shared(x: np.ndarray, y: np.ndarray) -> int:
+    both = np.sort(np.concatenate((x, y)))
+    return int((both[1:] == both[:-1]).sum())
 
-    texts: id and text.  The members of one b meet its text in runs of about
-    _RUN rows; a b with more members has its text copied to several runs, so
-    that no task gets a hot one whole.  A task holds one set of b and one of a at a time.
+
+def _compare(hubs, a, j, s) -> Iterator[tuple]:
+    """How far the set of member a is from each hub: shingles removed from the hub's and added to them."""
+    for k, (b, h) in enumerate(hubs):
+        both = _shared(s, h)
+        yield a, j, b, k, len(h) - both, len(s) - both, len(h)
+
+
+def _unlike(hubs, a, j, s) -> Iterator[tuple]:
+    """The shingles that only one of member a and a hub has."""
+    for k, (b, h) in enumerate(hubs):
+        yield a, j, b, k, np.setxor1d(s, h, assume_unique=True).view(np.int64)
+
+
+def _first_link(percent: int) -> Callable:
+    def first(hubs, a, j, s) -> Iterator[tuple]:
+        for b, h in hubs:
+            if a != b and 100 * min(len(s), len(h)) >= percent * max(len(s), len(h)):
+                both = _shared(s, h)
+                if 100 * both >= percent * (len(s) + len(h) - both):
+                    yield a, b
+                    return
+
+    return first
+
+
+def meet(members: DataFrame, hubs: DataFrame, texts: DataFrame, width: int, emit: Callable, fields: list, work: Scratch, name: str) -> DataFrame:
+    """Rows that emit(hubs, member, j, set) gives for every member (g, a) and the hubs (g, h) of its group g.
+
+    texts: id and text.  A group's members meet its hubs' texts in runs of
+    about _RUN rows; a group with more members has its hubs copied to several
+    runs, so that no task gets a hot one whole.  A task holds the sets of one group's hubs and of
+    one member at a time.  An id with several texts is met with each of them, as j-th of its id.
     """
+    names, types = zip(*fields, strict=True)
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, hubs = None, []
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, near, last = None, [], (None, None, -1)
         for batch in batches:
-            found = []
-            for b, part, a, s in zip(*(batch.column(k).to_pylist() for k in range(3)), shingle_rows(batch.column(3), width), strict=True):
-                if (b, part) != key:
-                    key, hubs = (b, part), []
+            out = []
+            for g, part, a, h, s in zip(*(batch.column(k).to_pylist() for k in range(4)), shingle_rows(batch.column(4), width), strict=True):
+                if (g, part) != key:
+                    key, near, last = (g, part), [], (None, None, -1)
                 if a is None:
-                    hubs.append(s)
+                    if not (near and near[-1][0] == h and np.array_equal(near[-1][1], s)):
+                        near.append((h, s))
+                    continue
+                if a == last[0] and np.array_equal(s, last[1]):
                     continue
-                for hub in hubs:
-                    if 100 * min(len(s), len(hub)) < percent * max(len(s), len(hub)):
-                        continue
-                    both = np.sort(np.concatenate((s, hub)))
-                    inter = int((both[1:] == both[:-1]).sum())
-                    if 100 * inter >= percent * (len(s) + len(hub) - inter):
-                        found.append((a, b))
-                        break
-            columns = list(zip(*found, strict=True)) if found else [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
-
-    runs = pairs.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / _RUN).cast("int").alias("runs"))
-    dealt = pairs.join(runs, "b").select("b", F.pmod(F.xxhash64("a"), "runs").cast("int").alias("part"), "a")
+                last = (a, s, last[2] + 1 if a == last[0] else 0)
+                out += emit(near, a, last[2], s)
+            columns = list(zip(*out, strict=True)) if out else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], list(names))
+
+    runs = F.least(F.ceil(F.col("n") / _RUN), F.lit(_COPIES)).cast("int").alias("runs")
+    sized = work.keep(members.groupBy("g").agg(F.count(F.lit(1)).alias("n")).select("g", "n", runs), f"{name}-sizes")
+    dealt = spread_join(members, sized, ["g"], ["a"]).select("g", F.pmod(F.xxhash64("a", F.lit(1)), "runs").cast("int").alias("part"), "a")
     # Sort-merge at every size, so that the plan is the same on small and large tables.
-    members = dealt.join(texts.hint("merge"), F.col("a") == F.col("id")).select("b", "part", "a", "text")
-    hubs = runs.join(texts.hint("merge"), F.col("b") == F.col("id")).select("b", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("part"), F.lit(None).cast("long").alias("a"), "text")
-    met = members.unionByName(hubs).repartition("b", "part").sortWithinPartitions("b", "part", "a")
-    return met.mapInArrow(check, "a long, b long")
+    left = dealt.join(texts.hint("merge"), F.col("a") == F.col("id")).select("g", "part", "a", F.lit(None).cast("long").alias("h"), "text")
+    right = hubs.join(sized, "g").join(texts.hint("merge"), F.col("h") == F.col("id"))
+    right = right.select("g", F.explode(F.sequence(F.lit(0), F.col("runs") - 1)).alias("part"), F.lit(None).cast("long").alias("a"), "h", "text")
+    met = left.unionByName(right).repartition("g", "part").sortWithinPartitions("g", "part", "a", "h", "text")
+    kinds = {pa.int64(): "long", pa.int32(): "int"}
+    return met.mapInArrow(task, ", ".join(f"{n} {kinds.get(t, 'array<long>')}" for n, t in fields))
+
+
+class _Groups:
+    """Links between members of one group that lie in different components so far.
+
+    A group has a centre c and members x, each with the r shingles that it
+    lacks of c's and the s that it has besides.  With
+    W(x) = 100 r + p s, sets x and z are linked exactly if the number o of shingles
+    that both of them lack, or both have besides, is such that
+    (100 + p) o >= W(x) + W(z) - (100 - p) |c|.
+    Members whose sum of weights is small enough need none, and are linked with c; a member that c leaves
+    open needs more in common with z the farther z is from c.
+    """
+
+    def __init__(self, seen: DataFrame, texts: DataFrame, width: int, percent: int, work: Scratch):
+        self.texts, self.width, self.percent, self.work = texts, width, percent, work
+        self.slack = (100 - percent) * F.col("size")
+        self.total = seen.count()
+        self.seen = seen.withColumn("w", 100 * F.col("r") + percent * F.col("s"))
+
+    def links(self) -> DataFrame:
+        return self.seen.where(F.col("w") <= self.slack).select("a", "b")
+
+    def place(self, component: DataFrame, name: str) -> DataFrame:
+        """Members of the groups that span several components, with those components and the group's figures."""
+        rows = self.seen.join(component.withColumnRenamed("node", "a"), "a", "left").withColumn("component", F.coalesce("component", "a"))
+        rows = self.work.keep(rows, f"{name}-rows")
+        groups = rows.groupBy("b", "k").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("w").alias("least"), F.count(F.lit(1)).alias("n"))
+        centers = component.select(F.col("node").alias("b"), F.col("component").alias("own"))
+        groups = groups.join(centers, "b", "left").withColumn("own", F.coalesce("own", "b"))
+        groups = groups.where("low <> own or high <> own").select("b", "k", "least", "own", "n", F.col("n").alias("many"))
+        groups = self.work.keep(groups, f"{name}-groups")
+        return self.work.keep(spread_join(rows, groups, ["b", "k"], ["a"], self.total).withColumn("open", F.col("component") != F.col("own")), f"{name}-mixed")
+
+    def needed(self, w: Column, other: Column) -> Column:
+        return F.ceil((w + other - self.slack) / (100 + self.percent)).cast("long")
+
+    def possible(self) -> Column:
+        """Whether x_ and the other member may be linked, by their counts alone."""
+        most = F.least("r", "x_r") + F.least("s", "x_s")
+        return (F.col("component") != F.col("x_component")) & (most >= self.needed(F.col("w"), F.col("x_w")))
+
+    def direct(self, mixed: DataFrame) -> DataFrame:
+        """Pairs of small groups: each open member with at most _SMALL others."""
+        few = mixed.where(F.col("many") <= _SMALL)
+        x = few.where("open").select("b", "k", *(F.col(c).alias(f"x_{c}") for c in ("a", "r", "s", "w", "component")))
+        return few.join(x, ["b", "k"]).where((~F.col("open") | (F.col("a") < F.col("x_a"))) & self.possible()).select("a", F.col("x_a").alias("b"))
+
+    def nearest(self, big: DataFrame, first: int, last: int) -> DataFrame:
+        """The first-th to last-th member of each group by weight, as hubs."""
+        part = Window.partitionBy("b", "k", F.pmod(F.xxhash64("a"), F.lit(64))).orderBy("w", "a", "j")
+        few = big.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= last)
+        ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("b", "k").orderBy("w", "a", "j")))
+        return ranked.where((F.col("rank") > first) & (F.col("rank") <= last)).select(F.col("b").alias("g"), F.col("a").alias("h")).distinct()
+
+    def by_differences(self, mixed: DataFrame) -> DataFrame:
+        """Pairs of large groups whose members share enough of their differences from the centre to be linked.
+
+        Two members that must share o of d differences share one of the d - o + 1 rarest of each.
+        Weights fall into classes, and a member enters for each class of open members with as many of its differences as
+        that class demands: what only tells a member from the centre, as nearly all of its common ones do, meets nothing.
+        """
+        big = mixed.where(F.col("many") > _SMALL)
+        step = F.greatest(F.floor(self.slack / _CLASSES), F.lit(1)).cast("long")
+        big = big.withColumn("step", step).withColumn("class", F.least(F.floor(F.col("w") / F.col("step")), F.lit(_LAST)).cast("int"))
+        big = self.work.keep(big, "big")
+        classes = big.groupBy("b", "k").agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.when(F.col("open"), F.col("class"))).alias("classes"))
+        counts = big.agg(F.count(F.lit(1)), F.sum(F.col("r") + F.col("s"))).first()
+        known = self.work.keep(spread_join(big, self.work.keep(classes, "big-classes"), ["b", "k"], ["a"], counts[0]), "big-known")
+        at = big.select(F.col("b").alias("g"), "a").distinct()
+        es = self.work.keep(meet(self.work.keep(at, "big-at"), at.select("g", F.col("g").alias("h")).distinct(), self.texts, self.width, _unlike, _UNLIKE, self.work, "big-unlike"), "big-es")
+        each = es.select("a", "j", "b", "k", F.explode("es").alias("e"))
+        often = self.work.keep(each.groupBy("b", "k", "e").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("often", F.col("n")), "big-often")
+        common = spread_join(each, often, ["b", "k", "e"], ["a"], counts[1])
+        own = Window.partitionBy("b", "k", "a", "j")
+        common = common.withColumn("spot", F.row_number().over(own.orderBy("often", "e"))).withColumn("shared", F.count(F.lit(1)).over(own))
+        rows = common.join(known, ["b", "k", "a", "j"]).withColumn("d", F.col("r") + F.col("s"))
+        rows = rows.withColumn("spot", F.col("d") - F.col("shared") + F.col("spot"))
+        kept = ("b", "k", "e", "class", "a", "r", "s", "w", "d", "spot", "size", "component", "open")
+        x = rows.where(F.col("open") & (F.col("spot") <= F.col("d") - self.needed(F.col("w"), F.col("least")) + 1)).select(*kept)
+
+        def reaches(c: Column) -> Column:
+            weight = F.greatest(c * F.col("step"), self.slack + 1)
+            return F.col("spot") <= F.col("d") - self.needed(F.col("w"), weight) + 1
+
+        z = rows.withColumn("class", F.explode(F.filter("classes", reaches))).select(*kept)
+        x, z = self.work.keep(x, "big-x"), self.work.keep(z, "big-z")
+        key = ["b", "k", "e", "class"]
+        across = x.unionByName(z).groupBy(*key).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select(*key)
+        across = self.work.keep(across, "big-across")
+        x = x.join(across, key, "left_semi").select(*key, *(F.col(c).alias(f"x_{c}") for c in ("a", "r", "s", "w", "d", "spot", "component")))
+        enough = self.needed(F.col("w"), F.col("x_w"))
+        near = (F.col("spot") <= F.col("d") - enough + 1) & (F.col("x_spot") <= F.col("x_d") - enough + 1)
+        met = z.join(across, key, "left_semi").join(x, key).where(near & self.possible())
+        return met.select(F.least("a", "x_a").alias("a"), F.greatest("a", "x_a").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: int = 32, rows: int = 4) -> DataFrame:
@@ -87,60 +216,79 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     Returns doc_id, n_shingles, component_id (smallest doc_id reachable) and
     kept (doc_id = component_id), one row for each row of docs.
 
-    1. A fast similarity sketch, whose first bands * rows coordinates make the bands, and a print of the whole set for each
+    1. A fast similarity sketch, whose coordinates make the bands, and a print of the whole set for each
        document; documents with one print are one node, their smallest doc_id.
-    2. Nodes that share a band are a bucket; each node of a bucket is verified
-       against the bucket's smallest node, on whole sets.  A bucket of n nodes costs n
-       checks, and most large buckets are then one component.
-    3. Where a bucket still spans several components, the pairs across them whose
-       sketches leave a link possible are verified as well, each once, so that no link between candidates is lost.
+    2. Nodes that share a band are a bucket; its centre is the node whose bands are the most shared, which
+       in a group of copies is one close to what they were copied from.  Every node is compared with the centres of its
+       buckets, on whole sets: n comparisons for n nodes.
+    3. Where the nodes of one centre still span several components, those that it leaves open meet each of a small group, or,
+       in a larger one, the nodes nearest to the centre in a few rounds and then, exactly, all that share enough
+       of their differences from the centre.  No link between two nodes of one bucket is lost.
 
     At the threshold a pair shares no band with probability
     (1 - 0.75**4)**32 = 5e-6.  Null, empty and blank texts have no shingles and
     stay alone.  Repeated doc_ids are one document if their texts agree; with
     different texts, their links count for all of them.  Null doc_ids are
-    kept as they are, unlinked.  An empty table gives no rows.
+    kept as they are, unlinked.  An empty table gives no rows.  Only doc_id and text are read, so other
+    columns may have any name.
     """
     work = Scratch(docs.sparkSession, "near")
     signed = work.keep(sketch_documents(docs, width, bands, rows), "signed")
     some = signed.where("print is not null and doc_id is not null")
-    nodes = work.keep(some.groupBy("print").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands"), F.min("marks").alias("marks"), F.min("n_shingles").alias("n")), "nodes")
-    keyed = nodes.select("id", F.posexplode("bands").alias("band", "hash")).select("id", "band", F.xxhash64("band", "hash").alias("key"))
-    centers = work.keep(keyed.groupBy("key").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("many")).where("many > 1").select("key", "center"), "centers")
-    members = work.keep(keyed.join(centers, "key"), "members")
-    pairs = work.keep(members.where("id <> center").select(F.col("id").alias("a"), F.col("center").alias("b")).distinct(), "pairs")
+    nodes = work.keep(some.groupBy("print").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands")), "nodes")
+    keyed = nodes.select("id", F.posexplode("bands").alias("band", "hash")).select("id", F.xxhash64("band", "hash").alias("key"))
+    shared = work.keep(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("many", F.col("n")), "shared")
+    members = work.keep(spread_join(keyed, shared, ["key"], ["id"], nodes.count() * bands), "members")
+    central = members.withColumn("pull", F.sum("many").over(Window.partitionBy("id")))
+    centers = central.groupBy("key").agg(F.min_by("id", F.struct(-F.col("pull"), "id")).alias("center"), F.count(F.lit(1)).alias("n"))
+    paired = spread_join(members, work.keep(centers, "centers"), ["key"], ["id"])
+    pairs = work.keep(paired.where("id <> center").select(F.col("center").alias("g"), F.col("id").alias("a")).distinct(), "pairs")
+    for done in ("shared", "members", "centers"):
+        work.drop(done)
 
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+    hubs = pairs.select("g", F.col("g").alias("h")).distinct()
+    wanted = pairs.select(F.col("a").alias("id")).unionByName(hubs.select(F.col("h").alias("id"))).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("text is not null")
     texts = work.keep(texts.join(wanted.hint("merge"), "id"), "texts")
-    links = work.keep(verify_pairs(pairs, texts, width, percent), "links")
-    first = connected_components(links, work, "first")
-
-    placed = members.join(first.withColumnRenamed("node", "id"), "id", "left").select("key", "band", "id", F.coalesce("component", "id").alias("component"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    placed = work.keep(placed.join(mixed, "key").join(nodes.drop("print"), "id"), "mixed")
-    left = placed.select("key", *(F.col(c).alias(f"x_{c}") for c in ("id", "n", "component", "bands", "marks")))
-    # A pair counts in the first band that it shares, and only if the marks do not rule it out: coordinates
-    # agree in all four bits where the sketches agree and in half of them elsewhere; a linked pair falls
-    # 4.5 standard deviations below its mean about as rarely as it shares no band.
-    shared = F.array_position(F.zip_with("bands", "x_bands", lambda x, y: x == y), True) - 1
-    unlike = sum((F.bit_count(F.get("marks", k).bitwiseXOR(F.get("x_marks", k))) for k in range(_COORDINATES // 16)), F.lit(0))
-    t, p = _COORDINATES, percent / 100
-    most = int(t * 2 * (1 - p) + 4.5 * (t * ((1 - p) + 4 * p * (1 - p))) ** 0.5)
-    across = placed.join(left, (placed["key"] == left["key"]) & (F.col("x_id") < F.col("id")) & (F.col("component") != F.col("x_component")) & (F.least("n", "x_n") * 100 >= F.greatest("n", "x_n") * percent) & (F.col("band") == shared) & (unlike <= most))
-    more = work.keep(across.select(F.col("id").alias("a"), F.col("x_id").alias("b")).join(pairs, ["a", "b"], "left_anti").distinct(), "across")
-    found = first
-    if not more.isEmpty():
-        late = work.keep(verify_pairs(more, texts, width, percent), "late-links")
-        if not late.isEmpty():
-            stars = first.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-            found = connected_components(stars.unionByName(late), work, "second")
-    class_of = work.keep(nodes.select("print", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("print", F.coalesce("component", "id").alias("component_id")), "classes")
-    for done in ("nodes", "centers", "members", "pairs", "texts", "links", "mixed", "across", "late-links", "first", "second"):
-        work.drop(done)
+    seen = work.keep(meet(pairs, hubs, texts, width, _compare, _SEEN, work, "compare"), "seen")
+    groups = _Groups(seen, texts, width, percent, work)
+    found = connected_components(groups.links(), work, "first")
+
+    def join_up(found: DataFrame, members: DataFrame, hubs: DataFrame, name: str) -> tuple[DataFrame, int]:
+        """The components after what links members and hubs, and the number of these links."""
+        links = work.keep(meet(work.keep(members, f"{name}-in"), hubs, texts, width, _first_link(percent), _LINK, work, name), f"{name}-links")
+        many = links.count()
+        if many:
+            stars = found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+            found = connected_components(stars.unionByName(links), work, f"{name}-found")
+        return found, many
+
+    mixed = groups.place(found, "at-0")
+    for k, (first, last) in enumerate(_ROUNDS, 1):
+        big = mixed.where(F.col("many") > _SMALL)
+        open_ = work.keep(big.where("open").select(F.col("b").alias("g"), "a").distinct(), f"open-{k}")
+        waiting = open_.count()
+        if not waiting:
+            break
+        found, many = join_up(found, open_, groups.nearest(big, first, last), f"round-{k}")
+        if many:
+            mixed = groups.place(found, f"at-{k}")
+        if many * 10 < waiting:
+            break
+    left = groups.direct(mixed)
+    if not mixed.where(F.col("many") > _SMALL).isEmpty():
+        left = left.unionByName(groups.by_differences(mixed))
+    left = work.keep(left.select(F.col("b").alias("g"), "a").distinct(), "left")
+    if not left.isEmpty():
+        found, _ = join_up(found, left, left.select("g", F.col("g").alias("h")).distinct(), "late")
+
+    labels = nodes.select("print", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("print", F.coalesce("component", "id").alias("component_id"))
+    labels = work.keep(labels, "labels")
     alone = signed.where("print is null or doc_id is null").withColumn("component_id", F.col("doc_id"))
-    out = some.join(class_of, "print").select(*signed.columns, "component_id").unionByName(alone)
-    return out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    out = some.join(labels, "print").select(*signed.columns, "component_id").unionByName(alone)
+    out = work.keep(out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept")), "out")
+    work.drop_all_but("out")
+    return out
 
 
 def keep_one_of_each(docs: DataFrame, **how) -> DataFrame:
