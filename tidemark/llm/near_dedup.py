@@ -163,7 +163,7 @@ class _Groups:
 
     def nearest(self, big: DataFrame, first: int, last: int) -> DataFrame:
         """The first-th to last-th member of each group by weight, as hubs."""
-        part = Window.partitionBy("b", "k", F.pmod(F.xxhash64("a"), F.lit(64))).orderBy("w", "a", "j")
+        part = Window.partitionBy("b", "k", F.pmod(F.xxhash64("a"), F.lit(16))).orderBy("w", "a", "j")
         few = big.withColumn("rank", F.row_number().over(part)).where(F.col("rank") <= last)
         ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("b", "k").orderBy("w", "a", "j")))
         return ranked.where((F.col("rank") > first) & (F.col("rank") <= last)).select(F.col("b").alias("g"), F.col("a").alias("h")).distinct()
@@ -179,34 +179,32 @@ class _Groups:
         step = F.greatest(F.floor(self.slack / _CLASSES), F.lit(1)).cast("long")
         big = big.withColumn("step", step).withColumn("class", F.least(F.floor(F.col("w") / F.col("step")), F.lit(_LAST)).cast("int"))
         big = self.work.keep(big, "big")
-        classes = big.groupBy("b", "k").agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.when(F.col("open"), F.col("class"))).alias("classes"))
-        counts = big.agg(F.count(F.lit(1)), F.sum(F.col("r") + F.col("s"))).first()
-        known = self.work.keep(spread_join(big, self.work.keep(classes, "big-classes"), ["b", "k"], ["a"], counts[0]), "big-known")
+        counts = big.agg(F.sum(F.col("r") + F.col("s"))).first()
         at = big.select(F.col("b").alias("g"), "a").distinct()
         es = self.work.keep(meet(self.work.keep(at, "big-at"), at.select("g", F.col("g").alias("h")).distinct(), self.texts, self.width, _unlike, _UNLIKE, self.work, "big-unlike"), "big-es")
         each = es.select("a", "j", "b", "k", F.explode("es").alias("e"))
         often = self.work.keep(each.groupBy("b", "k", "e").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("often", F.col("n")), "big-often")
-        common = spread_join(each, often, ["b", "k", "e"], ["a"], counts[1])
+        common = spread_join(each, often, ["b", "k", "e"], ["a"], counts[0])
         own = Window.partitionBy("b", "k", "a", "j")
         common = common.withColumn("spot", F.row_number().over(own.orderBy("often", "e"))).withColumn("shared", F.count(F.lit(1)).over(own))
-        rows = common.join(known, ["b", "k", "a", "j"]).withColumn("d", F.col("r") + F.col("s"))
+        rows = common.join(big, ["b", "k", "a", "j"]).withColumn("d", F.col("r") + F.col("s"))
         rows = rows.withColumn("spot", F.col("d") - F.col("shared") + F.col("spot"))
-        kept = ("b", "k", "e", "class", "a", "r", "s", "w", "d", "spot", "size", "component", "open")
-        x = rows.where(F.col("open") & (F.col("spot") <= F.col("d") - self.needed(F.col("w"), F.col("least")) + 1)).select(*kept)
+        rows = self.work.keep(rows.select("b", "k", "e", "often", "step", "class", "a", "r", "s", "w", "d", "spot", "size", "component", "open", "least"), "big-rows")
+        x = rows.where(F.col("open") & (F.col("spot") <= F.col("d") - self.needed(F.col("w"), F.col("least")) + 1))
+        at_e = x.groupBy("b", "k", "e").agg(F.collect_set("class").alias("classes"), F.min("component").alias("low"), F.max("component").alias("high"), F.max("often").alias("n"))
 
         def reaches(c: Column) -> Column:
             weight = F.greatest(c * F.col("step"), self.slack + 1)
             return F.col("spot") <= F.col("d") - self.needed(F.col("w"), weight) + 1
 
-        z = rows.withColumn("class", F.explode(F.filter("classes", reaches))).select(*kept)
-        x, z = self.work.keep(x, "big-x"), self.work.keep(z, "big-z")
+        # A class is at most _LAST, so a member enters a bounded number of times; where no open member of another component has its shingle, not at all.
+        z = spread_join(rows, self.work.keep(at_e, "big-at-e"), ["b", "k", "e"], ["a"], counts[0]).where((F.col("low") != F.col("component")) | (F.col("high") != F.col("component")))
+        z = z.drop("class").withColumn("class", F.explode(F.filter("classes", reaches)))
         key = ["b", "k", "e", "class"]
-        across = x.unionByName(z).groupBy(*key).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select(*key)
-        across = self.work.keep(across, "big-across")
-        x = x.join(across, key, "left_semi").select(*key, *(F.col(c).alias(f"x_{c}") for c in ("a", "r", "s", "w", "d", "spot", "component")))
+        x = x.select(*key, *(F.col(c).alias(f"x_{c}") for c in ("a", "r", "s", "w", "d", "spot", "component")))
         enough = self.needed(F.col("w"), F.col("x_w"))
         near = (F.col("spot") <= F.col("d") - enough + 1) & (F.col("x_spot") <= F.col("x_d") - enough + 1)
-        met = z.join(across, key, "left_semi").join(x, key).where(near & self.possible())
+        met = z.join(x, key).where(near & self.possible())
         return met.select(F.least("a", "x_a").alias("a"), F.greatest("a", "x_a").alias("b")).distinct()
 
 
