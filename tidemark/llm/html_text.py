@@ -32,34 +32,34 @@ _PARTS = set("nav header footer aside form head menu dialog button label fieldse
 _MAIN = {"article", "main"}
 _ATTRIBUTE = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?|["']""")
 _UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b")
-#: Words in a class, id or role that mark surroundings.
+#: Words in a class, id or role that mark surroundings; a name counts if each of its parts is one of these or plain layout.
 _MARKS = set(
-    "ad ads advert advertisement adverts advertising sponsor sponsored sponsors promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer bottom sidebar side aside widget widgets related recommended recommendations teaser share sharing social cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search pagination pager toolbar comment comments disqus reply replies respond discussion copyright legal form contentinfo complementary banner dialog".split()
+    "ad ads advert advertisement adverts advertising sponsor sponsored sponsors promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer sidebar aside widget widgets related recommended recommendations teaser share sharing cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search pagination pager toolbar comment comments disqus reply replies respond discussion copyright legal form contentinfo complementary dialog".split()
 )
+_LAYOUT = set("site page global main top bottom left right upper lower primary secondary sticky fixed box bar wrap wrapper container section area region list links block inner outer row col column slot unit item group panel".split())
 _SPLIT = re.compile(r"[^a-z]+")
 
 #: The labelled table: place (1 in the article, -1 outside the article of a page that has one, 0 on pages without),
-#: marked surrounding, heading, list item; words and link density of the block, of the one before and the one after; content or not.
+#: marked surrounding, heading, list item; words and link density of the block, of the one before and the one after
+#: (0 where there is none); content or not.  In an article only marked parts go; without one, neighbours decide.
 _TABLE = np.array([
     (1, 0, 1, 0, 8, 0.0, 0, 0.0, 40, 0.0, 1), (1, 0, 0, 0, 60, 0.0, 8, 0.0, 45, 0.0, 1), (1, 0, 0, 0, 2, 0.0, 50, 0.0, 60, 0.0, 1), (1, 0, 0, 0, 1, 0.0, 0, 0.0, 0, 0.0, 1),
-    (1, 0, 0, 0, 45, 0.1, 2, 0.0, 70, 0.0, 1), (1, 0, 0, 1, 7, 0.0, 30, 0.0, 6, 0.0, 1), (1, 0, 0, 1, 6, 0.4, 7, 0.0, 9, 0.0, 1), (1, 0, 0, 0, 12, 0.5, 40, 0.0, 30, 0.0, 1),
-    (1, 0, 0, 0, 5, 1.0, 40, 0.0, 35, 0.0, 1), (1, 0, 0, 1, 3, 1.0, 3, 1.0, 3, 1.0, 0), (1, 0, 0, 1, 4, 1.0, 30, 0.0, 4, 1.0, 0), (1, 0, 0, 1, 4, 1.0, 4, 1.0, 0, 0.0, 0),
-    (1, 0, 0, 0, 150, 0.0, 60, 0.0, 0, 0.0, 1), (1, 0, 1, 0, 3, 0.0, 80, 0.0, 40, 0.0, 1), (1, 0, 0, 0, 9, 0.0, 0, 0.0, 0, 0.0, 1), (1, 0, 0, 0, 25, 0.2, 9, 1.0, 12, 0.0, 1),
-    (1, 0, 1, 0, 4, 0.0, 0, 0.0, 4, 0.0, 1), (1, 0, 0, 0, 4, 0.0, 4, 0.0, 3, 0.0, 1), (1, 0, 0, 0, 3, 0.0, 3, 0.0, 0, 0.0, 1), (1, 0, 1, 0, 3, 0.0, 0, 0.0, 3, 0.0, 1),
-    (1, 0, 0, 0, 6, 0.0, 5, 0.0, 2, 0.0, 1), (1, 0, 1, 0, 7, 0.0, 3, 0.0, 3, 0.0, 1), (1, 0, 0, 0, 4, 0.0, 50, 0.0, 5, 1.0, 1), (1, 0, 0, 0, 20, 0.0, 3, 0.0, 3, 1.0, 1),
-    (1, 0, 0, 0, 1, 0.0, 1, 0.0, 1, 0.0, 1), (1, 0, 1, 0, 2, 0.0, 40, 0.0, 2, 0.0, 1), (1, 0, 0, 0, 2, 0.0, 9, 0.0, 4, 1.0, 1), (1, 0, 0, 0, 8, 0.6, 3, 0.0, 2, 0.9, 1),
-    (1, 0, 0, 0, 5, 0.0, 8, 0.0, 8, 0.0, 1), (1, 0, 1, 0, 14, 0.0, 7, 0.0, 9, 0.0, 1), (1, 0, 0, 0, 11, 0.0, 2, 1.0, 2, 1.0, 1), (1, 0, 0, 1, 5, 0.9, 6, 0.0, 7, 0.2, 1),
+    (1, 0, 0, 0, 20, 0.0, 20, 0.0, 0, 0.0, 1), (1, 0, 0, 1, 3, 1.0, 3, 1.0, 3, 1.0, 1), (1, 0, 0, 1, 4, 1.0, 4, 1.0, 0, 0.0, 1), (1, 0, 0, 0, 5, 1.0, 40, 0.0, 35, 0.0, 1),
+    (1, 0, 1, 0, 3, 0.0, 50, 0.0, 3, 1.0, 1), (1, 0, 0, 0, 30, 0.8, 40, 0.0, 3, 1.0, 1), (1, 0, 0, 1, 7, 0.0, 30, 0.0, 6, 0.0, 1), (1, 0, 0, 0, 4, 0.0, 2, 1.0, 2, 1.0, 1),
     (1, 1, 0, 0, 20, 0.0, 60, 0.0, 50, 0.0, 0), (1, 1, 0, 1, 3, 1.0, 3, 1.0, 3, 1.0, 0), (1, 1, 0, 0, 45, 0.0, 30, 0.0, 25, 0.0, 0), (1, 1, 1, 0, 2, 0.0, 60, 0.0, 30, 0.0, 0),
-    (-1, 1, 0, 1, 1, 1.0, 0, 0.0, 1, 1.0, 0), (-1, 1, 0, 0, 12, 0.0, 1, 1.0, 8, 0.0, 0), (-1, 1, 0, 0, 30, 0.0, 60, 0.0, 0, 0.0, 0), (-1, 0, 0, 0, 10, 0.0, 1, 1.0, 8, 0.0, 0),
-    (-1, 0, 0, 0, 40, 0.0, 60, 0.0, 10, 0.0, 0), (-1, 0, 1, 0, 4, 0.0, 1, 1.0, 9, 0.0, 0), (-1, 0, 0, 1, 5, 0.0, 40, 0.0, 5, 0.0, 0), (-1, 0, 0, 0, 90, 0.0, 0, 0.0, 8, 0.0, 0),
+    (-1, 1, 0, 1, 1, 1.0, 0, 0.0, 1, 1.0, 0), (-1, 1, 0, 0, 12, 0.0, 1, 1.0, 8, 0.0, 0), (-1, 0, 0, 0, 10, 0.0, 1, 1.0, 8, 0.0, 0), (-1, 0, 0, 0, 40, 0.0, 60, 0.0, 10, 0.0, 0),
+    (-1, 0, 1, 0, 4, 0.0, 1, 1.0, 9, 0.0, 0), (-1, 0, 0, 1, 5, 0.0, 40, 0.0, 5, 0.0, 0), (-1, 0, 0, 0, 90, 0.0, 0, 0.0, 8, 0.0, 0), (-1, 0, 0, 0, 25, 0.1, 30, 0.0, 0, 0.0, 0),
     (0, 1, 0, 0, 15, 0.0, 0, 0.0, 40, 0.0, 0), (0, 1, 0, 0, 60, 0.0, 40, 0.0, 40, 0.0, 0), (0, 1, 0, 1, 2, 1.0, 2, 1.0, 2, 1.0, 0), (0, 1, 1, 0, 3, 0.0, 5, 0.0, 40, 0.0, 0),
     (0, 0, 0, 0, 60, 0.0, 50, 0.0, 40, 0.0, 1), (0, 0, 0, 0, 30, 0.1, 3, 1.0, 40, 0.0, 1), (0, 0, 0, 0, 18, 0.0, 40, 0.0, 3, 1.0, 1), (0, 0, 0, 0, 22, 0.2, 0, 0.0, 0, 0.0, 1),
     (0, 0, 0, 0, 4, 0.0, 50, 0.0, 45, 0.0, 1), (0, 0, 0, 0, 8, 0.0, 30, 0.0, 28, 0.0, 1), (0, 0, 1, 0, 5, 0.0, 2, 1.0, 40, 0.0, 1), (0, 0, 1, 0, 4, 0.0, 60, 0.0, 50, 0.0, 1),
-    (0, 0, 1, 0, 3, 0.0, 11, 0.0, 19, 0.0, 1), (0, 0, 0, 0, 1, 0.0, 19, 0.0, 16, 0.0, 1), (0, 0, 1, 0, 6, 0.0, 5, 0.5, 30, 0.0, 1), (0, 0, 1, 0, 9, 0.0, 0, 0.0, 25, 0.0, 1),
-    (0, 0, 0, 0, 2, 0.0, 30, 0.0, 60, 0.0, 1), (0, 0, 0, 0, 6, 0.0, 25, 0.0, 20, 0.0, 1), (0, 0, 0, 0, 3, 0.0, 45, 0.1, 18, 0.0, 1), (0, 0, 1, 0, 2, 0.0, 2, 1.0, 17, 0.0, 1),
-    (0, 0, 1, 0, 3, 0.0, 50, 0.0, 3, 1.0, 0), (0, 0, 0, 1, 3, 1.0, 3, 1.0, 3, 1.0, 0), (0, 0, 0, 1, 2, 1.0, 0, 0.0, 2, 1.0, 0), (0, 0, 0, 1, 9, 0.0, 30, 0.0, 8, 0.0, 1),
-    (0, 0, 0, 0, 5, 1.0, 2, 1.0, 4, 1.0, 0), (0, 0, 0, 0, 6, 0.0, 2, 1.0, 2, 1.0, 0), (0, 0, 0, 0, 7, 0.0, 60, 0.0, 0, 0.0, 0), (0, 0, 0, 0, 30, 0.8, 40, 0.0, 3, 1.0, 0),
-    (0, 0, 0, 0, 12, 0.0, 2, 1.0, 50, 0.0, 1), (0, 0, 0, 0, 3, 0.0, 0, 0.0, 2, 1.0, 0), (0, 0, 0, 0, 45, 0.6, 20, 0.9, 20, 0.9, 0), (0, 0, 0, 0, 25, 0.0, 7, 0.0, 7, 0.0, 1),
+    (0, 0, 0, 0, 6, 0.0, 6, 0.0, 6, 0.0, 1), (0, 0, 0, 0, 6, 0.0, 0, 0.0, 6, 0.0, 1), (0, 0, 0, 0, 6, 0.0, 6, 0.0, 0, 0.0, 1), (0, 0, 0, 0, 1, 0.0, 0, 0.0, 0, 0.0, 1),
+    (0, 0, 0, 0, 20, 0.0, 20, 0.0, 0, 0.0, 1), (0, 0, 1, 0, 2, 0.0, 0, 0.0, 20, 0.0, 1), (0, 0, 0, 0, 2, 0.0, 30, 0.0, 0, 0.0, 1), (0, 0, 0, 0, 3, 0.0, 45, 0.1, 18, 0.0, 1),
+    (0, 0, 0, 1, 9, 0.0, 30, 0.0, 8, 0.0, 1), (0, 0, 0, 1, 5, 0.0, 6, 0.0, 0, 0.0, 1), (0, 0, 0, 1, 6, 0.4, 7, 0.0, 9, 0.0, 1), (0, 0, 0, 0, 12, 0.0, 2, 1.0, 50, 0.0, 1),
+    (0, 0, 0, 0, 5, 1.0, 40, 0.0, 35, 0.0, 1), (0, 0, 0, 0, 12, 0.6, 40, 0.0, 30, 0.0, 1), (0, 0, 1, 0, 6, 1.0, 0, 0.0, 40, 0.0, 1), (0, 0, 0, 0, 25, 0.0, 2, 1.0, 2, 1.0, 1),
+    (0, 0, 1, 0, 3, 0.0, 50, 0.0, 3, 1.0, 0), (0, 0, 1, 0, 2, 0.0, 3, 1.0, 3, 1.0, 0), (0, 0, 0, 1, 3, 1.0, 3, 1.0, 3, 1.0, 0), (0, 0, 0, 1, 2, 1.0, 0, 0.0, 2, 1.0, 0),
+    (0, 0, 0, 1, 4, 1.0, 3, 0.0, 4, 1.0, 0), (0, 0, 0, 1, 4, 1.0, 4, 1.0, 30, 0.0, 0), (0, 0, 0, 1, 4, 1.0, 4, 1.0, 0, 0.0, 0), (0, 0, 0, 0, 5, 1.0, 2, 1.0, 4, 1.0, 0),
+    (0, 0, 0, 0, 6, 0.0, 2, 1.0, 2, 1.0, 0), (0, 0, 0, 0, 30, 0.8, 40, 0.0, 3, 1.0, 0), (0, 0, 0, 0, 3, 0.0, 0, 0.0, 2, 1.0, 0), (0, 0, 0, 0, 45, 0.6, 20, 0.9, 20, 0.9, 0),
+    (0, 0, 0, 0, 5, 1.0, 3, 1.0, 0, 0.0, 0), (0, 0, 0, 0, 4, 0.0, 3, 1.0, 0, 0.0, 0), (0, 0, 0, 0, 4, 1.0, 0, 0.0, 4, 1.0, 0), (0, 0, 0, 0, 8, 0.9, 50, 0.0, 6, 0.9, 0),
 ])
 
 
@@ -114,7 +114,8 @@ def _marked(tag: str, attrs: str) -> bool:
         elif name == "style":
             found = _UNSEEN.search(value) is not None
         else:
-            found = any(w in _MARKS for w in _SPLIT.split(value))
+            names = [[w for w in _SPLIT.split(n) if w] for n in value.split()]
+            found = any(any(w in _MARKS for w in n) and all(w in _MARKS or w in _LAYOUT for w in n) for n in names)
         if found:
             return True
     return False
@@ -228,7 +229,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points) of every page, from its whole html.
 
     A null page counts as empty and has an empty text; unclosed or crossed tags, markup cut short and very
-    long pages are read to their end.  Each row stands alone: no shuffle, one page in memory at a time
+    long pages are read to their end.  Of other columns none is read, whatever its name.  Each row stands alone: no shuffle, one page in memory at a time
     beside its batch.  Repeated rows and null ids stay; an empty table gives no rows.
     """
 
