@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,10 +24,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .shared import shared_root
+    from .shared import Scratch
     from .token_files import read_token_files, write_token_files
 
-    out = f"{shared_root(spark)}/tokens-{uuid.uuid4().hex}"
+    out = f"{Scratch(spark, 'tokens').root}/files"
     write_token_files(_table(spark, sf_dir, "documents"), out, _word_bpe(), end_id=1)
     return read_token_files(spark, out, digest=True)
 

@@ -109,7 +109,7 @@ def read_token_files(spark: SparkSession, out: str, digest: bool = False) -> Dat
     start: ids of all documents before this one.  ids: array<int>; with digest,
     ids_crc32 instead, the CRC-32 of the ids as little-endian unsigned 32-bit
     integers.  Each task maps the parts it is given; the manifest, a row per
-    part, is all that the driver sees.
+    part, is all that the driver sees.  A doc_id written as -2**63 is null again.
     """
     import zlib
 
@@ -130,6 +130,7 @@ def read_token_files(spark: SparkSession, out: str, digest: bool = False) -> Dat
                     else:
                         flat = pa.array(np.asarray(f.ids[off[0] : off[-1]]).astype(np.int32))
                         last, kind = pa.ListArray.from_arrays(pa.array((off - off[0]).astype(np.int32)), flat), "ids"
-                    yield pa.RecordBatch.from_arrays([pa.array(np.asarray(f.doc[k : k + len(rows)])), pa.array(off[:-1] + base), pa.array(np.diff(off)), last], ["doc_id", "start", "n_tokens", kind])
+                    doc = np.asarray(f.doc[k : k + len(rows)])
+                    yield pa.RecordBatch.from_arrays([pa.array(doc, mask=doc == -(1 << 63)), pa.array(off[:-1] + base), pa.array(np.diff(off)), last], ["doc_id", "start", "n_tokens", kind])
 
     return table.mapInArrow(read, "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids array<int>"))
