@@ -1,7 +1,10 @@
+import random
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from tidemark.llm import queries
 from tidemark.llm.toxicity import LEET, CharModel, Restorer, _lattice, corpus_model, fit_toxicity, restore, score_toxicity, trigram_counts
@@ -18,7 +21,7 @@ def model():
 
 def test_hidden_words_are_restored():
     fix = Restorer(model())
-    pairs = {"you 1d10t": "you idiot", "p4th3t1c fool": "pathetic fool", "stuuuupid cl0wn": "stupid clown", "w-o-r-t-h-l-e-s-s": "worthless", "tr@sh!!!": "trash!!!", "m0r0n": "moron", "d1sgu5t1ng": "disgusting"}
+    pairs = {"you 1d10t": "you idiot", "p4th3t1c $cum": "pathetic scum", "stuuuupid cl0wn": "stupid clown", "w-o-r-t-h-l-e-s-s": "worthless", "tr@sh!!!": "trash!!!", "m0r0n": "moron", "d1sgu5t1ng": "disgusting"}
     assert {k: fix(k) for k in pairs} == pairs
     assert "loser" in fix("what a l o s e r").split()[-1]
 
@@ -32,24 +35,61 @@ def test_plain_text_is_left_alone():
 
 def test_viterbi_finds_the_best_of_all_paths():
     from itertools import product
+    from math import prod
 
-    m = model()
-    for token in ("1d10t", "cl0wn", "tr@sh", "$cum", "l.o.s.e.r", "stuuupid"):
+    m, rng = model(), random.Random(8)
+    tokens = ["1d10t", "cl0wn", "tr@sh", "$cum", "l.o.s.e.r", "stuuupid", "stuupiid", "dumba$$", "stupi|d", "!diot"]
+    tokens += ["".join(rng.choice("abeilost013457@$!|.-#") for _ in range(rng.randint(1, 7))) for _ in range(300)]
+    for token in tokens:
         def cost(path):
             total, a, b, text = 0.0, 0, 0, ""
             for letters, extra in path:
                 total += extra
                 for ch in letters:
                     s = ord(ch) - 96 if "a" <= ch <= "z" else 0
-                    total -= m.logp[a, b, s]
-                    a, b = b, s
+                    if s or b:
+                        total -= m.logp[a, b, s]
+                        a, b = b, s
                 text += letters
-            return total - m.logp[a, b, 0], text
+            return total - (m.logp[a, b, 0] if b else 0.0), text
 
-        assert restore(token, m) == min(map(cost, product(*_lattice(token))))[1]
+        if prod(map(len, _lattice(token))) < 4000:
+            best = min(map(cost, product(*_lattice(token))))[0]
+            assert any(abs(cost(p)[0] - best) < 1e-9 and cost(p)[1] == restore(token, m) for p in product(*_lattice(token)))
     assert all(v.isalpha() for v in LEET.values())
 
 
+@pytest.fixture(scope="module")
+def corpus(spark, sf_dir):
+    texts = [r.text or "" for r in spark.read.parquet(sf_dir.replace("sf0.001", "sf0.01") + "/documents.parquet").collect()]
+    return texts, CharModel.of(trigram_counts(pa.array(texts)))
+
+
+def test_hidden_words_under_the_model_of_the_documents(corpus):
+    fix = Restorer(corpus[1])
+    pairs = {"dumba$$": "dumbass", "!diot": "idiot", "idio7": "idiot", "5h17": "shit", "sstupidd": "stupid", "stuupiid": "stupid", "stupi|d": "stupid", "f00l5": "fools", "a$$": "ass", "1d107": "idiot", "s/t/u/p/i/d": "stupid", "s,t,u,p,i,d": "stupid", "s  t  u  p  i  d": "stupid", "s\nt\nu\np\ni\nd": "stupid"}
+    assert {k: fix(k) for k in pairs} == pairs
+    for t in ("1999", "3.14", "$5.00", "hello", "don't", "well-known", "e.g.", "2024-01-05"):
+        assert fix(t) == t
+
+
+def test_no_gate_keeps_a_token_from_its_lattice(corpus):
+    """Texts restored as if every token had gone through Viterbi."""
+    texts, m = corpus
+    fix, plain = Restorer(m), Restorer(m)
+
+    def every(text):
+        spaced = re.compile(r"(?<!\S)\S(?:\s{1,2}\S){2,}(?!\S)")
+        out, at = "", 0
+        for s in spaced.finditer(text):
+            out += re.sub(r"\S+", lambda w: plain._word(w[0]), text[at : s.start()]) + plain._token(re.sub(r"\s+", " ", s[0].lower()))
+            at = s.end()
+        return (out + re.sub(r"\S+", lambda w: plain._word(w[0]), text[at:])).lower()
+
+    for t in texts[:400]:
+        assert fix(t).lower() == every(t)
+
+
 def test_model_counts_every_row(spark):
     docs = documents(spark, CORPUS)
     assert np.allclose(corpus_model(docs.repartition(7)).logp, model().logp)

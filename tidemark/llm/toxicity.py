@@ -36,14 +36,22 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 LOOKALIKE = str.maketrans("аеорсухіјѕԁɡαοερκν", "aeopcyxijsdgaoepkv")
 _DROP = ".-_*'`~·​‌‍­⁠"
 
+#: Tokens that have a character besides letters in or at them, or one letter three times; doubled letters are found by the model.
 _HINT = re.compile(
     r"[^\W\d_][0-9@$!|+(*#€£._\-~·​-‍­⁠]+[^\W\d_]"  # a letter, something odd, a letter
+    r"|[^\W\d_][0-9@$|+*#€£]"
+    r"|[0-9@$|+*#€£][^\W\d_]"
+    r"|(?<!\S)!+[^\W\d_]"
     r"|([^\W\d_])\1\1"  # a letter three times
-    r"|(?<![\w@$!|+(])[0-9@$|+(]+[^\W\d_]{2}"  # something odd before letters
+    r"|(?<![^\W_])[^\W_](?:[^\w\s]+[^\W_](?![^\W_])){2,}"  # single characters with marks between
     r"|[а-ћɡαοερκν]"
-    r"|(?<!\S)\S(?:[ \t]\S){2,}(?!\S)"  # single characters with spaces between
+    r"|(?<!\S)\S(?:\s{1,2}\S){2,}(?!\S)"  # single characters with spaces between
+    r"|(?<!\S)[0-9]*[@$|+*#€£][0-9@$!|+*#€£]*(?!\S)",  # symbols alone
+    re.I,
 )
-_SPACED = re.compile(r"(?<!\S)\S(?:[ \t]\S){2,}(?!\S)")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s{1,2}\S){2,}(?!\S)")
+_SPACES = re.compile(r"\s+")
+_NUMBER = re.compile(r"[\d.,:;/%+\-]+")
 _TOKEN = re.compile(r"\S+")
 #: What opens and closes a token without belonging to it, and symbols that junk hangs onto words in runs.
 _HEAD, _TAIL, _RUNS = "\"'([{<", "!?.,;:\"')]}>|", "#$%&*@+"
@@ -95,6 +103,11 @@ def corpus_model(docs: DataFrame) -> CharModel:
     return CharModel.of(counts)
 
 
+#: Costs of the channel: a letter for a symbol, one letter for a run of symbols, a letter written twice, a symbol written
+#: between letters, one of leetspeak that stands for nothing, a mark or symbol that stands for itself.
+_SWAP, _ONE, _TWICE, _BETWEEN, _NOTHING, _MARK, _ITSELF = 1.0, 12.0, 5.5, 0.8, 6.5, 0.5, 9.0
+
+
 def _lattice(token: str) -> list[list[tuple[str, float]]]:
     """For each run of one character what it may be, with the channel's cost; a blank may also be a word's end."""
     out: list[list[tuple[str, float]]] = []
@@ -107,17 +120,25 @@ def _lattice(token: str) -> list[list[tuple[str, float]]]:
         if c == " ":
             out.append([("", 0.0), (" ", 3.0)])
         elif c.isalpha():
-            out.append([(c * n, 0.0)] if n < 3 else [(c, 0.5), (c * 2, 0.7)])
+            out.append([(c, 0.0)] if n == 1 else [(c, _TWICE), (c * 2, 0.0)] if n == 2 else [(c, 0.5), (c * 2, 0.7)])
         else:
-            options = [(x, 1.0 + 0.2 * (n - 1)) for x in LEET.get(c, "")]
-            options += [(x * 2, 1.4) for x in LEET.get(c, "") if n == 2]
-            if c in _DROP or not options:
-                options.append(("", 0.8))
+            leet = LEET.get(c, "")
+            options = [(x, _SWAP if n == 1 else _ONE) for x in leet]
+            options += [(x * 2, _SWAP + 0.2) for x in leet if n == 2]
+            if c in _DROP or not leet:
+                options += [("", _BETWEEN), (c * n, _MARK)]
+            else:
+                options += [("", _NOTHING * n)] if not c.isdigit() else []
+                options += [(c * n, _ITSELF * n)]
             out.append(options)
         k += n
     return out
 
 
+def _symbol(ch: str) -> int:
+    return _SYMBOL.get(ch, 63 if ch.isalpha() else 0)
+
+
 def restore(token: str, model: CharModel) -> str:
     """The likeliest plain form of an obfuscated token: Viterbi over its lattice.
 
@@ -132,13 +153,14 @@ def restore(token: str, model: CharModel) -> str:
             for letters, extra in options:
                 x, y, total = a, b, cost + extra
                 for ch in letters:
-                    s = _SYMBOL.get(ch, 63 if ch.isalpha() else 0)
-                    total -= logp[x, y, s]
-                    x, y = y, s
+                    s = _symbol(ch)
+                    if s or y:  # several characters that are no letters end a word once
+                        total -= logp[x, y, s]
+                        x, y = y, s
                 if (x, y) not in then or total < then[x, y][0]:
                     then[x, y] = (total, (path, letters))
         best = then
-    path = min(((cost - logp[a, b, 0], k, path) for k, ((a, b), (cost, path)) in enumerate(best.items())))[2]
+    path = min(((cost - (logp[a, b, 0] if b else 0.0), k, path) for k, ((a, b), (cost, path)) in enumerate(best.items())))[2]
     out = []
     while path:
         path, letters = path
@@ -151,6 +173,14 @@ class Restorer:
 
     def __init__(self, model: CharModel, most: int = 200_000):
         self.model, self.most, self.known = model, most, {}
+        # A doubled letter x between p and n costs what its second one and n after two of them cost more than n after
+        # one does.  Both choices leave the rest of a token alike, so Viterbi takes one letter exactly where that is above
+        # the channel's cost: only such tokens need a lattice for their doubled letters.
+        cost = -model.logp
+        x = np.arange(SYMBOLS)
+        gain = cost[:, x, x][:, :, None] + cost[x, x, :][None] - cost
+        self.doubtful = gain > _TWICE
+        self.doubtful[:, 0] = False
 
     def _token(self, token: str) -> str:
         if token not in self.known:
@@ -167,27 +197,34 @@ class Restorer:
             core = core.rstrip(core[-1])
         tail = word[len(head) + len(core) :]
         low = unicodedata.normalize("NFKC", core).lower().translate(LOOKALIKE)
-        letters = sum(c.isalpha() for c in low)
-        if not letters or letters * 3 < len(low):
-            return word  # numbers, dates and keys
+        if not low or _NUMBER.fullmatch(low):
+            return word
         return head + self._token(low) + tail
 
+    def _doubles(self, text: str) -> list[int]:
+        """Places of doubled letters that the model takes for one."""
+        code = np.frombuffer(f" {text}  ".encode("utf-32-le", "replace"), np.uint32)
+        s = np.where(code < len(_LUT), _LUT[np.minimum(code, len(_LUT) - 1)], np.uint8(63))
+        return np.flatnonzero((s[1:-2] == s[2:-1]) & self.doubtful[s[:-3], s[1:-2], s[3:]]).tolist()
+
     def __call__(self, text: str) -> str:
         """The text with every suspicious token restored; the same object where there is none."""
-        if _HINT.search(text) is None:
+        places = self._doubles(text)
+        places += [m.start() for m in _HINT.finditer(text)]
+        if not places:
             return text
         out, at = [], 0
-        for m in _HINT.finditer(text):
-            if m.start() < at:
+        for place in sorted(places):
+            if place < at:
                 continue
-            if _SPACED.match(text, m.start()):
-                a, b = _SPACED.match(text, m.start()).span()
-                plain = self._token(unicodedata.normalize("NFKC", text[a:b]).lower().replace("\t", " ").translate(LOOKALIKE))
+            if spaced := _SPACED.match(text, place):
+                a, b = spaced.span()
+                plain = self._token(_SPACES.sub(" ", unicodedata.normalize("NFKC", text[a:b]).lower()).translate(LOOKALIKE))
             else:
-                a = m.start()
+                a = place
                 while a > at and not text[a - 1].isspace():
                     a -= 1
-                b = _TOKEN.match(text, m.start()).end()
+                b = _TOKEN.match(text, place).end()
                 plain = self._word(text[a:b])
             out += [text[at:a], plain]
             at = b
@@ -275,10 +312,10 @@ def restored_column(column: pa.Array, restorer: Restorer) -> pa.Array:
 
 
 def _chosen_rows(docs: DataFrame, labels: DataFrame, most: int) -> DataFrame:
-    """text, doc_id and label of at most ``most`` toxic and as many other labelled rows, by a hash of doc_id."""
+    """text, doc_id and label of at most ``most`` toxic and as many other labelled rows, by a hash of doc_id; one row of a repeated doc_id."""
     known = labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("label"))
     parts = [known.where(F.col("label") == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for v in (0, 1)]
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, most: int = 4000, features: int = 1500, least: int = 4) -> ToxicityModel:
@@ -366,7 +403,8 @@ def _finder(picked: np.ndarray):
 def score_toxicity(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     """doc_id and score (0 to 1, higher: toxic) of every whole text, restored first.
 
-    Null texts score like empty ones; repeated rows and null ids stay; an empty table gives no rows.
+    Null texts score like empty ones; repeated rows and null ids stay; an empty table gives no rows.  Only doc_id and
+    text are read, so other columns may have any name.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
