@@ -164,10 +164,11 @@ def learn_decision_list(x: np.ndarray, bad: np.ndarray, prune_on: np.ndarray, pr
 def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, most: int) -> DataFrame:
     """Text, doc_id and label of at most ``most`` labelled rows, chosen by a hash of doc_id.
 
-    The chosen labels have a fixed bound, and so may be broadcast to the documents.
+    The chosen labels have a fixed bound, and so may be broadcast to the documents.  A doc_id with several rows gives
+    one, with the least of its texts.
     """
     chosen = labels.where(f"{target} is not null and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col(target).cast("int").alias("label")).orderBy(F.xxhash64("doc_id"), "doc_id", "label").limit(most)
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
 
 
 def fit_rules(docs: DataFrame, labels: DataFrame, most: int = 20_000) -> list[Rule]:
