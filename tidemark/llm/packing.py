@@ -120,19 +120,21 @@ def pack_best_fit(pieces: DataFrame, capacity: int, salts: int = 256) -> DataFra
     plans on has at most ``capacity`` rows, and the plan, whose size depends on
     capacity alone, is broadcast.  A length that a third of all pieces share is
     ranked in ``salts`` parts.  An empty table stays empty.  pieces is read
-    three times: hand in a stored table.
+    three times: hand in a stored table.  Its other columns stay, whatever their names; a sequence_id or
+    offset of its own is replaced.
     """
     spark = pieces.sparkSession
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     plan = spark.createDataFrame(plan_best_fit(counts, capacity), _PLAN)
-    ranked = salted_rank(pieces, ["length"], ["doc_id", "piece"], "__rank", salts)
-    at = F.col("__rank") - F.col("lo")
-    slot = ranked.join(F.broadcast(plan), (ranked["length"] == plan["length"]) & (F.col("__rank") >= F.col("lo")) & (F.col("__rank") < F.col("hi"))).drop(plan["length"])
-    return slot.withColumns({"sequence_id": F.col("sequence") + F.floor(at / F.col("each")), "offset": F.col("place") + F.pmod(at, F.col("each")) * F.col("length")}).drop("__rank", "lo", "hi", "sequence", "each", "place")
+    plan = plan.select(*(F.col(c).alias(f"__{c}") for c in plan.columns))
+    ranked = salted_rank(pieces.drop("sequence_id", "offset"), ["length"], ["doc_id", "piece"], "__rank", salts)
+    at = F.col("__rank") - F.col("__lo")
+    slot = ranked.join(F.broadcast(plan), (F.col("length") == F.col("__length")) & (F.col("__rank") >= F.col("__lo")) & (F.col("__rank") < F.col("__hi")))
+    return slot.withColumns({"sequence_id": F.col("__sequence") + F.floor(at / F.col("__each")), "offset": F.col("__place") + F.pmod(at, F.col("__each")) * F.col("length")}).drop("__rank", *plan.columns)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id: int | None = 0, with_ids: bool = False) -> DataFrame:
-    """Tokenize, cut and pack a corpus: token_pieces() stored once, then pack_best_fit()."""
+    """Tokenize, cut and pack a corpus: token_pieces() stored once, then pack_best_fit().  Of docs only doc_id and text are read."""
     pieces = Scratch(docs.sparkSession, "pack").keep(token_pieces(docs, tokenizer, capacity, end_id, with_ids), "pieces")
     return pack_best_fit(pieces, capacity)
 
