@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .joins import spread_join
 from .ranks import salted_rank
 from .shared import Scratch
 
@@ -166,19 +167,22 @@ def shard_groups(rows: DataFrame, shards: int, salts: int = 256) -> DataFrame:
     Adds shard (0..shards-1) and slot, gapless from 0 in each shard.  Rows with
     equal group_key share a shard.  The driver sees the histogram of size
     classes only; a group that holds a third of all rows is summed map-side,
-    joined with Spark's skew handling, and its slots are ranked in salted
-    parts.  Sizes must be positive.  rows is read three times: hand in a stored table.
+    dealt over many tasks for the join, and its slots are ranked in salted
+    parts.  Sizes must be positive.  rows is read three times: hand in a stored table.  Its other columns stay,
+    whatever their names; a shard or slot of its own is replaced.
     """
     spark = rows.sparkSession
     work = Scratch(spark, "shards")
-    groups = rows.groupBy("group_key").agg(F.sum("size").alias("__size"))
-    groups = work.keep(groups.select("group_key", size_class(F.col("__size")).alias("class")), "groups")
+    rows = rows.drop("shard", "slot")
+    groups = rows.groupBy("group_key").agg(F.sum("size").alias("__size"), F.count(F.lit(1)).alias("n"))
+    groups = work.keep(groups.select("group_key", "n", size_class(F.col("__size")).alias("class")), "groups")
     counts = {r["class"]: r["count"] for r in groups.groupBy("class").count().collect()}
     plan = spark.createDataFrame(plan_shards(counts, shards), _PLAN)
     ranked = salted_rank(groups, ["class"], ["group_key"], "__rank", salts)
     hit = (ranked["class"] == plan["class"]) & (F.col("__rank") >= F.col("lo")) & (F.col("__rank") < F.col("hi"))
-    placed = work.keep(ranked.join(F.broadcast(plan), hit).select("group_key", "shard"), "placed")
-    sharded = work.keep(rows.join(placed, "group_key"), "rows")
+    placed = work.keep(ranked.join(F.broadcast(plan), hit).select("group_key", "n", "shard"), "placed")
+    own = rows.select(F.struct(*rows.columns).alias("__row"), "group_key", F.col("doc_id").alias("__by"), F.col("size").alias("__size"))
+    sharded = work.keep(spread_join(own, placed, ["group_key"], ["__by", "__size"]).select("__row.*", "shard"), "rows")
     return salted_rank(sharded, ["shard"], ["doc_id", "size"], "slot", salts)
 
 
@@ -186,7 +190,8 @@ def shard_documents(docs: DataFrame, shards: int = 24) -> DataFrame:
     """Documents into shards of near equal bytes; equal texts (null like empty) stay together.
 
     Returns doc_id, size (UTF-8 bytes plus 8), text_crc32, shard and slot.
-    Repeated rows are rows like others; an empty table gives no rows.
+    Repeated rows are rows like others; an empty table gives no rows.  Only doc_id and text are read, so
+    other columns may have any name.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(
