@@ -20,7 +20,7 @@ def spread_join(rows: DataFrame, sized: DataFrame, keys: list[str], by: list[str
     """
     total = rows.count() if total is None else total
     mark = F.xxhash64(*keys)
-    hot = [r[0] for r in sized.where((F.col("n") * _SHARE > total) & (F.col("n") > _FEW)).select(mark).distinct().collect()]  # _SHARE at most
+    hot = [r[0] for r in sized.where((F.col("n") * _SHARE > total) & (F.col("n") > _FEW)).select(mark).collect()]  # _SHARE at most
     few = sized.drop("n").hint("merge")
     if not hot:
         return rows.join(few, keys)

@@ -147,6 +147,19 @@ class _Groups:
         groups = self.work.keep(groups, f"{name}-groups")
         return self.work.keep(spread_join(rows, groups, ["b", "k"], ["a"], self.total).withColumn("open", F.col("component") != F.col("own")), f"{name}-mixed")
 
+    def merge(self, mixed: DataFrame, component: DataFrame, links: DataFrame, name: str) -> DataFrame:
+        """mixed after each component with new links has taken the name of one that it is linked to.
+
+        Equal names still mean connected components; names that stay apart only cost comparisons that are
+        not needed, since all links enter the components at the end.
+        """
+        of = {c: component.select(F.col("node").alias(c), F.col("component").alias(f"c_{c}")) for c in "ab"}
+        named = links.join(of["a"], "a", "left").join(of["b"], "b", "left").select(F.coalesce("c_a", "a").alias("component"), F.coalesce("c_b", "b").alias("to"))
+        moved = named.where("component <> to").groupBy("component").agg(F.min("to").alias("to"))
+        left = mixed.where("open").join(moved, "component", "left").withColumn("component", F.coalesce("to", "component")).drop("to")
+        left = left.withColumn("open", F.col("component") != F.col("own"))
+        return self.work.keep(left.unionByName(mixed.where("not open")), name)
+
     def needed(self, w: Column, other: Column) -> Column:
         return F.ceil((w + other - self.slack) / (100 + self.percent)).cast("long")
 
@@ -176,6 +189,8 @@ class _Groups:
         that class demands: what only tells a member from the centre, as nearly all of its common ones do, meets nothing.
         """
         big = mixed.where(F.col("many") > _SMALL)
+        waiting = self.work.keep(big.where("open").groupBy("b", "k").agg(F.max("many").alias("n")), "big-waiting")
+        big = spread_join(big, waiting, ["b", "k"], ["a"], self.total)
         step = F.greatest(F.floor(self.slack / _CLASSES), F.lit(1)).cast("long")
         big = big.withColumn("step", step).withColumn("class", F.least(F.floor(F.col("w") / F.col("step")), F.lit(_LAST)).cast("int"))
         big = self.work.keep(big, "big")
@@ -252,33 +267,33 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     groups = _Groups(seen, texts, width, percent, work)
     found = connected_components(groups.links(), work, "first")
 
-    def join_up(found: DataFrame, members: DataFrame, hubs: DataFrame, name: str) -> tuple[DataFrame, int]:
-        """The components after what links members and hubs, and the number of these links."""
-        links = work.keep(meet(work.keep(members, f"{name}-in"), hubs, texts, width, _first_link(percent), _LINK, work, name), f"{name}-links")
-        many = links.count()
-        if many:
-            stars = found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
-            found = connected_components(stars.unionByName(links), work, f"{name}-found")
-        return found, many
+    def linked(members: DataFrame, hubs: DataFrame, name: str) -> DataFrame:
+        return work.keep(meet(work.keep(members, f"{name}-in"), hubs, texts, width, _first_link(percent), _LINK, work, name), f"{name}-links")
 
-    mixed = groups.place(found, "at-0")
+    links, mixed = [], groups.place(found, "at")
     for k, (first, last) in enumerate(_ROUNDS, 1):
         big = mixed.where(F.col("many") > _SMALL)
         open_ = work.keep(big.where("open").select(F.col("b").alias("g"), "a").distinct(), f"open-{k}")
         waiting = open_.count()
         if not waiting:
             break
-        found, many = join_up(found, open_, groups.nearest(big, first, last), f"round-{k}")
+        links.append(linked(open_, groups.nearest(big, first, last), f"round-{k}"))
+        many = links[-1].count()
         if many:
-            mixed = groups.place(found, f"at-{k}")
+            mixed = groups.merge(mixed, found, links[-1], f"at-{k}")
         if many * 10 < waiting:
             break
     left = groups.direct(mixed)
-    if not mixed.where(F.col("many") > _SMALL).isEmpty():
+    if not mixed.where((F.col("many") > _SMALL) & F.col("open")).isEmpty():
         left = left.unionByName(groups.by_differences(mixed))
     left = work.keep(left.select(F.col("b").alias("g"), "a").distinct(), "left")
     if not left.isEmpty():
-        found, _ = join_up(found, left, left.select("g", F.col("g").alias("h")).distinct(), "late")
+        links.append(linked(left, left.select("g", F.col("g").alias("h")).distinct(), "late"))
+    if links:
+        stars = found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        for more in links:
+            stars = stars.unionByName(more)
+        found = connected_components(stars, work, "second")
 
     labels = nodes.select("print", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("print", F.coalesce("component", "id").alias("component_id"))
     labels = work.keep(labels, "labels")
