@@ -16,14 +16,17 @@ def quarters(df):
 def test_every_quarter_and_feature_enters(spark, sf_dir):
     panel = QUERIES["enrich_panel"](spark, sf_dir)
     rows, names = queries._modelling(spark, sf_dir)
-    assert rows.count() == panel.count() and quarters(rows) == quarters(panel)
+    ids = panel.select("o_custkey").distinct().count()
+    assert rows.count() == panel.count() - ids and quarters(rows) == quarters(panel) - {0}
+    later = {(r.o_custkey, r.ctu): r.target for r in panel.select("o_custkey", "ctu", "target").collect()}
+    assert all(r.y == later[r.o_custkey, r.ctu - 1] for r in rows.select("o_custkey", "ctu", "y").collect())
     assert set(names) == set(panel.columns) - {"o_custkey", "ctu", "target"} and len(names) == 17
 
 
 @pytest.mark.parametrize("name", FITTED)
 def test_fitted_queries_use_all_of_it(spark, sf_dir, name, monkeypatch):
-    panel = QUERIES["enrich_panel"](spark, sf_dir)
-    names = set(panel.columns) - {"o_custkey", "ctu", "target"}
+    panel = queries._modelling(spark, sf_dir)[0]
+    names = set(QUERIES["enrich_panel"](spark, sf_dir).columns) - {"o_custkey", "ctu", "target"}
     fits = []
 
     def seen(f):

@@ -125,18 +125,16 @@ def test_lift_bins_cut_ranks_and_not_ntiles(spark):
 
 
 def test_drift_of_a_table_with_itself_is_zero(spark):
-    df = spark.createDataFrame([(i % 4, i % 3, i % 2) for i in range(11)], "party_id int, ctu int, target int")
-    for r in reports.drift(df, df, ["ctu", "target"]).collect():
+    df = spark.createDataFrame([(k, (7 * k) % 5, 0.5 * k) for k in range(24)], "visit int, shop int, spent double")
+    for r in reports.drift(df, df, ["shop", "spent"]).collect():
         assert r["ks"] == 0 and all(r[f"delta_{s}"] == 0 for s in ("min", "max", "mean", "stddev", "median"))
 
 
 def test_missing_periods(spark):
-    # Imputed and all periods of seven ids; the seventh has no imputed one.
-    shape = {1: (1, 5), 2: (1, 3), 3: (2, 2), 4: (3, 4), 5: (3, 5), 6: (3, 5), 7: (0, 6)}
-    df = spark.createDataFrame([(i, c, int(c < k)) for i, (k, n) in shape.items() for c in range(n)], "id int, ctu int, imputed_ctu int")
-    got = {r["edge"]: round(r["share_of_ids"], 2) for r in reports.missing_buckets(df, "id", "ctu", "imputed_ctu", (0.25, 0.5, 0.75, 0.99)).collect()}
-    assert got == {0.99: 0.14, 0.75: 0.29, 0.5: 0.57, 0.25: 0.71}
-    assert reports.missing_buckets(df, "id", "ctu", "imputed_ctu", (0.0001,)).first()["share_of_ids"] == pytest.approx(6 / 7)
+    # Four shops over ten weeks each: none, two, six and nine of the weeks were filled in.
+    df = spark.createDataFrame([(shop, week, int(week < filled)) for shop, filled in (("a", 0), ("b", 2), ("c", 6), ("d", 9)) for week in range(10)], "shop string, week int, filled int")
+    got = {r["edge"]: r["share_of_ids"] for r in reports.missing_buckets(df, "shop", "week", "filled", (0.1, 0.3, 0.6, 0.95)).collect()}
+    assert got == {0.1: 0.75, 0.3: 0.5, 0.6: 0.5, 0.95: 0.0}
 
 
 def test_numbers_in_text_are_compared_as_numbers(spark):

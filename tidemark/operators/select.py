@@ -85,18 +85,23 @@ def importances(df: DataFrame, columns: list[str], target: str, classifier) -> l
 def with_shadows(df: DataFrame, columns: list[str], seed: int) -> tuple[DataFrame, list[str]]:
     """Add a shuffled copy of every column: values move between rows, and lose any tie to the target.
 
-    Rows are dealt to groups by a hash; within a group each column is rotated by an
-    amount of its own.  No task sees more than a group.
+    Rows are dealt by a hash of their values to groups of about 4096, as many as the rows need, and ordered by another;
+    each column then swaps blocks of a length of its own with the block beside them, by lead and lag.  A row
+    without a counterpart at a group's end keeps its value.  Retries give the same rows; no rows are collected.
     """
-    groups = 4096
-    df = df.withColumn("__g", F.pmod(F.xxhash64(F.lit(seed), *columns, F.monotonically_increasing_id()), F.lit(groups)))
-    w = Window.partitionBy("__g")
-    df = df.withColumn("__o", F.row_number().over(w.orderBy(F.rand(seed)))).withColumn("__n", F.count(F.lit(1)).over(w))
-    values = df.groupBy("__g").agg(F.sort_array(F.collect_list(F.struct("__o", *columns))).alias("__all"))
-    df = df.join(values, "__g")
+    groups = max(1, math.ceil(df.count() / 4096))
     names = [f"shadow_{c}" for c in columns]
-    turned = {n: F.get(F.col("__all"), F.pmod(F.col("__o") + 1 + k, F.col("__n")).cast("int"))[c] for k, (n, c) in enumerate(zip(names, columns, strict=True))}
-    return df.withColumns(turned).drop("__g", "__o", "__n", "__all"), names
+    own = df.columns
+    w = Window.partitionBy("__g").orderBy("__h", *own)
+    dealt = df.withColumn("__g", F.pmod(F.xxhash64(F.lit(seed), *own), F.lit(groups))).withColumn("__h", F.xxhash64(*own, F.lit(seed)))
+    dealt = dealt.withColumn("__o", F.row_number().over(w) - 1)
+    swapped = {}
+    for k, (n, c) in enumerate(zip(names, columns, strict=True)):
+        length = 2 ** (k % 9)
+        first = F.floor(F.col("__o") / length) % 2 == 0
+        swapped[n] = F.when(first, F.lead(F.struct(c), length).over(w)).otherwise(F.lag(F.struct(c), length).over(w))
+    moved = dealt.withColumns(swapped)
+    return moved.withColumns({n: F.when(F.col(n).isNotNull(), F.col(n)[c]).otherwise(F.col(c)) for n, c in zip(names, columns, strict=True)}).drop("__g", "__h", "__o"), names
 
 
 def shadow_select(df: DataFrame, columns: list[str], target: str, cutoff: float = 1.0, delta: float = 0.1, rounds: int = 4, trees: int = 10, seed: int = 7) -> list[str]:

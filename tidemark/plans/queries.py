@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import plain_ascii
@@ -48,7 +48,7 @@ def _panel(spark, d, unit="quarter"):
 
 
 def _dense(spark, d):
-    """Filled quarters with a target: an urgent order fewer than 120 days after this quarter's last."""
+    """Filled quarters with a target: orders in the quarter, the last of them above 250,000."""
     p = densify.densify(_panel(spark, d), PANEL).withColumn("td", F.when(F.col("imputed_ctu") == 0, F.lit(1)))
     p = densify.fill_gaps(p, PANEL, "imputed_ctu", zeros=["n_orders"], carried=["o_totalprice"], since=["td"], period_days=91)
     return p.withColumn("target", ((F.col("n_orders") > 0) & (F.col("o_totalprice") > 250000)).cast("int"))
@@ -620,10 +620,12 @@ def score_histogram(spark, d):
 
 # ---- fitted selection and models: rows only ----
 def _modelling(spark, d):
-    """Every quarter with every feature; the target is known within its own quarter, so no quarter lacks a label."""
+    """Every quarter with every feature, and the target of the id's next quarter; its newest one has no next and no label."""
     rows = _enriched(spark, d)
     names = ["n_orders", "o_totalprice", "td", *_ENRICHED]
-    return rows.withColumn("y", F.col("target")).select("o_custkey", "ctu", "y", *(F.col(c).cast("double").alias(c) for c in names)), names
+    later = F.lead("target").over(Window.partitionBy("o_custkey").orderBy(F.desc("ctu")))
+    rows = rows.withColumn("y", later).where("y is not null")
+    return rows.select("o_custkey", "ctu", "y", *(F.col(c).cast("double").alias(c) for c in names)), names
 
 
 @query()
