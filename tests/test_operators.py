@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import floor_days, hash_share, ratio, to_int
-from tidemark.functions.prefix import cumulative, grouped_quantile, row_numbers
+from tidemark.functions.prefix import bucket_of, cumulative, grouped_quantile, row_numbers
 from tidemark.operators import cleaning, densify, features, metrics, model, outliers, periods, reports, select, splits, timeline
 from tidemark.roles import Duration, PanelRoles, Roles
 
@@ -168,6 +168,22 @@ def test_cumulative_equals_one_window(spark):
     assert total == sum(range(500)) and cumulative(df.where("false"), ["x"], {"s": F.col("k")}).count() == 0
 
 
+def test_tied_rows_are_cut_by_the_next_column(spark):
+    df = spark.createDataFrame([(2.0 if i % 4 else i / 50.0, i * 7 % 1000) for i in range(1000)], "x double, k int").cache()
+    for down in (False, True):
+        at = df.withColumn("b", bucket_of(df, ["x", "k"], 16, down))
+        assert at.groupBy("b").count().agg(F.max("count")).first()[0] < 200
+        got = sorted(row_numbers(df, ["x", "k"], descending=down, buckets=16).collect(), key=lambda r: r["row_number"])
+        assert [(r["x"], r["k"]) for r in got] == sorted(((r["x"], r["k"]) for r in got), reverse=down)
+
+
+def test_grouped_quantile_of_large_groups(spark):
+    df = spark.range(60000).select((F.col("id") % 2).alias("g"), F.when(F.col("id") % 3 == 0, 5.0).otherwise(F.pmod(F.xxhash64("id"), F.lit(100003)) / 7.0 - 900).alias("x")).cache()
+    for q in (0.0, 0.003, 0.5, 0.999, 1.0):
+        got = {r["g"]: r["v"] for r in grouped_quantile(df, ["g"], "x", q, "v").collect()}
+        assert got == pytest.approx({r["g"]: r["v"] for r in df.groupBy("g").agg(F.percentile("x", F.lit(q)).alias("v")).collect()})
+
+
 def test_grouped_quantile_equals_percentile(spark):
     df = spark.createDataFrame([(i % 3, float(i * i % 17) if i % 5 else None) for i in range(200)] + [(9, 4.0)], "g int, x double")
     for q in (0.0, 0.1, 0.5, 0.9, 1.0):

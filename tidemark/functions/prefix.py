@@ -1,25 +1,47 @@
-"""Cumulative sums and row numbers over a whole table, without one task that sees it all.
+"""Cumulative sums, row numbers and quantiles over a whole table, without one task that sees it all.
 
 A window without partitions sends every row to one task.  Here the leading
 order column is cut at approximate quantiles; a bucket's base is the sum of the
-buckets before it (a table of at most ``buckets`` rows), and windows run inside
-the buckets.  Rows that tie in the leading column share a bucket: aggregate
-them first where a value may hold much of the table.
+buckets before it (a small table), and windows run inside the buckets.  A value
+that fills a bucket alone is cut further by the next order column.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 
-def bucket_of(df: DataFrame, lead: str, buckets: int, descending: bool = False) -> Column:
-    """Bucket number of a numeric column, rising in the wanted order."""
-    cuts = sorted(set(df.approxQuantile(lead, [i / buckets for i in range(1, buckets)], 0.5 / buckets)))
+#: percentile_approx() is off by at most a share of 1 / _ACCURACY of a group's rows.
+_ACCURACY = 10000
+
+
+def _cuts(df: DataFrame, column: str, buckets: int) -> list[float]:
+    return df.approxQuantile(column, [i / buckets for i in range(1, buckets)], 0.5 / buckets)
+
+
+def bucket_of(df: DataFrame, order: list[str], buckets: int, descending: bool = False) -> Column:
+    """Bucket number of a row, rising in the wanted order; fewer than 2 * buckets**2 of them.
+
+    Values of order[0] that two cuts name hold a bucket's worth of rows each; their rows are cut
+    by order[1], if that is a number, so that ties meet in no single task.
+    """
+    lead, cuts = F.col(order[0]), _cuts(df, order[0], buckets)
+    hot = sorted({c for c in cuts if cuts.count(c) > 1})
     if not cuts:
         return F.lit(0)
-    at = F.size(F.filter(F.array(*(F.lit(float(c)) for c in cuts)), lambda c: c < F.col(lead)))
-    return (F.lit(len(cuts)) - at) if descending else at
+
+    def below(at: list[float], x: Column) -> Column:
+        return F.size(F.filter(F.array(*(F.lit(float(c)) for c in sorted(set(at)))), lambda c: c < x))
+
+    number = below(cuts, lead) * (2 * buckets)
+    if hot and len(order) > 1 and isinstance(df.schema[order[1]].dataType, NumericType):
+        tied = lead.cast("double").isin(hot)
+        fine = _cuts(df.where(tied), order[1], buckets)
+        if fine:
+            number = number + F.when(tied, buckets + below(fine, F.col(order[1]))).otherwise(0)
+    return -number if descending else number
 
 
 def cumulative(df: DataFrame, order: list[str], sums: dict[str, Column], descending: bool = False, buckets: int = 64) -> DataFrame:
@@ -27,8 +49,7 @@ def cumulative(df: DataFrame, order: list[str], sums: dict[str, Column], descend
 
     order[0] must be numeric; order must be total for the result to be unique.
     """
-    lead = order[0]
-    rows = df.withColumn("__bucket", bucket_of(df, lead, buckets, descending)).withColumns({f"__v_{k}": v for k, v in sums.items()})
+    rows = df.withColumn("__bucket", bucket_of(df, order, buckets, descending)).withColumns({f"__v_{k}": v for k, v in sums.items()})
     direction = [F.desc(c) if descending else F.asc(c) for c in order]
     totals = rows.groupBy("__bucket").agg(*(F.sum(f"__v_{k}").alias(f"__t_{k}") for k in sums))
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -48,19 +69,35 @@ def grouped_quantile(rows: DataFrame, keys: list[str], value: str, q: float, nam
     """keys and the exact q-quantile of value in each group, interpolated between neighbours; nulls do not count.
 
     Spark's percentile() keeps every distinct value of a group in one task's
-    memory.  Here equal values are counted map-side, ranked in buckets of the
-    value's range, and the two values around the wanted rank are the least with
-    enough rows up to them.  A bucket's base is a prefix sum over at most ``buckets`` rows of its group.
+    memory.  Here a first aggregation brackets the wanted rank between two approximate
+    percentiles, five times their error bound apart on each side (groups of up to _ACCURACY rows are
+    taken whole); a second counts the values below the bracket and, value by value, those inside.  Only the latter, about a
+    thousandth of the rows, are shuffled; they are ranked in ``buckets`` equal steps of the bracket.  A rank outside
+    its bracket would raise an error.  Groups are few (columns, periods): a row for each is broadcast.
     """
-    known = rows.where(F.col(value).isNotNull())
-    ties = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n")).withColumn("__bucket", bucket_of(known, value, buckets))
+    x, slack = F.col(value), 5 / _ACCURACY
+    known = rows.where(x.isNotNull()).select(*keys, value)
+    ends = known.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("__all"), F.min(value).alias("__min"), F.max(value).alias("__max"),
+        F.percentile_approx(value, [max(0.0, q - slack), min(1.0, q + slack)], _ACCURACY).alias("__ends"),
+    )
+    whole = F.col("__all") <= _ACCURACY
+    ends = ends.select(*keys, "__all", F.when(whole, F.col("__min")).otherwise(F.col("__ends")[0]).alias("__low"), F.when(whole, F.col("__max")).otherwise(F.col("__ends")[1]).alias("__high"))
+    near = known.join(F.broadcast(ends), keys).where(x <= F.col("__high"))
+    near = near.withColumn(value, F.when(x >= F.col("__low"), x))  # null: below the bracket
+    ties = near.groupBy(*keys, "__all", "__low", "__high", value).agg(F.count(F.lit(1)).alias("__n"))
+    step = F.try_divide((x - F.col("__low")).cast("double"), (F.col("__high") - F.col("__low")).cast("double")) * buckets
+    ties = ties.withColumn("__bucket", F.when(x.isNull(), -1).otherwise(F.coalesce(F.floor(step).cast("int"), F.lit(0))))
     before = Window.partitionBy(*keys).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     totals = ties.groupBy(*keys, "__bucket").agg(F.sum("__n").alias("__t"))
-    totals = totals.select(*keys, "__bucket", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__base"), F.sum("__t").over(Window.partitionBy(*keys)).alias("__all"))
+    totals = totals.select(*keys, "__bucket", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__base"))
     inside = Window.partitionBy(*keys, "__bucket").orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    run = ties.withColumn("__c", F.sum("__n").over(inside)).join(totals, [*keys, "__bucket"]).withColumn("__c", F.col("__c") + F.col("__base"))
+    run = ties.withColumn("__c", F.sum("__n").over(inside)).join(F.broadcast(totals), [*keys, "__bucket"]).withColumn("__c", F.col("__c") + F.col("__base"))
     at = F.lit(q) * (F.col("__all") - 1)
-    low = F.min(F.when(F.col("__c") >= F.floor(at) + 1, F.col(value)))
-    high = F.min(F.when(F.col("__c") >= F.ceil(at) + 1, F.col(value)))
+    # A null is the least, so a rank that lies below the bracket is seen by the row of nulls having enough.
+    lost = F.max(F.when(x.isNull() & (F.col("__c") >= F.floor(at) + 1), True).otherwise(False)) | (F.max("__c") < F.first(F.ceil(at) + 1))
+    low = F.min(F.when(F.col("__c") >= F.floor(at) + 1, x))
+    high = F.min(F.when(F.col("__c") >= F.ceil(at) + 1, x))
     part = F.first(at - F.floor(at))
-    return run.groupBy(*keys).agg((low + (high - low) * part).alias(name))
+    found = run.groupBy(*keys).agg(lost.alias("__lost"), (low + (high - low) * part).alias(name))
+    return found.select(*keys, F.when(F.col("__lost"), F.raise_error("a rank lies outside its bracket").cast("double")).otherwise(F.col(name)).alias(name))

@@ -74,11 +74,13 @@ def lift_statistic(df: DataFrame, label: str, probability: str, key: str, bins:
 def ks_two_sample(a: DataFrame, b: DataFrame, column: str) -> DataFrame:
     """One row: the greatest distance between the distributions of a column in two tables, and their sizes."""
     both = a.select(F.col(column).cast("double").alias("x"), F.lit(1).alias("one")).unionByName(b.select(F.col(column).cast("double").alias("x"), F.lit(0).alias("one")))
-    ties = both.where("x is not null").groupBy("x").agg(F.sum("one").alias("n"), F.sum(1 - F.col("one")).alias("m"))
+    both = both.where("x is not null")
+    n, m = both.agg(F.sum("one"), F.sum(1 - F.col("one"))).first()
+    ties = both.groupBy("x").agg(F.sum("one").alias("n"), F.sum(1 - F.col("one")).alias("m"))
     run = cumulative(ties, ["x"], {"cn": F.col("n"), "cm": F.col("m")})
-    sizes = ties.agg(F.sum("n").alias("n_a"), F.sum("m").alias("n_b"))
-    gap = F.abs(F.try_divide(F.col("cn").cast("double"), F.col("n_a")) - F.try_divide(F.col("cm").cast("double"), F.col("n_b")))
-    return run.crossJoin(F.broadcast(sizes)).agg(F.max(gap).alias("ks"), F.first("n_a").alias("n_a"), F.first("n_b").alias("n_b"))  # one row of sizes
+    sizes = {"n_a": F.lit(n).cast("long"), "n_b": F.lit(m).cast("long")}
+    gap = F.abs(F.try_divide(F.col("cn").cast("double"), sizes["n_a"]) - F.try_divide(F.col("cm").cast("double"), sizes["n_b"]))
+    return run.agg(F.max(gap).alias("ks"), *(c.alias(k) for k, c in sizes.items()))
 
 
 def histogram(df: DataFrame, column: str, low: float, high: float, bins: int = 30) -> DataFrame:

