@@ -21,6 +21,7 @@ def outlier_stats(df: DataFrame, columns: list[str], threshold: float = 10.0) ->
     """
     long = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns))).alias("r")).select("r.*").where("x is not null")
     first = long.groupBy("column").agg(F.avg("x").alias("mean")).join(grouped_quantile(long, ["column"], "x", 0.5, "median"), "column")
+    first = df.sparkSession.createDataFrame(first.collect(), first.schema)  # a row for each column, used three times below
     near = long.join(F.broadcast(first), "column").withColumn("off", F.abs(F.col("x") - F.col("median")))
     second = near.groupBy("column", "median").agg(F.avg(F.abs(F.col("x") - F.col("mean"))).alias("mean_dev")).join(grouped_quantile(near, ["column"], "off", 0.5, "mad"), "column")
     x, m = F.col("x"), F.col("median")
