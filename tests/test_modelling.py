@@ -10,7 +10,7 @@ FITTED = ["boruta_select", "coordinate_search", "gbt_scores", "recursive_elimina
 
 
 def quarters(df):
-    return {r[0] for r in df.select("ctu").distinct().collect()}
+    return {r[0] for r in df.select("period").distinct().collect()}
 
 
 def test_every_quarter_and_feature_enters(spark, sf_dir):
@@ -18,15 +18,15 @@ def test_every_quarter_and_feature_enters(spark, sf_dir):
     rows, names = queries._modelling(spark, sf_dir)
     ids = panel.select("o_custkey").distinct().count()
     assert rows.count() == panel.count() - ids and quarters(rows) == quarters(panel) - {0}
-    later = {(r.o_custkey, r.ctu): r.target for r in panel.select("o_custkey", "ctu", "target").collect()}
-    assert all(r.y == later[r.o_custkey, r.ctu - 1] for r in rows.select("o_custkey", "ctu", "y").collect())
-    assert set(names) == set(panel.columns) - {"o_custkey", "ctu", "target"} and len(names) == 17
+    later = {(r.o_custkey, r.period): r.target for r in panel.select("o_custkey", "period", "target").collect()}
+    assert all(r.y == later[r.o_custkey, r.period - 1] for r in rows.select("o_custkey", "period", "y").collect())
+    assert set(names) == set(panel.columns) - {"o_custkey", "period", "target"} and len(names) == 17
 
 
 @pytest.mark.parametrize("name", FITTED)
 def test_fitted_queries_use_all_of_it(spark, sf_dir, name, monkeypatch):
     panel = queries._modelling(spark, sf_dir)[0]
-    names = set(QUERIES["enrich_panel"](spark, sf_dir).columns) - {"o_custkey", "ctu", "target"}
+    names = set(QUERIES["enrich_panel"](spark, sf_dir).columns) - {"o_custkey", "period", "target"}
     fits = []
 
     def seen(f):

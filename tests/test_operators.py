@@ -12,7 +12,7 @@ from tidemark.functions.prefix import bucket_of, cumulative, grouped_quantile, r
 from tidemark.operators import cleaning, densify, features, metrics, model, outliers, periods, reports, select, splits, timeline
 from tidemark.roles import Duration, PanelRoles, Roles
 
-R, P = Roles("id", "ts", "eid"), PanelRoles("id", "ctu")
+R, P = Roles("id", "ts", "eid"), PanelRoles("id", "period")
 T0 = datetime(2024, 1, 1)
 
 
@@ -48,25 +48,25 @@ def test_days_since_last(spark):
 
 
 def test_collapse_takes_the_last_value_that_is_not_null(spark):
-    df = log(spark, [(1, 0, 5.0, 0), (1, 1, None, 0)]).withColumn("ctu", F.lit(0))
-    assert densify.collapse(df, R, "ctu", ["value"]).first()["value"] == 5.0
+    df = log(spark, [(1, 0, 5.0, 0), (1, 1, None, 0)]).withColumn("period", F.lit(0))
+    assert densify.collapse(df, R, "period", ["value"]).first()["value"] == 5.0
 
 
 def panel(spark, rows):
-    return spark.createDataFrame(rows, "id int, ctu int, n int, price double, td int, ref int")
+    return spark.createDataFrame(rows, "id int, period int, n int, price double, td int, ref int")
 
 
 def test_densify_and_fill(spark):
     df = densify.densify(panel(spark, [(1, 4, 2, 9.0, 0, 0), (1, 1, 1, 7.0, 5, 1), (2, 2, 3, None, -1, 0), (3, 0, 1, 1.0, 3, 0), (4, 3, 1, 1.0, 1, 0)]), P)
-    got = densify.fill_gaps(df, P, "imputed_ctu", zeros=["n"], carried=["price"], since=["td"], period_days=30)
-    rows = {(r["id"], r["ctu"]): (r["n"], r["price"], r["td"], r["imputed_ctu"]) for r in got.collect()}
+    got = densify.fill_gaps(df, P, "imputed", zeros=["n"], carried=["price"], since=["td"], period_days=30)
+    rows = {(r["id"], r["period"]): (r["n"], r["price"], r["td"], r["imputed"]) for r in got.collect()}
     assert (1, 5) not in rows and set(k for k in rows if k[0] == 3) == {(3, 0)}
     assert rows[1, 3] == (0, 9.0, 0, 1) and rows[1, 2] == (0, 9.0, 0, 1)  # a td of 0 stays 0
     assert rows[1, 0] == (0, 7.0, 35, 1) and rows[2, 1][2] == -1 and rows[2, 0][1] is None
     assert (rows[4, 2][2], rows[4, 1][2], rows[4, 0][2]) == (31, 61, 91)
-    left = {(r["id"], r["ctu"]) for r in densify.drop_trailing_imputed(got, P).collect()}
+    left = {(r["id"], r["period"]) for r in densify.drop_trailing_imputed(got, P).collect()}
     assert (1, 0) not in left and (1, 2) in left
-    assert {r["ctu"] for r in densify.drop_terminal_period(got, P, F.col("ref") == 1).where("id = 1").collect()} == {4, 3, 2}
+    assert {r["period"] for r in densify.drop_terminal_period(got, P, F.col("ref") == 1).where("id = 1").collect()} == {4, 3, 2}
 
 
 def test_label_uses_later_rows_only(spark):
@@ -77,7 +77,7 @@ def test_label_uses_later_rows_only(spark):
 def test_one_row_windows_are_zero_and_constants_do_not_raise(spark):
     df = panel(spark, [(1, 3, 2, 9.0, 0, 0), (2, 3, 2, 5.0, 0, 0), (2, 2, 2, 5.0, 0, 0), (2, 1, 2, 5.0, 0, 0), (3, 3, 2, 4.0, 0, 0), (3, 2, 2, 2.0, 0, 0), (3, 1, 2, 9.0, 0, 0)])
     got = features.rolling_rows(df, P, ["price"], 3)
-    rows = {(r["id"], r["ctu"]): r for r in got.collect()}
+    rows = {(r["id"], r["period"]): r for r in got.collect()}
     for s in ("std", "skew", "trend"):
         assert rows[1, 3][f"price_{s}_3"] == 0 and rows[2, 1][f"price_{s}_3"] == 0
     assert round(rows[3, 1]["price_skew_3"], 4) == 1.1521 and round(rows[3, 1]["price_trend_3"], 6) == 2.5
@@ -109,11 +109,11 @@ def test_fold_remainder_has_no_fold(spark):
 
 
 def test_splits_share_no_id(spark):
-    df = spark.createDataFrame([(i % 40, i) for i in range(200)], "id int, ctu int")
-    train, held = splits.in_time_split(df, "id", "ctu", 0.6)
+    df = spark.createDataFrame([(i % 40, i) for i in range(200)], "id int, period int")
+    train, held = splits.in_time_split(df, "id", "period", 0.6)
     a, b = {r["id"] for r in train.collect()}, [r["id"] for r in held.collect()]
     assert not a & set(b) and len(b) == len(set(b)) and len(a) + len(b) == 40
-    rest, own = splits.carve_out(df, df.where("ctu > 150"), "id", 0.5)
+    rest, own = splits.carve_out(df, df.where("period > 150"), "id", 0.5)
     assert not {r["id"] for r in rest.collect()} & {r["id"] for r in own.collect()}
 
 
@@ -145,9 +145,9 @@ def test_numbers_in_text_are_compared_as_numbers(spark):
 
 def test_week_of_new_year_and_day_periods(spark):
     df = spark.sql("select timestamp_ntz'2019-12-30' d union all select timestamp_ntz'2020-01-02' union all select timestamp_ntz'2020-01-06'")
-    got = [tuple(r) for r in periods.assign_period(df, "d", "week").orderBy("d").select("ctu", periods.year_unit(F.col("d"), "week")).collect()]
+    got = [tuple(r) for r in periods.assign_period(df, "d", "week").orderBy("d").select("period", periods.year_unit(F.col("d"), "week")).collect()]
     assert got == [(1, 202001), (1, 202001), (0, 202002)]
-    assert [r["ctu"] for r in periods.assign_period(df, "d", "day", 2, F.lit("2020-01-05").cast("date")).orderBy("d").collect()] == [3, 1, -1]
+    assert [r["period"] for r in periods.assign_period(df, "d", "day", 2, F.lit("2020-01-05").cast("date")).orderBy("d").collect()] == [3, 1, -1]
 
 
 @given(st.integers(1, 40), st.sampled_from(["day", "week", "month", "quarter", "year"]))

@@ -42,8 +42,8 @@ def test_sources_round_trip(spark, tmp_path):
         f.write("row\tid\twhen\tx\n0\t1\t2024-01-05 10:00:00\t9.0\n1\t2\t2024-02-05 10:00:00\t10.0\n")
     df = io.read_delimited(spark, path, "row int, id int, when timestamp, x double", "\t", "row")
     assert df.columns == ["id", "when", "x"] and df.agg(F.max("x")).first()[0] == 10.0
-    io.write_panel(df.withColumn("ctu", F.col("id")), f"{tmp_path}/panel", "ctu")
-    assert io.read_panel(spark, f"{tmp_path}/panel").where("ctu = 2").count() == 1
+    io.write_panel(df.withColumn("period", F.col("id")), f"{tmp_path}/panel", "period")
+    assert io.read_panel(spark, f"{tmp_path}/panel").where("period = 2").count() == 1
     io.write_report(df.select("id", "x"), f"{tmp_path}/report")
     assert spark.read.option("header", True).csv(f"{tmp_path}/report").count() == 2
 

@@ -16,7 +16,7 @@ def collapse(df: DataFrame, roles: Roles, period: str, columns: list[str], sums:
     return df.groupBy(roles.id, period).agg(*last, *(F.sum(c).alias(c) for c in sums))
 
 
-def densify(panel: DataFrame, roles: PanelRoles, imputed: str = "imputed_ctu", periods: list[int] | None = None) -> DataFrame:
+def densify(panel: DataFrame, roles: PanelRoles, imputed: str = "imputed", periods: list[int] | None = None) -> DataFrame:
     """Add the periods in which an id has no row, from its first period on, marked 1 (others 0).
 
     periods: those to be filled, by default the ones that any id has (found by a
@@ -73,7 +73,7 @@ def label_next(df: DataFrame, roles: Roles, ref: Column, horizon_days: int, name
     return df.withColumn(name, F.coalesce((floor_days(date if start is None else start, ahead) < horizon_days).cast("int"), F.lit(0)))
 
 
-def drop_trailing_imputed(panel: DataFrame, roles: PanelRoles, imputed: str = "imputed_ctu") -> DataFrame:
+def drop_trailing_imputed(panel: DataFrame, roles: PanelRoles, imputed: str = "imputed") -> DataFrame:
     """Without imputed periods after an id's last real one."""
     ahead = F.max(1 - F.col(imputed)).over(roles.ordered().rowsBetween(0, Window.unboundedFollowing))
     return panel.withColumn("__real", ahead).where("__real = 1").drop("__real")

@@ -32,7 +32,7 @@ def year_unit(date: Column, unit: str) -> Column:
     return F.year(date) * 100 + part(date)
 
 
-def assign_period(df: DataFrame, date: str, unit: str, length: int = 1, end: Column | None = None, name: str = "ctu") -> DataFrame:
+def assign_period(df: DataFrame, date: str, unit: str, length: int = 1, end: Column | None = None, name: str = "period") -> DataFrame:
     """Add the period of each row: units back from the end date's unit, in groups of length.
 
     end: the last date that counts; by default the latest in df, found by a pass over that column alone.
@@ -47,4 +47,4 @@ def assign_period(df: DataFrame, date: str, unit: str, length: int = 1, end: Col
 def calendar(spark: SparkSession, start: str, end: str, unit: str) -> DataFrame:
     """The unit numbers between two dates, newest first in their period numbers."""
     ends = spark.sql("select 1").select(unit_number(F.lit(start).cast("date"), unit).alias("a"), unit_number(F.lit(end).cast("date"), unit).alias("b"))
-    return ends.select(F.col("b"), F.explode(F.sequence("a", "b")).alias("unit")).select("unit", (F.col("b") - F.col("unit")).alias("ctu"))
+    return ends.select(F.col("b"), F.explode(F.sequence("a", "b")).alias("unit")).select("unit", (F.col("b") - F.col("unit")).alias("period"))

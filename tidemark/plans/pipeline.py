@@ -58,33 +58,33 @@ def label(df: DataFrame, c: Config) -> DataFrame:
     """Period and target of each event; events outside the calendar go after labelling."""
     d = Duration.parse(c.period)
     df = densify.label_next(df, c.roles, F.col("ref_event") == 1, Duration.parse(c.horizon).days)
-    return periods.assign_period(df, c.roles.date, d.unit, d.count).where("ctu >= 0")
+    return periods.assign_period(df, c.roles.date, d.unit, d.count).where("period >= 0")
 
 
 def panel(df: DataFrame, c: Config) -> DataFrame:
     """One row for each id and period, gaps filled."""
-    p = PanelRoles(c.roles.id, "ctu")
+    p = PanelRoles(c.roles.id, "period")
     df = df.withColumn("n_events", F.lit(1))
-    rows = densify.collapse(df, c.roles, "ctu", [*c.value_columns, "days_since_timeline", "target"], ["n_events", "ref_event"])
+    rows = densify.collapse(df, c.roles, "period", [*c.value_columns, "days_since_timeline", "target"], ["n_events", "ref_event"])
     rows = densify.densify(rows, p)
-    rows = densify.fill_gaps(rows, p, "imputed_ctu", zeros=["n_events", "ref_event"], carried=[*c.value_columns, "target"], since=["days_since_timeline"], period_days=Duration.parse(c.period).days)
+    rows = densify.fill_gaps(rows, p, "imputed", zeros=["n_events", "ref_event"], carried=[*c.value_columns, "target"], since=["days_since_timeline"], period_days=Duration.parse(c.period).days)
     return densify.drop_trailing_imputed(rows, p)
 
 
 def enrich(df: DataFrame, c: Config) -> DataFrame:
-    return features.enrich(df, PanelRoles(c.roles.id, "ctu"), ["n_events", *c.value_columns], c.rolling, c.lag)
+    return features.enrich(df, PanelRoles(c.roles.id, "period"), ["n_events", *c.value_columns], c.rolling, c.lag)
 
 
 def split(df: DataFrame, c: Config) -> DataFrame:
     """part: train or validate, by period; outliers are clamped to what the training rows show."""
-    own = [x for x in feature_columns(df, c) if x != "imputed_ctu"]
-    train = df.where(F.col("ctu") > c.validate_periods)
+    own = [x for x in feature_columns(df, c) if x != "imputed"]
+    train = df.where(F.col("period") > c.validate_periods)
     out = outliers.clamp(df, own, outliers.outlier_stats(train, own, c.outlier_threshold))
-    return out.withColumn("part", F.when(F.col("ctu") > c.validate_periods, "train").otherwise("validate"))
+    return out.withColumn("part", F.when(F.col("period") > c.validate_periods, "train").otherwise("validate"))
 
 
 def feature_columns(df: DataFrame, c: Config) -> list[str]:
-    return sorted(n for n, t in df.dtypes if t in ("int", "bigint", "double") and n not in (c.roles.id, "ctu", "target"))
+    return sorted(n for n, t in df.dtypes if t in ("int", "bigint", "double") and n not in (c.roles.id, "period", "target"))
 
 
 STAGES: tuple[tuple[str, Callable[[DataFrame, Config], DataFrame]], ...] = (("clean", clean), ("label", label), ("panel", panel), ("enrich", enrich), ("split", split))
@@ -111,7 +111,7 @@ def run(log: DataFrame, c: Config, folder: str | None = None, resume_from: str |
 
 def fit_and_score(table: DataFrame, c: Config) -> tuple[DataFrame, DataFrame]:
     """Choose columns and fit on rebalanced training rows; (scores of the validate rows, their metrics)."""
-    key = [c.roles.id, "ctu"]
+    key = [c.roles.id, "period"]
     train, validate = table.where("part = 'train'"), table.where("part = 'validate'")
     names = select.correlation_filter(train, feature_columns(table, c), mode_share=c.mode_share, r=c.correlation)
     fitted = model.fit_gbt(splits.rebalance(train, "target", key, c.most, c.least), names, "target", c.trees, c.depth)

@@ -13,7 +13,7 @@ from ..roles import PanelRoles, Roles
 
 EVENTS = Roles("user_id", "ts", "event_id")
 ORDERS = Roles("o_custkey", "o_orderdate", "o_orderkey")
-PANEL = PanelRoles("o_custkey", "ctu")
+PANEL = PanelRoles("o_custkey", "period")
 NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -44,13 +44,13 @@ def _orders(spark, d, unit="quarter"):
 
 def _panel(spark, d, unit="quarter"):
     orders = _orders(spark, d, unit).withColumn("n_orders", F.lit(1))
-    return densify.collapse(orders, ORDERS, "ctu", ["o_totalprice", "o_orderstatus", "o_orderdate"], ["n_orders"])
+    return densify.collapse(orders, ORDERS, "period", ["o_totalprice", "o_orderstatus", "o_orderdate"], ["n_orders"])
 
 
 def _dense(spark, d):
     """Filled quarters with a target: orders in the quarter, the last of them above 250,000."""
-    p = densify.densify(_panel(spark, d), PANEL).withColumn("td", F.when(F.col("imputed_ctu") == 0, F.lit(1)))
-    p = densify.fill_gaps(p, PANEL, "imputed_ctu", zeros=["n_orders"], carried=["o_totalprice"], since=["td"], period_days=91)
+    p = densify.densify(_panel(spark, d), PANEL).withColumn("td", F.when(F.col("imputed") == 0, F.lit(1)))
+    p = densify.fill_gaps(p, PANEL, "imputed", zeros=["n_orders"], carried=["o_totalprice"], since=["td"], period_days=91)
     return p.withColumn("target", ((F.col("n_orders") > 0) & (F.col("o_totalprice") > 250000)).cast("int"))
 
 
@@ -79,14 +79,14 @@ def _unit(unit):
 
 
 def _ord(unit="quarter"):
-    return f"ord AS (SELECT *, CAST((SELECT max({_unit(unit)}) FROM orders) - {_unit(unit)} AS INTEGER) AS ctu FROM orders)"
+    return f"ord AS (SELECT *, CAST((SELECT max({_unit(unit)}) FROM orders) - {_unit(unit)} AS INTEGER) AS period FROM orders)"
 
 
-_PAN = "pan AS (SELECT o_custkey, ctu, last(o_totalprice ORDER BY o_orderdate, o_orderkey) AS o_totalprice, last(o_orderstatus ORDER BY o_orderdate, o_orderkey) AS o_orderstatus, max(o_orderdate) AS o_orderdate, CAST(count(*) AS BIGINT) AS n_orders FROM ord GROUP BY ALL)"
-_DENSE = """spine AS (SELECT f.o_custkey, u.ctu FROM (SELECT o_custkey, max(ctu) AS first FROM pan GROUP BY 1) f JOIN (SELECT DISTINCT ctu FROM pan) u ON u.ctu <= f.first),
- dense AS (SELECT s.o_custkey, s.ctu, p.o_totalprice, p.n_orders, CASE WHEN p.n_orders IS NULL THEN 1 ELSE 0 END AS imputed_ctu FROM spine s LEFT JOIN pan p USING (o_custkey, ctu)),
- runs AS (SELECT *, sum(1 - imputed_ctu) OVER (PARTITION BY o_custkey ORDER BY ctu DESC ROWS UNBOUNDED PRECEDING) AS run FROM dense),
- filled AS (SELECT o_custkey, ctu, imputed_ctu, coalesce(n_orders, 0) AS n_orders, first_value(o_totalprice) OVER g AS o_totalprice, 1 + 91 * (row_number() OVER g - 1) AS td FROM runs WINDOW g AS (PARTITION BY o_custkey, run ORDER BY ctu DESC)),
+_PAN = "pan AS (SELECT o_custkey, period, last(o_totalprice ORDER BY o_orderdate, o_orderkey) AS o_totalprice, last(o_orderstatus ORDER BY o_orderdate, o_orderkey) AS o_orderstatus, max(o_orderdate) AS o_orderdate, CAST(count(*) AS BIGINT) AS n_orders FROM ord GROUP BY ALL)"
+_DENSE = """spine AS (SELECT f.o_custkey, u.period FROM (SELECT o_custkey, max(period) AS first FROM pan GROUP BY 1) f JOIN (SELECT DISTINCT period FROM pan) u ON u.period <= f.first),
+ dense AS (SELECT s.o_custkey, s.period, p.o_totalprice, p.n_orders, CASE WHEN p.n_orders IS NULL THEN 1 ELSE 0 END AS imputed FROM spine s LEFT JOIN pan p USING (o_custkey, period)),
+ runs AS (SELECT *, sum(1 - imputed) OVER (PARTITION BY o_custkey ORDER BY period DESC ROWS UNBOUNDED PRECEDING) AS run FROM dense),
+ filled AS (SELECT o_custkey, period, imputed, coalesce(n_orders, 0) AS n_orders, first_value(o_totalprice) OVER g AS o_totalprice, 1 + 91 * (row_number() OVER g - 1) AS td FROM runs WINDOW g AS (PARTITION BY o_custkey, run ORDER BY period DESC)),
  full_ AS (SELECT *, CASE WHEN n_orders > 0 AND o_totalprice > 250000 THEN 1 ELSE 0 END AS target FROM filled)"""
 _FULL = f"WITH {_ord()}, {_PAN}, {_DENSE}"
 
@@ -193,35 +193,35 @@ def side_table(spark, d):
 
 
 # ---- periods ----
-@query(f"WITH {_ord('month')} SELECT o_orderkey, ctu, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS year_unit FROM ord")
+@query(f"WITH {_ord('month')} SELECT o_orderkey, period, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS year_unit FROM ord")
 def period_assign_month(spark, d):
-    return _orders(spark, d, "month").select("o_orderkey", "ctu", periods.year_unit(F.col("o_orderdate"), "month").alias("year_unit"))
+    return _orders(spark, d, "month").select("o_orderkey", "period", periods.year_unit(F.col("o_orderdate"), "month").alias("year_unit"))
 
 
-@query("WITH u AS (SELECT event_id, CAST(floor((epoch_us(ts) / 86400000000.0 - 4) / 7) AS INTEGER) AS w, isoyear(ts) * 100 + weekofyear(ts) AS yw FROM events) SELECT event_id, CAST(CASE WHEN w > e THEN -1 ELSE (e - w) // 2 END AS INTEGER) AS ctu, CAST(yw AS INTEGER) AS year_unit FROM u, (SELECT CAST(floor((epoch_us(TIMESTAMP '2024-01-24') / 86400000000.0 - 4) / 7) AS INTEGER) AS e)")
+@query("WITH u AS (SELECT event_id, CAST(floor((epoch_us(ts) / 86400000000.0 - 4) / 7) AS INTEGER) AS w, isoyear(ts) * 100 + weekofyear(ts) AS yw FROM events) SELECT event_id, CAST(CASE WHEN w > e THEN -1 ELSE (e - w) // 2 END AS INTEGER) AS period, CAST(yw AS INTEGER) AS year_unit FROM u, (SELECT CAST(floor((epoch_us(TIMESTAMP '2024-01-24') / 86400000000.0 - 4) / 7) AS INTEGER) AS e)")
 def period_assign_two_weeks(spark, d):
     rows = periods.assign_period(_read(spark, d, "events"), "ts", "week", 2, F.lit("2024-01-24").cast("date"))
-    return rows.select("event_id", "ctu", periods.year_unit(F.col("ts"), "week").cast("int").alias("year_unit"))
+    return rows.select("event_id", "period", periods.year_unit(F.col("ts"), "week").cast("int").alias("year_unit"))
 
 
-@query("SELECT CAST(year(m) * 12 + month(m) AS INTEGER) AS unit, CAST(2001 * 12 + 8 - (year(m) * 12 + month(m)) AS INTEGER) AS ctu FROM (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) AS m)")
+@query("SELECT CAST(year(m) * 12 + month(m) AS INTEGER) AS unit, CAST(2001 * 12 + 8 - (year(m) * 12 + month(m)) AS INTEGER) AS period FROM (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) AS m)")
 def period_calendar(spark, d):
     return periods.calendar(spark, "1995-01-01", "2001-08-01", "month")
 
 
-@query(f"WITH {_ord()}, {_PAN} SELECT o_custkey, ctu, o_totalprice, o_orderstatus, n_orders FROM pan")
+@query(f"WITH {_ord()}, {_PAN} SELECT o_custkey, period, o_totalprice, o_orderstatus, n_orders FROM pan")
 def period_collapse(spark, d):
-    return _panel(spark, d).select("o_custkey", "ctu", "o_totalprice", "o_orderstatus", "n_orders")
+    return _panel(spark, d).select("o_custkey", "period", "o_totalprice", "o_orderstatus", "n_orders")
 
 
-@query(f"{_FULL} SELECT o_custkey, ctu, imputed_ctu FROM full_")
+@query(f"{_FULL} SELECT o_custkey, period, imputed FROM full_")
 def densify_periods(spark, d):
-    return densify.densify(_panel(spark, d), PANEL).select("o_custkey", "ctu", "imputed_ctu")
+    return densify.densify(_panel(spark, d), PANEL).select("o_custkey", "period", "imputed")
 
 
-@query(f"{_FULL} SELECT o_custkey, ctu, imputed_ctu, n_orders, o_totalprice, td, target FROM full_")
+@query(f"{_FULL} SELECT o_custkey, period, imputed, n_orders, o_totalprice, td, target FROM full_")
 def densify_fill(spark, d):
-    return _dense(spark, d).select("o_custkey", "ctu", "imputed_ctu", "n_orders", "o_totalprice", F.col("td").cast("long").alias("td"), "target")
+    return _dense(spark, d).select("o_custkey", "period", "imputed", "n_orders", "o_totalprice", F.col("td").cast("long").alias("td"), "target")
 
 
 @query(f"WITH {_EV} SELECT event_id, CASE WHEN {_fd('ts', f'first_value(CASE WHEN ref_event = 1 THEN ts END IGNORE NULLS) OVER ({_W} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)')} < 7 THEN 1 ELSE 0 END AS target FROM ev")
@@ -235,21 +235,21 @@ def label_from_period_end(spark, d):
     return densify.label_next(rows, ORDERS, F.col("o_orderpriority") == "1-URGENT", 60, start=F.last_day("o_orderdate").cast("timestamp_ntz")).select("o_orderkey", "target")
 
 
-@query(f"{_FULL} SELECT o_custkey, ctu FROM (SELECT *, max(1 - imputed_ctu) OVER (PARTITION BY o_custkey ORDER BY ctu DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS re FROM full_) WHERE re = 1")
+@query(f"{_FULL} SELECT o_custkey, period FROM (SELECT *, max(1 - imputed) OVER (PARTITION BY o_custkey ORDER BY period DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS re FROM full_) WHERE re = 1")
 def drop_trailing_imputed(spark, d):
-    return densify.drop_trailing_imputed(_dense(spark, d), PANEL).select("o_custkey", "ctu")
+    return densify.drop_trailing_imputed(_dense(spark, d), PANEL).select("o_custkey", "period")
 
 
-@query(f"{_FULL} SELECT o_custkey, ctu FROM (SELECT *, coalesce(min(CASE WHEN target = 1 THEN ctu END) OVER (PARTITION BY o_custkey), -999) AS re FROM full_) WHERE ctu > re")
+@query(f"{_FULL} SELECT o_custkey, period FROM (SELECT *, coalesce(min(CASE WHEN target = 1 THEN period END) OVER (PARTITION BY o_custkey), -999) AS re FROM full_) WHERE period > re")
 def drop_terminal_period(spark, d):
-    return densify.drop_terminal_period(_dense(spark, d), PANEL, F.col("target") == 1).select("o_custkey", "ctu")
+    return densify.drop_terminal_period(_dense(spark, d), PANEL, F.col("target") == 1).select("o_custkey", "period")
 
 
-@query(f"WITH {_ord('month')} SELECT min(ctu) AS label_offset FROM (SELECT ctu, max(o_orderdate) AS dd FROM ord GROUP BY 1) WHERE {_fd('dd', '(SELECT max(o_orderdate) FROM orders)')} >= 60")
+@query(f"WITH {_ord('month')} SELECT min(period) AS label_offset FROM (SELECT period, max(o_orderdate) AS dd FROM ord GROUP BY 1) WHERE {_fd('dd', '(SELECT max(o_orderdate) FROM orders)')} >= 60")
 def label_offset(spark, d):
     rows = _orders(spark, d, "month")
     last = rows.agg(F.max("o_orderdate")).first()[0]
-    return densify.label_offset(rows, "o_orderdate", "ctu", F.lit(last).cast("timestamp_ntz"), 60)
+    return densify.label_offset(rows, "o_orderdate", "period", F.lit(last).cast("timestamp_ntz"), 60)
 
 
 # ---- window features ----
@@ -262,22 +262,22 @@ def roll_time(spark, d):
     return out.select("event_id", F.round("sum_7d", 4).alias("sum_7d"), "max_7d", F.round("median_7d", 6).alias("median_7d"), "count_7d")
 
 
-@query(f"WITH {_ord()} SELECT o_custkey, ctu, o_orderkey FROM ord QUALIFY row_number() OVER (PARTITION BY o_custkey, ctu ORDER BY o_orderdate DESC, o_orderkey DESC) = 1")
+@query(f"WITH {_ord()} SELECT o_custkey, period, o_orderkey FROM ord QUALIFY row_number() OVER (PARTITION BY o_custkey, period ORDER BY o_orderdate DESC, o_orderkey DESC) = 1")
 def last_in_period(spark, d):
-    return features.last_in_period(_orders(spark, d), ORDERS, "ctu").select("o_custkey", "ctu", "o_orderkey")
+    return features.last_in_period(_orders(spark, d), ORDERS, "period").select("o_custkey", "period", "o_orderkey")
 
 
-_R6 = "(PARTITION BY o_custkey ORDER BY ctu DESC ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)"
+_R6 = "(PARTITION BY o_custkey ORDER BY period DESC ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)"
 
 
 def _roll_sql(expr):
-    return f"{_FULL}, num AS (SELECT *, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY ctu DESC) AS DOUBLE) AS pos, CAST(n_orders AS DOUBLE) AS x FROM full_) SELECT o_custkey, ctu, {expr} FROM num"
+    return f"{_FULL}, num AS (SELECT *, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY period DESC) AS DOUBLE) AS pos, CAST(n_orders AS DOUBLE) AS x FROM full_) SELECT o_custkey, period, {expr} FROM num"
 
 
 def _rolled(spark, d, *stats):
     rows = _dense(spark, d).withColumn("n_orders", F.col("n_orders").cast("double"))
     out = features.rolling_rows(rows, PANEL, ["n_orders"], 6, stats)
-    return out.select("o_custkey", "ctu", *(F.round(f"n_orders_{s}_6", 7 if s == "skew" else 6).alias(s) for s in stats))
+    return out.select("o_custkey", "period", *(F.round(f"n_orders_{s}_6", 7 if s == "skew" else 6).alias(s) for s in stats))
 
 
 @query(_roll_sql(f"round(avg(x) OVER {_R6}, 6) AS mean, round(coalesce(stddev_samp(x) OVER {_R6}, 0), 6) AS std, min(x) OVER {_R6} AS min, max(x) OVER {_R6} AS max, sum(x) OVER {_R6} AS sum, quantile_cont(x, 0.5) OVER {_R6} AS median"))
@@ -295,23 +295,23 @@ def roll_rows_skew(spark, d):
     return _rolled(spark, d, "skew")
 
 
-_P = "(PARTITION BY o_custkey ORDER BY ctu DESC)"
+_P = "(PARTITION BY o_custkey ORDER BY period DESC)"
 
 
-@query(f"{_FULL} SELECT o_custkey, ctu, coalesce(lag(n_orders, 1) OVER {_P}, 0) AS n_orders_lag_1, coalesce(lag(n_orders, 2) OVER {_P}, 0) AS n_orders_lag_2 FROM full_")
+@query(f"{_FULL} SELECT o_custkey, period, coalesce(lag(n_orders, 1) OVER {_P}, 0) AS n_orders_lag_1, coalesce(lag(n_orders, 2) OVER {_P}, 0) AS n_orders_lag_2 FROM full_")
 def lag_features(spark, d):
-    return features.lags(_dense(spark, d), PANEL, ["n_orders"], 2).select("o_custkey", "ctu", "n_orders_lag_1", "n_orders_lag_2")
+    return features.lags(_dense(spark, d), PANEL, ["n_orders"], 2).select("o_custkey", "period", "n_orders_lag_1", "n_orders_lag_2")
 
 
-@query(f"{_FULL} SELECT o_custkey, ctu, coalesce(lead(n_orders, 2) OVER {_P}, 0) AS ahead FROM full_")
+@query(f"{_FULL} SELECT o_custkey, period, coalesce(lead(n_orders, 2) OVER {_P}, 0) AS ahead FROM full_")
 def shift_features(spark, d):
-    return features.shift(_dense(spark, d), PANEL, ["n_orders"], -2).select("o_custkey", "ctu", F.col("n_orders_shift_-2").alias("ahead"))
+    return features.shift(_dense(spark, d), PANEL, ["n_orders"], -2).select("o_custkey", "period", F.col("n_orders_shift_-2").alias("ahead"))
 
 
-@query(f"{_FULL} SELECT o_custkey, ctu, round(coalesce(o_totalprice - lag(o_totalprice) OVER {_P}, 0), 4) AS diff, round(coalesce((o_totalprice - lag(o_totalprice) OVER {_P}) / nullif(lag(o_totalprice) OVER {_P}, 0), 0), 6) AS rate FROM full_")
+@query(f"{_FULL} SELECT o_custkey, period, round(coalesce(o_totalprice - lag(o_totalprice) OVER {_P}, 0), 4) AS diff, round(coalesce((o_totalprice - lag(o_totalprice) OVER {_P}) / nullif(lag(o_totalprice) OVER {_P}, 0), 0), 6) AS rate FROM full_")
 def diff_and_rate(spark, d):
     rows = features.rates(features.differences(_dense(spark, d), PANEL, ["o_totalprice"]), PANEL, ["o_totalprice"])
-    return rows.select("o_custkey", "ctu", F.round("o_totalprice_diff", 4).alias("diff"), F.round("o_totalprice_rate", 6).alias("rate"))
+    return rows.select("o_custkey", "period", F.round("o_totalprice_diff", 4).alias("diff"), F.round("o_totalprice_rate", 6).alias("rate"))
 
 
 @query("SELECT o_orderkey, " + ", ".join(f"round({f}(({v} - 1) * (2 * pi() / {n})), 6) AS {k}_{f}" for k, v, n in (("month", "month(o_orderdate)", 12), ("quarter", "quarter(o_orderdate)", 4), ("week", "weekofyear(o_orderdate)", 53), ("weekday", "isodow(o_orderdate)", 7)) for f in ("sin", "cos")) + " FROM orders")
@@ -347,10 +347,10 @@ def _enriched(spark, d):
     return features.enrich(rows, PANEL, ["n_orders", "o_totalprice"], 6, 2)
 
 
-@query(f"{_FULL}, num AS (SELECT * REPLACE (CAST(n_orders AS DOUBLE) AS n_orders), CAST(row_number() OVER {_P} AS DOUBLE) AS pos FROM full_) SELECT o_custkey, ctu, target, n_orders, o_totalprice, CAST(td AS BIGINT) AS td, {_enriched_sql('n_orders')}, {_enriched_sql('o_totalprice')} FROM num")
+@query(f"{_FULL}, num AS (SELECT * REPLACE (CAST(n_orders AS DOUBLE) AS n_orders), CAST(row_number() OVER {_P} AS DOUBLE) AS pos FROM full_) SELECT o_custkey, period, target, n_orders, o_totalprice, CAST(td AS BIGINT) AS td, {_enriched_sql('n_orders')}, {_enriched_sql('o_totalprice')} FROM num")
 def enrich_panel(spark, d):
     rounded = [F.round(c, n).alias(c) for c, n in _ENRICHED.items()]
-    return _enriched(spark, d).select("o_custkey", "ctu", "target", "n_orders", "o_totalprice", F.col("td").cast("long").alias("td"), *rounded)
+    return _enriched(spark, d).select("o_custkey", "period", "target", "n_orders", "o_totalprice", F.col("td").cast("long").alias("td"), *rounded)
 
 
 # ---- outliers ----
@@ -372,15 +372,15 @@ def outlier_clamp(spark, d):
 
 
 # ---- splits and sampling ----
-@query(f"{_FULL} SELECT o_custkey, ctu, CASE WHEN ctu > 3 THEN 'train' ELSE 'validate' END AS part FROM full_")
+@query(f"{_FULL} SELECT o_custkey, period, CASE WHEN period > 3 THEN 'train' ELSE 'validate' END AS part FROM full_")
 def split_period(spark, d):
-    train, validate = splits.period_split(_dense(spark, d), "ctu", 3)
-    return train.select("o_custkey", "ctu", F.lit("train").alias("part")).unionByName(validate.select("o_custkey", "ctu", F.lit("validate").alias("part")))
+    train, validate = splits.period_split(_dense(spark, d), "period", 3)
+    return train.select("o_custkey", "period", F.lit("train").alias("part")).unionByName(validate.select("o_custkey", "period", F.lit("validate").alias("part")))
 
 
-@query(f"{_FULL} SELECT o_custkey, ctu FROM full_ WHERE ctu = 2 AND o_custkey NOT IN (SELECT o_custkey FROM full_ WHERE ctu = 2 AND target = 1)")
+@query(f"{_FULL} SELECT o_custkey, period FROM full_ WHERE period = 2 AND o_custkey NOT IN (SELECT o_custkey FROM full_ WHERE period = 2 AND target = 1)")
 def predict_split(spark, d):
-    return splits.predict_split(_dense(spark, d), "o_custkey", "ctu", 2, F.col("target") == 1).select("o_custkey", "ctu")
+    return splits.predict_split(_dense(spark, d), "o_custkey", "period", 2, F.col("target") == 1).select("o_custkey", "period")
 
 
 @query("SELECT o_orderkey, CAST(CASE WHEN f < 4 THEN f END AS INTEGER) AS fold FROM (SELECT o_orderkey, (row_number() OVER (ORDER BY o_custkey, o_orderkey) - 1) // ((SELECT count(*) FROM orders) // 4) AS f FROM orders)")
@@ -395,11 +395,11 @@ def fold_semi_anti(spark, d):
     return train.select("o_orderkey", F.lit("train").alias("part")).unionByName(test.select("o_orderkey", F.lit("test").alias("part")))
 
 
-@query(f"{_FULL} SELECT o_custkey, ctu, CASE WHEN ctu > 3 OR ctu = 3 THEN 'train' ELSE 'test' END AS part FROM full_ WHERE ctu <= 12")
+@query(f"{_FULL} SELECT o_custkey, period, CASE WHEN period > 3 OR period = 3 THEN 'train' ELSE 'test' END AS part FROM full_ WHERE period <= 12")
 def validation_assembly(spark, d):
-    train, validate = splits.period_split(_dense(spark, d), "ctu", 3)
-    a, b = splits.validation_parts(train, validate, "ctu", 12, 2)
-    return a.select("o_custkey", "ctu", F.lit("train").alias("part")).unionByName(b.select("o_custkey", "ctu", F.lit("test").alias("part")))
+    train, validate = splits.period_split(_dense(spark, d), "period", 3)
+    a, b = splits.validation_parts(train, validate, "period", 12, 2)
+    return a.select("o_custkey", "period", F.lit("train").alias("part")).unionByName(b.select("o_custkey", "period", F.lit("test").alias("part")))
 
 
 _UP = "(SELECT count(*) FILTER (o_orderpriority = '1-URGENT') / count(*) FROM orders)"
@@ -515,42 +515,42 @@ def column_treatments(spark, d):
     return reports.treatments(_read(spark, d, "lineitem"), NUMBERS, {"summed": ["l_quantity"], "carried": ["l_discount"], "binary": ["l_discount"]}).withColumns(_r(*_S, digits=4))
 
 
-@query(f"WITH {_ord()}, x AS (SELECT ctu, o_totalprice AS x FROM ord) SELECT ctu, 'o_totalprice' AS \"column\", {_STATS} FROM x GROUP BY 1")
+@query(f"WITH {_ord()}, x AS (SELECT period, o_totalprice AS x FROM ord) SELECT period, 'o_totalprice' AS \"column\", {_STATS} FROM x GROUP BY 1")
 def per_period_stats(spark, d):
-    return reports.per_period_stats(_orders(spark, d), "ctu", ["o_totalprice"]).withColumns(_r(*_S, digits=4))
+    return reports.per_period_stats(_orders(spark, d), "period", ["o_totalprice"]).withColumns(_r(*_S, digits=4))
 
 
 # The tables hold 27 quarters; the query takes their number from the data.
-_QUARTERS = ", ".join(f"round(max(CASE WHEN ctu = {k} THEN v END), 4) AS p{k}" for k in range(27))
+_QUARTERS = ", ".join(f"round(max(CASE WHEN period = {k} THEN v END), 4) AS p{k}" for k in range(27))
 
 
-@query(f"WITH {_ord()}, s AS (SELECT ctu, min(o_totalprice) AS \"min\", max(o_totalprice) AS \"max\", avg(o_totalprice) AS mean, stddev_samp(o_totalprice) AS stddev, median(o_totalprice) AS median FROM ord GROUP BY 1), t AS (UNPIVOT s ON \"min\", \"max\", mean, stddev, median INTO NAME statistic VALUE v) SELECT statistic, {_QUARTERS} FROM t GROUP BY 1")
+@query(f"WITH {_ord()}, s AS (SELECT period, min(o_totalprice) AS \"min\", max(o_totalprice) AS \"max\", avg(o_totalprice) AS mean, stddev_samp(o_totalprice) AS stddev, median(o_totalprice) AS median FROM ord GROUP BY 1), t AS (UNPIVOT s ON \"min\", \"max\", mean, stddev, median INTO NAME statistic VALUE v) SELECT statistic, {_QUARTERS} FROM t GROUP BY 1")
 def per_period_wide(spark, d):
-    wide = reports.per_period_wide(_orders(spark, d), "ctu", "o_totalprice")
+    wide = reports.per_period_wide(_orders(spark, d), "period", "o_totalprice")
     return wide.select("statistic", *(F.round(F.col(k), 4).alias(f"p{k}") for k in wide.columns if k != "statistic"))
 
 
-@query(f"WITH {_ord()}, s AS (SELECT ctu, min(o_totalprice) AS \"min\", max(o_totalprice) AS \"max\", avg(o_totalprice) AS mean, stddev_samp(o_totalprice) AS stddev, median(o_totalprice) AS median FROM ord GROUP BY 1), t AS (SELECT * FROM s UNPIVOT INCLUDE NULLS (v FOR statistic IN (\"min\", \"max\", mean, stddev, median))) SELECT ctu, statistic, round(v, 4) AS value FROM t")
+@query(f"WITH {_ord()}, s AS (SELECT period, min(o_totalprice) AS \"min\", max(o_totalprice) AS \"max\", avg(o_totalprice) AS mean, stddev_samp(o_totalprice) AS stddev, median(o_totalprice) AS median FROM ord GROUP BY 1), t AS (SELECT * FROM s UNPIVOT INCLUDE NULLS (v FOR statistic IN (\"min\", \"max\", mean, stddev, median))) SELECT period, statistic, round(v, 4) AS value FROM t")
 def per_period_tall(spark, d):
-    return reports.per_period_tall(_orders(spark, d), "ctu", "o_totalprice").withColumns(_r("value", digits=4))
+    return reports.per_period_tall(_orders(spark, d), "period", "o_totalprice").withColumns(_r("value", digits=4))
 
 
-@query(f"{_FULL} SELECT ctu, count(*) AS n, CAST(sum(target) AS BIGINT) AS positives, round(count(*) / nullif(sum(target), 0), 6) AS rows_per_positive FROM full_ GROUP BY 1")
+@query(f"{_FULL} SELECT period, count(*) AS n, CAST(sum(target) AS BIGINT) AS positives, round(count(*) / nullif(sum(target), 0), 6) AS rows_per_positive FROM full_ GROUP BY 1")
 def target_by_period(spark, d):
-    return reports.target_by_period(_dense(spark, d), "ctu", "target").withColumns(_r("rows_per_positive"))
+    return reports.target_by_period(_dense(spark, d), "period", "target").withColumns(_r("rows_per_positive"))
 
 
-_MISS = "ms AS (SELECT o_custkey, count(DISTINCT CASE WHEN imputed_ctu = 1 THEN ctu END) / count(DISTINCT ctu) AS s FROM full_ GROUP BY 1)"
+_MISS = "ms AS (SELECT o_custkey, count(DISTINCT CASE WHEN imputed = 1 THEN period END) / count(DISTINCT period) AS s FROM full_ GROUP BY 1)"
 
 
 @query(f"{_FULL}, {_MISS} SELECT o_custkey, round(s, 6) AS missing_share FROM ms WHERE s > 0")
 def missing_share(spark, d):
-    return reports.missing_share(_dense(spark, d), "o_custkey", "ctu", "imputed_ctu").withColumns(_r("missing_share"))
+    return reports.missing_share(_dense(spark, d), "o_custkey", "period", "imputed").withColumns(_r("missing_share"))
 
 
 @query(f"{_FULL}, {_MISS} SELECT CAST(e AS DOUBLE) AS edge, round(avg(CASE WHEN s > 0 AND s >= e THEN 1.0 ELSE 0.0 END), 6) AS share_of_ids FROM ms, (VALUES (0.0), (0.25), (0.5), (0.75), (0.99)) v(e) GROUP BY 1")
 def missing_buckets(spark, d):
-    return reports.missing_buckets(_dense(spark, d), "o_custkey", "ctu", "imputed_ctu").withColumns(_r("share_of_ids"))
+    return reports.missing_buckets(_dense(spark, d), "o_custkey", "period", "imputed").withColumns(_r("share_of_ids"))
 
 
 @query(f"{_FULL}, p AS (SELECT o_custkey, CAST(count(*) AS DOUBLE) AS x FROM full_ WHERE target = 1 GROUP BY 1) SELECT {_STATS} FROM p")
@@ -558,9 +558,9 @@ def positives_per_id(spark, d):
     return reports.positives_per_id(_dense(spark, d), "o_custkey", "target").withColumns(_r(*_S, digits=4))
 
 
-@query(f"{_FULL} SELECT ctu, round(count(DISTINCT CASE WHEN target = 1 THEN o_custkey END) / count(DISTINCT o_custkey), 2) AS positive_share FROM full_ GROUP BY 1")
+@query(f"{_FULL} SELECT period, round(count(DISTINCT CASE WHEN target = 1 THEN o_custkey END) / count(DISTINCT o_custkey), 2) AS positive_share FROM full_ GROUP BY 1")
 def positive_share_by_period(spark, d):
-    return reports.positive_share_by_period(_dense(spark, d), "o_custkey", "ctu", "target")
+    return reports.positive_share_by_period(_dense(spark, d), "o_custkey", "period", "target")
 
 
 @query(f"{_FULL} SELECT 'orders' AS step, count(*) AS n_rows, count(DISTINCT o_custkey) AS n_ids, CAST(NULL AS BIGINT) AS n_positive_ids FROM orders UNION ALL SELECT 'panel', count(*), count(DISTINCT o_custkey), count(DISTINCT CASE WHEN target = 1 THEN o_custkey END) FROM full_")
@@ -631,9 +631,9 @@ def _modelling(spark, d):
     """Every quarter with every feature, and the target of the id's next quarter; its newest one has no next and no label."""
     rows = _enriched(spark, d)
     names = ["n_orders", "o_totalprice", "td", *_ENRICHED]
-    later = F.lead("target").over(Window.partitionBy("o_custkey").orderBy(F.desc("ctu")))
+    later = F.lead("target").over(Window.partitionBy("o_custkey").orderBy(F.desc("period")))
     rows = rows.withColumn("y", later).where("y is not null")
-    return rows.select("o_custkey", "ctu", "y", *(F.col(c).cast("double").alias(c) for c in names)), names
+    return rows.select("o_custkey", "period", "y", *(F.col(c).cast("double").alias(c) for c in names)), names
 
 
 @query()
@@ -659,8 +659,8 @@ def gbt_scores(spark, d):
     from ..operators import model
 
     rows, names = _modelling(spark, d)
-    train, test = splits.period_split(rows, "ctu", 4)
-    return model.score(model.fit_gbt(train, names, "y", trees=5), test, names, ["o_custkey", "ctu", "y"])
+    train, test = splits.period_split(rows, "period", 4)
+    return model.score(model.fit_gbt(train, names, "y", trees=5), test, names, ["o_custkey", "period", "y"])
 
 
 @query()
@@ -668,7 +668,7 @@ def coordinate_search(spark, d):
     from ..operators import model
 
     rows, names = _modelling(spark, d)
-    rows = splits.fold_assign(rows, ["o_custkey", "ctu"], 2)
+    rows = splits.fold_assign(rows, ["o_custkey", "period"], 2)
 
     def evaluate(p):
         got = [x for x in model.cross_validate(rows, names, "y", ["o_custkey"], 2, **p) if x is not None]

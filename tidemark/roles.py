@@ -38,7 +38,7 @@ class PanelRoles:
     """Column names of a panel: one row for each id and period; period 0 is the newest and numbers grow into the past."""
 
     id: str = "id"
-    period: str = "ctu"
+    period: str = "period"
 
     def ordered(self) -> WindowSpec:
         from pyspark.sql import functions as F
