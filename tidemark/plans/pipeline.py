@@ -1,8 +1,8 @@
 """The staged event-sequence pipeline: log to panel to features to splits to scores.
 
 A stage is a function of the table before it.  With a folder, each stage's
-table is Parquet there, and a run can resume from any of them; without one, Spark sees the
-whole chain as one plan.
+table is Parquet there, and a run can resume from any of them; without one, the chain is one plan, and the small
+statistics that enter it as literals (last dates, periods, outlier bounds) each run what comes before them again.
 """
 
 from __future__ import annotations
