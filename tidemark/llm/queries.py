@@ -87,6 +87,12 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .spelling import spelling_variants
+
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 _ALL = (
     op1_quality_rules,
     op2_token_files,
@@ -98,6 +104,7 @@ _ALL = (
     op8_minhash_near_dedup,
     op9_html_extraction,
     op10_license_scans,
+    op12_spelling_variants,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
