@@ -87,6 +87,13 @@ def op10_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .hard_negatives import mine_hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .spelling import spelling_variants
 
@@ -104,6 +111,7 @@ _ALL = (
     op8_minhash_near_dedup,
     op9_html_extraction,
     op10_license_scans,
+    op11_hard_negatives,
     op12_spelling_variants,
 )
 QUERIES = {f.__name__: f for f in _ALL}
@@ -116,6 +124,14 @@ _NEAR = rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(co
  l AS (SELECT a, b FROM p JOIN n m ON m.doc_id = a JOIN n k ON k.doc_id = b WHERE 100 * both_ >= 75 * (m.n + k.n - both_)),
  c AS (SELECT doc_id, doc_id AS low FROM documents UNION SELECT l.b, c.low FROM c JOIN l ON l.a = c.doc_id)
  SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(c.low) AS component_id, d.doc_id = min(c.low) AS kept FROM documents d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n.n"""
+#: Hard negatives from the definition alone: all scores of the anchors, ranked.
+_NEGATIVES = """WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+ p AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS k FROM s WHERE same) WHERE k <= 5),
+ n AS (SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+ SELECT * FROM n WHERE rank <= 10"""
 #: The others follow from a fitted model, a tokenizer or a packing, or return CRC-32, which SQL has no words for;
 #: tests/llm compares them with brute force.
-ORACLES: dict[str, str] = {"op8_minhash_near_dedup": _NEAR}
+ORACLES: dict[str, str] = {"op8_minhash_near_dedup": _NEAR, "op11_hard_negatives": _NEGATIVES}
