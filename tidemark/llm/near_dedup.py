@@ -223,35 +223,19 @@ class _Groups:
         return met.select(F.least("a", "x_a").alias("a"), F.greatest("a", "x_a").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: int = 32, rows: int = 4) -> DataFrame:
-    """Classes of documents linked by 100 * |A & B| >= percent * |A | B| on sets of word shingles.
-
-    Returns doc_id, n_shingles, component_id (smallest doc_id reachable) and
-    kept (doc_id = component_id), one row for each row of docs.
+def link_signed(docs: DataFrame, signed: DataFrame, width: int, percent: int, work: Scratch, possible: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """doc_id, n_shingles, component_id for documents whose links all share a key.
 
-    1. A fast similarity sketch, whose coordinates make the bands, and a print of the whole set for each
-       document; documents with one print are one node, their smallest doc_id.
-    2. Nodes that share a band are a bucket; its centre is the node whose bands are the most shared, which
-       in a group of copies is one close to what they were copied from.  Every node is compared with the centres of its
-       buckets, on whole sets: n comparisons for n nodes.
-    3. Where the nodes of one centre still span several components, those that it leaves open meet each of a small group, or,
-       in a larger one, the nodes nearest to the centre in a few rounds and then, exactly, all that share enough
-       of their differences from the centre.  No link between two nodes of one bucket is lost.
-
-    At the threshold a pair shares no band with probability
-    (1 - 0.75**4)**32 = 5e-6.  Null, empty and blank texts have no shingles and
-    stay alone.  Repeated doc_ids are one document if their texts agree; with
-    different texts, their links count for all of them.  Null doc_ids are
-    kept as they are, unlinked.  An empty table gives no rows.  Only doc_id and text are read, so other
-    columns may have any name.
+    signed: doc_id, n_shingles, print and bands (keys of any number, equal for equal prints).  possible: keeps of pairs (g, a) of documents
+    those that may be linked, before they are compared.  near_duplicates() says how keys become links.
     """
-    work = Scratch(docs.sparkSession, "near")
-    signed = work.keep(sketch_documents(docs, width, bands, rows), "signed")
+    signed = work.keep(signed, "signed")
     some = signed.where("print is not null and doc_id is not null")
     nodes = work.keep(some.groupBy("print").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands")), "nodes")
-    keyed = nodes.select("id", F.posexplode("bands").alias("band", "hash")).select("id", F.xxhash64("band", "hash").alias("key"))
+    keyed = nodes.select("id", F.explode("bands").alias("key"))
     shared = work.keep(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("many", F.col("n")), "shared")
-    members = work.keep(spread_join(keyed, shared, ["key"], ["id"], nodes.count() * bands), "members")
+    total = nodes.agg(F.sum(F.size("bands"))).first()[0] or 0
+    members = work.keep(spread_join(keyed, shared, ["key"], ["id"], total), "members")
     central = members.withColumn("pull", F.sum("many").over(Window.partitionBy("id")))
     centers = central.groupBy("key").agg(F.min_by("id", F.struct(-F.col("pull"), "id")).alias("center"), F.count(F.lit(1)).alias("n"))
     paired = spread_join(members, work.keep(centers, "centers"), ["key"], ["id"])
@@ -287,6 +271,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     if not mixed.where((F.col("many") > _SMALL) & F.col("open")).isEmpty():
         left = left.unionByName(groups.by_differences(mixed))
     left = work.keep(left.select(F.col("b").alias("g"), "a").distinct(), "left")
+    if possible:
+        left = work.keep(possible(left), "left-possible")
     if not left.isEmpty():
         links.append(linked(left, left.select("g", F.col("g").alias("h")).distinct(), "late"))
     if links:
@@ -299,7 +285,34 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     labels = work.keep(labels, "labels")
     alone = signed.where("print is null or doc_id is null").withColumn("component_id", F.col("doc_id"))
     out = some.join(labels, "print").select(*signed.columns, "component_id").unionByName(alone)
-    out = work.keep(out.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept")), "out")
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: int = 32, rows: int = 4) -> DataFrame:
+    """Classes of documents linked by 100 * |A & B| >= percent * |A | B| on sets of word shingles.
+
+    Returns doc_id, n_shingles, component_id (smallest doc_id reachable) and
+    kept (doc_id = component_id), one row for each row of docs.
+
+    1. A fast similarity sketch, whose coordinates make the bands, and a print of the whole set for each
+       document; documents with one print are one node, their smallest doc_id.
+    2. Nodes that share a band are a bucket; its centre is the node whose bands are the most shared, which
+       in a group of copies is one close to what they were copied from.  Every node is compared with the centres of its
+       buckets, on whole sets: n comparisons for n nodes.
+    3. Where the nodes of one centre still span several components, those that it leaves open meet each of a small group, or,
+       in a larger one, the nodes nearest to the centre in a few rounds and then, exactly, all that share enough
+       of their differences from the centre.  No link between two nodes of one bucket is lost.
+
+    At the threshold a pair shares no band with probability
+    (1 - 0.75**4)**32 = 5e-6.  Null, empty and blank texts have no shingles and
+    stay alone.  Repeated doc_ids are one document if their texts agree; with
+    different texts, their links count for all of them.  Null doc_ids are
+    kept as they are, unlinked.  An empty table gives no rows.  Only doc_id and text are read, so other
+    columns may have any name.
+    """
+    work = Scratch(docs.sparkSession, "near")
+    out = link_signed(docs, sketch_documents(docs, width, bands, rows), width, percent, work)
+    out = work.keep(out.withColumn("kept", F.col("doc_id") == F.col("component_id")), "out")
     work.drop_all_but("out")
     return out
 

@@ -100,6 +100,12 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(_table(spark, sf_dir, "documents"))
 
 
+def op13_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .parity_join import jaccard_join
+
+    return jaccard_join(_table(spark, sf_dir, "documents"))
+
+
 _ALL = (
     op1_quality_rules,
     op2_token_files,
@@ -113,17 +119,23 @@ _ALL = (
     op10_license_scans,
     op11_hard_negatives,
     op12_spelling_variants,
+    op13_ngram_jaccard_join,
 )
 QUERIES = {f.__name__: f for f in _ALL}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Near duplicates from the definition alone: all shingles, all pairs that share one, and the closure of the links.
-_NEAR = rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
- s AS (SELECT DISTINCT doc_id, md5(array_to_string(CASE WHEN len(ws) < 5 THEN ws ELSE ws[i:i + 4] END, ' ')) AS sh FROM w, unnest(range(1, greatest(2, len(ws) - 3))) AS r(i) WHERE len(ws) > 0),
+
+
+def _linked(width: int, percent: int, more: str = "") -> str:
+    """Near duplicates from the definition alone: all shingles, all pairs that share one, and the closure of the links."""
+    return rf"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+ s AS (SELECT DISTINCT doc_id, md5(array_to_string(CASE WHEN len(ws) < {width} THEN ws ELSE ws[i:i + {width - 1}] END, ' ')) AS sh FROM w, unnest(range(1, greatest(2, len(ws) - {width - 2}))) AS r(i) WHERE len(ws) > 0),
  n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
  p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both_ FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id GROUP BY 1, 2),
- l AS (SELECT a, b FROM p JOIN n m ON m.doc_id = a JOIN n k ON k.doc_id = b WHERE 100 * both_ >= 75 * (m.n + k.n - both_)),
+ l AS (SELECT a, b FROM p JOIN n m ON m.doc_id = a JOIN n k ON k.doc_id = b WHERE 100 * both_ >= {percent} * (m.n + k.n - both_)),
  c AS (SELECT doc_id, doc_id AS low FROM documents UNION SELECT l.b, c.low FROM c JOIN l ON l.a = c.doc_id)
- SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(c.low) AS component_id, d.doc_id = min(c.low) AS kept FROM documents d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n.n"""
+ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(c.low) AS component_id{more} FROM documents d JOIN c ON c.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id, n.n"""
+
+
 #: Hard negatives from the definition alone: all scores of the anchors, ranked.
 _NEGATIVES = """WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -134,4 +146,4 @@ _NEGATIVES = """WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label +
  SELECT * FROM n WHERE rank <= 10"""
 #: The others follow from a fitted model, a tokenizer or a packing, or return CRC-32, which SQL has no words for;
 #: tests/llm compares them with brute force.
-ORACLES: dict[str, str] = {"op8_minhash_near_dedup": _NEAR, "op11_hard_negatives": _NEGATIVES}
+ORACLES: dict[str, str] = {"op8_minhash_near_dedup": _linked(5, 75, ", d.doc_id = min(c.low) AS kept"), "op11_hard_negatives": _NEGATIVES, "op13_ngram_jaccard_join": _linked(4, 85)}
