@@ -223,31 +223,40 @@ class _Groups:
         return met.select(F.least("a", "x_a").alias("a"), F.greatest("a", "x_a").alias("b")).distinct()
 
 
-def link_signed(docs: DataFrame, signed: DataFrame, width: int, percent: int, work: Scratch, possible: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def link_signed(docs: DataFrame, signed: DataFrame, own: str, width: int, percent: int, work: Scratch, possible: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id for documents whose links all share a key.
 
-    signed: doc_id, n_shingles, print and bands (keys of any number, equal for equal prints).  possible: keeps of pairs (g, a) of documents
-    those that may be linked, before they are compared.  near_duplicates() says how keys become links.
+    signed: doc_id, n_shingles, print and bands (keys of any number, equal for equal prints), read from the table of that
+    name in work, which goes when it has been read.  possible: keeps of pairs (g, a) of documents those that may be linked, before they are
+    compared.  near_duplicates() says how keys become links.
     """
-    signed = work.keep(signed, "signed")
     some = signed.where("print is not null and doc_id is not null")
-    nodes = work.keep(some.groupBy("print").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands")), "nodes")
+    nodes = work.keep(some.groupBy("print").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands")), "keyed")
+    signed = work.keep(signed.select("doc_id", "n_shingles", "print"), "prints")
+    some = signed.where("print is not null and doc_id is not null")
+    work.drop(own)
+    work.release()
     keyed = nodes.select("id", F.explode("bands").alias("key"))
     shared = work.keep(keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("many", F.col("n")), "shared")
     total = nodes.agg(F.sum(F.size("bands"))).first()[0] or 0
+    work.release()
     members = work.keep(spread_join(keyed, shared, ["key"], ["id"], total), "members")
+    nodes = work.keep(nodes.select("print", "id"), "nodes")
     central = members.withColumn("pull", F.sum("many").over(Window.partitionBy("id")))
     centers = central.groupBy("key").agg(F.min_by("id", F.struct(-F.col("pull"), "id")).alias("center"), F.count(F.lit(1)).alias("n"))
     paired = spread_join(members, work.keep(centers, "centers"), ["key"], ["id"])
     pairs = work.keep(paired.where("id <> center").select(F.col("center").alias("g"), F.col("id").alias("a")).distinct(), "pairs")
-    for done in ("shared", "members", "centers"):
+    for done in ("keyed", "shared", "members", "centers"):
         work.drop(done)
+    work.release()
 
     hubs = pairs.select("g", F.col("g").alias("h")).distinct()
     wanted = pairs.select(F.col("a").alias("id")).unionByName(hubs.select(F.col("h").alias("id"))).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("text is not null")
     texts = work.keep(texts.join(wanted.hint("merge"), "id"), "texts")
+    work.release()
     seen = work.keep(meet(pairs, hubs, texts, width, _compare, _SEEN, work, "compare"), "seen")
+    work.release()
     groups = _Groups(seen, texts, width, percent, work)
     found = connected_components(groups.links(), work, "first")
 
@@ -311,7 +320,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: i
     columns may have any name.
     """
     work = Scratch(docs.sparkSession, "near")
-    out = link_signed(docs, sketch_documents(docs, width, bands, rows), width, percent, work)
+    out = link_signed(docs, work.keep(sketch_documents(docs, width, bands, rows), "signed"), "signed", width, percent, work)
     out = work.keep(out.withColumn("kept", F.col("doc_id") == F.col("component_id")), "out")
     work.drop_all_but("out")
     return out

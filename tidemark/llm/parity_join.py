@@ -21,6 +21,8 @@ _SIGNED = "doc_id long, n_shingles long, print binary, bands array<long>, sketch
 _BLOCK_BITS = 12
 #: Blocks that must agree beyond the one that always does; as many empty blocks may go without a key.
 _SPARE = 2
+#: Documents whose keys are made before they leave a task.
+_AT_ONCE = 512
 #: 64-bit words of the folded sketch that is kept with a document.
 _FOLDED = 32
 
@@ -93,7 +95,7 @@ def sign_documents(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = SizeBands(percent)
-        for batch in batches:
+        for batch in (b.slice(k, _AT_ONCE) for b in batches for k in range(0, b.num_rows, _AT_ONCE)):
             size, prints, keys, sketches = [], [], [], []
             for s in shingle_rows(batch.column(1), width):
                 size.append(len(s))
@@ -123,8 +125,9 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
     to its length.  An empty table gives no rows.  Only doc_id and text are read, so other columns may have any name.
     """
     work = Scratch(docs.sparkSession, "parity")
-    signed = work.keep(sign_documents(docs, width, percent), "sketches")
-    sketches = signed.where("print is not null and doc_id is not null").groupBy("doc_id").agg(F.collect_set(F.struct("n_shingles", "sketch")).alias("held"))
+    signed = work.keep(sign_documents(docs, width, percent), "signed")
+    sketches = work.keep(signed.where("print is not null and doc_id is not null").select("doc_id", "n_shingles", "sketch"), "sketches")
+    sketches = sketches.groupBy("doc_id").agg(F.collect_set(F.struct("n_shingles", "sketch")).alias("held"))  # of one id's texts
 
     def possible(pairs: DataFrame) -> DataFrame:
         """Pairs of which some text's sketches are as near as a link demands: D <= (100 - p) / (100 + p) of both sizes."""
@@ -137,7 +140,7 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
 
         return met.where(F.exists("g_held", lambda x: F.exists("a_held", lambda y: near(x, y)))).select("g", "a")
 
-    out = link_signed(docs, signed.drop("sketch"), width, percent, work, possible)
+    out = link_signed(docs, signed, "signed", width, percent, work, possible)
     out = work.keep(out, "out")
     work.drop_all_but("out")
     return out

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import tempfile
 import uuid
 
@@ -49,6 +50,11 @@ class Scratch:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}" if name else self.root)
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def release(self) -> None:
+        """Let Spark remove the shuffle files of steps whose tables are written; they go when their plans are collected as garbage."""
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def drop_all_but(self, *names: str) -> None:
         for name in self.names - set(names):
             self.drop(name)
