@@ -7,11 +7,13 @@ from collections.abc import Callable
 
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.prefix import grouped_quantile
+from .gram import pair_correlations
 from .reports import long_form
+from .shadows import with_shadows
 
 
 def sparse_columns(df: DataFrame, columns: list[str], quantile: float) -> DataFrame:
@@ -36,18 +38,9 @@ def low_variance(df: DataFrame, columns: list[str], most: float) -> DataFrame:
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """a, b, r for each pair of columns in name order; rows with a null in the pair do not count for it.
 
-    All pairs in one pass; a constant column has null.
+    A constant column has null.  See gram.pair_correlations() for how wide tables are cut.
     """
-    names = sorted(columns)
-    pairs = [(a, b) for k, a in enumerate(names) for b in names[k + 1 :]]
-    sums = []
-    for k, (a, b) in enumerate(pairs):
-        x, y = F.col(a).cast("double"), F.col(b).cast("double")
-        both = x.isNotNull() & y.isNotNull()
-        x, y = F.when(both, x), F.when(both, y)
-        spread = F.stddev_pop(x) * F.stddev_pop(y)
-        sums.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.try_divide(F.covar_pop(x, y), spread).alias("r")).alias(f"__{k}"))
-    return df.agg(*sums).select(F.explode(F.array(*(F.col(f"__{k}") for k in range(len(pairs))))).alias("p")).select("p.*")
+    return pair_correlations(df, columns).select("a", "b", "r")
 
 
 def correlated_columns(df: DataFrame, columns: list[str], most: float) -> DataFrame:
@@ -82,28 +75,6 @@ def importances(df: DataFrame, columns: list[str], target: str, classifier) -> l
         rows.unpersist()
 
 
-def with_shadows(df: DataFrame, columns: list[str], seed: int) -> tuple[DataFrame, list[str]]:
-    """Add a shuffled copy of every column: values move between rows, and lose any tie to the target.
-
-    Rows are dealt by a hash of their values to groups of about 4096, as many as the rows need, and ordered by another;
-    each column then swaps blocks of a length of its own with the block beside them, by lead and lag.  A row
-    without a counterpart at a group's end keeps its value.  Retries give the same rows; no rows are collected.
-    """
-    groups = max(1, math.ceil(df.count() / 4096))
-    names = [f"shadow_{c}" for c in columns]
-    own = df.columns
-    w = Window.partitionBy("__g").orderBy("__h", *own)
-    dealt = df.withColumn("__g", F.pmod(F.xxhash64(F.lit(seed), *own), F.lit(groups))).withColumn("__h", F.xxhash64(*own, F.lit(seed)))
-    dealt = dealt.withColumn("__o", F.row_number().over(w) - 1)
-    swapped = {}
-    for k, (n, c) in enumerate(zip(names, columns, strict=True)):
-        length = 2 ** (k % 9)
-        first = F.floor(F.col("__o") / length) % 2 == 0
-        swapped[n] = F.when(first, F.lead(F.struct(c), length).over(w)).otherwise(F.lag(F.struct(c), length).over(w))
-    moved = dealt.withColumns(swapped)
-    return moved.withColumns({n: F.when(F.col(n).isNotNull(), F.col(n)[c]).otherwise(F.col(c)) for n, c in zip(names, columns, strict=True)}).drop("__g", "__h", "__o"), names
-
-
 def shadow_select(df: DataFrame, columns: list[str], target: str, cutoff: float = 1.0, delta: float = 0.1, rounds: int = 4, trees: int = 10, seed: int = 7) -> list[str]:
     """Columns whose boosted-tree importance beats cutoff * the best shadow's, round after round.
 
@@ -129,17 +100,40 @@ def shadow_select(df: DataFrame, columns: list[str], target: str, cutoff: float
     return left
 
 
-def boruta_select(df: DataFrame, columns: list[str], target: str, rounds: int = 8, trees: int = 20, depth: int = 5, seed: int = 7) -> list[str]:
-    """Columns that beat the best shadow of a random forest more often than chance allows (one-sided binomial, 5 %)."""
-    wins = dict.fromkeys(columns, 0)
+def boruta(df: DataFrame, columns: list[str], target: str, rounds: int = 20, trees: int = 20, depth: int = 5, alpha: float = 0.05, seed: int = 7) -> DataFrame:
+    """column, hits, rounds, decision: how often a column's random-forest importance beat the best shadow's.
+
+    After each round, a column whose hits are too many for chance (a fair coin; one-sided, alpha shared among all columns) is
+    confirmed, one with too few is rejected and leaves the next rounds; rounds end when all are decided.  The
+    rest is tentative.  An undecided column needs log2(columns / alpha) rounds at least.
+    """
+    hits, played, decision = dict.fromkeys(columns, 0), dict.fromkeys(columns, 0), {}
+    level = alpha / max(1, len(columns))
     for k in range(rounds):
-        rows, shadows = with_shadows(df.select(*columns, target), columns, seed + k)
-        imp = importances(rows, [*columns, *shadows], target, RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed + k))
-        best = max(imp[len(columns) :])
-        for c, v in zip(columns, imp, strict=False):
-            wins[c] += v > best
-    need = next(n for n in range(rounds + 1) if sum(math.comb(rounds, j) for j in range(n, rounds + 1)) / 2**rounds < 0.05 or n == rounds)
-    return [c for c in columns if wins[c] >= need]
+        left = [c for c in columns if decision.get(c) != "rejected"]
+        if not left or all(c in decision for c in left):
+            break
+        rows, shadows = with_shadows(df.select(*left, target), left, seed + k)
+        imp = importances(rows, [*left, *shadows], target, RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed + k))
+        best = max(imp[len(left) :])
+        for c, v in zip(left, imp, strict=False):
+            if c in decision:
+                continue
+            hits[c] += v > best
+            played[c] += 1
+            n, h = played[c], hits[c]
+            if sum(math.comb(n, j) for j in range(h, n + 1)) < level * 2**n:
+                decision[c] = "confirmed"
+            elif sum(math.comb(n, j) for j in range(h + 1)) < level * 2**n:
+                decision[c] = "rejected"
+    made = [(c, int(hits[c]), played[c], decision.get(c, "tentative")) for c in columns]
+    return df.sparkSession.createDataFrame(made, "column string, hits int, rounds int, decision string")
+
+
+def boruta_select(df: DataFrame, columns: list[str], target: str, **how) -> list[str]:
+    """The columns that boruta() confirms."""
+    sure = {r["column"] for r in boruta(df, columns, target, **how).where("decision = 'confirmed'").collect()}
+    return [c for c in columns if c in sure]
 
 
 def eliminate(df: DataFrame, columns: list[str], target: str, keep: int, step: int = 1, trees: int = 20, seed: int = 7) -> list[str]:
