@@ -45,6 +45,11 @@ def hash_share(seed: int, *keys: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1 << 30)) / F.lit(float(1 << 30))
 
 
+def digest_order(seed: int, *keys: str) -> Column:
+    """A 60-bit number from the MD5 of seed and keys, for an order that any SQL engine can repeat."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), *(F.col(k).cast("string") for k in keys)).cast("binary")), 1, 15), 16, 10).cast("long")
+
+
 def plain_ascii(x: Column) -> Column:
     """Text without characters beyond ASCII."""
     return F.regexp_replace(x, r"[^\x00-\x7F]", "")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,6 +64,53 @@ def fill_gaps(panel: DataFrame, roles: PanelRoles, imputed: str, zeros: list[str
     ).drop("__run", "__k")
 
 
+@dataclass(frozen=True)
+class Filling:
+    """How empty periods are filled; the same one serves training and scoring."""
+
+    zeros: tuple[str, ...] = ()
+    carried: tuple[str, ...] = ()
+    since: tuple[str, ...] = ()
+    dates: tuple[str, ...] = ()
+    period_days: int = 30
+
+    def fill(self, panel: DataFrame, roles: PanelRoles, imputed: str = "imputed") -> DataFrame:
+        return fill_gaps(panel, roles, imputed, self.zeros, self.carried, self.since, self.dates, self.period_days)
+
+
+def training_panel(panel: DataFrame, roles: PanelRoles, filling: Filling, imputed: str = "imputed") -> DataFrame:
+    """Every period of an id from its first to its last real one, gaps filled."""
+    return drop_trailing_imputed(filling.fill(densify(panel, roles, imputed), roles, imputed), roles, imputed)
+
+
+def scoring_panel(panel: DataFrame, roles: PanelRoles, filling: Filling, at: int = 0, imputed: str = "imputed") -> DataFrame:
+    """An id's newest row and, filled as in training, the empty periods from there up to period ``at``.
+
+    What carries over is the last known value of each column, so one aggregation by id gives the anchor and each
+    anchor brings forth its own rows: no window, no join, no ids x periods product.  Rows newer than ``at`` do
+    not count; an id without any other is left out.
+    """
+    period = F.col(roles.period)
+    newest = -period
+    order = {c: F.when(F.col(c).isNotNull(), newest) if c in filling.carried + filling.since + filling.dates else newest for c in panel.columns if c not in (roles.id, roles.period)}
+    anchors = panel.where(period >= at).groupBy(roles.id).agg(F.min(roles.period).alias("__anchor"), *(F.max_by(c, by).alias(c) for c, by in order.items()))
+    steps = anchors.withColumn("__k", F.explode(F.sequence(F.lit(0), F.col("__anchor") - at)))
+    k, gap = F.col("__k"), F.col("__k") > 0
+    moved = {c: F.when(gap & (F.col(c) > 0), F.col(c) + k * filling.period_days).when(gap & (F.col(c) < 0), F.lit(-1)).otherwise(F.col(c)) for c in filling.since}
+    zeros = {c: F.when(gap, F.lit(0)).otherwise(F.col(c)) for c in filling.zeros}
+    dates = {c: F.when(gap, F.col(c) + F.make_dt_interval(k * filling.period_days)).otherwise(F.col(c)) for c in filling.dates}
+    rest = {c: F.when(~gap, F.col(c)) for c in order if c not in filling.zeros + filling.carried + filling.since + filling.dates}
+    made = zeros | moved | dates | rest
+    kinds = dict(panel.dtypes)
+    columns = [(F.col("__anchor") - k).cast(kinds[c]).alias(c) if c == roles.period else made.get(c, F.col(c)).cast(kinds[c]).alias(c) for c in panel.columns]
+    return steps.select(*columns, gap.cast("int").alias(imputed))
+
+
+def apply_offset(df: DataFrame, period: str, offset: int) -> DataFrame:
+    """Without the periods newer than offset, whose labels are incomplete; offset becomes period 0."""
+    return df.where(F.col(period) >= offset).withColumn(period, F.col(period) - F.lit(offset))
+
+
 def label_next(df: DataFrame, roles: Roles, ref: Column, horizon_days: int, name: str = "target", start: Column | None = None) -> DataFrame:
     """1 if a reference event on a later row of the id is fewer than horizon days away, else 0.
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.prefix import cumulative, row_numbers
+from ..sources.stored import stored
 
 
 def confusion(df: DataFrame, label: str, prediction: str) -> DataFrame:
@@ -40,6 +41,66 @@ def classifier_metrics(df: DataFrame, label: str, probability: str, threshold: f
     )
 
 
+def classifier_report(test: DataFrame, train: DataFrame, label: str, probability: str, threshold: float = 0.5, bins: int = 10) -> DataFrame:
+    """One row: counts, accuracy, precision, recall, f1, auc, the rates and the complements of Brier score, KS and error rates, and lift.
+
+    ks_complement: 1 - the greatest distance between the score distributions of train and test positives.  lift_statistic is
+    that of lift_statistic(), lift_two_bins the same over the first two bins; rows that tie in score share a bin's edge in
+    proportion.  Rows without a label or probability do not count; a figure that has no base is null.
+
+    Scores are shuffled once: a stored table has each distinct score with its positives and negatives of test and its
+    positives of train; its totals and one prefix sum over it give every figure.
+    """
+    def of(df: DataFrame, part: int) -> DataFrame:
+        return df.select(F.col(probability).cast("double").alias("score"), (F.col(label) == 1).alias("y"), F.lit(part).alias("part")).where("score is not null and y is not null")
+
+    both = of(test, 0).unionByName(of(train, 1))
+    tested = F.col("part") == 0
+    ties = both.groupBy("score").agg(F.count_if(tested & F.col("y")).alias("pos"), F.count_if(tested & ~F.col("y")).alias("neg"), F.count_if(~tested & F.col("y")).alias("base"))
+    ties = stored(ties, "scores")
+    pos, neg, base = (x or 0 for x in ties.agg(F.sum("pos"), F.sum("neg"), F.sum("base")).first())
+    n = pos + neg
+    run = cumulative(ties, ["score"], {"c_n": F.col("pos") + F.col("neg"), "c_pos": F.col("pos"), "c_neg": F.col("neg"), "c_base": F.col("base")}, descending=True)
+    hit, s = F.col("score") >= threshold, F.col("score")
+
+    def over(top, bottom):
+        return F.try_divide(top, F.lit(float(bottom)))
+
+    own = F.col("pos") + F.col("neg")
+    cuts = [1 + b * (n - 1) // bins for b in range(1, bins + 1)]
+    reached = [F.sum(F.col("pos") * F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(F.try_divide(F.lit(float(c)) - (F.col("c_n") - own), own), F.lit(0.0))))) for c in cuts]
+    row = run.agg(
+        *(F.coalesce(F.sum(F.when(h, F.col(c))), F.lit(0)).alias(k) for k, h, c in (("tp", hit, "pos"), ("fp", hit, "neg"), ("tn", ~hit, "neg"), ("fn", ~hit, "pos"))),
+        F.try_divide(F.sum(F.col("pos") * (F.lit(neg) - F.col("c_neg") + F.col("neg") / 2)), F.lit(float(pos) * neg)).alias("auc"),
+        (1 - over(F.sum(F.col("pos") * (1 - s) * (1 - s) + F.col("neg") * s * s), n)).alias("brier_complement"),
+        (1 - F.max(F.abs(over(F.col("c_pos"), pos) - over(F.col("c_base"), base)))).alias("ks_complement"),
+        F.array(*(F.round(over(100 * r, pos)) for r in reached)).alias("gain"),
+    )
+    tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
+    gain = F.col("gain")
+
+    def share(a, b):
+        return F.try_divide(a.cast("double"), b)
+
+    def lift(k):
+        area = F.aggregate(F.slice(gain, 1, k), F.lit(0.0), lambda x, y: x + y) - gain[k - 1] / 2
+        return F.try_divide(area / (100.0 * k), F.lit(1 - pos / n if n else 0.0))
+
+    return row.withColumns(
+        {
+            "accuracy": share(tp + tn, tp + fp + tn + fn),
+            "precision": share(tp, tp + fp),
+            "recall": share(tp, tp + fn),
+            "f1": share(2 * tp, 2 * tp + fp + fn),
+            "true_negative_rate": share(tn, tn + fp),
+            "false_positive_complement": 1 - share(fp, tn + fp),
+            "false_negative_complement": 1 - share(fn, tp + fn),
+            "lift_statistic": lift(bins),
+            "lift_two_bins": lift(min(2, bins)),
+        }
+    ).drop("gain")
+
+
 def auc(df: DataFrame, label: str, probability: str) -> DataFrame:
     """One row: area under the ROC curve by ranks, ties counting half; null without both classes."""
     ties = df.groupBy(F.col(probability).alias("__score")).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) != 1).alias("neg"))

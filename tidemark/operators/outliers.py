@@ -44,3 +44,17 @@ def clamp(df: DataFrame, columns: list[str], stats: DataFrame) -> DataFrame:
     """
     bounds = {r["column"]: (F.lit(r["low"]), F.lit(r["high"])) for r in stats.collect()}  # a row for each column
     return df.withColumns({c: clip(F.col(c), *bounds[c]) for c in columns if c in bounds})
+
+
+def candidates(columns: list[str], prefixes: tuple[str, ...], suffixes: tuple[str, ...], since: bool = False) -> list[str]:
+    """The columns to look for outliers in: of a group (prefix) and made by an aggregation (suffix); since: time-since columns too."""
+    return [c for c in columns if (c.startswith(prefixes) and c.endswith(suffixes)) or (since and "td_" in c)]
+
+
+def zero_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """column, for each that adds up to 0 in absolute values or has no value: nothing to learn from or clamp.
+
+    One aggregation of a row with a cell for each column.
+    """
+    sums = df.agg(*(F.coalesce(F.max(F.abs(F.col(c).cast("double"))), F.lit(0.0)).alias(c) for c in columns))
+    return sums.unpivot([], columns, "column", "most").where("most = 0").select("column")

@@ -129,3 +129,19 @@ def lineage(columns: DataFrame, name: str, suffixes: dict[str, str]) -> DataFram
     for s in reversed(ordered):
         what = F.when(suffix.rlike(f"^{s}$"), suffixes[s]).otherwise(what)
     return columns.withColumns({"source": F.when(suffix == "", F.col(name)).otherwise(F.regexp_extract(name, pattern, 1)), "transform": what})
+
+
+def imputed_union(train: DataFrame, predict: DataFrame) -> DataFrame:
+    """Both tables' rows, columns matched by name and null where a table lacks one, with part telling which."""
+    return train.withColumn("part", F.lit("train")).unionByName(predict.withColumn("part", F.lit("predict")), allowMissingColumns=True)
+
+
+def period_lengths(df: DataFrame, period: str, date: str) -> DataFrame:
+    """period with its first and last date and how many days they span, both included."""
+    ends = df.groupBy(period).agg(F.to_date(F.min(date)).alias("first_date"), F.to_date(F.max(date)).alias("last_date"))
+    return ends.withColumn("days", F.date_diff("last_date", "first_date") + 1)
+
+
+def suffixed(df: DataFrame, suffix: str, keys: list[str]) -> DataFrame:
+    """df with a suffix on every column but the keys, so that tables of one shape can be joined side by side."""
+    return df.toDF(*(c if c in keys else f"{c}{suffix}" for c in df.columns))

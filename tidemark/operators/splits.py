@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import hash_share
+from ..functions.exprs import digest_order, hash_share
 from ..functions.prefix import row_numbers
 
 
@@ -58,16 +58,19 @@ def _class_counts(df: DataFrame, target: str) -> tuple[int, int]:
     return row[0], row[1]
 
 
-def keep_by_hash(rows: DataFrame, keys: list[str], n: int, seed: int = 7) -> DataFrame:
-    """n rows, those with the smallest hash of their keys.
+def keep_by_hash(rows: DataFrame, keys: list[str], n: int, seed: int = 7, order: Column | None = None) -> DataFrame:
+    """n rows, those with the smallest hash of their keys; order: a number of 60 bits instead of that hash.
 
     The cut is found on a narrow histogram of hash prefixes; only the prefix that
     holds the cut is ranked, so no task sees all rows.
     """
     if n <= 0:
         return rows.limit(0)
-    slot = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 48)
-    rows = rows.withColumns({"__slot": slot, "__hash": F.xxhash64(F.lit(seed + 1), *keys)})
+    if order is None:
+        slot, finer = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *keys), 48), F.xxhash64(F.lit(seed + 1), *keys)
+    else:
+        slot, finer = F.shiftrightunsigned(order, 44), order
+    rows = rows.withColumns({"__slot": slot, "__hash": finer})
     total, edge = 0, None
     for r in rows.groupBy("__slot").count().orderBy("__slot").collect():  # 65,536 rows at most
         if total + r["count"] >= n:
@@ -115,6 +118,23 @@ def restore_base_rate(df: DataFrame, id: str, target: str, rate: float, seed: in
     return neg.unionByName(df.where(F.col(target) == 1).join(kept, id, "left_semi"))
 
 
+def category_cohort(ids: DataFrame, id: str, category: str, keep: str, seed: int = 7) -> DataFrame:
+    """The ids of one category of positives with as many negatives as keep the share of positives.
+
+    ids: one row for each id with its category, null for a negative.  Of n negatives beside p positives, of which k have the category,
+    floor(n * k / p) stay: those whose digest comes first, found on a histogram.  Positives of other categories go.
+    """
+    positives, of, negatives = ids.agg(F.count(category), F.count_if(F.col(category) == keep), F.count_if(F.col(category).isNull())).first()
+    kept = keep_by_hash(ids.where(F.col(category).isNull()), [id], negatives * of // positives if positives else 0, order=digest_order(seed, id))
+    return ids.where(F.col(category) == keep).unionByName(kept)
+
+
+def restrict(panel: DataFrame, cohort: DataFrame, id: str) -> tuple[DataFrame, DataFrame]:
+    """(rows of the cohort's ids, rows of all others)."""
+    own = cohort.select(id).distinct()
+    return panel.join(own, id, "left_semi"), panel.join(own, id, "left_anti")
+
+
 def carve_out(train: DataFrame, predict: DataFrame, id: str, share: float, seed: int = 7) -> tuple[DataFrame, DataFrame]:
     """A share of the predict ids stays to be predicted and leaves train."""
     held, _ = id_split(predict, id, share, seed)

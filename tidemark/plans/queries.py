@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import plain_ascii
-from ..operators import cleaning, densify, features, metrics, outliers, periods, reports, select, splits, timeline
+from ..operators import cleaning, densify, features, groups, metrics, outliers, periods, reports, select, splits, timeline
 from ..roles import PanelRoles, Roles
 
 EVENTS = Roles("user_id", "ts", "event_id")
@@ -626,6 +626,115 @@ def score_histogram(spark, d):
     return metrics.histogram(_scores(spark, d), "p", 0.0, 1.0, 30)
 
 
+# ---- scoring path, groups, cohorts, whole reports ----
+_FILL = densify.Filling(zeros=("n_orders",), carried=("o_totalprice", "o_orderstatus"), since=("td",), period_days=91)
+
+
+@query(
+    f"WITH {_ord()}, {_PAN}, a AS (SELECT o_custkey, min(period) AS p0, arg_min(o_totalprice, period) AS price, arg_min(o_orderstatus, period) AS status, arg_min(n_orders, period) AS n FROM pan WHERE period >= 1 GROUP BY 1), "
+    "k AS (SELECT *, unnest(range(0, p0)) AS k FROM a) SELECT o_custkey, CAST(p0 - k AS INTEGER) AS period, CASE WHEN k = 0 THEN n ELSE 0 END AS n_orders, price AS o_totalprice, status AS o_orderstatus, CAST(1 + 91 * k AS INTEGER) AS td, CASE WHEN k > 0 THEN 1 ELSE 0 END AS imputed FROM k"
+)
+def predict_panel(spark, d):
+    panel = _panel(spark, d).drop("o_orderdate").withColumn("td", F.lit(1))
+    return densify.scoring_panel(panel, PANEL, _FILL, at=1).select("o_custkey", "period", "n_orders", "o_totalprice", "o_orderstatus", "td", "imputed")
+
+
+_OFFSET = f"""e AS (SELECT period, max(o_orderdate) AS d FROM ord GROUP BY 1), o AS (SELECT min(period) AS o FROM e WHERE {_fd('d', '(SELECT max(o_orderdate) FROM orders)')} >= 180)"""
+
+
+@query(f"WITH {_ord()}, {_OFFSET} SELECT o_orderkey, CAST(period - o AS INTEGER) AS period FROM ord, o WHERE period >= o")
+def offset_applied(spark, d):
+    rows = _orders(spark, d)
+    last = F.lit(rows.agg(F.max("o_orderdate")).first()[0])
+    offset = densify.label_offset(rows, "o_orderdate", "period", last, 180).first()[0]
+    return densify.apply_offset(rows, "period", offset).select("o_orderkey", "period")
+
+
+_TRAIN = "event_id % 3 = 0"
+
+
+def _report_sql():
+    lift = "round((list_sum(g[1:{k}]) - g[{k}] / 2) / (100.0 * {k}) / (1 - p / n), 6)"
+    return f"""WITH {_SC}, t AS (SELECT p AS s, count(*) FILTER (label = 1 AND NOT {_TRAIN}) AS pos, count(*) FILTER (label = 0 AND NOT {_TRAIN}) AS neg, count(*) FILTER (label = 1 AND {_TRAIN}) AS base FROM sc WHERE NOT ({_TRAIN} AND label = 0) GROUP BY 1),
+ r AS (SELECT *, sum(pos + neg) OVER w AS cn, sum(pos) OVER w AS cp, sum(neg) OVER w AS cg, sum(base) OVER w AS cb, sum(pos) OVER () AS p, sum(neg) OVER () AS ng, sum(base) OVER () AS b, sum(pos + neg) OVER () AS n FROM t WINDOW w AS (ORDER BY s DESC)),
+ x AS (SELECT sum(pos) FILTER (s >= 0.5) AS tp, sum(neg) FILTER (s >= 0.5) AS fp, sum(neg) FILTER (s < 0.5) AS tn, sum(pos) FILTER (s < 0.5) AS fn, sum(pos * (ng - cg + neg / 2)) / (any_value(p) * any_value(ng)) AS auc, 1 - sum(pos * (1 - s) * (1 - s) + neg * s * s) / any_value(n) AS brier, 1 - max(abs(cp / p - cb / b)) AS ks, any_value(p) AS p, any_value(n) AS n FROM r),
+ g AS (SELECT list(round(100 * q / p) ORDER BY k) AS g FROM (SELECT k, sum(pos * greatest(0, least(1, CASE WHEN pos + neg = 0 THEN 0 ELSE (1 + (k * (n - 1)) // 10 - (cn - pos - neg)) / (pos + neg) END))) AS q, any_value(p) AS p FROM r, (SELECT unnest(range(1, 11)) AS k) GROUP BY k))
+ SELECT CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp, CAST(tn AS BIGINT) AS tn, CAST(fn AS BIGINT) AS fn, round(auc, 6) AS auc, round(brier, 6) AS brier_complement, round(ks, 6) AS ks_complement, round((tp + tn) / n, 6) AS accuracy, round(tp / (tp + fp), 6) AS precision, round(tp / (tp + fn), 6) AS recall, round(2 * tp / (2 * tp + fp + fn), 6) AS f1,
+ round(tn / (tn + fp), 6) AS true_negative_rate, round(1 - fp / (tn + fp), 6) AS false_positive_complement, round(1 - fn / (tp + fn), 6) AS false_negative_complement, {lift.format(k=10)} AS lift_statistic, {lift.format(k=2)} AS lift_two_bins FROM x, g"""
+
+
+@query(_report_sql())
+def classifier_report(spark, d):
+    rows = _scores(spark, d)
+    counts = {"tp", "fp", "tn", "fn"}
+    out = metrics.classifier_report(rows.where(~F.expr(_TRAIN)), rows.where(_TRAIN), "label", "p")
+    return out.withColumns(_r(*(c for c in out.columns if c not in counts)))
+
+
+_TYPED = {"orders": ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"], "lineitem": ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"], "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]}
+_TEXTS = ("o_orderstatus", "o_orderpriority", "l_returnflag", "l_linestatus", "c_name", "c_mktsegment")
+
+
+def _typed_sql():
+    each = [f"SELECT '{t}' AS \"table\", '{c}' AS \"column\", count(*) AS n, count(*) - count({c}) AS n_null, count(DISTINCT {c}) AS k, '{'date' if c.endswith('date') else 'factor' if c in _TEXTS else 'numeric'}' AS wide FROM {t}" for t, cs in _TYPED.items() for c in cs]
+    return "WITH c AS (" + " UNION ALL ".join(each) + ") SELECT \"table\", \"column\", n, n_null, CASE WHEN k <= 16 THEN CAST(k AS INTEGER) END AS n_distinct, CASE WHEN k <= 1 THEN 'constant' WHEN k = 2 THEN 'two_valued' WHEN wide = 'date' THEN 'date' WHEN k <= 16 THEN 'factor' ELSE wide END AS kind FROM c"
+
+
+@query(_typed_sql())
+def column_types(spark, d):
+    out = [groups.column_types(_read(spark, d, t), cs).select(F.lit(t).alias("table"), "column", "n", "n_null", "n_distinct", "kind") for t, cs in _TYPED.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
+_IDS = "i AS (SELECT o_custkey, min(CASE WHEN o_orderstatus = 'P' THEN o_orderpriority END) AS category FROM orders GROUP BY 1)"
+_COHORT = f"""{_IDS}, q AS (SELECT count(category) AS p, count(*) FILTER (category = '1-URGENT') AS k, count(*) FILTER (category IS NULL) AS n FROM i),
+ h AS (SELECT o_custkey, row_number() OVER (ORDER BY CAST('0x' || substr(md5('7|' || o_custkey), 1, 15) AS BIGINT), o_custkey) AS r FROM i WHERE category IS NULL),
+ c AS (SELECT o_custkey, category FROM i WHERE category = '1-URGENT' UNION ALL SELECT o_custkey, NULL FROM h, q WHERE r <= (n * k) // p)"""
+
+
+def _cohort(spark, d):
+    ids = _read(spark, d, "orders").groupBy("o_custkey").agg(F.min(F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority"))).alias("category"))
+    return splits.category_cohort(ids, "o_custkey", "category", "1-URGENT")
+
+
+@query(f"WITH {_COHORT} SELECT * FROM c")
+def category_cohort(spark, d):
+    return _cohort(spark, d)
+
+
+@query(f"WITH {_COHORT} SELECT o_orderkey, CASE WHEN o_custkey IN (SELECT o_custkey FROM c) THEN 'cohort' ELSE 'rest' END AS part FROM orders")
+def cohort_rows(spark, d):
+    inside, outside = splits.restrict(_read(spark, d, "orders"), _cohort(spark, d), "o_custkey")
+    return inside.select("o_orderkey", F.lit("cohort").alias("part")).unionByName(outside.select("o_orderkey", F.lit("rest").alias("part")))
+
+
+@query(f"WITH {_ord('month')} SELECT period, CAST(min(o_orderdate) AS DATE) AS first_date, CAST(max(o_orderdate) AS DATE) AS last_date, CAST(date_diff('day', CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE)) + 1 AS INTEGER) AS days FROM ord GROUP BY 1")
+def period_lengths(spark, d):
+    return reports.period_lengths(_orders(spark, d, "month"), "period", "o_orderdate")
+
+
+@query(f"{_FULL} SELECT o_custkey, period, CASE WHEN period > 3 THEN 'train' ELSE 'predict' END AS part, CASE WHEN period > 3 THEN target END AS target FROM full_")
+def imputed_union(spark, d):
+    train, rest = splits.period_split(_dense(spark, d).select("o_custkey", "period", "target"), "period", 3)
+    return reports.imputed_union(train, rest.drop("target")).select("o_custkey", "period", "part", "target")
+
+
+@query("SELECT 'l_flat' AS \"column\" WHERE (SELECT count(*) FROM lineitem WHERE l_tax > 1) = 0 UNION ALL SELECT 'l_none'")
+def zero_columns(spark, d):
+    rows = _read(spark, d, "lineitem").withColumns({"l_flat": (F.col("l_tax") > 1).cast("int"), "l_none": F.lit(None).cast("double")})
+    return outliers.zero_columns(rows, outliers.candidates(rows.columns, ("l_",), ("tax", "flat", "none", "discount")))
+
+
+@query("SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_shipdate < DATE '1996-01-01' THEN 'train' ELSE 'validate' END AS part, l_discount, l_quantity, l_tax FROM lineitem")
+def projected_parts(spark, d):
+    rows = _read(spark, d, "lineitem").withColumn("l_flat", (F.col("l_tax") > 1).cast("int"))
+    old = F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp")
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    parts = select.project({"train": rows.where(old), "validate": rows.where(~old)}, "train", lambda part: select.correlation_filter(part, ["l_discount", "l_flat", "l_quantity", "l_tax"]), keys)
+    train, validate = (df.withColumn("part", F.lit(k)) for k, df in parts.items())
+    return train.unionByName(validate)
+
+
 # ---- fitted selection and models: rows only ----
 def _modelling(spark, d):
     """Every quarter with every feature, and the target of the id's next quarter; its newest one has no next and no label."""
