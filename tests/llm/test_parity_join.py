@@ -3,7 +3,7 @@ import random
 import duckdb
 import numpy as np
 
-from tidemark.llm import queries
+from tidemark.llm import parity_join, queries
 from tidemark.llm.parity_join import SizeBands, block_keys, folded_sketch, jaccard_join
 
 from .helpers import base_texts, documents, shingles
@@ -97,3 +97,23 @@ def test_empty_blocks_do_not_collect_unrelated_sets():
             for k in block_keys(np.sort(rng.integers(0, 2**63, n).astype(np.uint64)), bands).tolist():
                 count[k] = count.get(k, 0) + 1
     assert max(count.values()) < 40
+
+
+def test_groups_in_rounds_and_in_tasks_lose_no_link(spark, monkeypatch):
+    """Chains, versions with many copies and passages that all texts share, with buckets ended early, late and not at all."""
+    rng = random.Random(8)
+    vocab = [f"w{i}" for i in range(3000)]
+    passage = " ".join(rng.choice(vocab) for _ in range(40))
+    texts = []
+    for _ in range(5):
+        w = [rng.choice(vocab) for _ in range(90)]
+        for _ in range(22):
+            w = list(w)
+            w[rng.randrange(len(w))] = rng.choice(vocab)
+            texts.append(" ".join(w) if rng.random() < 0.6 else passage + " " + " ".join(w[40:]))
+    docs = documents(spark, texts)
+    want = brute([(r.doc_id, r.text) for r in docs.collect()])
+    for rounds, bucket in ((8, 512), (1, 2), (2, 3)):
+        monkeypatch.setattr(parity_join, "_ROUNDS", rounds)
+        monkeypatch.setattr(parity_join, "_BUCKET", bucket)
+        assert found(jaccard_join(docs)) == want

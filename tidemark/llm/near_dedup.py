@@ -223,12 +223,21 @@ class _Groups:
         return met.select(F.least("a", "x_a").alias("a"), F.greatest("a", "x_a").alias("b")).distinct()
 
 
-def link_signed(docs: DataFrame, signed: DataFrame, own: str, width: int, percent: int, work: Scratch, possible: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def by_center(members: DataFrame, work: Scratch) -> DataFrame:
+    """Pairs (g, a): the central node of each key, whose keys are the most shared, with the others."""
+    central = members.withColumn("pull", F.sum("many").over(Window.partitionBy("id")))
+    centers = central.groupBy("key").agg(F.min_by("id", F.struct(-F.col("pull"), "id")).alias("center"), F.count(F.lit(1)).alias("n"))
+    paired = spread_join(members, work.keep(centers, "centers"), ["key"], ["id"])
+    return paired.where("id <> center").select(F.col("center").alias("g"), F.col("id").alias("a")).distinct()
+
+
+def link_signed(docs: DataFrame, signed: DataFrame, own: str, width: int, percent: int, work: Scratch, group: Callable[[DataFrame], DataFrame] | None = None, possible: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """doc_id, n_shingles, component_id for documents whose links all share a key.
 
     signed: doc_id, n_shingles, print and bands (keys of any number, equal for equal prints), read from the table of that
-    name in work, which goes when it has been read.  possible: keeps of pairs (g, a) of documents those that may be linked, before they are
-    compared.  near_duplicates() says how keys become links.
+    name in work, which goes when it has been read.  group: makes of members (key, id, many) the pairs (g, a) of centres and
+    members, so that the ends of every link meet in a group, by default by_center().  possible: keeps of pairs (g, a) of
+    documents those that may be linked, before they are compared.  near_duplicates() says how keys become links.
     """
     some = signed.where("print is not null and doc_id is not null")
     nodes = work.keep(some.groupBy("print").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands")), "keyed")
@@ -242,10 +251,7 @@ def link_signed(docs: DataFrame, signed: DataFrame, own: str, width: int, percen
     work.release()
     members = work.keep(spread_join(keyed, shared, ["key"], ["id"], total), "members")
     nodes = work.keep(nodes.select("print", "id"), "nodes")
-    central = members.withColumn("pull", F.sum("many").over(Window.partitionBy("id")))
-    centers = central.groupBy("key").agg(F.min_by("id", F.struct(-F.col("pull"), "id")).alias("center"), F.count(F.lit(1)).alias("n"))
-    paired = spread_join(members, work.keep(centers, "centers"), ["key"], ["id"])
-    pairs = work.keep(paired.where("id <> center").select(F.col("center").alias("g"), F.col("id").alias("a")).distinct(), "pairs")
+    pairs = work.keep(group(members) if group else by_center(members, work), "pairs")
     for done in ("keyed", "shared", "members", "centers"):
         work.drop(done)
     work.release()

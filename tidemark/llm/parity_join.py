@@ -8,9 +8,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import spread_join
 from .near_dedup import link_signed
 from .shared import Scratch
 from .shingles import shingle_rows
@@ -21,6 +22,8 @@ _SIGNED = "doc_id long, n_shingles long, print binary, bands array<long>, sketch
 _BLOCK_BITS = 12
 #: Blocks that must agree beyond the one that always does; as many empty blocks may go without a key.
 _SPARE = 2
+#: Rounds of centres over all buckets, and nodes of a bucket that ends in one task.
+_ROUNDS, _BUCKET = 8, 512
 #: Documents whose keys are made before they leave a task.
 _AT_ONCE = 512
 #: 64-bit words of the folded sketch that is kept with a document.
@@ -108,6 +111,110 @@ def sign_documents(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, _SIGNED)
 
 
+class _Sketches:
+    """What the folded sketches of documents rule out before any texts meet.
+
+    held: doc_id and the (n_shingles, sketch) of its texts.  Hamming distance is a metric, and a lower bound of the symmetric difference D:
+    sets of n and m shingles that are linked have D <= t (n + m), t = (100 - percent) / (100 + percent).
+    """
+
+    def __init__(self, held: DataFrame, percent: int, work: Scratch):
+        self.held, self.percent, self.work = held, percent, work
+
+    def _judged(self, pairs: DataFrame) -> DataFrame:
+        """pairs (g, a) with near, for all texts of theirs: they may be linked; and core, for some: a may be linked with what is near g.
+
+        If z is linked with x, and x is near g, then their distance is at most t (z + x) + t (x + g), and x is at most 100 / percent times either.
+        """
+        p, sides = self.percent, [self.held.select(F.col("doc_id").alias(c), F.col("held").alias(f"{c}_held")).hint("merge") for c in ("g", "a")]
+        met = pairs.join(sides[0], "g").join(sides[1], "a")
+        each = F.flatten(F.transform("g_held", lambda x: F.transform("a_held", lambda y: _pair(x, y))))
+        least, most = F.least("e.n", "e.m"), F.greatest("e.n", "e.m")
+        judged = met.select("g", "a", F.explode(each).alias("e"))  # one for each pair, but for ids with several texts
+        near = ((100 + p) * F.col("e.far") <= (100 - p) * (F.col("e.n") + F.col("e.m"))) & (100 * least >= p * most)
+        core = p * (100 + p) * F.col("e.far") <= (100 - p) * (p * (F.col("e.n") + F.col("e.m")) + 200 * least)
+        return judged.groupBy("g", "a").agg(F.min(near).alias("near"), F.max(near).alias("some"), F.max(core).alias("core"))
+
+    def possible(self, pairs: DataFrame) -> DataFrame:
+        """The pairs that may be linked."""
+        return self._judged(pairs).where("some").select("g", "a")
+
+    def groups(self, members: DataFrame) -> DataFrame:
+        """Pairs (g, a) of centres and members, so that the ends of every link are in one group, of members (key, id, many).
+
+        In each key's bucket the node whose keys are the most shared is a centre.  Its group has what may be linked with a node near it; the
+        bucket goes on without the centre and the nodes near it, since a link between others is still open.  After some rounds, buckets of
+        bounded size end in one task each; one that stays larger becomes a group as it is.
+        """
+        pull = F.sum("many").over(Window.partitionBy("id"))
+        rows, found = self.work.keep(members.select("key", "id", pull.alias("pull")), "round-0"), []
+        for k in range(1, _ROUNDS + 1):
+            centers = rows.groupBy("key").agg(F.min_by("id", F.struct(-F.col("pull"), "id")).alias("g"), F.count(F.lit(1)).alias("n"))
+            centers = self.work.keep(centers.where("n > 1"), f"centers-{k}")
+            paired = self.work.keep(spread_join(rows, centers, ["key"], ["id"]).where("id <> g").select("key", "pull", "g", F.col("id").alias("a")), f"paired-{k}")
+            judged = self.work.keep(self._judged(paired.select("g", "a").distinct()), f"judged-{k}")
+            found.append(judged.where("core").select("g", "a"))
+            open_ = paired.join(judged.where("not near").select("g", "a").hint("merge"), ["g", "a"]).select("key", F.col("a").alias("id"), "pull")
+            rows = self.work.keep(open_, f"round-{k}")
+            sizes = self.work.keep(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"sizes-{k}")
+            for done in (f"round-{k - 1}", f"centers-{k}", f"paired-{k}"):
+                self.work.drop(done)
+            if k > 1 and sizes.where(F.col("n") > _BUCKET).isEmpty():
+                break
+        left = self.work.keep(spread_join(rows, sizes.withColumn("size", F.col("n")), ["key"], ["id"]), "left-over")
+        found.append(self._ended(left.where(F.col("size") <= _BUCKET)))
+        large = left.where(F.col("size") > _BUCKET)
+        if not large.isEmpty():
+            centers = large.groupBy("key").agg(F.min("id").alias("g"), F.count(F.lit(1)).alias("n"))
+            whole = spread_join(large, self.work.keep(centers, "centers-last"), ["key"], ["id"])
+            found.append(whole.where("id <> g").select("g", F.col("id").alias("a")))
+        out = found[0]
+        for more in found[1:]:
+            out = out.unionByName(more)
+        return out.distinct()
+
+    def _ended(self, rows: DataFrame) -> DataFrame:
+        """The groups of buckets of bounded size, centre after centre, each bucket in one task."""
+        percent = self.percent
+
+        def groups(ids, n, sketches) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            while len(ids) > 1:
+                far = np.bitwise_count(sketches[1:] ^ sketches[0]).sum(1).astype(np.int64)
+                both, least, most = n[1:] + n[0], np.minimum(n[1:], n[0]), np.maximum(n[1:], n[0])
+                core = percent * (100 + percent) * far <= (100 - percent) * (percent * both + 200 * least)
+                near = ((100 + percent) * far <= (100 - percent) * both) & (100 * least >= percent * most)
+                yield np.full(int(core.sum()), ids[0]), ids[1:][core]
+                ids, n, sketches = ids[1:][~near], n[1:][~near], sketches[1:][~near]
+
+        def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[tuple] = []
+            for batch in (*batches, None):
+                columns = [np.zeros(0, np.int64)] * 3 + [np.zeros((0, _FOLDED), np.uint64)]
+                if batch is not None:
+                    words = batch.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+                    columns = [*(batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)), words.reshape(batch.num_rows, _FOLDED)]
+                if held:
+                    columns = [np.concatenate(x) for x in zip(held.pop(), columns, strict=True)]
+                keys = columns[0]
+                cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+                if batch is not None and len(cuts) > 1:  # the last key may go on in the next batch
+                    held.append(tuple(x[cuts[-2] :] for x in columns))
+                    cuts.pop()
+                made = [g for a, b in zip(cuts[:-1], cuts[1:], strict=True) for g in groups(*(x[a:b] for x in columns[1:]))]
+                out = [np.concatenate([m[k] for m in made]) if made else np.zeros(0, np.int64) for k in range(2)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["g", "a"])
+
+        texts = self.held.select(F.col("doc_id").alias("id"), F.explode("held").alias("h")).select("id", F.col("h.n_shingles").alias("n"), F.col("h.sketch").alias("sketch"))
+        # An id with several texts enters with each; its own pairs are no links.
+        dealt = rows.join(texts.hint("merge"), "id").repartition("key").sortWithinPartitions("key", F.desc("pull"), "id")
+        return dealt.select("key", "id", "n", "sketch").mapInArrow(task, "g long, a long").where("g <> a")
+
+
+def _pair(x: Column, y: Column) -> Column:
+    bits = F.aggregate(F.zip_with(x["sketch"], y["sketch"], lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, b: s + b)
+    return F.struct(bits.alias("far"), x["n_shingles"].alias("n"), y["n_shingles"].alias("m"))
+
+
 def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id of documents linked by 100 * |A & B| >= percent * |A | B|.
 
@@ -116,9 +223,10 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
     1. Every shingle flips one bit of a sketch, so that the Hamming distance of two sketches is at most the symmetric
        difference of their sets; that of a link is bounded in each band of sizes.  Cut into more blocks than
        that bound, the sketches of a link agree in some block: equal blocks are where partners meet.  No link is missed.
-    2. Sets that are equal are one node.  The nodes of equal blocks are compared with a central one on whole sets, and what that
-       leaves open with one another (near_dedup.link_signed); pairs whose folded sketches differ in more bits than a
-       link allows are ruled out before their texts meet.
+    2. Sets that are equal are one node.  Of the nodes of equal blocks, those whose folded sketches are near enough form groups around
+       central ones (_Sketches); sets that only share some passage fall apart here.
+    3. A group's members are compared with its centre on whole sets, and what that leaves open with one another
+       (near_dedup.link_signed); pairs whose sketches differ in more bits than a link allows are ruled out before their texts meet.
 
     Null, empty and blank texts have no shingles and stay alone.  Repeated doc_ids are one document if their texts agree; with
     different texts, their links count for all of them.  Null doc_ids are kept as they are, unlinked.  A very long text has keys in proportion
@@ -126,21 +234,9 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
     """
     work = Scratch(docs.sparkSession, "parity")
     signed = work.keep(sign_documents(docs, width, percent), "signed")
-    sketches = work.keep(signed.where("print is not null and doc_id is not null").select("doc_id", "n_shingles", "sketch"), "sketches")
-    sketches = sketches.groupBy("doc_id").agg(F.collect_set(F.struct("n_shingles", "sketch")).alias("held"))  # of one id's texts
-
-    def possible(pairs: DataFrame) -> DataFrame:
-        """Pairs of which some text's sketches are as near as a link demands: D <= (100 - p) / (100 + p) of both sizes."""
-        held = [sketches.select(F.col("doc_id").alias(c), F.col("held").alias(f"{c}_held")).hint("merge") for c in ("g", "a")]
-        met = pairs.join(held[0], "g").join(held[1], "a")
-
-        def near(x, y):
-            bits = F.aggregate(F.zip_with(x["sketch"], y["sketch"], lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, b: s + b)
-            return (100 + percent) * bits <= (100 - percent) * (x["n_shingles"] + y["n_shingles"])
-
-        return met.where(F.exists("g_held", lambda x: F.exists("a_held", lambda y: near(x, y)))).select("g", "a")
-
-    out = link_signed(docs, signed, "signed", width, percent, work, possible)
+    held = signed.where("print is not null and doc_id is not null").groupBy("doc_id").agg(F.collect_set(F.struct("n_shingles", "sketch")).alias("held"))
+    sketches = _Sketches(work.keep(held, "sketches"), percent, work)
+    out = link_signed(docs, signed, "signed", width, percent, work, sketches.groups, sketches.possible)
     out = work.keep(out, "out")
     work.drop_all_but("out")
     return out
