@@ -61,7 +61,7 @@ def copies(seed, sizes, most):
 
 
 def test_near_copies_of_all_sizes_and_edge_cases(spark):
-    texts = base_texts() + copies(1, (3, 6, 9, 14, 20, 33, 60, 61, 150, 400), 6)
+    texts = base_texts() + copies(1, (3, 6, 9, 14, 20, 33, 60, 61, 150, 400, 900), 6)
     docs = documents(spark, texts)
     want = brute([(r.doc_id, r.text) for r in docs.collect()])
     got = jaccard_join(docs.unionByName(docs.where("doc_id < 9")))
@@ -80,8 +80,11 @@ def test_a_link_always_shares_a_key_and_sketches_bound_the_difference():
             union = rng.integers(0, 2**63, n + extra).astype(np.uint64)
             for a, b in ((union[:n], union), (union[: n + extra - extra // 2], union[extra // 2 :])):
                 inter, all_ = len(np.intersect1d(a, b)), len(np.union1d(a, b))
-                far = int(np.bitwise_count((folded_sketch(a) ^ folded_sketch(b)).view(np.uint64)).sum())
-                assert far <= all_ - inter
+                for words in (32, 64):
+                    far = int(np.bitwise_count(folded_sketch(a, words) ^ folded_sketch(b, words)).sum())
+                    assert far <= all_ - inter
+                double = folded_sketch(a, 64)
+                assert (double[:32] ^ double[32:] == folded_sketch(a, 32)).all()
                 if 100 * inter >= 85 * all_ and inter < all_:
                     x, y = (set(block_keys(np.sort(s), bands).tolist()) for s in (a, b))
                     assert x & y, (n, extra)

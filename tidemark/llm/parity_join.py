@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +27,8 @@ _SPARE = 2
 _ROUNDS, _BUCKET = 8, 512
 #: Documents whose keys are made before they leave a task.
 _AT_ONCE = 512
-#: 64-bit words of the folded sketch that is kept with a document.
-_FOLDED = 32
+#: 64-bit words of the smallest folded sketch, and bits for each shingle of larger ones.
+_FOLDED, _WIDE = 32, 4
 
 
 class SizeBands:
@@ -50,49 +51,59 @@ class SizeBands:
         return bisect.bisect_left(self.tops, size)
 
 
-def sketch_bits(items: np.ndarray, blocks: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
-    """Each item's block of a parity sketch and its bit there: an item flips one bit, so two sketches
-    differ in at most as many bits as their sets have items of their own."""
-    x = mix(items ^ seeds(1, salt)[0])
-    at = ((x >> np.uint64(32)) * np.uint64(blocks)) >> np.uint64(32)
-    return at.astype(np.int64), x & np.uint64((1 << _BLOCK_BITS) - 1)
+    def words(self, band: int) -> int:
+        """Words of the folded sketch of sets of this band: a power of two, with few shingles to a bit."""
+        return max(_FOLDED, 1 << max(0, _WIDE * self.tops[band] - 1).bit_length() >> 6)
 
 
-def folded_sketch(items: np.ndarray) -> np.ndarray:
-    """A parity sketch of 64 * _FOLDED bits as words."""
+def folded_sketch(items: np.ndarray, words: int) -> np.ndarray:
+    """A parity sketch of 64 * words bits: an item flips one bit, so two sketches differ in at most as many bits
+    as their sets have items of their own.  The halves of a sketch, combined by exclusive or, are the sketch of half as many words."""
     x = mix(items ^ seeds(1, 61)[0])
-    bit = np.bincount(((x >> np.uint64(32)) % np.uint64(64 * _FOLDED)).astype(np.int64), minlength=64 * _FOLDED) & 1
-    return np.packbits(bit.astype(np.uint8)).view(np.int64)
+    word, bit = (x & np.uint64(words - 1)).astype(np.int64), np.uint64(1) << (x >> np.uint64(58))
+    out = np.zeros(words, np.uint64)
+    np.bitwise_xor.at(out, word, bit)
+    return out
 
 
 def block_keys(items: np.ndarray, bands: SizeBands) -> np.ndarray:
     """Keys of a set's sketch blocks in its own size band and, as a larger partner, in the band below.
 
-    A band's sketch has most + 1 + _SPARE blocks.  The sketches of a link differ in at most ``most`` bits, so at least 1 + _SPARE
-    blocks are equal.  Blocks without a set bit are equal in too many sets; they have keys only in a
+    A band's sketch has most + 1 + _SPARE blocks, of which an item flips one bit.  The sketches of a link differ in at most ``most`` bits, so
+    at least 1 + _SPARE blocks are equal.  Blocks without a set bit are equal in too many sets; they have keys only in a
     set with more than _SPARE of them: of two sets whose equal blocks are all empty, both are such
-    sets.  Where most is 0, only equal sets are linked, and there are no keys.
+    sets.  Where most is 0, only equal sets are linked, and there are no keys.  A key's last five bits tell the words of
+    its band's folded sketches, as a power of two.
     """
     own, out = bands.of(len(items)), []
+    x = np.sort(mix(items ^ seeds(1, 51)[0]))
+    high, bit = x >> np.uint64(32), x & np.uint64((1 << _BLOCK_BITS) - 1)
     for band in (own - 1, own):
         if band < 0 or not bands.most[band]:
             continue
         blocks = bands.most[band] + 1 + _SPARE
-        at, bit = sketch_bits(items, blocks, 51)
+        at = (high * np.uint64(blocks)) >> np.uint64(32)  # in order, as x is
         # Equal bits cancel in an exclusive or, as in the sketch, so this hashes the block's parities.
-        value = mix((at.astype(np.uint64) << np.uint64(_BLOCK_BITS)) + bit + np.uint64(1) + (np.uint64(band) << np.uint64(48)))
-        order = np.argsort(at, kind="stable")
-        at, value = at[order], value[order]
+        value = mix((at << np.uint64(_BLOCK_BITS)) + bit + np.uint64(1) + (np.uint64(band) << np.uint64(48)))
         first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
         word = np.bitwise_xor.reduceat(value, first)
         kept, held = at[first][word != 0], word[word != 0]
         if blocks - len(kept) > _SPARE:
-            empty = np.setdiff1d(np.arange(blocks), kept)
+            empty = np.setdiff1d(np.arange(blocks, dtype=np.uint64), kept)
             kept, held = np.concatenate((kept, empty)), np.concatenate((held, np.zeros(len(empty), np.uint64)))
-        out.append(mix(held + mix((kept.astype(np.uint64) << np.uint64(20)) + np.uint64(band) + np.uint64(7))))
+        key = mix(held + mix((kept << np.uint64(20)) + np.uint64(band) + np.uint64(7)))
+        out.append(key & ~np.uint64(31) | np.uint64(bands.words(band).bit_length() - 1))
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def _lists(parts: list[np.ndarray | None]) -> pa.Array:
+    """A list column of the parts, null where there is none."""
+    sizes = [0 if p is None else len(p) for p in parts]
+    values = np.concatenate([p for p in parts if p is not None] or [np.zeros(0, np.uint64)]).view(np.int64)
+    made = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(values))
+    return pc.if_else(pa.array([p is not None for p in parts]), made, pa.scalar(None, made.type))
+
+
 def sign_documents(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, n_shingles, print, bands (keys of sketch blocks) and the folded sketch."""
 
@@ -103,10 +114,9 @@ def sign_documents(docs: DataFrame, width: int, percent: int) -> DataFrame:
             for s in shingle_rows(batch.column(1), width):
                 size.append(len(s))
                 prints.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                keys.append(block_keys(s, bands).view(np.int64) if len(s) else None)
-                sketches.append(folded_sketch(s) if len(s) else None)
-            kinds = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, t) for x, t in zip((size, prints, keys, sketches), kinds, strict=True))], ["doc_id", "n_shingles", "print", "bands", "sketch"])
+                keys.append(block_keys(s, bands) if len(s) else None)
+                sketches.append(folded_sketch(s, bands.words(bands.of(len(s)))) if len(s) else None)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(prints, pa.binary()), _lists(keys), _lists(sketches)], ["doc_id", "n_shingles", "print", "bands", "sketch"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, _SIGNED)
 
@@ -122,22 +132,24 @@ class _Sketches:
         self.held, self.percent, self.work = held, percent, work
 
     def _judged(self, pairs: DataFrame) -> DataFrame:
-        """pairs (g, a) with near, for all texts of theirs: they may be linked; and core, for some: a may be linked with what is near g.
+        """pairs (g, a, words) with near, for all texts of theirs: they may be linked; and core, for some: a may be linked with what is near g.
 
-        If z is linked with x, and x is near g, then their distance is at most t (z + x) + t (x + g), and x is at most 100 / percent times either.
+        If z is linked with x, and x is near g, then their distance is at most t (z + x) + t (x + g), and x is at most 100 / percent times
+        either.  All three are compared by sketches of as many words, those of the band in which they meet.
         """
         p, sides = self.percent, [self.held.select(F.col("doc_id").alias(c), F.col("held").alias(f"{c}_held")).hint("merge") for c in ("g", "a")]
         met = pairs.join(sides[0], "g").join(sides[1], "a")
-        each = F.flatten(F.transform("g_held", lambda x: F.transform("a_held", lambda y: _pair(x, y))))
-        least, most = F.least("e.n", "e.m"), F.greatest("e.n", "e.m")
-        judged = met.select("g", "a", F.explode(each).alias("e"))  # one for each pair, but for ids with several texts
-        near = ((100 + p) * F.col("e.far") <= (100 - p) * (F.col("e.n") + F.col("e.m"))) & (100 * least >= p * most)
-        core = p * (100 + p) * F.col("e.far") <= (100 - p) * (p * (F.col("e.n") + F.col("e.m")) + 200 * least)
-        return judged.groupBy("g", "a").agg(F.min(near).alias("near"), F.max(near).alias("some"), F.max(core).alias("core"))
+        each = F.flatten(F.transform("g_held", lambda x: F.transform("a_held", lambda y: _pair(x, y, F.col("words")))))
+        e = F.col("e")
+        judged = F.transform(each, lambda e: F.struct(
+            (((100 + p) * e["far"] <= (100 - p) * (e["n"] + e["m"])) & (100 * F.least(e["n"], e["m"]) >= p * F.greatest(e["n"], e["m"]))).alias("near"),
+            (p * (100 + p) * e["far"] <= (100 - p) * (p * (e["n"] + e["m"]) + 200 * F.least(e["n"], e["m"]))).alias("core"),
+        ))
+        return met.select("g", "a", "words", judged.alias("e")).select("g", "a", "words", F.forall(e, lambda x: x["near"]).alias("near"), F.exists(e, lambda x: x["near"]).alias("some"), F.exists(e, lambda x: x["core"]).alias("core"))
 
     def possible(self, pairs: DataFrame) -> DataFrame:
         """The pairs that may be linked."""
-        return self._judged(pairs).where("some").select("g", "a")
+        return self._judged(pairs.withColumn("words", F.lit(0))).where("some").select("g", "a")
 
     def groups(self, members: DataFrame) -> DataFrame:
         """Pairs (g, a) of centres and members, so that the ends of every link are in one group, of members (key, id, many).
@@ -152,9 +164,10 @@ class _Sketches:
             centers = rows.groupBy("key").agg(F.min_by("id", F.struct(-F.col("pull"), "id")).alias("g"), F.count(F.lit(1)).alias("n"))
             centers = self.work.keep(centers.where("n > 1"), f"centers-{k}")
             paired = self.work.keep(spread_join(rows, centers, ["key"], ["id"]).where("id <> g").select("key", "pull", "g", F.col("id").alias("a")), f"paired-{k}")
-            judged = self.work.keep(self._judged(paired.select("g", "a").distinct()), f"judged-{k}")
+            words = F.expr("shiftleft(1, cast(key & 31 as int))").alias("words")
+            judged = self.work.keep(self._judged(paired.select("g", "a", words).distinct()), f"judged-{k}")
             found.append(judged.where("core").select("g", "a"))
-            open_ = paired.join(judged.where("not near").select("g", "a").hint("merge"), ["g", "a"]).select("key", F.col("a").alias("id"), "pull")
+            open_ = paired.withColumn("words", words).join(judged.where("not near").select("g", "a", "words").hint("merge"), ["g", "a", "words"]).select("key", F.col("a").alias("id"), "pull")
             rows = self.work.keep(open_, f"round-{k}")
             sizes = self.work.keep(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"sizes-{k}")
             for done in (f"round-{k - 1}", f"centers-{k}", f"paired-{k}"):
@@ -187,22 +200,20 @@ class _Sketches:
                 ids, n, sketches = ids[1:][~near], n[1:][~near], sketches[1:][~near]
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: list[tuple] = []
+            last, held = None, []
             for batch in (*batches, None):
-                columns = [np.zeros(0, np.int64)] * 3 + [np.zeros((0, _FOLDED), np.uint64)]
-                if batch is not None:
-                    words = batch.column(3).flatten().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-                    columns = [*(batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)), words.reshape(batch.num_rows, _FOLDED)]
-                if held:
-                    columns = [np.concatenate(x) for x in zip(held.pop(), columns, strict=True)]
-                keys = columns[0]
-                cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
-                if batch is not None and len(cuts) > 1:  # the last key may go on in the next batch
-                    held.append(tuple(x[cuts[-2] :] for x in columns))
-                    cuts.pop()
-                made = [g for a, b in zip(cuts[:-1], cuts[1:], strict=True) for g in groups(*(x[a:b] for x in columns[1:]))]
-                out = [np.concatenate([m[k] for m in made]) if made else np.zeros(0, np.int64) for k in range(2)]
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], ["g", "a"])
+                out: tuple[list, list] = [], []
+                rows = zip(*(batch.column(k).to_numpy(zero_copy_only=False).tolist() for k in range(3)), batch.column(3), strict=True) if batch is not None else [(None, 0, 0, None)]
+                for key, id_, n, sketch in rows:
+                    if key != last:
+                        if len(held) > 1:
+                            for g, a in groups(*(np.array(x) for x in zip(*held, strict=True))):
+                                out[0].append(g)
+                                out[1].append(a)
+                        last, held = key, []
+                    if key is not None and (at := _folded_to(sketch.values.to_numpy().view(np.uint64), 1 << (key & 31))) is not None:
+                        held.append((id_, n, at))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in out], ["g", "a"])
 
         texts = self.held.select(F.col("doc_id").alias("id"), F.explode("held").alias("h")).select("id", F.col("h.n_shingles").alias("n"), F.col("h.sketch").alias("sketch"))
         # An id with several texts enters with each; its own pairs are no links.
@@ -210,9 +221,22 @@ class _Sketches:
         return dealt.select("key", "id", "n", "sketch").mapInArrow(task, "g long, a long").where("g <> a")
 
 
-def _pair(x: Column, y: Column) -> Column:
-    bits = F.aggregate(F.zip_with(x["sketch"], y["sketch"], lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, b: s + b)
-    return F.struct(bits.alias("far"), x["n_shingles"].alias("n"), y["n_shingles"].alias("m"))
+def _folded_to(sketch: np.ndarray, words: int) -> np.ndarray | None:
+    """A sketch of these words, or of twice as many, as one of these; others belong to no set of the band."""
+    return sketch if len(sketch) == words else sketch[:words] ^ sketch[words:] if len(sketch) == 2 * words else None
+
+
+def _pair(x: Column, y: Column, words: Column) -> Column:
+    """far, n, m of two texts by sketches of as many words, or where that is 0 of the fewer words of the two; far is beyond all bounds
+    where a sketch has neither these words nor twice as many."""
+    width = F.when(words > 0, words).otherwise(F.least(F.size(x["sketch"]), F.size(y["sketch"])))
+
+    def fold(s: Column) -> Column:
+        halves = F.zip_with(F.slice(s, F.lit(1), width), F.slice(s, width + 1, width), lambda u, v: u.bitwiseXOR(v))
+        return F.when(F.size(s) == width, s).when(F.size(s) == 2 * width, halves)
+
+    bits = F.aggregate(F.zip_with(fold(x["sketch"]), fold(y["sketch"]), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, b: s + b)
+    return F.struct(F.coalesce(bits, F.lit(1 << 30)).cast("long").alias("far"), x["n_shingles"].alias("n"), y["n_shingles"].alias("m"))
 
 
 def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
