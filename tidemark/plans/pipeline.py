@@ -37,6 +37,8 @@ class Config:
     least: float = 0.25
     trees: int = 20
     depth: int = 4
+    folds: int = 4
+    seed: int = 7
 
 
 @dataclass

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -13,16 +15,22 @@ def read_delimited(spark: SparkSession, path: str, schema: str | StructType, sep
     return df.drop(index) if index else df
 
 
-def read_database(spark: SparkSession, url: str, table: str, column: str | None = None, low: int = 0, high: int = 0, parts: int = 1, **options: str) -> DataFrame:
+def read_database(spark: SparkSession, url: str, table: str, column: str | None = None, parts: int = 1, low: float | None = None, high: float | None = None, **options: str) -> DataFrame:
     """A table over JDBC, read in parts by ranges of a numeric column; names come in upper case.
 
-    Credentials belong in options from the caller's secret store.
+    Without low and high the column's own extremes are asked for first, so that the parts cover equal ranges of what is there; rows outside
+    given bounds, or with a null in the column, are read too, by the outer parts.  Filters and columns that follow are pushed to the
+    database.  Credentials belong in options from the caller's secret store.
     """
-    reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
-    if column:
-        reader = reader.options(partitionColumn=column, lowerBound=low, upperBound=high, numPartitions=parts)
-    df = reader.load()
-    return df.toDF(*(c.upper() for c in df.columns))
+    reader = spark.read.format("jdbc").options(url=url, **options)
+    if column and parts > 1:
+        if low is None or high is None:
+            first, last = reader.option("query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}").load().first()
+            low, high = (first if low is None else low), (last if high is None else high)
+        if low is not None and high is not None and low < high:
+            reader = reader.options(partitionColumn=column, lowerBound=math.floor(low), upperBound=math.ceil(high) + 1, numPartitions=parts)
+    df = reader.option("dbtable", table).load()
+    return df.select(*(F.col(c).alias(c.upper()) for c in df.columns))
 
 
 def write_panel(df: DataFrame, path: str, period: str | None = None) -> None:
