@@ -74,7 +74,7 @@ def test_database_in_parts_with_pushed_filters(spark, log):
     assert max(sizes) < 0.5 * sum(sizes)
     some = df.where("O_TOTALPRICE > 200000 and O_ORDERPRIORITY = '1-URGENT'").select("O_ORDERKEY")
     plan = some._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThan(O_TOTALPRICE,200000.0)" in plan and "EqualTo(O_ORDERPRIORITY,1-URGENT)" in plan and "O_CUSTKEY" not in plan.split("ReadSchema")[1]
+    assert "GreaterThan(o_totalprice,200000.0)" in plan and "EqualTo(o_orderpriority,1-URGENT)" in plan and "o_custkey" not in plan.split("ReadSchema")[1]
     want = log.where("o_totalprice > 200000 and o_orderpriority = '1-URGENT'")
     assert {r[0] for r in some.collect()} == {r.o_orderkey for r in want.collect()}
     outside = io.read_database(spark, url, "orders_side", "o_custkey", 3, 50, 60, **driver_class)

@@ -5,7 +5,7 @@ import __spark_entry__
 from tidemark.plans.queries import ORACLES, QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
-SLOW = {"shadow_select", "boruta_select", "recursive_elimination", "gbt_scores", "coordinate_search"}
+SLOW = {"shadow_select", "boruta_select", "recursive_elimination", "gbt_scores", "coordinate_search", "cv_metrics", "attribution_table"}
 
 
 def norm(rows):
@@ -35,7 +35,7 @@ def test_query_equals_its_sql(spark, sf_dir, duck, name):
     assert got
 
 
-@pytest.mark.parametrize("name", sorted(SLOW - {"coordinate_search", "boruta_select"}))
+@pytest.mark.parametrize("name", sorted(SLOW - {"coordinate_search"}))
 def test_fitted_queries_run(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 

@@ -735,6 +735,69 @@ def projected_parts(spark, d):
     return train.unionByName(validate)
 
 
+# ---- fitted models: what must hold of their tables, whatever the fit ----
+_Y = f"{_FULL}, m AS (SELECT o_custkey, period, lead(target) OVER (PARTITION BY o_custkey ORDER BY period DESC) AS y FROM full_), y AS (SELECT * FROM m WHERE y IS NOT NULL)"
+_CV = f"{_Y}, f AS (SELECT *, (row_number() OVER (ORDER BY o_custkey, period) - 1) // ((SELECT count(*) FROM y) // 3) AS f FROM y), k AS (SELECT o_custkey, period, y, CAST(CASE WHEN f < 3 THEN f END AS INTEGER) AS fold FROM f)"
+
+
+def _folds(spark, d):
+    from ..operators import model
+
+    rows, names = _modelling(spark, d)
+    rows = splits.fold_assign(rows, ["o_custkey", "period"], 3)
+    return model.cross_validation(rows, names, "y", ["o_custkey", "period"], 3, trees=3, depth=3)
+
+
+@query(f"{_CV} SELECT o_custkey, period, y, fold FROM k WHERE fold IS NOT NULL")
+def cv_membership(spark, d):
+    return _folds(spark, d)[0].select("o_custkey", "period", "y", "fold")
+
+
+@query(f"{_CV} SELECT i AS fold, count(*) FILTER (fold IS NULL OR fold <> i) AS n_train, count(*) FILTER (fold = i) AS n_test, count(*) FILTER (fold = i AND y = 1) AS n_positive FROM k, (SELECT unnest([0, 1, 2]) AS i) GROUP BY i")
+def cv_folds(spark, d):
+    return _folds(spark, d)[1].select("fold", "n_train", "n_test", "n_positive")
+
+
+@query()
+def cv_metrics(spark, d):
+    """A row for each fold with its sizes and all figures of the classifier report."""
+    return _folds(spark, d)[1]
+
+
+@query(f"{_Y} SELECT o_custkey, period, 1 AS adds_up FROM y")
+def attributions_add_up(spark, d):
+    """Of every row, whether base and attributions add up to half the log-odds of its score."""
+    from ..operators import attribution, model
+
+    rows, names = _modelling(spark, d)
+    fitted = model.fit_gbt(rows.where("period > 4"), names, "y", trees=5, depth=4)
+    scored = model.score(fitted, rows, names, ["o_custkey", "period"]).select("o_custkey", "period", "probability")
+    both = attribution.attributions(fitted, rows, names, ["o_custkey", "period"]).join(scored, ["o_custkey", "period"])
+    odds = F.log(F.col("probability") / (1 - F.col("probability"))) / 2
+    return both.select("o_custkey", "period", (F.abs(F.col("margin") - odds) < 1e-6).cast("int").alias("adds_up"))
+
+
+@query()
+def attribution_table(spark, d):
+    """The features by how much they move the score of the newest quarters."""
+    from ..operators import attribution, model
+
+    rows, names = _modelling(spark, d)
+    train, test = splits.period_split(rows, "period", 4)
+    fitted = model.fit_gbt(train, names, "y", trees=5, depth=4)
+    return attribution.importance_table(attribution.attributions(fitted, test, names, ["o_custkey", "period"]), names)
+
+
+@query(
+    "SELECT \"column\", count(*) AS n, count(DISTINCT x) AS n_distinct, min(x) AS low, max(x) AS high, round(sum(x), 2) AS total FROM (UNPIVOT (SELECT l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem) ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME \"column\" VALUE x) GROUP BY 1"
+)
+def shadow_columns(spark, d):
+    """Shadow columns hold each value of their columns, as often."""
+    rows, added = select.with_shadows(_read(spark, d, "lineitem").select(*NUMBERS), NUMBERS, 11)
+    long = reports.long_form(rows, added).withColumn("column", F.expr("substring(column, 8)"))
+    return long.groupBy("column").agg(F.count("x").alias("n"), F.count_distinct("x").alias("n_distinct"), F.min("x").alias("low"), F.max("x").alias("high"), F.round(F.sum("x"), 2).alias("total"))
+
+
 # ---- fitted selection and models: rows only ----
 def _modelling(spark, d):
     """Every quarter with every feature, and the target of the id's next quarter; its newest one has no next and no label."""
@@ -753,8 +816,9 @@ def shadow_select(spark, d):
 
 @query()
 def boruta_select(spark, d):
+    """Every feature with its hits, rounds and decision."""
     rows, names = _modelling(spark, d)
-    return spark.createDataFrame([(c,) for c in select.boruta_select(rows, names, "y", rounds=5, trees=3)], "column string")
+    return select.boruta(rows, names, "y", rounds=10, trees=5)
 
 
 @query()

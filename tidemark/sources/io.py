@@ -25,7 +25,10 @@ def read_database(spark: SparkSession, url: str, table: str, column: str | None
     reader = spark.read.format("jdbc").options(url=url, **options)
     if column and parts > 1:
         if low is None or high is None:
-            first, last = reader.option("query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}").load().first()
+            own = {c.upper(): c for c in spark.read.format("jdbc").options(url=url, dbtable=table, **options).load().columns}[column.upper()]
+            name = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(url).quoteIdentifier(own)
+            ends = spark.read.format("jdbc").options(url=url, query=f"SELECT MIN({name}) AS lo, MAX({name}) AS hi FROM {table}", **options)
+            first, last = ends.load().first()
             low, high = (first if low is None else low), (last if high is None else high)
         if low is not None and high is not None and low < high:
             reader = reader.options(partitionColumn=column, lowerBound=math.floor(low), upperBound=math.ceil(high) + 1, numPartitions=parts)
