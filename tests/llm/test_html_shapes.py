@@ -82,3 +82,16 @@ def test_generated_pages(seeds=400):
         after = [f"<aside>{prose(3, 30)}</aside>", f"<section class=comments><article class=comment><p>{prose(5, 40)}</p></article></section>", f"<footer>{prose(3, 9)}</footer>", ""]
         page = f"<html><head><title>{prose(2, 5)}</title></head><body>" + "".join(rng.sample(before, rng.randint(0, 4))) + f"<{tag}>" + "".join(inside) + f"</{tag.split()[0]}>" + "".join(rng.sample(after, rng.randint(0, 4))) + "</body></html>"
         assert main_text(page) == " ".join(kept), (seed, page)
+
+
+def test_what_readers_and_other_pages_add_goes_under_any_of_its_names():
+    from tidemark.llm.html_text import main_text
+
+    words = "The engineer described how the bridge was built over many years of patient work."
+    for name in ("post-comments", "user-comments", "reader-comments", "commentlist", "related-posts", "comment-list", "article-replies", "related_articles"):
+        for tag in ("div", "ol", "section"):
+            page = f"<html><body><article><h1>Bridge</h1><p>{words}</p><{tag} class='{name}'><p>I disagree with all of this, said a reader at length.</p></{tag}></article></body></html>"
+            assert main_text(page) == f"Bridge {words}", (name, tag)
+    for name in ("commentary", "relatedness", "post", "post-body", "user-story", "entry-header", "article-list", "commented-code"):
+        page = f"<html><body><article><h1>Bridge</h1><p>{words}</p><div class='{name}'><p>A second part of the story.</p></div></article></body></html>"
+        assert main_text(page) == f"Bridge {words} A second part of the story.", name

@@ -22,7 +22,7 @@ _RAW = "script style textarea iframe"
 _SKIPPED = f"{_RAW} noscript template svg object select canvas annotation annotation-xml"
 _END = {t: re.compile(rf"</{t}(?=[\s/>])[^<>]*>", re.I) for t in _SKIPPED.split()}
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(" + "|".join(_END) + r")(?=[\s/>])((?:\"[^\"]*+\"|'[^']*+'|[^'\"<>])*+|[^<>]*)>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*+\"|'[^']*+'|[^'\"<>])*+)>|<[!?][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(" + "|".join(_END) + r")(?=[\s/>])((?:\"[^\"]*+\"|'[^']*+'|[^'\"<>])*+|[^<>]*)>|<(/?)([a-zA-Z][^\s/<>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^'\"<>])*+)>|<[!?][^>]*>",
     re.S | re.I,
 )
 _BLOCKS = set("address article aside blockquote body button center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
@@ -36,6 +36,9 @@ _UNSEEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\
 _MARKS = set(
     "ad ads advert advertisement adverts advertising sponsor sponsored sponsors promo promotion banner nav navbar navigation menu breadcrumb breadcrumbs header masthead topbar footer sidebar aside widget widgets related recommended recommendations teaser share sharing cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login search pagination pager toolbar comment comments disqus reply replies respond discussion copyright legal form contentinfo complementary dialog".split()
 )
+#: Marks of what readers and other pages add, and words that name their authors: together they mark a surrounding as well.
+_ADDED = set("comment comments commentlist disqus reply replies respond related recommended recommendations sponsored advert adverts newsletter".split())
+_OTHERS = set("post posts user users reader readers visitor visitors member members list lists article articles story stories news thread threads entry entries".split())
 _LAYOUT = set("site page global main top bottom left right upper lower primary secondary sticky fixed box bar wrap wrapper container section area region list links block inner outer row col column slot unit item group panel".split())
 _SPLIT = re.compile(r"[^a-z]+")
 
@@ -96,6 +99,14 @@ class DecisionTree:
 TREE = DecisionTree(_TABLE[:, :-1], _TABLE[:, -1])
 
 
+def _marks(words: list[str]) -> bool:
+    """Whether a name's words mark a surrounding: at least one does, and all are marks or plain layout."""
+    own = [w for w in words if w not in _LAYOUT]
+    if any(w in _ADDED for w in own):
+        own = [w for w in own if w not in _OTHERS]
+    return bool(own) and all(w in _MARKS or w in _ADDED for w in own)
+
+
 def _marked(tag: str, attrs: str) -> bool:
     """Whether a tag's name or its attributes say that it is a surrounding or unseen; never for a whole page."""
     if tag in _PARTS:
@@ -115,7 +126,7 @@ def _marked(tag: str, attrs: str) -> bool:
             found = _UNSEEN.search(value) is not None
         else:
             names = [[w for w in _SPLIT.split(n) if w] for n in value.split()]
-            found = any(any(w in _MARKS for w in n) and all(w in _MARKS or w in _LAYOUT for w in n) for n in names)
+            found = any(_marks(n) for n in names)
         if found:
             return True
     return False
@@ -124,7 +135,8 @@ def _marked(tag: str, attrs: str) -> bool:
 def text_blocks(page: str) -> list[tuple[str, int, bool, bool, bool, float]]:
     """Blocks of a page in order: text, in article, marked, heading, list item, link density."""
     blocks = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, marked, in article; as inherited
+    stack: list[tuple[str, bool, bool, bool]] = []  # tag, marked, in article, below what is never part of an article; as inherited
+    places: dict[str, list[int]] = {}  # where each tag is on the stack
     parts: list[tuple[str, bool]] = []
     links = 0
     heading = item = False
@@ -135,29 +147,38 @@ def text_blocks(page: str) -> list[tuple[str, int, bool, bool, bool, float]]:
         words = html.unescape(text).split()
         if words:
             linked = len(html.unescape(" ".join(t for t, a in parts if a)).split())
-            marked, main = stack[-1][1:] if stack else (False, False)
+            marked, main = stack[-1][1:3] if stack else (False, False)
             blocks.append((" ".join(words), main, marked, heading, item, min(1.0, linked / len(words))))
         parts = []
 
+    def push(tag, marked, main):
+        outside = bool(stack) and stack[-1][3] or tag not in ("nav", "header", "head") and (marked or tag in ("aside", "footer", "form"))
+        places.setdefault(tag, []).append(len(stack))
+        stack.append((tag, marked, main, outside))
+
+    def pop():
+        places[stack.pop()[0]].pop()
+
     def open_(tag, attrs):
-        marked, main = stack[-1][1:] if stack else (False, False)
+        marked, main = stack[-1][1:3] if stack else (False, False)
         own = _marked(tag, attrs)
         if tag in _MAIN and not own:
-            marked = marked and any(t in ("aside", "footer", "form") or m for t, m, _ in stack if t not in ("nav", "header", "head"))
+            marked = marked and stack[-1][3]
             main = True
-        stack.append((tag, marked or own, main))
+        push(tag, marked or own, main)
 
     def close(tag):
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] == tag:
-                del stack[k:]
-                return
-            if stack[k][0] in _MAIN and tag in ("p", "li", "div", "td"):
-                return  # a stray end tag does not end the article
+        """Ends the innermost element of that name, if there is one; every step but one takes an element off."""
+        at = places.get(tag)
+        if not at or tag in ("p", "li", "div", "td") and any(places.get(t) and places[t][-1] > at[-1] for t in _MAIN):
+            return  # a stray end tag does not end the article
+        for _ in range(len(stack) - at[-1]):
+            pop()
 
     at = 0
     unclosed: set[str] = set()  # skipped elements that have no end tag in the rest of the page
-    while m := _TOKEN.search(page, at):
+    last = page.rfind(">") + 1  # beyond it there are no tags, and a comment goes on to the end
+    while m := _TOKEN.search(page, at, last) or (_TOKEN.match(page, start) if (start := page.find("<!--", at)) >= 0 else None):
         if m.start() > at:
             parts.append((page[at : m.start()], links > 0))
         at = m.end()
@@ -186,26 +207,26 @@ def text_blocks(page: str) -> list[tuple[str, int, bool, bool, bool, float]]:
             links = 0
             if ending:
                 close(tag)
-                heading, item = False, any(t == "li" for t, _, _ in stack[-3:])
+                heading, item = False, any(x[0] == "li" for x in stack[-3:])
                 continue
             if stack and stack[-1][0] == "p":
-                stack.pop()
+                pop()
             if tag in ("li", "td", "th", "tr", "dd", "dt") and stack and stack[-1][0] == tag:
-                stack.pop()
+                pop()
             if tag == "body":
                 while stack and stack[-1][0] != "html":
-                    stack.pop()
+                    pop()
             if tag not in _VOID:
                 open_(tag, attrs)
                 if tag in _HEADINGS and len(stack) > 1 and stack[-2][0] == "header" and stack[-2][2]:
-                    stack[-1] = (tag, False, True)  # the headline of an article's own header
+                    stack[-1] = (tag, False, True, stack[-2][3])  # the headline of an article's own header
             heading, item = tag in _HEADINGS, tag == "li"
         elif not ending and tag not in _VOID and attrs.strip() and not attrs.endswith("/") and _marked(tag, attrs):
             flush()
-            stack.append((tag, True, stack[-1][2] if stack else False))
+            push(tag, True, stack[-1][2] if stack else False)
         elif ending and stack and stack[-1][0] == tag:
             flush()
-            stack.pop()
+            pop()
     if at < len(page):
         parts.append((page[at:], links > 0))
     flush()

@@ -195,12 +195,12 @@ SPDX_IDS = frozenset(
     "0bsd afl-3.0 agpl-3.0 agpl-3.0-only agpl-3.0-or-later apache-1.1 apache-2.0 artistic-1.0-perl artistic-2.0 blueoak-1.0.0 bsd-2-clause bsd-2-clause-patent bsd-3-clause bsd-3-clause-clear bsd-4-clause bsl-1.0 busl-1.1 cc-by-1.0 cc-by-2.0 cc-by-2.5 cc-by-3.0 cc-by-4.0 cc-by-nc-3.0 cc-by-nc-4.0 cc-by-nc-nd-3.0 cc-by-nc-nd-4.0 cc-by-nc-sa-3.0 cc-by-nc-sa-4.0 cc-by-nd-3.0 cc-by-nd-4.0 cc-by-sa-3.0 cc-by-sa-4.0 cc0-1.0 cddl-1.0 cddl-1.1 cecill-2.1 cecill-b cecill-c ecl-2.0 elastic-2.0 epl-1.0 epl-2.0 eupl-1.1 eupl-1.2 gfdl-1.2 gfdl-1.3 gpl-1.0 gpl-2.0 gpl-2.0+ gpl-2.0-only gpl-2.0-or-later gpl-3.0 gpl-3.0+ gpl-3.0-only gpl-3.0-or-later ijg isc json lgpl-2.0 lgpl-2.1 lgpl-2.1-only lgpl-2.1-or-later lgpl-3.0 lgpl-3.0-only lgpl-3.0-or-later lppl-1.3c mit mit-0 mpl-1.1 mpl-2.0 ms-pl ms-rl mulanpsl-2.0 ncsa odbl-1.0 odc-by-1.0 ofl-1.1 openssl osl-3.0 pddl-1.0 php-3.01 postgresql psf-2.0 python-2.0 qpl-1.0 ruby sspl-1.0 unicode-dfs-2016 unlicense upl-1.0 vim w3c wtfpl zlib zpl-2.1".split()
 )
 #: Where an identifier stands: weight and pattern with the identifiers, parted by or, and, with.
-_ID = r"[\[({'\"`\s]*[a-z0-9][a-z0-9.+-]*[a-z0-9+]"
+_ID = r"[\[({'\"`\s]*+[a-z0-9][a-z0-9.+-]*[a-z0-9+]"
 _PLACES = (
-    (0.99, re.compile(rf"spdx-license-identifier:((?:{_ID})(?:[)\s]+(?:or|and|with)[\s(]+(?:{_ID}))*)")),
+    (0.99, re.compile(rf"spdx-license-identifier:((?:{_ID})(?:[)\s]++(?:or|and|with)[\s(]++(?:{_ID}))*)")),
     (0.95, re.compile(r"(?:spdx|opensource|choosealicense)\.org/licenses?/([a-z0-9][a-z0-9.+-]*[a-z0-9+])")),
-    (0.9, re.compile(rf"(?<![a-z0-9])licen[cs]es?['\"`]?\s*[:=]((?:{_ID})(?:[)\s]+(?:or|and|with)[\s(]+(?:{_ID}))*)")),
-    (0.97, re.compile(rf"(?:licen[cs]ed|released|distributed|available|published) under (?:the )?((?:{_ID})(?:[)\s]+(?:or|and|with)[\s(]+(?:{_ID}))*)")),
+    (0.9, re.compile(rf"(?<![a-z0-9])licen[cs]es?['\"`]?\s*[:=]((?:{_ID})(?:[)\s]++(?:or|and|with)[\s(]++(?:{_ID}))*)")),
+    (0.97, re.compile(rf"(?:licen[cs]ed|released|distributed|available|published) under (?:the )?((?:{_ID})(?:[)\s]++(?:or|and|with)[\s(]++(?:{_ID}))*)")),
 )
 _ID_WORDS = re.compile(r"spdx-license-identifier|\.org/licenses?/|licen[cs]es?['\"`]?\s*[:=]|(?:licen[cs]ed|released|distributed|available|published) under")
 _NAMED = re.compile(r" licen[cs]e(?![a-z0-9])")
@@ -272,7 +272,7 @@ class Detection:
     rule: Rule
 
 
-_BREAK = re.compile(r"[ \t]*[\r\n]\s*(?:(?:[#;%*]+|//+|--+)(?=\s)\s*)?")
+_BREAK = re.compile(r"[\r\n]\s*(?:(?:[#;%*]+|//+|--+)(?=\s)\s*)?")
 
 
 def plain(low: str) -> str:
@@ -312,8 +312,16 @@ def claim(low: str, some: Iterable[Rule]) -> list[Detection]:
     """
     from bisect import bisect_left, bisect_right
 
-    ids = sorted(named(low), key=lambda d: -d.rule.weight)
-    given = [d for k, d in enumerate(ids) if not any(e.start <= d.start and e.end >= d.end and e.rule.label == d.rule.label for e in ids[:k])]
+    given: list[Detection] = []
+    spread: dict[str, tuple[list[int], list[int]]] = {}  # of each label: starts and ends, both ascending, of what no other holds
+    for d in sorted(named(low), key=lambda d: -d.rule.weight):
+        begun, ended = spread.setdefault(d.rule.label, ([], []))
+        k = bisect_right(begun, d.start) - 1
+        if k >= 0 and ended[k] >= d.end:
+            continue
+        given.append(d)
+        a, b = bisect_left(begun, d.start), bisect_right(ended, d.end)
+        begun[a : max(a, b)], ended[a : max(a, b)] = [d.start], [d.end]
     kept: list[Detection] = []
     starts: list[int] = []
     spans = [(d.start, d.end, d.rule) for d in given]
@@ -335,6 +343,10 @@ _WORDS = bytes(x + 32 if 65 <= x <= 90 else x if 48 <= x <= 57 or 97 <= x <= 122
 _ASCII_LOWER = bytes(x + 32 if 65 <= x <= 90 else x for x in range(256))
 
 
+#: Labels that grant nothing, and the weight up to which one of them yields to a grant in the same text.
+_NO_GRANT, _RESERVED = {"proprietary", "non-commercial", "research-only"}, 0.7
+
+
 def scan_text(text: str | None) -> tuple[int, int, int | None, int | None, str, str, float]:
     """n_words, n_base, first_word, last_word, base_labels, labels, score of a whole text."""
     raw = (text or "").encode()
@@ -350,7 +362,11 @@ def scan_text(text: str | None) -> tuple[int, int, int | None, int | None, str,
                     starts.append(a)
                     base.add(label)
     labels, weight = set(base), {}
-    for d in detect(raw.translate(_ASCII_LOWER).decode()):
+    found = detect(raw.translate(_ASCII_LOWER).decode())
+    granted = bool(base) or any(d.rule.label not in _NO_GRANT for d in found)
+    for d in found:
+        if granted and d.rule.label == "proprietary" and d.rule.weight <= _RESERVED:
+            continue  # a license keeps its author's other rights
         labels.add(d.rule.label)
         weight[d.start] = max(weight.get(d.start, 0.0), d.rule.weight)
     miss = 1.0 if weight or not base else 0.3
