@@ -72,6 +72,7 @@ def test_database_in_parts_with_pushed_filters(spark, log):
     assert sorted(df.collect(), key=str) == sorted(rows.collect(), key=str)  # nulls of the column too
     sizes = [len(p) for p in df.rdd.glom().collect()]
     assert max(sizes) < 0.5 * sum(sizes)
+    spark.conf.set("spark.sql.maxMetadataStringLength", 1000)
     some = df.where("O_TOTALPRICE > 200000 and O_ORDERPRIORITY = '1-URGENT'").select("O_ORDERKEY")
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(o_totalprice,200000.0)" in plan and "EqualTo(o_orderpriority,1-URGENT)" in plan and "o_custkey" not in plan.split("ReadSchema")[1]
