@@ -8,10 +8,14 @@ that fills a bucket alone is cut further by the next order column.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from ..sources.stored import stored
+
 
 #: percentile_approx() is off by at most a share of 1 / _ACCURACY of a group's rows.
 _ACCURACY = 10000
@@ -101,3 +105,48 @@ def grouped_quantile(rows: DataFrame, keys: list[str], value: str, q: float, nam
     part = F.first(at - F.floor(at))
     found = run.groupBy(*keys).agg(lost.alias("__lost"), (low + (high - low) * part).alias(name))
     return found.select(*keys, F.when(F.col("__lost"), F.raise_error("a rank lies outside its bracket").cast("double")).otherwise(F.col(name)).alias(name))
+
+
+def bracket(x: Column, q: float) -> Column:
+    """An aggregate that tells where the exact q-quantile of x lies: n, low, high.
+
+    low and high are approximate percentiles, five times their error bound apart on each side; groups of up to _ACCURACY values are
+    taken whole.
+    """
+    slack = 5 / _ACCURACY
+    ends = F.percentile_approx(x, [max(0.0, q - slack), min(1.0, q + slack)], _ACCURACY)
+    whole = F.count(x) <= _ACCURACY
+    return F.struct(F.count(x).alias("n"), F.when(whole, F.min(x)).otherwise(ends[0]).alias("low"), F.when(whole, F.max(x)).otherwise(ends[1]).alias("high"))
+
+
+def wide_quantiles(df: DataFrame, values: dict[str, Column], ends: dict[str, tuple[int, float, float]], q: float, buckets: int = 64) -> dict[str, float]:
+    """The exact q-quantile of each of a row's values, interpolated between neighbours; ends: bracket() of each, without those of no value.
+
+    One pass over df: it counts what lies below each bracket while values inside, about a thousandth, leave
+    the row and are counted by value.  Only these counts are shuffled and ranked, in ``buckets`` equal steps.
+    """
+    names = list(ends)
+    if not names:
+        return {}
+    below = Observation()
+    cells = F.array(*(F.struct(F.lit(k).alias("k"), F.when(values[c].between(F.lit(ends[c][1]), F.lit(ends[c][2])), values[c]).alias("x")) for k, c in enumerate(names)))
+    watched = df.observe(below, *(F.count_if(values[c] < F.lit(ends[c][1])).alias(f"b{k}") for k, c in enumerate(names)))
+    inside = watched.select(F.explode(F.filter(cells, lambda r: r["x"].isNotNull())).alias("r")).select("r.*")
+    ties = stored(inside.groupBy("k", "x").agg(F.count(F.lit(1)).alias("n")), "inside")
+    counts = below.get
+    low, span = (F.array(*(F.lit(float(v)) for v in vs))[F.col("k")] for vs in ([ends[c][1] for c in names], [ends[c][2] - ends[c][1] for c in names]))
+    placed = ties.withColumn("bucket", F.coalesce(F.least(F.floor(F.try_divide(F.col("x") - low, span) * buckets), F.lit(buckets)).cast("int"), F.lit(0)))
+    before = Window.partitionBy("k").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bases = placed.groupBy("k", "bucket").agg(F.sum("n").alias("t")).select("k", "bucket", F.coalesce(F.sum("t").over(before), F.lit(0)).alias("base"))
+    upto = Window.partitionBy("k", "bucket").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    run = placed.withColumn("c", F.sum("n").over(upto)).join(F.broadcast(bases), ["k", "bucket"]).withColumn("c", F.col("c") + F.col("base"))
+    at = [q * (ends[c][0] - 1) - counts[f"b{k}"] for k, c in enumerate(names)]
+    first, second = (F.array(*(F.lit(f(a) + 1) for a in at))[F.col("k")] for f in (math.floor, math.ceil))
+    found = {r["k"]: r for r in run.groupBy("k").agg(F.min(F.when(F.col("c") >= first, F.col("x"))).alias("a"), F.min(F.when(F.col("c") >= second, F.col("x"))).alias("b"), F.max("c").alias("n")).collect()}
+    out = {}
+    for k, c in enumerate(names):
+        r = found.get(k)
+        if r is None or at[k] < 0 or r["n"] < math.ceil(at[k]) + 1:
+            raise ValueError(f"a rank of {c} lies outside its bracket")
+        out[c] = r["a"] + (r["b"] - r["a"]) * (at[k] - math.floor(at[k]))
+    return out

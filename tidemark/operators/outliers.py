@@ -1,11 +1,11 @@
-"""Robust outlier statistics and clamping, from three aggregations over all columns at once."""
+"""Robust outlier statistics and clamping, from a few aggregations over all columns at once."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.prefix import grouped_quantile
+from ..functions.prefix import bracket, wide_quantiles
 from .features import clip
 
 
@@ -14,27 +14,38 @@ def outlier_stats(df: DataFrame, columns: list[str], threshold: float = 10.0) ->
 
     The score of x is 0.6745 (x - median) / MAD, or 0.7979 (x - median) over the mean
     deviation from the mean where MAD is 0; above the threshold either way it
-    is an outlier.  low and high are the extremes of the rest.  A constant column has no score and no outliers.
+    is an outlier.  low and high are the extremes of the rest.  A constant column has no score and no outliers; one without a value has no row.
 
-    Long form: the columns become rows once, so the three aggregations group by
-    column and combine map-side; their results, a row for each column, are broadcast.
+    Columns stay columns: five passes, each one aggregation without a shuffle of rows (mean and brackets; median;
+    deviations and their brackets; MAD; bounds), whose results, a few numbers for each column, enter the next as literals.
     """
-    long = df.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in columns))).alias("r")).select("r.*").where("x is not null")
-    first = long.groupBy("column").agg(F.avg("x").alias("mean")).join(grouped_quantile(long, ["column"], "x", 0.5, "median"), "column")
-    first = df.sparkSession.createDataFrame(first.collect(), first.schema)  # a row for each column, used three times below
-    near = long.join(F.broadcast(first), "column").withColumn("off", F.abs(F.col("x") - F.col("median")))
-    second = near.groupBy("column", "median").agg(F.avg(F.abs(F.col("x") - F.col("mean"))).alias("mean_dev")).join(grouped_quantile(near, ["column"], "off", 0.5, "mad"), "column")
-    x, m = F.col("x"), F.col("median")
-    z = F.when(F.col("mad") > 0, F.abs(0.6745 * (x - m) / F.when(F.col("mad") > 0, F.col("mad")))).when(F.col("mean_dev") > 0, F.abs(0.7979 * (x - m) / F.when(F.col("mean_dev") > 0, F.col("mean_dev")))).otherwise(0.0)
-    scored = long.join(F.broadcast(second), "column").withColumn("__in", z <= threshold)
-    return scored.groupBy("column").agg(
-        F.first("median").alias("median"),
-        F.first("mad").alias("mad"),
-        F.first("mean_dev").alias("mean_dev"),
-        F.min(F.when(F.col("__in"), x)).alias("low"),
-        F.max(F.when(F.col("__in"), x)).alias("high"),
-        F.count_if(~F.col("__in")).alias("n_outliers"),
-    )
+    x = {c: F.col(c).cast("double") for c in columns}
+    first = df.agg(*(F.struct(F.avg(x[c]).alias("mean"), bracket(x[c], 0.5).alias("at")).alias(c) for c in columns)).first()
+    held = [c for c in columns if first[c]["at"]["n"]]
+    median = wide_quantiles(df, x, {c: tuple(first[c]["at"]) for c in held}, 0.5)
+    off = {c: F.abs(x[c] - F.lit(median[c])) for c in held}
+    second = df.agg(F.lit(1).alias("__one"), *(F.struct(F.avg(F.abs(x[c] - F.lit(first[c]["mean"]))).alias("dev"), bracket(off[c], 0.5).alias("at")).alias(c) for c in held)).first()
+    mad = wide_quantiles(df, off, {c: tuple(second[c]["at"]) for c in held}, 0.5)
+
+    def inlier(c: str) -> Column:
+        dev = second[c]["dev"]
+        if mad[c] > 0:
+            return F.abs(0.6745 * (x[c] - F.lit(median[c])) / F.lit(mad[c])) <= threshold
+        return F.abs(0.7979 * (x[c] - F.lit(median[c])) / F.lit(dev)) <= threshold if dev > 0 else F.lit(0.0 <= threshold)
+
+    cells = [
+        F.struct(
+            F.lit(c).alias("column"),
+            *(F.lit(float(v)).alias(k) for k, v in (("median", median[c]), ("mad", mad[c]), ("mean_dev", second[c]["dev"]))),
+            F.min(F.when(inlier(c), x[c])).alias("low"),
+            F.max(F.when(inlier(c), x[c])).alias("high"),
+            F.count_if(x[c].isNotNull() & ~inlier(c)).alias("n_outliers"),
+        ).alias(f"c{k}")
+        for k, c in enumerate(held)
+    ]
+    if not held:
+        return df.sparkSession.createDataFrame([], "column string, median double, mad double, mean_dev double, low double, high double, n_outliers long")
+    return df.agg(*cells).select(F.explode(F.array(*(f"c{k}" for k in range(len(held))))).alias("r")).select("r.*")
 
 
 def clamp(df: DataFrame, columns: list[str], stats: DataFrame) -> DataFrame:

@@ -44,6 +44,17 @@ def assign_period(df: DataFrame, date: str, unit: str, length: int = 1, end: Col
     return df.withColumn(name, F.when(back < 0, -1).otherwise(F.floor(back / length)).cast("int"))
 
 
+def calendar_of(df: DataFrame, date: str, unit: str) -> DataFrame:
+    """unit, period, n: every unit from a table's first date to its last, with how many rows fall in it, none included.
+
+    One aggregation by unit; the calendar has a row for each unit and joins it by broadcast.
+    """
+    counts = df.where(F.col(date).isNotNull()).groupBy(unit_number(F.col(date), unit).alias("unit")).agg(F.count(F.lit(1)).alias("n"))
+    ends = counts.agg(F.min("unit").alias("a"), F.max("unit").alias("b")).where("a is not null")
+    spine = ends.select("b", F.explode(F.sequence("a", "b")).alias("unit"))
+    return spine.join(F.broadcast(counts), "unit", "left").select("unit", (F.col("b") - F.col("unit")).alias("period"), F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+
+
 def calendar(spark: SparkSession, start: str, end: str, unit: str) -> DataFrame:
     """The unit numbers between two dates, newest first in their period numbers."""
     ends = spark.sql("select 1").select(unit_number(F.lit(start).cast("date"), unit).alias("a"), unit_number(F.lit(end).cast("date"), unit).alias("b"))

@@ -22,6 +22,32 @@ def id_split(df: DataFrame, id: str, share: float, seed: int = 7) -> tuple[DataF
     return df.where(inside), df.where(~inside)
 
 
+def id_share(df: DataFrame, id: str, share: float, seed: int = 7) -> DataFrame:
+    """All rows of about that share of the ids, by their digests: the same ids in any engine, for a lighter cross-validation."""
+    return df.where(digest_order(seed, id) < int(share * (1 << 60)))
+
+
+def split_parts(panel: DataFrame, id: str, period: str, how: str, newest: int = 0, share: float = 0.7, ref: Column | None = None, key: str | None = None, seed: int = 7) -> dict[str, DataFrame]:
+    """train and validate (and predict, where there are reference events) by one of the ways to split.
+
+    period: validate has the periods up to newest.  ids: whole ids, newest periods of the held ones alone.  in_time: whole ids, one row of
+    each held one.  With ref, predict has the rows of period newest of the ids without a reference event in it.
+    """
+    if how == "period":
+        train, validate = period_split(panel, period, newest)
+    elif how == "ids":
+        train, held = id_split(panel, id, share, seed)
+        train, validate = train.where(F.col(period) > newest), held.where(F.col(period) <= newest)
+    elif how == "in_time":
+        train, validate = in_time_split(panel, id, key or period, share, seed)
+    else:
+        raise ValueError(f"no way to split: {how!r}")
+    parts = {"train": train, "validate": validate}
+    if ref is not None:
+        parts["predict"] = predict_split(panel, id, period, newest, ref)
+    return parts
+
+
 def predict_split(panel: DataFrame, id: str, period: str, at: int, ref: Column) -> DataFrame:
     """Rows of one period, without ids that have a reference event in it."""
     rows = panel.where(F.col(period) == at)

@@ -15,6 +15,16 @@ def mark_reference(df: DataFrame, roles: Roles, condition: Column, ref: str = "r
     return df.withColumn(ref, flag).withColumn(timeline, F.sum(ref).over(roles.past()))
 
 
+def mark_indicator(df: DataFrame, roles: Roles, indicator: str, ref: str = "ref_event", timeline: str = "timeline") -> DataFrame:
+    """mark_reference() where a column tells the reference events (1, true or a number above 0); the column goes."""
+    return mark_reference(df, roles, F.coalesce(F.col(indicator).cast("double"), F.lit(0.0)) > 0, ref, timeline).drop(indicator)
+
+
+def as_running(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns that hold running totals already, under the names that running_sums() gives."""
+    return df.withColumnsRenamed({c: f"expanding_{c}" for c in columns})
+
+
 def time_since_reference(df: DataFrame, roles: Roles, ref: str = "ref_event") -> DataFrame:
     """Days since the journey began, since the timeline began, and to the next timeline (-999 if none).
 

@@ -204,9 +204,18 @@ def period_assign_two_weeks(spark, d):
     return rows.select("event_id", "period", periods.year_unit(F.col("ts"), "week").cast("int").alias("year_unit"))
 
 
-@query("SELECT CAST(year(m) * 12 + month(m) AS INTEGER) AS unit, CAST(2001 * 12 + 8 - (year(m) * 12 + month(m)) AS INTEGER) AS period FROM (SELECT unnest(generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-08-01', INTERVAL 1 MONTH)) AS m)")
+@query(
+    f"WITH c AS (SELECT {_unit('month')} AS unit, count(*) AS n FROM orders GROUP BY 1), s AS (SELECT unnest(range((SELECT min(unit) FROM c), (SELECT max(unit) FROM c) + 1)) AS unit) "
+    "SELECT CAST(unit AS INTEGER) AS unit, CAST((SELECT max(unit) FROM c) - unit AS INTEGER) AS period, coalesce(n, 0) AS n FROM s LEFT JOIN c USING (unit)"
+)
 def period_calendar(spark, d):
-    return periods.calendar(spark, "1995-01-01", "2001-08-01", "month")
+    return periods.calendar_of(_read(spark, d, "orders"), "o_orderdate", "month")
+
+
+@query(f"SELECT event_id, CASE WHEN value > 100 THEN 1 ELSE 0 END AS ref_event, CAST(sum(CASE WHEN value > 100 THEN 1 ELSE 0 END) OVER ({_W} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS timeline, value AS expanding_value FROM events")
+def timeline_from_indicator(spark, d):
+    rows = _read(spark, d, "events").withColumn("ended", F.when(F.col("value") > 100, 1))
+    return timeline.as_running(timeline.mark_indicator(rows, EVENTS, "ended"), ["value"]).select("event_id", "ref_event", "timeline", "expanding_value")
 
 
 @query(f"WITH {_ord()}, {_PAN} SELECT o_custkey, period, o_totalprice, o_orderstatus, n_orders FROM pan")
@@ -574,10 +583,20 @@ def leakage(spark, d):
     return reports.leakage(rows.where("o_orderdate < timestamp_ntz'1995-06-01'"), rows.where("o_orderdate >= timestamp_ntz'2001-01-01'"), "o_custkey")
 
 
-@query("SELECT * FROM (VALUES ('n_orders', 'n_orders', 'raw'), ('n_orders_lag_1', 'n_orders', 'lag'), ('n_orders_mean_6', 'n_orders', 'rolling mean'), ('price_diff', 'price', 'difference'), ('month_sin', 'month', 'cyclical')) v(name, source, transform)")
+_SUFFIXES = {"_lag_[0-9]+": "lag", "_(mean|std|skew|trend)_[0-9]+": "rolling", "_diff": "difference", "_sin": "cyclical", "_cos": "cyclical"}
+_LINEAGE = ["n_orders", "o_totalprice", "td", *_ENRICHED]
+
+
+@query(
+    f"{_FULL}, num AS (SELECT * REPLACE (CAST(n_orders AS DOUBLE) AS n_orders, CAST(td AS DOUBLE) AS td), CAST(row_number() OVER {_P} AS DOUBLE) AS pos FROM full_), e AS (SELECT n_orders, o_totalprice, td, {_enriched_sql('n_orders')}, {_enriched_sql('o_totalprice')} FROM num), "
+    f"u AS (SELECT name, count(*) AS n_values FROM (UNPIVOT e ON {', '.join(_LINEAGE)} INTO NAME name VALUE x) GROUP BY 1) SELECT name, regexp_replace(name, '(_lag_[0-9]+|_(mean|std|skew|trend)_[0-9]+|_diff)$', '') AS source, "
+    "CASE WHEN regexp_matches(name, '_lag_[0-9]+$') THEN 'lag' WHEN regexp_matches(name, '_(mean|std|skew|trend)_[0-9]+$') THEN 'rolling' WHEN regexp_matches(name, '_diff$') THEN 'difference' ELSE 'raw' END AS transform, n_values FROM u"
+)
 def column_lineage(spark, d):
-    names = spark.createDataFrame([(c,) for c in ("n_orders", "n_orders_lag_1", "n_orders_mean_6", "price_diff", "month_sin")], "name string")
-    return reports.lineage(names, "name", {"_lag_[0-9]+": "lag", "_mean_[0-9]+": "rolling mean", "_diff": "difference", "_sin": "cyclical", "_cos": "cyclical"})
+    """Where each column of the enriched panel comes from, with how many values it has."""
+    panel = _enriched(spark, d).select(*_LINEAGE)
+    counts = features.unpivot(panel.agg(*(F.count(c).alias(c) for c in panel.columns)), panel.columns, "n_values").withColumnRenamed("column", "name")
+    return reports.lineage(counts, "name", _SUFFIXES).select("name", "source", "transform", "n_values")
 
 
 # ---- metrics on a deterministic score ----
@@ -708,6 +727,19 @@ def cohort_rows(spark, d):
     return inside.select("o_orderkey", F.lit("cohort").alias("part")).unionByName(outside.select("o_orderkey", F.lit("rest").alias("part")))
 
 
+@query("SELECT o_orderkey, o_custkey FROM orders WHERE CAST('0x' || substr(md5('7|' || o_custkey), 1, 15) AS BIGINT) < 345876451382054080")
+def id_share(spark, d):
+    """All orders of three tenths of the customers."""
+    return splits.id_share(_read(spark, d, "orders"), "o_custkey", 0.3).select("o_orderkey", "o_custkey")
+
+
+@query(f"{_FULL}, p AS (SELECT o_custkey, period FROM full_ WHERE period = 3 AND o_custkey NOT IN (SELECT o_custkey FROM full_ WHERE period = 3 AND target = 1)) SELECT o_custkey, period, CASE WHEN period > 3 THEN 'train' ELSE 'validate' END AS part FROM full_ UNION ALL SELECT o_custkey, period, 'predict' FROM p")
+def split_parts(spark, d):
+    parts = splits.split_parts(_dense(spark, d), "o_custkey", "period", "period", 3, ref=F.col("target") == 1)
+    out = [df.select("o_custkey", "period", F.lit(k).alias("part")) for k, df in parts.items()]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 @query(f"WITH {_ord('month')} SELECT period, CAST(min(o_orderdate) AS DATE) AS first_date, CAST(max(o_orderdate) AS DATE) AS last_date, CAST(date_diff('day', CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE)) + 1 AS INTEGER) AS days FROM ord GROUP BY 1")
 def period_lengths(spark, d):
     return reports.period_lengths(_orders(spark, d, "month"), "period", "o_orderdate")
