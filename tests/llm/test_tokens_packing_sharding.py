@@ -1,3 +1,4 @@
+import random
 import struct
 import zlib
 from collections import Counter, defaultdict
@@ -197,3 +198,23 @@ def test_sharding_edge_cases(spark):
     docs = docs.unionByName(docs.where("doc_id = 0")).unionByName(docs.where("doc_id = 0"))
     check_shards(shard_documents(docs, 3).collect(), [(r.doc_id, r.text) for r in docs.collect()], 3)
     assert shard_documents(documents(spark, []), 4).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_best_fit_equals_a_naive_one_of_the_same_sizes(seed):
+    """Bin by bin: each size, largest first, into the fullest bin that it fits in, else into a new one."""
+    rng = random.Random(seed)
+    capacity = rng.choice((40, 100, 1000))
+    counts = sorted({rng.randint(1, capacity): rng.randint(1, 9) for _ in range(rng.randint(1, 40))}.items(), reverse=True)
+    naive = []
+    for size, n in counts:
+        for _ in range(n):
+            fits = [b for b in range(len(naive)) if naive[b] + size <= capacity]
+            if fits:
+                naive[max(fits, key=lambda b: naive[b])] += size
+            else:
+                naive.append(size)
+    rows, loads = best_fit(counts, capacity)
+    assert sorted(loads) == sorted(naive)
+    placed = {size: sorted((lo, hi) for s, lo, hi, _ in rows if s == size) for size, _ in counts}
+    assert all(sum(hi - lo for lo, hi in placed[size]) == n for size, n in counts)

@@ -189,7 +189,7 @@ class _Groups:
         that class demands: what only tells a member from the centre, as nearly all of its common ones do, meets nothing.
         """
         big = mixed.where(F.col("many") > _SMALL)
-        waiting = self.work.keep(big.where("open").groupBy("b", "k").agg(F.max("many").alias("n")), "big-waiting")
+        waiting = self.work.keep(big.where("open").groupBy("b", "k").agg(F.max("many").alias("n"), F.min("w").alias("nearest")), "big-waiting")
         big = spread_join(big, waiting, ["b", "k"], ["a"], self.total)
         step = F.greatest(F.floor(self.slack / _CLASSES), F.lit(1)).cast("long")
         big = big.withColumn("step", step).withColumn("class", F.least(F.floor(F.col("w") / F.col("step")), F.lit(_LAST)).cast("int"))
@@ -197,13 +197,18 @@ class _Groups:
         counts = big.agg(F.sum(F.col("r") + F.col("s"))).first()
         at = big.select(F.col("b").alias("g"), "a").distinct()
         es = self.work.keep(meet(self.work.keep(at, "big-at"), at.select("g", F.col("g").alias("h")).distinct(), self.texts, self.width, _unlike, _UNLIKE, self.work, "big-unlike"), "big-es")
-        each = es.select("a", "j", "b", "k", F.explode("es").alias("e"))
-        often = self.work.keep(each.groupBy("b", "k", "e").agg(F.count(F.lit(1)).alias("n")).where("n > 1").withColumn("often", F.col("n")), "big-often")
+        each = es.join(big, ["b", "k", "a", "j"]).select(*big.columns, F.explode("es").alias("e"))
+        # Only what an open member shares with one of another component can tell of a link that is still wanted.
+        often = each.groupBy("b", "k", "e").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("any"), F.min("component").alias("low"), F.max("component").alias("high"))
+        often = self.work.keep(often.where("any and low <> high").select("b", "k", "e", "n", F.col("n").alias("often")), "big-often")
         common = spread_join(each, often, ["b", "k", "e"], ["a"], counts[0])
         own = Window.partitionBy("b", "k", "a", "j")
         common = common.withColumn("spot", F.row_number().over(own.orderBy("often", "e"))).withColumn("shared", F.count(F.lit(1)).over(own))
-        rows = common.join(big, ["b", "k", "a", "j"]).withColumn("d", F.col("r") + F.col("s"))
+        rows = common.withColumn("d", F.col("r") + F.col("s"))
         rows = rows.withColumn("spot", F.col("d") - F.col("shared") + F.col("spot"))
+        first = F.col("spot") <= F.col("d") - self.needed(F.col("w"), F.col("nearest")) + 1  # else beyond the reach of every open member
+        own_first = F.col("open") & (F.col("spot") <= F.col("d") - self.needed(F.col("w"), F.col("least")) + 1)
+        rows = rows.where(first | own_first)
         rows = self.work.keep(rows.select("b", "k", "e", "often", "step", "class", "a", "r", "s", "w", "d", "spot", "size", "component", "open", "least"), "big-rows")
         x = rows.where(F.col("open") & (F.col("spot") <= F.col("d") - self.needed(F.col("w"), F.col("least")) + 1))
         at_e = x.groupBy("b", "k", "e").agg(F.collect_set("class").alias("classes"), F.min("component").alias("low"), F.max("component").alias("high"), F.max("often").alias("n"))

@@ -160,21 +160,25 @@ class _Sketches:
         """
         pull = F.sum("many").over(Window.partitionBy("id"))
         rows, found = self.work.keep(members.select("key", "id", pull.alias("pull")), "round-0"), []
+
+        def central(rows: DataFrame, k: int) -> DataFrame:
+            found = rows.groupBy("key").agg(F.min_by("id", F.struct(-F.col("pull"), "id")).alias("g"), F.count(F.lit(1)).alias("n"))
+            return self.work.keep(found.where("n > 1"), f"centers-{k}")
+
+        centers = central(rows, 0)
         for k in range(1, _ROUNDS + 1):
-            centers = rows.groupBy("key").agg(F.min_by("id", F.struct(-F.col("pull"), "id")).alias("g"), F.count(F.lit(1)).alias("n"))
-            centers = self.work.keep(centers.where("n > 1"), f"centers-{k}")
             paired = self.work.keep(spread_join(rows, centers, ["key"], ["id"]).where("id <> g").select("key", "pull", "g", F.col("id").alias("a")), f"paired-{k}")
             words = F.expr("shiftleft(1, cast(key & 31 as int))").alias("words")
             judged = self.work.keep(self._judged(paired.select("g", "a", words).distinct()), f"judged-{k}")
             found.append(judged.where("core").select("g", "a"))
             open_ = paired.withColumn("words", words).join(judged.where("not near").select("g", "a", "words").hint("merge"), ["g", "a", "words"]).select("key", F.col("a").alias("id"), "pull")
             rows = self.work.keep(open_, f"round-{k}")
-            sizes = self.work.keep(rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), f"sizes-{k}")
-            for done in (f"round-{k - 1}", f"centers-{k}", f"paired-{k}"):
+            centers = central(rows, k)
+            for done in (f"round-{k - 1}", f"centers-{k - 1}", f"paired-{k}"):
                 self.work.drop(done)
-            if k > 1 and sizes.where(F.col("n") > _BUCKET).isEmpty():
+            if centers.where(F.col("n") > _BUCKET).isEmpty():
                 break
-        left = self.work.keep(spread_join(rows, sizes.withColumn("size", F.col("n")), ["key"], ["id"]), "left-over")
+        left = self.work.keep(spread_join(rows, centers.select("key", "n", F.col("n").alias("size")), ["key"], ["id"]), "left-over")
         found.append(self._ended(left.where(F.col("size") <= _BUCKET)))
         large = left.where(F.col("size") > _BUCKET)
         if not large.isEmpty():
