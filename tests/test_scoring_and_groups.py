@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import densify, groups, metrics, outliers, reports, splits
 from tidemark.operators.densify import Filling
 from tidemark.roles import PanelRoles
+from tidemark.sources import io
 
 ROLES = PanelRoles("id", "period")
 FILL = Filling(zeros=("n",), carried=("price",), since=("td",), dates=("day",), period_days=10)
@@ -95,3 +96,25 @@ def test_candidates_zero_columns_union_and_suffixes(spark):
     both = reports.imputed_union(df, df.select("both", "id"))
     assert both.where("part = 'predict'").agg(F.sum("both"), F.count("zero")).first() == (0.0, 0)
     assert reports.suffixed(df, "_old", ["id"]).columns == ["id", "zero_old", "none_old", "both_old"]
+
+
+def test_filling_for_a_horizon_spokes_and_report_files(spark, tmp_path):
+    assert FILL.for_horizon("2month").period_days == 61 and FILL.period_days == 10
+    figures = spark.createDataFrame([(0, 1, 0.5), (1, 2, None)], "fold int, n int, auc double")
+    assert {(r.fold, r.figure, r.value) for r in metrics.spokes(figures, ["fold"], ["n", "auc"]).collect()} == {(0, "n", 1.0), (0, "auc", 0.5), (1, "n", 2.0), (1, "auc", None)}
+    io.write_reports({"folds": figures, "other": figures.where("fold = 0")}, f"{tmp_path}/reports")
+    index = {r.report: r.n_rows for r in spark.read.option("header", True).csv(f"{tmp_path}/reports/index").collect()}
+    assert index == {"folds": "2", "other": "1"} and spark.read.option("header", True).csv(f"{tmp_path}/reports/folds").columns == figures.columns
+
+
+def test_all_ways_to_split(spark):
+    df = spark.range(600).selectExpr("id % 100 as id", "cast(id / 100 as int) as period", "cast(id % 7 = 0 as int) as target")
+    for how in ("period", "ids", "in_time"):
+        parts = splits.split_parts(df, "id", "period", how, newest=1, ref=F.col("target") == 1)
+        train, validate = ({(r.id, r.period) for r in parts[k].collect()} for k in ("train", "validate"))
+        assert train and validate and not train & validate
+        if how != "period":
+            assert not {i for i, _ in train} & {i for i, _ in validate}
+        assert {r.period for r in parts["predict"].collect()} == {1}
+    with pytest.raises(ValueError, match="no way"):
+        splits.split_parts(df, "id", "period", "dice")

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import floor_days
-from ..roles import PanelRoles, Roles
+from ..roles import Duration, PanelRoles, Roles
 
 
 def collapse(df: DataFrame, roles: Roles, period: str, columns: list[str], sums: list[str] = ()) -> DataFrame:
@@ -74,6 +74,10 @@ class Filling:
     dates: tuple[str, ...] = ()
     period_days: int = 30
 
+    def for_horizon(self, horizon: str) -> "Filling":
+        """The same with empty periods as long as a horizon such as "2month"."""
+        return replace(self, period_days=Duration.parse(horizon).days)
+
     def fill(self, panel: DataFrame, roles: PanelRoles, imputed: str = "imputed") -> DataFrame:
         return fill_gaps(panel, roles, imputed, self.zeros, self.carried, self.since, self.dates, self.period_days)
 

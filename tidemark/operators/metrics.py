@@ -124,6 +124,21 @@ def lift_bins(df: DataFrame, label: str, probability: str, key: str, bins: int =
     return rows.withColumns({"share": F.col("positives") / F.col("n"), "gain": gain, "lift": F.try_divide(gain, F.col("cum_n") / F.col("__n"))}).drop("__p", "__n")
 
 
+def lift_table(df: DataFrame, label: str, probability: str, key: str, bins: int = 10) -> DataFrame:
+    """lift_bins() for readers: bin, n, positives, their share, cumulative gain and lift against the base rate, in percent with one decimal."""
+    rows = lift_bins(df, label, probability, key, bins)
+
+    def percent(x):
+        return F.format_string("%.1f", F.round(100 * F.col(x), 1))
+
+    return rows.select("bin", "n", "positives", percent("share").alias("share"), percent("gain").alias("gain"), F.format_string("%.1f", F.round("lift", 1)).alias("lift"))
+
+
+def spokes(figures: DataFrame, keys: list[str], names: list[str]) -> DataFrame:
+    """keys, figure, value: rows of figures, such as those of folds or candidates, in the long form that a radar plot takes."""
+    return figures.select(*keys, *(F.col(n).cast("double").alias(n) for n in names)).unpivot(keys, names, "figure", "value")
+
+
 def lift_statistic(df: DataFrame, label: str, probability: str, key: str, bins: int = 10) -> DataFrame:
     """One row: trapezoids under the gain curve in whole percent, over 100 * bins, divided by (1 - base rate)."""
     rows = lift_bins(df, label, probability, key, bins)

@@ -110,13 +110,16 @@ def keep_by_hash(rows: DataFrame, keys: list[str], n: int, seed: int = 7, order:
     return inside.unionByName(at).drop("__slot", "__hash")
 
 
-def downsample(df: DataFrame, target: str, keys: list[str], most: float, seed: int = 7) -> DataFrame:
-    """If the majority class has more than a share of most, keep int(minority * most / (1 - most)) rows of it."""
+def downsample(df: DataFrame, target: str, keys: list[str], most: float, seed: int = 7, digest: bool = False) -> DataFrame:
+    """If the majority class has more than a share of most, keep int(minority * most / (1 - most)) rows of it.
+
+    digest: choose by an MD5 of the keys, as any engine can, instead of a faster hash.
+    """
     pos, neg = _class_counts(df, target)
     major, low, high = (1, neg, pos) if pos > neg else (0, pos, neg)
     if not low or high / (low + high) <= most:
         return df
-    kept = keep_by_hash(df.where(F.col(target) == major), keys, int(low * most / (1 - most)), seed)
+    kept = keep_by_hash(df.where(F.col(target) == major), keys, int(low * most / (1 - most)), seed, digest_order(seed, *keys) if digest else None)
     return kept.unionByName(df.where(F.col(target) == 1 - major))
 
 
@@ -136,11 +139,11 @@ def rebalance(df: DataFrame, target: str, keys: list[str], most: float, least: f
     return upsample(downsample(df, target, keys, most, seed), target, least)
 
 
-def restore_base_rate(df: DataFrame, id: str, target: str, rate: float, seed: int = 7) -> DataFrame:
-    """All negatives, and the rows of int(rate * negatives / (1 - rate)) positive ids."""
+def restore_base_rate(df: DataFrame, id: str, target: str, rate: float, seed: int = 7, digest: bool = False) -> DataFrame:
+    """All negatives, and the rows of int(rate * negatives / (1 - rate)) positive ids; digest as in downsample()."""
     neg = df.where(F.col(target) == 0)
     ids = df.where(F.col(target) == 1).select(id).distinct()
-    kept = keep_by_hash(ids, [id], int(rate * neg.count() / (1 - rate)), seed)
+    kept = keep_by_hash(ids, [id], int(rate * neg.count() / (1 - rate)), seed, digest_order(seed, id) if digest else None)
     return neg.unionByName(df.where(F.col(target) == 1).join(kept, id, "left_semi"))
 
 

@@ -158,11 +158,12 @@ def run(log: DataFrame, c: Config, folder: str, upto: str = "metrics", stages: t
         at = f"{folder}/{stage.name}/{key}"
         manifest = files.read(f"{at}/manifest.json")
         if manifest is None:
-            began = time.perf_counter()
+            began, before = time.perf_counter(), table.columns
             made = stage.make(table, c, at)
             made.write.mode("overwrite").parquet(f"{at}/table")
             table = spark.read.parquet(f"{at}/table")
-            manifest = {"stage": stage.name, "key": key, "rows": table.count(), "columns": table.columns, "seconds": round(time.perf_counter() - began, 3)}
+            changed = {"added": [x for x in table.columns if x not in before], "dropped": [x for x in before if x not in table.columns]}
+            manifest = {"stage": stage.name, "key": key, "rows": table.count(), "columns": table.columns, **changed, "seconds": round(time.perf_counter() - began, 3)}
             files.write(f"{at}/manifest.json", manifest)
             out.made.append(stage.name)
         else:

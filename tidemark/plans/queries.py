@@ -635,6 +635,11 @@ def lift_bins(spark, d):
     return metrics.lift_bins(_scores(spark, d), "label", "p", "event_id").withColumns(_r("min_p", "max_p", "share", "gain", "lift"))
 
 
+@query(f"{_BINS} SELECT bin, n, positives, printf('%.1f', round(100 * positives / n, 1)) AS share, printf('%.1f', round(100 * cum_positives / pp, 1)) AS gain, printf('%.1f', round((cum_positives / pp) / (cum_n / nn), 1)) AS lift FROM c")
+def lift_table(spark, d):
+    return metrics.lift_table(_scores(spark, d), "label", "p", "event_id")
+
+
 @query(f"{_BINS} SELECT round(((sum(round(cum_positives / pp * 100)) - max(CASE WHEN bin = 10 THEN round(cum_positives / pp * 100) END) / 2) / 1000.0) / (1 - sum(positives) / sum(n)), 6) AS lift_statistic FROM c")
 def lift_statistic(spark, d):
     return metrics.lift_statistic(_scores(spark, d), "label", "p", "event_id").withColumns(_r("lift_statistic"))
@@ -645,6 +650,27 @@ def score_histogram(spark, d):
     return metrics.histogram(_scores(spark, d), "p", 0.0, 1.0, 30)
 
 
+_MD5 = "CAST('0x' || substr(md5('7|' || {}), 1, 15) AS BIGINT)"
+
+
+@query(
+    f"WITH t AS (SELECT o_orderkey, o_orderpriority = '1-URGENT' AS y, {_MD5.format('o_orderkey')} AS h FROM orders), c AS (SELECT count(*) FILTER (y) AS p, count(*) AS n FROM t), r AS (SELECT *, row_number() OVER (ORDER BY h, o_orderkey) AS i FROM t WHERE NOT y) "
+    "SELECT o_orderkey, 1 AS target FROM t WHERE y UNION ALL SELECT o_orderkey, 0 FROM r, c WHERE i <= least(n - p, floor(p * 0.7::DOUBLE / (1 - 0.7::DOUBLE)))"
+)
+def downsample_rows(spark, d):
+    rows = _read(spark, d, "orders").withColumn("target", (F.col("o_orderpriority") == "1-URGENT").cast("int"))
+    return splits.downsample(rows, "target", ["o_orderkey"], 0.7, digest=True).select("o_orderkey", "target")
+
+
+@query(
+    f"WITH p AS (SELECT o_custkey, max(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS target FROM orders GROUP BY 1), n AS (SELECT floor(0.2::DOUBLE * count(*) FILTER (target = 0) / (1 - 0.2::DOUBLE)) AS k FROM p), r AS (SELECT *, row_number() OVER (ORDER BY {_MD5.format('o_custkey')}, o_custkey) AS i FROM p WHERE target = 1) "
+    "SELECT o_custkey, target FROM p WHERE target = 0 UNION ALL SELECT o_custkey, target FROM r, n WHERE i <= k"
+)
+def base_rate_rows(spark, d):
+    rows = _read(spark, d, "orders").groupBy("o_custkey").agg(F.max((F.col("o_orderpriority") == "1-URGENT").cast("int")).alias("target"))
+    return splits.restore_base_rate(rows, "o_custkey", "target", 0.2, digest=True)
+
+
 # ---- scoring path, groups, cohorts, whole reports ----
 _FILL = densify.Filling(zeros=("n_orders",), carried=("o_totalprice", "o_orderstatus"), since=("td",), period_days=91)
 

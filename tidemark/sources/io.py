@@ -48,6 +48,15 @@ def read_panel(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def write_reports(reports: dict[str, DataFrame], path: str) -> None:
+    """Small result tables, one CSV file each in a folder of its name, and an index of them with their rows and columns."""
+    for name, report in reports.items():
+        write_report(report, f"{path}/{name}")
+    spark = next(iter(reports.values())).sparkSession
+    index = [(name, report.count(), ",".join(report.columns)) for name, report in reports.items()]
+    write_report(spark.createDataFrame(index, "report string, n_rows long, columns string"), f"{path}/index")
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """A small result table as one CSV file with a header."""
     report.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
