@@ -58,9 +58,9 @@ def _compare(hubs, a, j, s) -> Iterator[tuple]:
 
 
 def _unlike(hubs, a, j, s) -> Iterator[tuple]:
-    """The shingles that only one of member a and a hub has."""
+    """The shingles that only one of member a and a hub has, the hub's first."""
     for k, (b, h) in enumerate(hubs):
-        yield a, j, b, k, np.setxor1d(s, h, assume_unique=True).view(np.int64)
+        yield a, j, b, k, np.concatenate((np.setdiff1d(h, s, True), np.setdiff1d(s, h, True))).view(np.int64)
 
 
 def _first_link(percent: int) -> Callable:
@@ -127,7 +127,8 @@ class _Groups:
     open needs more in common with z the farther z is from c.
     """
 
-    def __init__(self, seen: DataFrame, texts: DataFrame, width: int, percent: int, work: Scratch):
+    def __init__(self, seen: DataFrame, texts: DataFrame, width: int, percent: int, work: Scratch, prune: bool = False):
+        self.prune = prune
         self.texts, self.width, self.percent, self.work = texts, width, percent, work
         self.slack = (100 - percent) * F.col("size")
         self.total = seen.count()
@@ -181,6 +182,30 @@ class _Groups:
         ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("b", "k").orderBy("w", "a", "j")))
         return ranked.where((F.col("rank") > first) & (F.col("rank") <= last)).select(F.col("b").alias("g"), F.col("a").alias("h")).distinct()
 
+    def within_reach(self, big: DataFrame, es: DataFrame, total: int) -> DataFrame:
+        """The members of large groups that may be linked with one of another component, of which one is open.
+
+        Nearly all that members lack of a centre's shingles other members lack too, but few of those that they have besides
+        are shared.  With t of these, members x and z share at most min(r) + min(t) differences.  Each class of weights has its
+        least weight and greatest r and t, of all and of open members: who reaches no class has no link.
+        """
+        key = ["b", "k", "a", "j"]
+        added = es.join(big.select(*key, "r", "open", "component"), key).select(*key, "open", "component", F.posexplode("es").alias("at", "e"), "r").where(F.col("at") >= F.col("r")).drop("at", "r")
+        often = added.groupBy("b", "k", "e").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("any"), F.min("component").alias("low"), F.max("component").alias("high"))
+        often = self.work.keep(often.where("any and low <> high").select("b", "k", "e", "n"), "reach-often")
+        shared = spread_join(added, often, ["b", "k", "e"], ["a"], total).groupBy(*key).agg(F.count(F.lit(1)).alias("t"))
+        rows = self.work.keep(big.join(shared, key, "left").withColumn("t", F.coalesce("t", F.lit(0))), "reach-rows")
+        classes = rows.groupBy("b", "k", "class", "open").agg(F.min("w").alias("w"), F.max("r").alias("r"), F.max("t").alias("t"), F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("m"))
+        groups = classes.groupBy("b", "k").agg(F.sum("m").alias("n"), F.collect_list(F.struct("w", "r", "t", "low", "high", "open")).alias("classes"))  # two for each class at most
+        met = spread_join(rows, self.work.keep(groups, "reach-groups"), ["b", "k"], ["a"], total)
+
+        def reached(c: Column) -> Column:
+            most = F.least(F.col("r"), c["r"]) + F.least(F.col("t"), c["t"])
+            other = (c["low"] != F.col("component")) | (c["high"] != F.col("component"))
+            return (F.col("open") | c["open"]) & other & (most >= self.needed(F.col("w"), c["w"]))
+
+        return self.work.keep(met.where(F.exists("classes", reached)).drop("classes", "t"), "reach")
+
     def by_differences(self, mixed: DataFrame) -> DataFrame:
         """Pairs of large groups whose members share enough of their differences from the centre to be linked.
 
@@ -195,14 +220,17 @@ class _Groups:
         big = big.withColumn("step", step).withColumn("class", F.least(F.floor(F.col("w") / F.col("step")), F.lit(_LAST)).cast("int"))
         big = self.work.keep(big, "big")
         counts = big.agg(F.sum(F.col("r") + F.col("s"))).first()
+        key = ["b", "k", "a", "j"]
         at = big.select(F.col("b").alias("g"), "a").distinct()
         es = self.work.keep(meet(self.work.keep(at, "big-at"), at.select("g", F.col("g").alias("h")).distinct(), self.texts, self.width, _unlike, _UNLIKE, self.work, "big-unlike"), "big-es")
-        each = es.join(big, ["b", "k", "a", "j"]).select(*big.columns, F.explode("es").alias("e"))
+        if self.prune:
+            big = self.within_reach(big, es, counts[0])
+        each = es.join(big, key).select(*big.columns, F.explode("es").alias("e"))
         # Only what an open member shares with one of another component can tell of a link that is still wanted.
         often = each.groupBy("b", "k", "e").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("any"), F.min("component").alias("low"), F.max("component").alias("high"))
         often = self.work.keep(often.where("any and low <> high").select("b", "k", "e", "n", F.col("n").alias("often")), "big-often")
         common = spread_join(each, often, ["b", "k", "e"], ["a"], counts[0])
-        own = Window.partitionBy("b", "k", "a", "j")
+        own = Window.partitionBy(*key)
         common = common.withColumn("spot", F.row_number().over(own.orderBy("often", "e"))).withColumn("shared", F.count(F.lit(1)).over(own))
         rows = common.withColumn("d", F.col("r") + F.col("s"))
         rows = rows.withColumn("spot", F.col("d") - F.col("shared") + F.col("spot"))
@@ -236,13 +264,14 @@ def by_center(members: DataFrame, work: Scratch) -> DataFrame:
     return paired.where("id <> center").select(F.col("center").alias("g"), F.col("id").alias("a")).distinct()
 
 
-def link_signed(docs: DataFrame, signed: DataFrame, own: str, width: int, percent: int, work: Scratch, group: Callable[[DataFrame], DataFrame] | None = None, possible: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def link_signed(docs: DataFrame, signed: DataFrame, own: str, width: int, percent: int, work: Scratch, group: Callable[[DataFrame], DataFrame] | None = None, possible: Callable[[DataFrame], DataFrame] | None = None, prune: bool = False) -> DataFrame:
     """doc_id, n_shingles, component_id for documents whose links all share a key.
 
     signed: doc_id, n_shingles, print and bands (keys of any number, equal for equal prints), read from the table of that
     name in work, which goes when it has been read.  group: makes of members (key, id, many) the pairs (g, a) of centres and
     members, so that the ends of every link meet in a group, by default by_center().  possible: keeps of pairs (g, a) of
-    documents those that may be linked, before they are compared.  near_duplicates() says how keys become links.
+    documents those that may be linked, before they are compared.  prune: look for members of large groups that can have no more
+    links before their differences are ranked, which pays where most are too far from all others.  near_duplicates() says how keys become links.
     """
     some = signed.where("print is not null and doc_id is not null")
     nodes = work.keep(some.groupBy("print").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands")), "keyed")
@@ -268,7 +297,7 @@ def link_signed(docs: DataFrame, signed: DataFrame, own: str, width: int, percen
     work.release()
     seen = work.keep(meet(pairs, hubs, texts, width, _compare, _SEEN, work, "compare"), "seen")
     work.release()
-    groups = _Groups(seen, texts, width, percent, work)
+    groups = _Groups(seen, texts, width, percent, work, prune)
     found = connected_components(groups.links(), work, "first")
 
     def linked(members: DataFrame, hubs: DataFrame, name: str) -> DataFrame:

@@ -264,7 +264,7 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
     signed = work.keep(sign_documents(docs, width, percent), "signed")
     held = signed.where("print is not null and doc_id is not null").groupBy("doc_id").agg(F.collect_set(F.struct("n_shingles", "sketch")).alias("held"))
     sketches = _Sketches(work.keep(held, "sketches"), percent, work)
-    out = link_signed(docs, signed, "signed", width, percent, work, sketches.groups, sketches.possible)
+    out = link_signed(docs, signed, "signed", width, percent, work, sketches.groups, sketches.possible, prune=True)
     out = work.keep(out, "out")
     work.drop_all_but("out")
     return out
