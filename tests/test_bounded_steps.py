@@ -32,3 +32,16 @@ def test_a_null_is_in_the_first_bucket(spark):
 def test_folds_and_searches_run(spark, sf_dir):
     got = queries.coordinate_search(spark, sf_dir).collect()
     assert len(got) == 1 and got[0].trees in (2, 3) and got[0].depth in (2, 3) and 0 <= got[0].auc <= 1
+
+
+def test_attributions_meet_scores_without_a_join(spark, sf_dir):
+    assert "Join" not in plan(queries.attributions_add_up(spark, sf_dir))
+
+
+def plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_fitted_queries_share_a_stored_table(spark, sf_dir):
+    rows, names = queries._modelling(spark, sf_dir)
+    assert "Window" not in plan(rows) and len(names) == 17
