@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.prefix import row_numbers
 from tidemark.operators import splits
 from tidemark.plans import queries
+from tidemark.sources.stored import dealt
 
 
 @pytest.fixture(scope="module")
@@ -45,3 +46,10 @@ def plan(df):
 def test_fitted_queries_share_a_stored_table(spark, sf_dir):
     rows, names = queries._modelling(spark, sf_dir)
     assert "Window" not in plan(rows) and len(names) == 17
+
+
+def test_rows_of_one_file_are_dealt_to_tasks_of_bounded_size(rows):
+    got = dealt(rows.coalesce(1), 100)
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert got.rdd.getNumPartitions() == 30 and max(sizes) < 200
+    assert sorted(got.collect()) == sorted(rows.collect())
