@@ -5,7 +5,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.prefix import row_numbers
-from tidemark.operators import splits
+from tidemark.operators import shadows, splits
 from tidemark.plans import queries
 from tidemark.sources.stored import dealt
 
@@ -53,3 +53,12 @@ def test_rows_of_one_file_are_dealt_to_tasks_of_bounded_size(rows):
     sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
     assert got.rdd.getNumPartitions() == 30 and max(sizes) < 200
     assert sorted(got.collect()) == sorted(rows.collect())
+
+
+def test_shadows_move_packed_values(rows):
+    """No row for each value and no table of values in a task."""
+    out, _ = shadows.with_shadows(rows, ["k", "period", "x"], 5)
+    assert "Aggregate" not in plan(out) and "FlatMapCoGroupsInArrow" in plan(out)
+    again = shadows.numbered(rows, shadows.RANK)
+    a, b = (shadows.with_shadows(again, ["k", "x"], s)[0].orderBy("x").select("shadow_x").collect() for s in (5, 6))
+    assert a != b and sorted(a) == sorted(b)

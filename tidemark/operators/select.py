@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.prefix import grouped_quantile
+from ..sources.stored import dealt
 from .gram import pair_correlations
 from .reports import long_form
-from .shadows import with_shadows
+from .shadows import RANK, numbered, with_shadows
 
 
 def sparse_columns(df: DataFrame, columns: list[str], quantile: float) -> DataFrame:
@@ -67,10 +68,10 @@ def correlation_filter(df: DataFrame, columns: list[str], quantile: float = 1.0,
 
 
 def importances(df: DataFrame, columns: list[str], target: str, classifier) -> list[float]:
-    rows = VectorAssembler(inputCols=columns, outputCol="__x", handleInvalid="keep").transform(df.na.fill(0.0, columns))
-    rows = rows.select("__x", F.col(target).cast("double").alias(target)).persist()  # a fit passes over it many times
+    rows = df.na.fill(0.0, columns).select(*columns, F.col(target).cast("double").alias(target)).persist()  # a fit passes over it many times
     try:
-        return classifier.setFeaturesCol("__x").setLabelCol(target).fit(rows).featureImportances.toArray().tolist()
+        vectors = VectorAssembler(inputCols=columns, outputCol="__x", handleInvalid="keep").transform(rows).select("__x", target)
+        return classifier.setFeaturesCol("__x").setLabelCol(target).fit(vectors).featureImportances.toArray().tolist()
     finally:
         rows.unpersist()
 
@@ -81,8 +82,9 @@ def shadow_select(df: DataFrame, columns: list[str], target: str, cutoff: float
     The cutoff halves when none survives (five tries); rounds end when less than a share of delta goes.
     """
     left = list(columns)
+    all_rows = numbered(df.select(*left, target), RANK)
     for k in range(rounds):
-        rows, shadows = with_shadows(df.select(*left, target), left, seed + k)
+        rows, shadows = with_shadows(all_rows.select(*left, target, RANK), left, seed + k)
         imp = importances(rows, [*left, *shadows], target, GBTClassifier(maxIter=trees, maxDepth=4, seed=seed))
         real, best = imp[: len(left)], max(imp[len(left) :])
         level, chosen = cutoff, []
@@ -109,11 +111,12 @@ def boruta(df: DataFrame, columns: list[str], target: str, rounds: int = 20, tre
     """
     hits, played, decision = dict.fromkeys(columns, 0), dict.fromkeys(columns, 0), {}
     level = alpha / max(1, len(columns))
+    all_rows = numbered(df.select(*columns, target), RANK)
     for k in range(rounds):
         left = [c for c in columns if decision.get(c) != "rejected"]
         if not left or all(c in decision for c in left):
             break
-        rows, shadows = with_shadows(df.select(*left, target), left, seed + k)
+        rows, shadows = with_shadows(all_rows.select(*left, target, RANK), left, seed + k)
         imp = importances(rows, [*left, *shadows], target, RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed + k))
         best = max(imp[len(left) :])
         for c, v in zip(left, imp, strict=False):
@@ -139,8 +142,11 @@ def boruta_select(df: DataFrame, columns: list[str], target: str, **how) -> list
 def eliminate(df: DataFrame, columns: list[str], target: str, keep: int, step: int = 1, trees: int = 20, seed: int = 7) -> list[str]:
     """Recursive elimination: drop the step least important columns of a random forest until keep are left."""
     left = list(columns)
+    if len(left) <= keep:
+        return left
+    rows = dealt(df.na.fill(0.0, columns).select(*columns, F.col(target).cast("double").alias(target)))  # all rounds read its shuffle files
     while len(left) > keep:
-        imp = importances(df, left, target, RandomForestClassifier(numTrees=trees, maxDepth=5, seed=seed))
+        imp = importances(rows, left, target, RandomForestClassifier(numTrees=trees, maxDepth=5, seed=seed))
         out = sorted(range(len(left)), key=lambda k: (imp[k], left[k]))[: min(step, len(left) - keep)]
         left = [c for k, c in enumerate(left) if k not in out]
     return left

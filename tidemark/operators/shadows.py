@@ -7,11 +7,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..sources.stored import stored
 
+#: The column of numbered() by which with_shadows() knows that rows are numbered.
+RANK = "__rank"
+_AT_ONCE = 1 << 18  # rows whose values a task packs together
 _ROUNDS = 4
 _STEP, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
@@ -62,27 +67,60 @@ def with_shadows(df: DataFrame, columns: list[str], seed: int) -> tuple[DataFram
     """(df with shadow_<column> for each of the columns, their names).
 
     A shadow holds its column's values, each once, in the order of a permutation of all rows that differs from column to column:
-    it keeps the distribution and loses any tie to the other columns.  Rows are numbered once and dealt by number, so
-    equal rows do not meet in a task; a row sends each of its values to the number where it belongs, in one
-    shuffle, and a second one brings them to their rows.  The numbered rows are stored, so a retry moves the same values.
+    it keeps the distribution and loses any tie to the other columns.  Rows are numbered once (numbered() before with RANK, if
+    several calls share the rows) and dealt in blocks of neighbouring numbers, so equal rows do not meet in a task.  A task sends
+    its values packed, one array for each column and block, and each block's task puts them in place beside the
+    block's own rows: one shuffle, and nothing is held but a block.  The numbered rows are stored, so a retry moves the same values.
 
     Numbers are moved as doubles.  Nulls move like values.
     """
     names = [f"shadow_{c}" for c in columns]
-    rows = numbered(df, "__rank")
+    rows = df if RANK in df.columns else numbered(df, RANK)
     n = rows.count()
-    if not n:
-        return rows.drop("__rank").withColumns({s: F.col(c) for s, c in zip(names, columns, strict=True)}), names
+    if not n or not columns:
+        return rows.drop(RANK).withColumns({s: F.col(c) for s, c in zip(names, columns, strict=True)}), names
     keys = [seed * 1_000_003 + k + 1 for k in range(len(columns))]
+    size = min(1 << 16, max(1 << 12, n >> 8))
+
+    def pack(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = pa.Table.from_batches(batches)
+        rank = whole.column(0).to_numpy()
+        for k, key in enumerate(keys):
+            at = permute(rank, n, key)
+            order = np.argsort(at, kind="stable")
+            block, place = np.divmod(at[order], size)
+            firsts = np.flatnonzero(np.diff(block, prepend=-1))
+            own = whole.column(k + 1)
+            ends = np.append(firsts, len(block))
+            cells = [(place, np.uint16), (own.fill_null(0.0).to_numpy()[order], np.float64), (own.is_null().to_numpy()[order], np.uint8)]
+            packed = [pa.Array.from_buffers(pa.binary(), len(firsts), [None, pa.py_buffer((ends * np.dtype(t).itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(v, t))]) for v, t in cells]
+            yield pa.RecordBatch.from_arrays([pa.array(block[firsts]), pa.array(np.full(len(firsts), k, np.int32)), *packed], ["__block", "k", "place", "x", "none"])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0
         for b in batches:
-            rank = b.column(0).to_numpy()
-            for k, key in enumerate(keys):
-                at = pa.array(permute(rank, n, key))
-                yield pa.RecordBatch.from_arrays([at, pa.array(np.full(len(rank), k, np.int32)), b.column(k + 1)], ["__rank", "k", "x"])
-
-    sent = rows.select("__rank", *(F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns))).mapInArrow(send, "__rank long, k int, x double")
+            held.append(b)
+            count += b.num_rows
+            if count >= _AT_ONCE:
+                yield from pack(held)
+                held, count = [], 0
+        if count:
+            yield from pack(held)
+
+    def place(own: pa.Table, sent: pa.Table) -> pa.Table:
+        own = own.sort_by(RANK)
+        at = own.column(RANK).to_numpy() % size
+        where = [np.frombuffer(b"".join(sent.column(c).to_pylist()), t) for c, t in (("place", np.uint16), ("x", np.float64), ("none", np.uint8))]
+        k = np.repeat(sent.column("k").to_numpy(), pc.binary_length(sent.column("place")).to_numpy() // 2)
+        x, none = np.zeros((len(keys), size)), np.ones((len(keys), size), bool)
+        x[k, where[0]], none[k, where[0]] = where[1], where[2]
+        for j, s in enumerate(names):
+            own = own.append_column(s, pa.array(x[j][at], mask=none[j][at]))
+        return own.drop_columns(["__block"])
+
+    sent = rows.select(RANK, *(F.col(c).cast("double").alias(f"c{k}") for k, c in enumerate(columns))).mapInArrow(send, "__block long, k int, place binary, x binary, none binary")
+    schema = StructType([*rows.schema.fields, *(StructField(s, DoubleType()) for s in names)])
+    blocks = rows.withColumn("__block", F.floor(F.col(RANK) / F.lit(size)))
+    placed = blocks.groupBy("__block").cogroup(sent.groupBy("__block")).applyInArrow(place, schema)
     kinds = dict(df.dtypes)
-    moved = sent.groupBy("__rank").agg(*(F.max(F.when(F.col("k") == k, F.col("x"))).cast(kinds[c]).alias(s) for k, (c, s) in enumerate(zip(columns, names, strict=True))))
-    return rows.join(moved, "__rank").drop("__rank"), names
+    return placed.withColumns({s: F.col(s).cast(kinds[c]) for c, s in zip(columns, names, strict=True)}).drop(RANK), names
