@@ -3,7 +3,7 @@ import random
 import duckdb
 import numpy as np
 
-from tidemark.llm import parity_join, queries
+from tidemark.llm import near_dedup, parity_join, queries
 from tidemark.llm.parity_join import SizeBands, block_keys, folded_sketch, jaccard_join
 
 from .helpers import base_texts, documents, shingles
@@ -120,3 +120,55 @@ def test_groups_in_rounds_and_in_tasks_lose_no_link(spark, monkeypatch):
         monkeypatch.setattr(parity_join, "_ROUNDS", rounds)
         monkeypatch.setattr(parity_join, "_BUCKET", bucket)
         assert found(jaccard_join(docs)) == want
+
+
+def test_a_forest_of_near_pairs_joins_what_all_of_them_join():
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 150).astype(np.uint64)
+    sets = [np.concatenate((rng.permutation(base)[: 150 - int(k)], rng.integers(0, 2**63, int(k)).astype(np.uint64))) for k in rng.integers(0, 30, 300)]
+    ids, n = np.arange(300) * 5, np.full(300, 150)
+    sketches = np.array([folded_sketch(s, 32) for s in sets])
+
+    def joined(forest):
+        root, count = {i: i for i in ids.tolist()}, 0
+        for g, a in parity_join.near_pairs(ids, n, ids.copy(), sketches, 85, forest):
+            for x, y in zip(g.tolist(), a.tolist(), strict=True):
+                count += 1
+                low, high = sorted((root[x], root[y]))
+                root = {i: low if r == high else r for i, r in root.items()}
+        return root, count
+
+    (all_, pairs), (some, few) = joined(False), joined(True)
+    assert all_ == some and len(set(all_.values())) > 20 and few == 300 - len(set(all_.values())) and pairs > 20 * few
+
+
+def test_members_that_a_centre_leaves_open_are_not_paired_with_one_another(spark, monkeypatch):
+    """Variants too far from what they come from to be linked, each with a copy near the bound: rows grow with their number."""
+    met, real, reopened, only = [], near_dedup.meet, [], parity_join._Buckets.only
+
+    def counting(members, *rest):
+        met.append(members.count())
+        return real(members, *rest)
+
+    def counted(self, keys, name):
+        only(self, keys, name)
+        reopened.append(self.sets.count())
+
+    monkeypatch.setattr(near_dedup, "meet", counting)
+    monkeypatch.setattr(parity_join._Buckets, "only", counted)
+    rng = random.Random(4)
+    base, texts = [f"w{rng.randrange(3000)}" for _ in range(148)], []
+
+    def changed(w, places):
+        w = list(w)
+        for k in places:
+            w[k] = f"v{rng.randrange(10**6)}"
+        return w
+
+    for _ in range(90):
+        variant = changed(base, range(rng.randrange(8), 140, rng.choice((18, 20, 46))))
+        texts += [" ".join(variant), " ".join(changed(variant, rng.sample(range(10, 140, 10), 2)))]
+    docs = documents(spark, texts)
+    want = brute([(r.doc_id, r.text) for r in docs.collect()])
+    assert found(jaccard_join(docs)) == want and 20 < len({c for _, _, c in want}) < len(texts)
+    assert sum(met) < 4 * len(texts) and reopened[0] > 0  # pairs that are no links though sketches left them open

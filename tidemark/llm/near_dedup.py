@@ -127,8 +127,7 @@ class _Groups:
     open needs more in common with z the farther z is from c.
     """
 
-    def __init__(self, seen: DataFrame, texts: DataFrame, width: int, percent: int, work: Scratch, prune: bool = False):
-        self.prune = prune
+    def __init__(self, seen: DataFrame, texts: DataFrame, width: int, percent: int, work: Scratch):
         self.texts, self.width, self.percent, self.work = texts, width, percent, work
         self.slack = (100 - percent) * F.col("size")
         self.total = seen.count()
@@ -182,30 +181,6 @@ class _Groups:
         ranked = few.withColumn("rank", F.row_number().over(Window.partitionBy("b", "k").orderBy("w", "a", "j")))
         return ranked.where((F.col("rank") > first) & (F.col("rank") <= last)).select(F.col("b").alias("g"), F.col("a").alias("h")).distinct()
 
-    def within_reach(self, big: DataFrame, es: DataFrame, total: int) -> DataFrame:
-        """The members of large groups that may be linked with one of another component, of which one is open.
-
-        Nearly all that members lack of a centre's shingles other members lack too, but few of those that they have besides
-        are shared.  With t of these, members x and z share at most min(r) + min(t) differences.  Each class of weights has its
-        least weight and greatest r and t, of all and of open members: who reaches no class has no link.
-        """
-        key = ["b", "k", "a", "j"]
-        added = es.join(big.select(*key, "r", "open", "component"), key).select(*key, "open", "component", F.posexplode("es").alias("at", "e"), "r").where(F.col("at") >= F.col("r")).drop("at", "r")
-        often = added.groupBy("b", "k", "e").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("any"), F.min("component").alias("low"), F.max("component").alias("high"))
-        often = self.work.keep(often.where("any and low <> high").select("b", "k", "e", "n"), "reach-often")
-        shared = spread_join(added, often, ["b", "k", "e"], ["a"], total).groupBy(*key).agg(F.count(F.lit(1)).alias("t"))
-        rows = self.work.keep(big.join(shared, key, "left").withColumn("t", F.coalesce("t", F.lit(0))), "reach-rows")
-        classes = rows.groupBy("b", "k", "class", "open").agg(F.min("w").alias("w"), F.max("r").alias("r"), F.max("t").alias("t"), F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("m"))
-        groups = classes.groupBy("b", "k").agg(F.sum("m").alias("n"), F.collect_list(F.struct("w", "r", "t", "low", "high", "open")).alias("classes"))  # two for each class at most
-        met = spread_join(rows, self.work.keep(groups, "reach-groups"), ["b", "k"], ["a"], total)
-
-        def reached(c: Column) -> Column:
-            most = F.least(F.col("r"), c["r"]) + F.least(F.col("t"), c["t"])
-            other = (c["low"] != F.col("component")) | (c["high"] != F.col("component"))
-            return (F.col("open") | c["open"]) & other & (most >= self.needed(F.col("w"), c["w"]))
-
-        return self.work.keep(met.where(F.exists("classes", reached)).drop("classes", "t"), "reach")
-
     def by_differences(self, mixed: DataFrame) -> DataFrame:
         """Pairs of large groups whose members share enough of their differences from the centre to be linked.
 
@@ -223,8 +198,6 @@ class _Groups:
         key = ["b", "k", "a", "j"]
         at = big.select(F.col("b").alias("g"), "a").distinct()
         es = self.work.keep(meet(self.work.keep(at, "big-at"), at.select("g", F.col("g").alias("h")).distinct(), self.texts, self.width, _unlike, _UNLIKE, self.work, "big-unlike"), "big-es")
-        if self.prune:
-            big = self.within_reach(big, es, counts[0])
         each = es.join(big, key).select(*big.columns, F.explode("es").alias("e"))
         # Only what an open member shares with one of another component can tell of a link that is still wanted.
         often = each.groupBy("b", "k", "e").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("any"), F.min("component").alias("low"), F.max("component").alias("high"))
@@ -264,19 +237,15 @@ def by_center(members: DataFrame, work: Scratch) -> DataFrame:
     return paired.where("id <> center").select(F.col("center").alias("g"), F.col("id").alias("a")).distinct()
 
 
-def link_signed(docs: DataFrame, signed: DataFrame, own: str, width: int, percent: int, work: Scratch, group: Callable[[DataFrame], DataFrame] | None = None, possible: Callable[[DataFrame], DataFrame] | None = None, prune: bool = False) -> DataFrame:
-    """doc_id, n_shingles, component_id for documents whose links all share a key.
+def key_members(signed: DataFrame, own: str, work: Scratch, *more: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Prints (doc_id, n_shingles, print), nodes (print, id, and the columns ``more``) and members (key, id, many) of keys that several nodes have.
 
     signed: doc_id, n_shingles, print and bands (keys of any number, equal for equal prints), read from the table of that
-    name in work, which goes when it has been read.  group: makes of members (key, id, many) the pairs (g, a) of centres and
-    members, so that the ends of every link meet in a group, by default by_center().  possible: keeps of pairs (g, a) of
-    documents those that may be linked, before they are compared.  prune: look for members of large groups that can have no more
-    links before their differences are ranked, which pays where most are too far from all others.  near_duplicates() says how keys become links.
+    name in work, which goes when it has been read.
     """
     some = signed.where("print is not null and doc_id is not null")
-    nodes = work.keep(some.groupBy("print").agg(F.min("doc_id").alias("id"), F.min("bands").alias("bands")), "keyed")
+    nodes = work.keep(some.groupBy("print").agg(F.min("doc_id").alias("id"), *(F.min(c).alias(c) for c in ("bands", *more))), "keyed")
     signed = work.keep(signed.select("doc_id", "n_shingles", "print"), "prints")
-    some = signed.where("print is not null and doc_id is not null")
     work.drop(own)
     work.release()
     keyed = nodes.select("id", F.explode("bands").alias("key"))
@@ -284,24 +253,56 @@ def link_signed(docs: DataFrame, signed: DataFrame, own: str, width: int, percen
     total = nodes.agg(F.sum(F.size("bands"))).first()[0] or 0
     work.release()
     members = work.keep(spread_join(keyed, shared, ["key"], ["id"], total), "members")
-    nodes = work.keep(nodes.select("print", "id"), "nodes")
-    pairs = work.keep(group(members) if group else by_center(members, work), "pairs")
-    for done in ("keyed", "shared", "members", "centers"):
+    nodes = work.keep(nodes.select("print", "id", *more), "nodes")
+    for done in ("keyed", "shared"):
         work.drop(done)
     work.release()
+    return signed, nodes, members
 
-    hubs = pairs.select("g", F.col("g").alias("h")).distinct()
-    wanted = pairs.select(F.col("a").alias("id")).unionByName(hubs.select(F.col("h").alias("id"))).distinct()
+
+def texts_of(docs: DataFrame, pairs: DataFrame, work: Scratch) -> DataFrame:
+    """id and text of the documents in pairs (g, a), stored."""
+    wanted = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("g").alias("id"))).distinct()
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where("text is not null")
     texts = work.keep(texts.join(wanted.hint("merge"), "id"), "texts")
     work.release()
+    return texts
+
+
+def linked(members: DataFrame, hubs: DataFrame, texts: DataFrame, width: int, percent: int, work: Scratch, name: str) -> DataFrame:
+    """Links (a, b) of members (g, a) with the first of the hubs (g, h) that each is linked with, on whole sets; stored."""
+    return work.keep(meet(members, hubs, texts, width, _first_link(percent), _LINK, work, name), f"{name}-links")
+
+
+def labelled(signed: DataFrame, nodes: DataFrame, found: DataFrame, work: Scratch) -> DataFrame:
+    """doc_id, n_shingles, component_id from prints, nodes and their components as of key_members() and connected_components()."""
+    labels = nodes.select("print", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("print", F.coalesce("component", "id").alias("component_id"))
+    labels = work.keep(labels, "labels")
+    alone = signed.where("print is null or doc_id is null").withColumn("component_id", F.col("doc_id"))
+    out = signed.where("print is not null and doc_id is not null").join(labels, "print").select(*signed.columns, "component_id").unionByName(alone)
+    return out.select("doc_id", "n_shingles", "component_id")
+
+
+def link_signed(docs: DataFrame, signed: DataFrame, own: str, width: int, percent: int, work: Scratch) -> DataFrame:
+    """doc_id, n_shingles, component_id for documents whose links all share a key.
+
+    signed, own: as key_members() takes them.  near_duplicates() says how keys become links.
+    """
+    signed, nodes, members = key_members(signed, own, work)
+    pairs = work.keep(by_center(members, work), "pairs")
+    for done in ("members", "centers"):
+        work.drop(done)
+    work.release()
+
+    hubs = pairs.select("g", F.col("g").alias("h")).distinct()
+    texts = texts_of(docs, pairs, work)
     seen = work.keep(meet(pairs, hubs, texts, width, _compare, _SEEN, work, "compare"), "seen")
     work.release()
-    groups = _Groups(seen, texts, width, percent, work, prune)
+    groups = _Groups(seen, texts, width, percent, work)
     found = connected_components(groups.links(), work, "first")
 
-    def linked(members: DataFrame, hubs: DataFrame, name: str) -> DataFrame:
-        return work.keep(meet(work.keep(members, f"{name}-in"), hubs, texts, width, _first_link(percent), _LINK, work, name), f"{name}-links")
+    def link(members: DataFrame, hubs: DataFrame, name: str) -> DataFrame:
+        return linked(work.keep(members, f"{name}-in"), hubs, texts, width, percent, work, name)
 
     links, mixed = [], groups.place(found, "at")
     for k, (first, last) in enumerate(_ROUNDS, 1):
@@ -310,7 +311,7 @@ def link_signed(docs: DataFrame, signed: DataFrame, own: str, width: int, percen
         waiting = open_.count()
         if not waiting:
             break
-        links.append(linked(open_, groups.nearest(big, first, last), f"round-{k}"))
+        links.append(link(open_, groups.nearest(big, first, last), f"round-{k}"))
         many = links[-1].count()
         if many:
             mixed = groups.merge(mixed, found, links[-1], f"at-{k}")
@@ -320,21 +321,15 @@ def link_signed(docs: DataFrame, signed: DataFrame, own: str, width: int, percen
     if not mixed.where((F.col("many") > _SMALL) & F.col("open")).isEmpty():
         left = left.unionByName(groups.by_differences(mixed))
     left = work.keep(left.select(F.col("b").alias("g"), "a").distinct(), "left")
-    if possible:
-        left = work.keep(possible(left), "left-possible")
     if not left.isEmpty():
-        links.append(linked(left, left.select("g", F.col("g").alias("h")).distinct(), "late"))
+        links.append(link(left, left.select("g", F.col("g").alias("h")).distinct(), "late"))
     if links:
         stars = found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
         for more in links:
             stars = stars.unionByName(more)
         found = connected_components(stars, work, "second")
 
-    labels = nodes.select("print", "id").join(found.withColumnRenamed("node", "id"), "id", "left").select("print", F.coalesce("component", "id").alias("component_id"))
-    labels = work.keep(labels, "labels")
-    alone = signed.where("print is null or doc_id is null").withColumn("component_id", F.col("doc_id"))
-    out = some.join(labels, "print").select(*signed.columns, "component_id").unionByName(alone)
-    return out.select("doc_id", "n_shingles", "component_id")
+    return labelled(signed, nodes, found, work)
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 75, bands: int = 32, rows: int = 4) -> DataFrame:

@@ -9,11 +9,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .components import connected_components
 from .joins import spread_join
-from .near_dedup import link_signed
+from .near_dedup import key_members, labelled, linked, texts_of
 from .shared import Scratch
 from .shingles import shingle_rows
 from .words import mix, seeds
@@ -23,8 +24,8 @@ _SIGNED = "doc_id long, n_shingles long, print binary, bands array<long>, sketch
 _BLOCK_BITS = 12
 #: Blocks that must agree beyond the one that always does; as many empty blocks may go without a key.
 _SPARE = 2
-#: Rounds of centres over all buckets, and nodes of a bucket that ends in one task.
-_ROUNDS, _BUCKET = 8, 512
+#: Rounds in which pairs are chosen and checked, of which the last takes all that may be linked, and nodes of a bucket that one task compares.
+_ROUNDS, _BUCKET = 2, 2048
 #: Documents whose keys are made before they leave a task.
 _AT_ONCE = 512
 #: 64-bit words of the smallest folded sketch, and bits for each shingle of larger ones.
@@ -121,108 +122,83 @@ def sign_documents(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, _SIGNED)
 
 
-class _Sketches:
-    """What the folded sketches of documents rule out before any texts meet.
+def near_pairs(ids: np.ndarray, n: np.ndarray, component: np.ndarray, sketches: np.ndarray, percent: int, forest: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (g, a) of a bucket's nodes of different components whose folded sketches leave a link possible.
 
-    held: doc_id and the (n_shingles, sketch) of its texts.  Hamming distance is a metric, and a lower bound of the symmetric difference D:
-    sets of n and m shingles that are linked have D <= t (n + m), t = (100 - percent) / (100 + percent).
+    The Hamming distance of two sketches is a lower bound of the symmetric difference D, and sets of n and m shingles that are linked have
+    D <= t (n + m), t = (100 - percent) / (100 + percent).  forest: only as many pairs as join all that such pairs join, fewer than nodes; the
+    node nearest to the bits that most have is met first, so that buckets of the same copies mostly choose the same pairs.
     """
+    if forest:
+        held = sum(np.unpackbits(sketches[k : k + 64].view(np.uint8), axis=1).sum(0, dtype=np.int32) for k in range(0, len(ids), 64))
+        common = np.packbits(2 * held > len(ids)).view(np.uint64)
+        order = np.lexsort((ids, np.bitwise_count(sketches ^ common).sum(1)))
+        ids, n, component, sketches = ids[order], n[order], component[order], sketches[order]
+    for i in range(len(ids) - 1):
+        j = i + 1 + np.flatnonzero(component[i + 1 :] != component[i])
+        j = j[(100 * np.minimum(n[j], n[i]) >= percent * np.maximum(n[j], n[i])) & (ids[j] != ids[i])]
+        far = np.bitwise_count(sketches[j] ^ sketches[i]).sum(1).astype(np.int64)
+        near = (100 + percent) * far <= (100 - percent) * (n[j] + n[i])
+        j = j[near]
+        if not len(j):
+            continue
+        if forest:
+            j = j[np.argsort(far[near], kind="stable")]
+            j = j[np.unique(component[j], return_index=True)[1]]  # the nearest of each component
+            component = np.where(np.isin(component, component[j]), component[i], component)
+        yield np.full(len(j), ids[i]), ids[j]
 
-    def __init__(self, held: DataFrame, percent: int, work: Scratch):
-        self.held, self.percent, self.work = held, percent, work
-
-    def _judged(self, pairs: DataFrame) -> DataFrame:
-        """pairs (g, a, words) with near, for all texts of theirs: they may be linked; and core, for some: a may be linked with what is near g.
-
-        If z is linked with x, and x is near g, then their distance is at most t (z + x) + t (x + g), and x is at most 100 / percent times
-        either.  All three are compared by sketches of as many words, those of the band in which they meet.
-        """
-        p, sides = self.percent, [self.held.select(F.col("doc_id").alias(c), F.col("held").alias(f"{c}_held")).hint("merge") for c in ("g", "a")]
-        met = pairs.join(sides[0], "g").join(sides[1], "a")
-        each = F.flatten(F.transform("g_held", lambda x: F.transform("a_held", lambda y: _pair(x, y, F.col("words")))))
-        e = F.col("e")
-        judged = F.transform(each, lambda e: F.struct(
-            (((100 + p) * e["far"] <= (100 - p) * (e["n"] + e["m"])) & (100 * F.least(e["n"], e["m"]) >= p * F.greatest(e["n"], e["m"]))).alias("near"),
-            (p * (100 + p) * e["far"] <= (100 - p) * (p * (e["n"] + e["m"]) + 200 * F.least(e["n"], e["m"]))).alias("core"),
-        ))
-        return met.select("g", "a", "words", judged.alias("e")).select("g", "a", "words", F.forall(e, lambda x: x["near"]).alias("near"), F.exists(e, lambda x: x["near"]).alias("some"), F.exists(e, lambda x: x["core"]).alias("core"))
-
-    def possible(self, pairs: DataFrame) -> DataFrame:
-        """The pairs that may be linked."""
-        return self._judged(pairs.withColumn("words", F.lit(0))).where("some").select("g", "a")
-
-    def groups(self, members: DataFrame) -> DataFrame:
-        """Pairs (g, a) of centres and members, so that the ends of every link are in one group, of members (key, id, many).
-
-        In each key's bucket the node whose keys are the most shared is a centre.  Its group has what may be linked with a node near it; the
-        bucket goes on without the centre and the nodes near it, since a link between others is still open.  After some rounds, buckets of
-        bounded size end in one task each; one that stays larger becomes a group as it is.
-        """
-        pull = F.sum("many").over(Window.partitionBy("id"))
-        rows, found = self.work.keep(members.select("key", "id", pull.alias("pull")), "round-0"), []
-
-        def central(rows: DataFrame, k: int) -> DataFrame:
-            found = rows.groupBy("key").agg(F.min_by("id", F.struct(-F.col("pull"), "id")).alias("g"), F.count(F.lit(1)).alias("n"))
-            return self.work.keep(found.where("n > 1"), f"centers-{k}")
-
-        centers = central(rows, 0)
-        for k in range(1, _ROUNDS + 1):
-            paired = self.work.keep(spread_join(rows, centers, ["key"], ["id"]).where("id <> g").select("key", "pull", "g", F.col("id").alias("a")), f"paired-{k}")
-            words = F.expr("shiftleft(1, cast(key & 31 as int))").alias("words")
-            judged = self.work.keep(self._judged(paired.select("g", "a", words).distinct()), f"judged-{k}")
-            found.append(judged.where("core").select("g", "a"))
-            open_ = paired.withColumn("words", words).join(judged.where("not near").select("g", "a", "words").hint("merge"), ["g", "a", "words"]).select("key", F.col("a").alias("id"), "pull")
-            rows = self.work.keep(open_, f"round-{k}")
-            centers = central(rows, k)
-            for done in (f"round-{k - 1}", f"centers-{k - 1}", f"paired-{k}"):
-                self.work.drop(done)
-            if centers.where(F.col("n") > _BUCKET).isEmpty():
-                break
-        left = self.work.keep(spread_join(rows, centers.select("key", "n", F.col("n").alias("size")), ["key"], ["id"]), "left-over")
-        found.append(self._ended(left.where(F.col("size") <= _BUCKET)))
-        large = left.where(F.col("size") > _BUCKET)
-        if not large.isEmpty():
-            centers = large.groupBy("key").agg(F.min("id").alias("g"), F.count(F.lit(1)).alias("n"))
-            whole = spread_join(large, self.work.keep(centers, "centers-last"), ["key"], ["id"])
-            found.append(whole.where("id <> g").select("g", F.col("id").alias("a")))
-        out = found[0]
-        for more in found[1:]:
-            out = out.unionByName(more)
-        return out.distinct()
-
-    def _ended(self, rows: DataFrame) -> DataFrame:
-        """The groups of buckets of bounded size, centre after centre, each bucket in one task."""
-        percent = self.percent
 
-        def groups(ids, n, sketches) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            while len(ids) > 1:
-                far = np.bitwise_count(sketches[1:] ^ sketches[0]).sum(1).astype(np.int64)
-                both, least, most = n[1:] + n[0], np.minimum(n[1:], n[0]), np.maximum(n[1:], n[0])
-                core = percent * (100 + percent) * far <= (100 - percent) * (percent * both + 200 * least)
-                near = ((100 + percent) * far <= (100 - percent) * both) & (100 * least >= percent * most)
-                yield np.full(int(core.sum()), ids[0]), ids[1:][core]
-                ids, n, sketches = ids[1:][~near], n[1:][~near], sketches[1:][~near]
+class _Buckets:
+    """Nodes that share a key, compared by their folded sketches.
+
+    members: key, id, many; nodes: id, n_shingles and sketch.  Keys whose nodes are the same (by their number, least and
+    greatest id and two sums of 40-bit hashes) and whose sketches have as many words find the same pairs, so one of them is kept.  A key's nodes
+    are compared in one task up to _BUCKET; more are dealt to parts, and every two parts meet in a cell.
+    """
+
+    def __init__(self, members: DataFrame, nodes: DataFrame, percent: int, work: Scratch):
+        self.percent, self.work = percent, work
+        self.texts = nodes.select("id", F.col("n_shingles").alias("n"), "sketch")
+        sums = [F.sum(F.shiftright(F.xxhash64("id", F.lit(k)), 24)).alias(f"sum_{k}") for k in (1, 2)]
+        same = ["words", "n", "low", "high", "sum_1", "sum_2"]
+        sets = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("low"), F.max("id").alias("high"), *sums).withColumn("words", F.col("key").bitwiseAND(31))
+        sets = sets.groupBy(*same).agg(F.min("key").alias("key")).select("key", "n", F.ceil(F.col("n") / _BUCKET).cast("int").alias("parts"))
+        self.sets = work.keep(sets, "sets")
+        self.rows = work.keep(spread_join(members.select("key", "id"), self.sets, ["key"], ["id"]), "rows")
+
+    def only(self, keys: DataFrame, name: str) -> None:
+        """Go on with these keys."""
+        self.sets = self.work.keep(self.sets.join(keys.hint("merge"), "key"), f"sets-{name}")
+        self.rows = self.work.keep(spread_join(self.rows, self.sets.select("key", "n"), ["key"], ["id"]), f"rows-{name}")
+
+    def pairs(self, found: DataFrame | None, forest: bool) -> DataFrame:
+        """near_pairs() of all cells, as key, g, a; found: components (node, component) known so far."""
+        percent = self.percent
 
         def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             last, held = None, []
             for batch in (*batches, None):
-                out: tuple[list, list] = [], []
-                rows = zip(*(batch.column(k).to_numpy(zero_copy_only=False).tolist() for k in range(3)), batch.column(3), strict=True) if batch is not None else [(None, 0, 0, None)]
-                for key, id_, n, sketch in rows:
-                    if key != last:
+                out: tuple[list, list, list] = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                rows = zip(*(batch.column(k).to_numpy(zero_copy_only=False).tolist() for k in range(5)), batch.column(5), strict=True) if batch is not None else [(None, 0, 0, 0, 0, None)]
+                for key, cell, id_, n, component, sketch in rows:
+                    if (key, cell) != last:
                         if len(held) > 1:
-                            for g, a in groups(*(np.array(x) for x in zip(*held, strict=True))):
-                                out[0].append(g)
-                                out[1].append(a)
-                        last, held = key, []
+                            for g, a in near_pairs(*(np.array(x) for x in zip(*held, strict=True)), percent, forest):
+                                for x, values in zip(out, (np.full(len(g), last[0]), g, a), strict=True):
+                                    x.append(values)
+                        last, held = (key, cell), []
                     if key is not None and (at := _folded_to(sketch.values.to_numpy().view(np.uint64), 1 << (key & 31))) is not None:
-                        held.append((id_, n, at))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x) if x else [], pa.int64()) for x in out], ["g", "a"])
+                        held.append((id_, n, component, at))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in out], ["key", "g", "a"])
 
-        texts = self.held.select(F.col("doc_id").alias("id"), F.explode("held").alias("h")).select("id", F.col("h.n_shingles").alias("n"), F.col("h.sketch").alias("sketch"))
         # An id with several texts enters with each; its own pairs are no links.
-        dealt = rows.join(texts.hint("merge"), "id").repartition("key").sortWithinPartitions("key", F.desc("pull"), "id")
-        return dealt.select("key", "id", "n", "sketch").mapInArrow(task, "g long, a long").where("g <> a")
+        rows = self.rows.join(self.texts.hint("merge"), "id")
+        known = rows.join(found.select(F.col("node").alias("id"), "component").hint("merge"), "id", "left") if found is not None else rows.withColumn("component", F.lit(None).cast("long"))
+        part, parts = F.pmod(F.xxhash64("id", F.lit(3)), F.col("parts")).cast("int"), F.col("parts")
+        cells = F.transform(F.sequence(F.lit(0), parts - 1), lambda q: F.least(part, q) * parts + F.greatest(part, q))
+        cells = known.select("key", F.explode(cells).alias("cell"), "id", "n", F.coalesce("component", "id").alias("component"), "sketch")
+        return cells.repartition("key", "cell").sortWithinPartitions("key", "cell", "id").mapInArrow(task, "key long, g long, a long")
 
 
 def _folded_to(sketch: np.ndarray, words: int) -> np.ndarray | None:
@@ -230,19 +206,6 @@ def _folded_to(sketch: np.ndarray, words: int) -> np.ndarray | None:
     return sketch if len(sketch) == words else sketch[:words] ^ sketch[words:] if len(sketch) == 2 * words else None
 
 
-def _pair(x: Column, y: Column, words: Column) -> Column:
-    """far, n, m of two texts by sketches of as many words, or where that is 0 of the fewer words of the two; far is beyond all bounds
-    where a sketch has neither these words nor twice as many."""
-    width = F.when(words > 0, words).otherwise(F.least(F.size(x["sketch"]), F.size(y["sketch"])))
-
-    def fold(s: Column) -> Column:
-        halves = F.zip_with(F.slice(s, F.lit(1), width), F.slice(s, width + 1, width), lambda u, v: u.bitwiseXOR(v))
-        return F.when(F.size(s) == width, s).when(F.size(s) == 2 * width, halves)
-
-    bits = F.aggregate(F.zip_with(fold(x["sketch"]), fold(y["sketch"]), lambda u, v: F.bit_count(u.bitwiseXOR(v))), F.lit(0), lambda s, b: s + b)
-    return F.struct(F.coalesce(bits, F.lit(1 << 30)).cast("long").alias("far"), x["n_shingles"].alias("n"), y["n_shingles"].alias("m"))
-
-
 def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id of documents linked by 100 * |A & B| >= percent * |A | B|.
 
@@ -251,10 +214,10 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
     1. Every shingle flips one bit of a sketch, so that the Hamming distance of two sketches is at most the symmetric
        difference of their sets; that of a link is bounded in each band of sizes.  Cut into more blocks than
        that bound, the sketches of a link agree in some block: equal blocks are where partners meet.  No link is missed.
-    2. Sets that are equal are one node.  Of the nodes of equal blocks, those whose folded sketches are near enough form groups around
-       central ones (_Sketches); sets that only share some passage fall apart here.
-    3. A group's members are compared with its centre on whole sets, and what that leaves open with one another
-       (near_dedup.link_signed); pairs whose sketches differ in more bits than a link allows are ruled out before their texts meet.
+    2. Sets that are equal are one node.  The nodes of equal blocks are compared by folded sketches, which rule out most pairs; of
+       what is left, each bucket gives only as many pairs as would join its nodes (_Buckets).
+    3. These are checked on whole sets.  Buckets of which a pair was no link are compared again, knowing the components so far, and
+       give all pairs of different components that sketches leave open.
 
     Null, empty and blank texts have no shingles and stay alone.  Repeated doc_ids are one document if their texts agree; with
     different texts, their links count for all of them.  Null doc_ids are kept as they are, unlinked.  A very long text has keys in proportion
@@ -262,9 +225,28 @@ def jaccard_join(docs: DataFrame, width: int = 4, percent: int = 85) -> DataFram
     """
     work = Scratch(docs.sparkSession, "parity")
     signed = work.keep(sign_documents(docs, width, percent), "signed")
-    held = signed.where("print is not null and doc_id is not null").groupBy("doc_id").agg(F.collect_set(F.struct("n_shingles", "sketch")).alias("held"))
-    sketches = _Sketches(work.keep(held, "sketches"), percent, work)
-    out = link_signed(docs, signed, "signed", width, percent, work, sketches.groups, sketches.possible, prune=True)
-    out = work.keep(out, "out")
+    signed, nodes, members = key_members(signed, "signed", work, "n_shingles", "sketch")
+    buckets = _Buckets(members, nodes, percent, work)
+    work.drop("members")
+    work.release()
+    stars, found, checked, wrong, texts = None, None, None, None, None
+    for k in range(1, _ROUNDS + 1):
+        made = work.keep(buckets.pairs(found, k < _ROUNDS), f"made-{k}")
+        work.release()
+        pairs = made.select("g", "a").distinct()
+        pairs = work.keep(pairs.join(checked.hint("merge"), ["g", "a"], "left_anti") if checked is not None else pairs, f"pairs-{k}")
+        texts = texts_of(docs, pairs, work) if texts is None else texts  # a node that any round's pairs have is in those of the first
+        links = linked(pairs, pairs.select("g", F.col("g").alias("h")).distinct(), texts, width, percent, work, f"check-{k}")
+        if k == 1 or not links.isEmpty():
+            found = connected_components(links if stars is None else stars.unionByName(links), work, f"components-{k}")
+            stars = found.where("node <> component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+        if k == _ROUNDS:
+            break
+        refuted = pairs.join(links.select(F.col("b").alias("g"), "a").hint("merge"), ["g", "a"], "left_anti")
+        checked, wrong = (pairs, refuted) if k == 1 else (checked.unionByName(pairs), wrong.unionByName(refuted))
+        buckets.only(made.join(wrong.hint("merge"), ["g", "a"], "left_semi").select("key").distinct(), f"{k}")
+        if buckets.sets.isEmpty():
+            break
+    out = work.keep(labelled(signed, nodes, found, work), "out")
     work.drop_all_but("out")
     return out
