@@ -1,5 +1,7 @@
 """The fitted queries read every quarter and every feature of the panel."""
 
+import inspect
+
 import pytest
 
 from tidemark.operators import model, select
@@ -53,3 +55,17 @@ def test_fitted_queries_use_all_of_it(spark, sf_dir, name, monkeypatch):
         assert df.count() == panel.count()
     else:  # two folds
         assert abs(2 * df.count() - panel.count()) <= 2
+
+
+def test_the_search_starts_at_the_default_model_and_reaches_beyond(spark, sf_dir, monkeypatch):
+    default = {k: inspect.signature(model.fit_gbt).parameters[k].default for k in ("trees", "depth")}
+    tried = []
+
+    def larger_is_better(df, columns, target, keys, folds, **p):
+        tried.append(p)
+        return [(p["trees"] + p["depth"]) / 100.0] * folds
+
+    monkeypatch.setattr(model, "cross_validate", larger_is_better)
+    got = queries.coordinate_search(spark, sf_dir).first()
+    assert tried[0] == default and {2, 3} < {p["trees"] for p in tried} and {2, 3} < {p["depth"] for p in tried}
+    assert got.trees > default["trees"] and got.depth > default["depth"]
