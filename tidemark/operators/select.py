@@ -12,7 +12,9 @@ from pyspark.sql import functions as F
 
 from ..functions.prefix import grouped_quantile
 from ..sources.stored import dealt
+from .forest import fit_forest, importances_of
 from .gram import pair_correlations
+from .packed import Packed, packed
 from .reports import long_form
 from .shadows import RANK, numbered, with_shadows
 
@@ -67,7 +69,15 @@ def correlation_filter(df: DataFrame, columns: list[str], quantile: float = 1.0,
     return kept(correlated_columns(df, left, r)) if r < 1 and len(left) > 1 else left
 
 
-def importances(df: DataFrame, columns: list[str], target: str, classifier) -> list[float]:
+def importances(df: DataFrame | Packed, columns: list[str], target: str, classifier) -> list[float]:
+    """Importances of the columns in a fit of a boosted or forest classifier; forests read packed rows, or pack df's."""
+    if isinstance(classifier, RandomForestClassifier):
+        table = df if isinstance(df, Packed) else packed(df, columns, target)
+        try:
+            return importances_of(fit_forest(table, columns, classifier.getNumTrees(), classifier.getMaxDepth(), classifier.getSeed()), len(columns))
+        finally:
+            if table is not df:
+                table.unpersist()
     rows = df.na.fill(0.0, columns).select(*columns, F.col(target).cast("double").alias(target)).persist()  # a fit passes over it many times
     try:
         vectors = VectorAssembler(inputCols=columns, outputCol="__x", handleInvalid="keep").transform(rows).select("__x", target)
@@ -111,13 +121,14 @@ def boruta(df: DataFrame, columns: list[str], target: str, rounds: int = 20, tre
     """
     hits, played, decision = dict.fromkeys(columns, 0), dict.fromkeys(columns, 0), {}
     level = alpha / max(1, len(columns))
-    all_rows = numbered(df.select(*columns, target), RANK)
+    table = packed(df, columns, target)  # once: a shadow has its column's bins
     for k in range(rounds):
         left = [c for c in columns if decision.get(c) != "rejected"]
         if not left or all(c in decision for c in left):
             break
-        rows, shadows = with_shadows(all_rows.select(*left, target, RANK), left, seed + k)
+        rows, shadows = with_shadows(table, left, seed + k)
         imp = importances(rows, [*left, *shadows], target, RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed + k))
+        rows.unpersist()
         best = max(imp[len(left) :])
         for c, v in zip(left, imp, strict=False):
             if c in decision:
@@ -129,6 +140,7 @@ def boruta(df: DataFrame, columns: list[str], target: str, rounds: int = 20, tre
                 decision[c] = "confirmed"
             elif sum(math.comb(n, j) for j in range(h + 1)) < level * 2**n:
                 decision[c] = "rejected"
+    table.unpersist()
     made = [(c, int(hits[c]), played[c], decision.get(c, "tentative")) for c in columns]
     return df.sparkSession.createDataFrame(made, "column string, hits int, rounds int, decision string")
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..sources.stored import stored
+from .packed import Packed, with_packed_shadows
 
 #: The column of numbered() by which with_shadows() knows that rows are numbered.
 RANK = "__rank"
@@ -63,7 +64,7 @@ def permute(rank: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def with_shadows(df: DataFrame, columns: list[str], seed: int) -> tuple[DataFrame, list[str]]:
+def with_shadows(df: DataFrame | Packed, columns: list[str], seed: int) -> tuple[DataFrame | Packed, list[str]]:
     """(df with shadow_<column> for each of the columns, their names).
 
     A shadow holds its column's values, each once, in the order of a permutation of all rows that differs from column to column:
@@ -72,8 +73,10 @@ def with_shadows(df: DataFrame, columns: list[str], seed: int) -> tuple[DataFram
     its values packed, one array for each column and block, and each block's task puts them in place beside the
     block's own rows: one shuffle, and nothing is held but a block.  The numbered rows are stored, so a retry moves the same values.
 
-    Numbers are moved as doubles.  Nulls move like values.
+    Numbers are moved as doubles.  Nulls move like values.  Of packed rows, bins are moved (with_packed_shadows()).
     """
+    if isinstance(df, Packed):
+        return with_packed_shadows(df, columns, seed)
     names = [f"shadow_{c}" for c in columns]
     rows = df if RANK in df.columns else numbered(df, RANK)
     n = rows.count()
