@@ -77,3 +77,20 @@ def test_boruta_packs_its_rows_once(rows, monkeypatch):
     got = {r["column"]: r.decision for r in select.boruta(rows, NAMES, "y", rounds=8, trees=8).collect()}
     assert got["x1"] == "confirmed" and "confirmed" not in {got[c] for c in ("x0", "x2", "none")}
     assert len(seen) > 3 and all(isinstance(df, Packed) and df.count() == 6000 for df in seen)
+
+
+def test_elimination_packs_its_rows_once(rows, monkeypatch):
+    seen, made = [], []
+
+    def importances(df, columns, *more, f=select.importances):
+        seen.append((df, len(columns)))
+        return f(df, columns, *more)
+
+    def once(*a, f=select.packed):
+        made.append(a)
+        return f(*a)
+
+    monkeypatch.setattr(select, "importances", importances)
+    monkeypatch.setattr(select, "packed", once)
+    assert set(select.eliminate(rows, NAMES, "y", keep=2, trees=8)) == {"x1", "d"}
+    assert [n for _, n in seen] == [5, 4, 3] and len(made) == 1 and len({id(df) for df, _ in seen}) == 1

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.prefix import grouped_quantile
-from ..sources.stored import dealt
 from .forest import fit_forest, importances_of
 from .gram import pair_correlations
 from .packed import Packed, packed
@@ -156,11 +155,12 @@ def eliminate(df: DataFrame, columns: list[str], target: str, keep: int, step: i
     left = list(columns)
     if len(left) <= keep:
         return left
-    rows = dealt(df.na.fill(0.0, columns).select(*columns, F.col(target).cast("double").alias(target)))  # all rounds read its shuffle files
+    rows = packed(df, columns, target)  # once for all rounds
     while len(left) > keep:
         imp = importances(rows, left, target, RandomForestClassifier(numTrees=trees, maxDepth=5, seed=seed))
         out = sorted(range(len(left)), key=lambda k: (imp[k], left[k]))[: min(step, len(left) - keep)]
         left = [c for k, c in enumerate(left) if k not in out]
+    rows.unpersist()
     return left
 
 
